@@ -42,17 +42,16 @@ def newer_than(
     return source.filter(F.col(column) > F.lit(mark - dt.timedelta(days=lookback_days)))
 
 
-def unique_batch(batch: DataFrame, key: str, order: str = "_loaded_at", on_duplicate: str = "raise") -> DataFrame:
-    """The batch with one row per key: ``raise`` refuses repeated keys, ``latest`` keeps the newest row."""
-    if on_duplicate == "latest":
-        rest = [c for c in batch.columns if c not in (key, order)]
-        return first_per_key(batch, [key], [F.desc_nulls_last(order), *rest])
-    if on_duplicate != "raise":
-        raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
+def latest_per_key(batch: DataFrame, key: str, order: str = "_loaded_at") -> DataFrame:
+    """One row per key, the newest; rows loaded at the same time are told apart by their values."""
+    rest = [c for c in batch.columns if c not in (key, order)]
+    return first_per_key(batch, [key], [F.desc_nulls_last(order), *rest])
+
+
+def refuse_repeated_keys(batch: DataFrame, key: str) -> None:
     repeated = batch.groupBy(key).count().filter("count > 1").limit(5).collect()
     if repeated:
         raise DuplicateKeys(f"{key} repeated in one batch, for example {[r[0] for r in repeated]}")
-    return batch
 
 
 def merged(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
@@ -73,17 +72,23 @@ def upsert(
 ) -> int:
     """Merge a batch into the parquet table at ``path``; returns the number of rows in the batch.
 
+    A key repeated within the batch is refused (``raise``), or its newest row is taken (``latest``).
     The batch is stored beside the table first. If the driver dies during the merge, the stored batch is
     merged again at the start of the next call (see ``recover``); merging twice changes nothing.
     """
+    if on_duplicate not in ("raise", "latest"):
+        raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
     recover(spark, path, types, key, partition_by, cluster_by)
-    pending = _pending(path)
-    unique_batch(batch.select(*types), key, on_duplicate=on_duplicate).write.mode("overwrite").parquet(
-        f"{pending}.__writing"
-    )
-    stored = spark.read.schema(schemas.struct(types)).parquet(f"{pending}.__writing")
+    batch = batch.select(*types)
+    if on_duplicate == "latest":
+        batch = latest_per_key(batch, key)
+    writing = f"{_pending(path)}.__writing"
+    batch.write.mode("overwrite").parquet(writing)
+    stored = spark.read.schema(schemas.struct(types)).parquet(writing)
+    if on_duplicate == "raise":
+        refuse_repeated_keys(stored, key)
     rows = stored.count()
-    files.rename(spark, f"{pending}.__writing", pending)
+    files.rename(spark, writing, _pending(path))
     _apply(spark, path, types, key, partition_by, cluster_by)
     return rows
 

@@ -19,69 +19,41 @@ CUSTOMER_360_CLUSTER_BY = ("customer_segment", "country")
 TILES = 5
 
 
-def _on_time() -> Column:
-    return F.when(F.col("shipped_on_time"), 1).otherwise(0)
+def _order_measures(order_ids_unique: bool) -> dict[str, Column]:
+    """Measures of a group of orders that both marts need, under the names of neither.
 
-
-def _partial_sums() -> list[Column]:
-    """Sums and counts of one group of orders, in a form that can be summed again."""
-    return [
-        F.count(F.lit(1)).alias("_rows"),
-        F.count("order_id").alias("_orders"),
-        F.sum("gross_revenue").cast(GROSS_SUM_TYPE).alias("_gross"),
-        F.sum("net_revenue").cast(NET_SUM_TYPE).alias("_net"),
-        F.count("net_revenue").alias("_net_rows"),
-        F.sum("discount_amount").cast(NET_SUM_TYPE).alias("_discount"),
-        F.sum("days_to_ship").alias("_days"),
-        F.count("days_to_ship").alias("_days_rows"),
-        F.sum(_on_time()).alias("_on_time"),
-    ]
-
-
-def _total(name: str) -> Column:
-    total = F.sum(name)
-    kind = {"_gross": GROSS_SUM_TYPE, "_net": NET_SUM_TYPE, "_discount": NET_SUM_TYPE}.get(name)
-    return total.cast(kind) if kind else total
-
-
-def monthly_segment(orders: DataFrame, order_ids_unique: bool = False) -> DataFrame:
-    """Volume, revenue and fulfilment per month, segment, region and channel.
-
-    The orders are first summed per group and customer, inside each task and then over one shuffle, so that
-    neither a large group nor a busy customer gathers in one task, and a group's distinct customers become
-    a plain count of those sums. Where order ids are known to be unique (the key of the silver table), their
-    distinct count is a plain count too; otherwise they are counted apart, as distinct ids.
+    Where order ids are known to be unique (they are the key of the silver table) their distinct count is a
+    plain count. That leaves one distinct count per mart, which Spark computes by first summing per group and
+    counted value inside each task: no rows are multiplied and no group gathers in one task. Two distinct
+    counts would multiply the rows to be shuffled.
     """
-    per_customer = orders.groupBy(*SEGMENT_KEYS, "customer_id").agg(
-        *_partial_sums(), F.sum("quantity").alias("_units")
-    )
-    groups = per_customer.groupBy(*SEGMENT_KEYS).agg(
-        F.sum("_orders").alias("order_count"),
-        F.count("customer_id").alias("unique_customers"),
-        F.sum("_units").alias("total_units"),
-        _total("_gross").alias("gross_revenue"),
-        _total("_net").alias("net_revenue"),
-        _total("_discount").alias("total_discounts"),
-        fx.safe_divide(_total("_net"), F.sum("_net_rows")).alias("avg_order_value"),
-        fx.safe_divide(F.sum("_days"), F.sum("_days_rows")).alias("avg_days_to_ship"),
-        fx.percent(F.sum("_on_time"), F.sum("_rows")).alias("on_time_delivery_pct"),
-    )
-    if order_ids_unique:
-        return groups
-    return _with_distinct_orders(groups, orders, SEGMENT_KEYS, "order_count")
+    orders = F.count("order_id") if order_ids_unique else F.countDistinct("order_id")
+    net = F.sum("net_revenue").cast(NET_SUM_TYPE)
+    on_time = F.sum(F.when(F.col("shipped_on_time"), 1).otherwise(0))
+    return {
+        "orders": orders,
+        "gross": F.sum("gross_revenue").cast(GROSS_SUM_TYPE),
+        "net": net,
+        "discounts": F.sum("discount_amount").cast(NET_SUM_TYPE),
+        "avg_order_value": fx.safe_divide(net, F.count("net_revenue")),
+        "avg_days_to_ship": F.avg("days_to_ship"),
+        "on_time": fx.percent(on_time, F.count(F.lit(1))),
+    }
 
 
-def _with_distinct_orders(
-    groups: DataFrame, orders: DataFrame, keys: tuple[str, ...], name: str
-) -> DataFrame:
-    """Replace column ``name`` by the exact distinct count of order ids per group (NULL keys group too)."""
-    distinct = orders.groupBy(*keys).agg(F.countDistinct("order_id").alias("_distinct"))
-    match = F.lit(True)
-    for key in keys:
-        match = match & F.col(f"g.{key}").eqNullSafe(F.col(f"d.{key}"))
-    joined = groups.alias("g").join(distinct.alias("d"), match)
-    return joined.select(
-        *[F.col("d._distinct").alias(name) if c == name else F.col(f"g.{c}") for c in groups.columns]
+def monthly_segment(orders: DataFrame, order_ids_unique: bool = False) -> DataFrame:
+    """Volume, revenue and fulfilment per month, segment, region and channel."""
+    m = _order_measures(order_ids_unique)
+    return orders.groupBy(*SEGMENT_KEYS).agg(
+        m["orders"].alias("order_count"),
+        F.countDistinct("customer_id").alias("unique_customers"),
+        F.sum("quantity").alias("total_units"),
+        m["gross"].alias("gross_revenue"),
+        m["net"].alias("net_revenue"),
+        m["discounts"].alias("total_discounts"),
+        m["avg_order_value"].alias("avg_order_value"),
+        m["avg_days_to_ship"].alias("avg_days_to_ship"),
+        m["on_time"].alias("on_time_delivery_pct"),
     )
 
 
@@ -115,36 +87,24 @@ def customer_metrics(
     as_of: Column | dt.date | str | None = None,
     order_ids_unique: bool = False,
 ) -> DataFrame:
-    """Lifetime activity, revenue, recency and fulfilment per customer.
-
-    Summed per customer and month first, which bounds what any one customer sends on and turns the distinct
-    months into a plain count.
-    """
-    per_month = silver.groupBy("customer_id", F.trunc("order_date", "month").alias("_month")).agg(
-        *_partial_sums(),
-        F.min("order_date").alias("_first"),
-        F.max("order_date").alias("_last"),
-        F.max("net_revenue").alias("_max_net"),
-    )
-    first, last = F.min("_first"), F.max("_last")
-    metrics = per_month.groupBy("customer_id").agg(
+    """Lifetime activity, revenue, recency and fulfilment per customer."""
+    m = _order_measures(order_ids_unique)
+    first, last = F.min("order_date"), F.max("order_date")
+    return silver.groupBy("customer_id").agg(
         first.alias("first_order_date"),
         last.alias("last_order_date"),
         fx.days_between(first, last).alias("customer_tenure_days"),
-        F.sum("_orders").alias("lifetime_order_count"),
-        F.count("_month").alias("active_months"),
-        _total("_gross").alias("lifetime_gross_revenue"),
-        _total("_net").alias("lifetime_net_revenue"),
-        fx.safe_divide(_total("_net"), F.sum("_net_rows")).alias("avg_order_value"),
-        F.max("_max_net").alias("max_single_order"),
-        _total("_discount").alias("total_discounts_received"),
+        m["orders"].alias("lifetime_order_count"),
+        F.countDistinct(F.trunc("order_date", "month")).alias("active_months"),
+        m["gross"].alias("lifetime_gross_revenue"),
+        m["net"].alias("lifetime_net_revenue"),
+        m["avg_order_value"].alias("avg_order_value"),
+        F.max("net_revenue").alias("max_single_order"),
+        m["discounts"].alias("total_discounts_received"),
         fx.days_between(last, fx.as_date(as_of)).alias("days_since_last_order"),
-        fx.safe_divide(F.sum("_days"), F.sum("_days_rows")).alias("avg_days_to_ship"),
-        fx.percent(F.sum("_on_time"), F.sum("_rows")).alias("pct_orders_on_time"),
+        m["avg_days_to_ship"].alias("avg_days_to_ship"),
+        m["on_time"].alias("pct_orders_on_time"),
     )
-    if order_ids_unique:
-        return metrics
-    return _with_distinct_orders(metrics, silver, ("customer_id",), "lifetime_order_count")
 
 
 def rfm_rankings(recency_direction: str = "as_written") -> list[Ranking]:

@@ -695,11 +695,11 @@ def dq_suite_silver(spark, sf_dir):
 
 @query
 def dq_suite_gold(spark, sf_dir):
-    revenue = materialize(mart_revenue_by_segment(spark, sf_dir), "revenue")
-    customer_360 = materialize(
-        gold.mart_customer_360(
-            clean(spark, sf_dir), customers(spark, sf_dir), AS_OF, refreshed_at=NOW, order_ids_unique=True
-        ),
-        "customer-360",
+    silver_table = materialize(enriched(spark, sf_dir), "silver")
+    revenue = gold.mart_revenue_by_segment(silver_table, START_DATE, order_ids_unique=True)
+    customer_360 = gold.mart_customer_360(
+        silver_table, customers(spark, sf_dir), AS_OF, refreshed_at=NOW, order_ids_unique=True
+    )
+    return _suite(materialize(revenue, "revenue"), "mart_revenue_by_segment").unionByName(
+        _suite(materialize(customer_360, "customer-360"), "mart_customer_360")
     )
-    return _suite(revenue, "mart_revenue_by_segment").unionByName(_suite(customer_360, "mart_customer_360"))

@@ -44,12 +44,9 @@ def merge_landed_orders(
 
     def merge(rows: DataFrame, batch_id: int) -> None:
         batch = silver.int_orders_enriched(bronze.stg_orders(rows), customers, config.now)
-        if store.exists("silver", SILVER):
-            upsert.upsert(rows.sparkSession, batch, path, *layout, on_duplicate=config.on_duplicate)
-        else:
-            upsert.full_load(
-                upsert.unique_batch(batch, silver.KEY, on_duplicate=config.on_duplicate), path, *layout
-            )
+        if not store.exists("silver", SILVER):
+            upsert.full_load(batch.limit(0), path, *layout)
+        upsert.upsert(rows.sparkSession, batch, path, *layout, on_duplicate=config.on_duplicate)
 
     return (
         landed.writeStream.foreachBatch(merge)
