@@ -71,7 +71,8 @@ def salted_left_join(
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     spread = [spread_by] if isinstance(spread_by, str) else list(spread_by)
-    # One row per rows_per_task fact rows at most: bounded, and small beside any one fact partition.
+    # One row per rows_per_task fact rows at most. Both joins match it the same way, so it is computed and
+    # sent once.
     hot = F.broadcast(frequent_keys(facts, key, rows_per_task))
     dealt = (
         facts.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left")
@@ -79,7 +80,8 @@ def salted_left_join(
         .drop("_hot", "_salts")
     )
     repeated = (
-        dimension.join(hot, F.col(key) == F.col("_hot"), "left")
+        dimension.filter(F.col(key).isNotNull())
+        .join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
         .drop("_hot", "_salts")
     )

@@ -4,11 +4,11 @@ A row's tile depends only on how it compares with the first row of each tile. So
 rows, the few rows that start a tile are found exactly, and every row is then labelled by comparing it with
 those: a projection, with no shuffle and no window.
 
-The starting rows are found by narrowing. A fixed-size sample, chosen by hash, suggests for each start a
-lower and an upper row between which it should lie; one aggregate over the table counts the rows below
-both. The counts prove whether the start lies between them; if not, that side is opened and counted again.
-A pair that still encloses many rows is narrowed by a sample of the rows inside. In the end the few enclosed
-rows are numbered. The sample only chooses where to look: the result is exact for any sample.
+The starting rows are found by narrowing. A sample of fixed expected size, chosen by hash, suggests for each
+start a lower and an upper row between which it should lie; one aggregate over the table counts the rows
+below both. The counts prove whether the start lies between them; if not, that side is opened and counted
+again. A pair that still encloses many rows is narrowed by a sample of the rows inside. In the end the few
+enclosed rows are numbered. The sample only chooses where to look: the result is exact for any sample.
 """
 
 from __future__ import annotations
@@ -22,10 +22,11 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows collected per sample, and rows numbered in one task per tile start.
+# Rows expected in a sample, and most rows numbered in one task per tile start.
 SAMPLE_ROWS = 16_384
 ENCLOSED_ROWS = 500_000
 _SIGMAS = 5
+_HASHES = 2**40
 _LEAST_SAMPLE = 100  # below this a sample may fail to narrow anything
 
 
@@ -98,13 +99,12 @@ def find_tile_starts(
     """For every ranking the sort values of the first row of tiles 2, 3, ..."""
     if sample_rows < _LEAST_SAMPLE:
         raise ValueError(f"sample_rows must be at least {_LEAST_SAMPLE}")
-    sample = _sample(df, tie, rankings, sample_rows)
-    if len(sample) < sample_rows:  # the sample holds every row
-        at = tile_starts(len(sample), tiles)
+    total = df.count()
+    sample = _sample(df, tie, rankings, sample_rows, total)
+    if total <= sample_rows:  # the sample holds every row
         ordered = {r.name: sorted(_values(row, r) for row in sample) for r in rankings}
-        return {r.name: [ordered[r.name][i] for i in at] for r in rankings}
+        return {r.name: [ordered[r.name][i] for i in tile_starts(total, tiles)] for r in rankings}
 
-    total = df.count()
     searches = []
     for ranking in rankings:
         ordered = sorted(_values(row, ranking) for row in sample)
@@ -119,7 +119,7 @@ def find_tile_starts(
             break
         for search in wide:
             inside = df.filter(_inside(df, search, tie))
-            rows = _sample(inside, tie, [search.ranking], sample_rows)
+            rows = _sample(inside, tie, [search.ranking], sample_rows, search.enclosed)
             ordered = sorted(_values(row, search.ranking) for row in rows)
             share = (search.rank - search.below) / search.enclosed
             search.low, search.high = _bracket(ordered, share, search.low, search.high)
@@ -130,18 +130,19 @@ def find_tile_starts(
 # --- sort values --------------------------------------------------------------------------
 
 
-def _sample(df: DataFrame, tie: str, rankings: Sequence[Ranking], rows: int) -> list:
-    """The ``rows`` rows with the smallest hash of ``tie``: a top-k, fixed in size however large df is."""
+def _sample(df: DataFrame, tie: str, rankings: Sequence[Ranking], rows: int, total: int) -> list:
+    """About ``rows`` of the ``total`` rows of df, chosen by a hash of ``tie``; all of them if so few.
+
+    What reaches the driver has that size however large df is, and no task sends more than its share.
+    """
     columns = []
     for ranking in rankings:
         null, key, _ = ranking.sort_columns(tie)
         columns += [null.alias(f"{ranking.name}_null"), key.alias(f"{ranking.name}_key")]
-    return (
-        df.select(F.col(tie).alias("_tie"), *columns)
-        .orderBy(F.xxhash64("_tie"), "_tie")
-        .limit(rows)
-        .collect()
-    )
+    if total > rows:
+        hashed = F.pmod(F.xxhash64(tie), F.lit(_HASHES))
+        df = df.filter(hashed < F.lit(_HASHES * rows // total))
+    return df.select(F.col(tie).alias("_tie"), *columns).collect()
 
 
 def _values(row, ranking: Ranking) -> tuple[bool, Any, Any]:

@@ -77,8 +77,10 @@ def test_ntile_recovers_from_a_misleading_sample(spark, monkeypatch):
     df = ranked(spark, random_rows(3000, 2))
     honest = ranking._sample
 
-    def lowest_only(df, tie, rankings, rows):
-        return honest(df.filter("id < 'id000150'") if df.count() == 3000 else df, tie, rankings, rows)
+    def lowest_only(df, tie, rankings, rows, total):
+        if total == 3000:
+            return honest(df.filter("id < 'id000150'"), tie, rankings, rows, rows)
+        return honest(df, tie, rankings, rows, total)
 
     monkeypatch.setattr(ranking, "_sample", lowest_only)
     assert_same_as_window(df, sample_rows=120, enclosed_rows=200)
