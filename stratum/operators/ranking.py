@@ -211,9 +211,8 @@ def _number_enclosed(
     for ranking in rankings:
         own = [s for s in searches if s.ranking is ranking]
         null, key, _ = ranking.sort_columns(tie)
-        searched = F.array_compact(
-            F.array(*[F.when(_inside(df, s, tie), F.lit(i)) for i, s in enumerate(own)])
-        )
+        inside = [_inside(df, s, tie) for s in own]
+        searched = F.array_compact(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(inside)]))
         window = Window.partitionBy("_search").orderBy("_null", "_key", "_tie")
         position = reduce(
             lambda c, i: c.when(F.col("_search") == i, own[i].rank - own[i].below + 1),
@@ -221,7 +220,8 @@ def _number_enclosed(
             F.when(F.col("_search") == 0, own[0].rank - own[0].below + 1),
         )
         rows = (
-            df.select(
+            df.filter(reduce(lambda a, b: a | b, inside))
+            .select(
                 F.explode(searched).alias("_search"),
                 null.alias("_null"),
                 key.alias("_key"),

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum import schemas
+from stratum.functions import as_timestamp
 from stratum.operators.dedup import first_per_key
 from stratum.sources import files
 from stratum.sources.layers import cluster, replace_folder
@@ -39,7 +40,7 @@ def newer_than(
     """
     if mark is None:
         return source
-    return source.filter(F.col(column) > F.lit(mark - dt.timedelta(days=lookback_days)))
+    return source.filter(F.col(column) > as_timestamp(mark - dt.timedelta(days=lookback_days)))
 
 
 def latest_per_key(batch: DataFrame, key: str, order: str = "_loaded_at") -> DataFrame:

@@ -471,7 +471,7 @@ def oracle_sql() -> dict[str, str]:
             _TO_GROWTH, "select * from growth order by order_month desc nulls first, net_revenue desc nulls first"
         ),
         "mart_customer_360": one_of(_TO_360, "*", "customer_360"),
-        "pipeline_summary": _pipeline_summary(),
+        "layered_run_summary": _layered_run_summary(),
         # checks
         "check_unique": "select order_id, count(*) as n_records from ("
         "select cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar) as order_id from lineitem) "
@@ -537,7 +537,7 @@ def oracle_sql() -> dict[str, str]:
     }
 
 
-def _pipeline_summary() -> str:
+def _layered_run_summary() -> str:
     """Rows of the built tables, and every declared check that fails with its number of failures."""
     sources = {
         "raw_orders": "raw_orders",

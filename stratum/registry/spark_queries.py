@@ -587,9 +587,9 @@ EXPECTED_FAILURES = (
 
 
 @query
-def pipeline_summary(spark, sf_dir):
+def layered_run_summary(spark, sf_dir):
     """The whole gated run; rows per built table and failures per check that fails."""
-    store = LayerStore(spark, new_folder(spark, "pipeline"))
+    store = LayerStore(spark, new_folder(spark, "layered-run"))
     config = PipelineConfig(start_date=START_DATE, as_of=AS_OF, now=NOW, warn_only=EXPECTED_FAILURES)
     run = run_pipeline(
         spark, tpch.raw_orders(spark, sf_dir), tpch.raw_customers(spark, sf_dir), store, config

@@ -20,6 +20,22 @@ def create_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def create_catalog_view(
+    spark: SparkSession,
+    layer: str,
+    model: str,
+    expressions: Sequence[str],
+    source: str,
+    database_prefix: str = "",
+) -> str:
+    """Create or replace the view ``<layer>.<model>`` over a table, in the layer's database."""
+    database = f"`{database_prefix}{layer}`"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    name = f"{database}.`{model}`"
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(expressions)} FROM {source}")
+    return name
+
+
 def cluster(df: DataFrame, cluster_by: Sequence[str], spread_by: Sequence[str] = ()) -> DataFrame:
     """Range-partition and sort by the clustering columns, so file statistics prune reads of them.
 
@@ -62,16 +78,11 @@ class LayerStore:
         replace_folder(df, path, cluster_by, spread_by, partition_by)
         return self.spark.read.schema(_nullable(df)).parquet(path).select(*df.columns)
 
-    def register(self, database_prefix: str = "") -> None:
-        """Make the stored tables queryable as ``<layer>.<model>`` in the session catalog."""
-        for layer in LAYERS:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database_prefix}{layer}`")
-
-    def register_table(self, layer: str, model: str, database_prefix: str = "") -> None:
-        name = f"`{database_prefix}{layer}`.`{model}`"
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{self.path(layer, model)}`"
-        )
+    def publish(self, layer: str, model: str, database_prefix: str = "") -> str:
+        """Make a stored table queryable as ``<layer>.<model>`` in the session catalog; returns that name."""
+        columns = self.read(layer, model).columns
+        source = f"parquet.`{self.path(layer, model)}`"
+        return create_catalog_view(self.spark, layer, model, columns, source, database_prefix)
 
 
 def _nullable(df: DataFrame):

@@ -80,14 +80,27 @@ def test_a_model_can_be_rebuilt_from_itself(spark, store):
 
 
 def test_layers_as_databases(spark, store):
-    store.replace(spark.range(3), "gold", "t")
-    store.register("try_")
-    store.register_table("gold", "t", "try_")
-    assert spark.table("try_gold.t").count() == 3
-    for layer in ("bronze", "silver", "gold"):
+    load(spark, store, order("A"))
+    name = store.publish("silver", SILVER, "try_")
+    assert spark.table(name).select("order_id", "net_revenue").count() == 1
+    raw(spark, [order("A", shipped_date=None)], schemas.ORDER_TYPES).createOrReplaceGlobalTempView("o")
+    raw(spark, [customer()], schemas.CUSTOMER_TYPES).createOrReplaceGlobalTempView("c")
+    with pytest.raises(PySparkException):  # a lasting view cannot stand on a temporary one
+        bronze.publish_views(spark, "global_temp.o", "global_temp.c", "try_")
+    for layer in ("bronze", "silver"):
         spark.sql(f"DROP DATABASE try_{layer} CASCADE")
 
 
+def test_bronze_views_over_files(spark, folder):
+    raw(spark, [order("A", shipped_date=None)], schemas.ORDER_TYPES).write.parquet(f"{folder}/o")
+    raw(spark, [customer()], schemas.CUSTOMER_TYPES).write.parquet(f"{folder}/c")
+    names = bronze.publish_views(spark, f"parquet.`{folder}/o`", f"parquet.`{folder}/c`", "files_")
+    stg_orders, stg_customers = (spark.table(n) for n in names)
+    assert stg_orders.schema == schemas.struct(schemas.ORDER_TYPES)
+    assert stg_orders.first()["shipped_date"] is None and stg_customers.first()["is_active"] is True
+    spark.sql("DROP DATABASE files_bronze CASCADE")
+
+
 def test_view_is_not_stored(spark):
     view = create_view(spark.range(3).withColumn("x", F.col("id") * 2), "some_view")
     assert spark.table("some_view").count() == 3
