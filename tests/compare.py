@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-import decimal
 import glob
 import os
 
@@ -19,39 +17,34 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def _type(t: pa.DataType) -> str:
+def _type(t: pa.DataType) -> pa.DataType:
+    """One form for the types that the engines write in several ways."""
     if pa.types.is_timestamp(t):
-        return "timestamp"
-    if pa.types.is_string(t) or pa.types.is_large_string(t) or str(t) == "string_view":
-        return "string"
-    return str(t)
+        return pa.timestamp("us")
+    if pa.types.is_large_string(t) or str(t) == "string_view":
+        return pa.string()
+    return t
 
 
-def _cell(v):
-    if isinstance(v, (dt.datetime, decimal.Decimal)):
-        return str(v)
-    return v
-
-
-def canonical(table: pa.Table):
-    names = sorted(table.column_names)
-    columns = [[_cell(v) for v in table.column(n).to_pylist()] for n in names]
-    rows = sorted(zip(*columns), key=lambda r: tuple((v is None, str(type(v)), str(v)) for v in r))
-    return names, [_type(table.schema.field(n).type) for n in names], rows
+def _canonical(table: pa.Table) -> pa.Table:
+    table = table.select(sorted(table.column_names))
+    table = table.cast(pa.schema([(f.name, _type(f.type)) for f in table.schema]))
+    return table.sort_by([(name, "ascending") for name in table.column_names])
 
 
 def differences(spark_df, con, sql: str) -> str | None:
     """None if equal, otherwise a short description of the first difference."""
-    expected = con.execute(sql).to_arrow_table()
-    names, types, rows = canonical(spark_df.toArrow())
-    x_names, x_types, x_rows = canonical(expected)
-    if names != x_names:
-        return f"columns {names} != {x_names}"
-    if types != x_types:
-        return f"types {[(n, a, b) for n, a, b in zip(names, types, x_types) if a != b]}"
-    if len(rows) != len(x_rows):
-        return f"{len(rows)} rows != {len(x_rows)}"
-    for a, b in zip(rows, x_rows):
+    actual, expected = _canonical(spark_df.toArrow()), _canonical(con.sql(sql).to_arrow_table())
+    if actual.column_names != expected.column_names:
+        return f"columns {actual.column_names} != {expected.column_names}"
+    types = [(a.name, a.type, b.type) for a, b in zip(actual.schema, expected.schema) if a.type != b.type]
+    if types:
+        return f"types {types}"
+    if actual.num_rows != expected.num_rows:
+        return f"{actual.num_rows} rows != {expected.num_rows}"
+    if actual.equals(expected):
+        return None
+    for a, b in zip(actual.to_pylist(), expected.to_pylist()):
         if a != b:
             return f"row {a} != {b}"
     return None
