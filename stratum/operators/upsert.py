@@ -1,8 +1,8 @@
 """Incremental maintenance of a keyed parquet table: high-water mark, batch, merge.
 
 Built-in parquet tables have no MERGE, so the merge rewrites exactly the partitions that hold a key of the
-batch or receive one. With a catalog whose tables support row-level changes, ``merge_into`` does the same as
-one statement.
+batch or receive one. They are written beside the table and then take the place of the old ones. With a
+catalog whose tables support row-level changes, ``merge_into`` does the same as one statement.
 """
 
 from __future__ import annotations
@@ -49,12 +49,6 @@ def latest_per_key(batch: DataFrame, key: str, order: str = "_loaded_at") -> Dat
     return first_per_key(batch, [key], [F.desc_nulls_last(order), *rest])
 
 
-def refuse_repeated_keys(batch: DataFrame, key: str) -> None:
-    repeated = batch.groupBy(key).count().filter("count > 1").limit(5).collect()
-    if repeated:
-        raise DuplicateKeys(f"{key} repeated in one batch, for example {[r[0] for r in repeated]}")
-
-
 def merged(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """Target rows whose key is not in the batch, and all batch rows. No target row is ever just deleted."""
     kept = target.join(batch.select(key), key, "left_anti")
@@ -74,41 +68,85 @@ def upsert(
     """Merge a batch into the parquet table at ``path``; returns the number of rows in the batch.
 
     A key repeated within the batch is refused (``raise``), or its newest row is taken (``latest``).
-    The batch is stored beside the table first. If the driver dies during the merge, the stored batch is
-    merged again at the start of the next call (see ``recover``); merging twice changes nothing.
+
+    Until the new partitions are complete the table is untouched, so a run that dies before can simply be
+    run again. One that dies later, while partitions are swapped, is finished by ``recover`` at the start of
+    the next call.
     """
     if on_duplicate not in ("raise", "latest"):
         raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
-    recover(spark, path, types, key, partition_by, cluster_by)
+    recover(spark, path)
+    struct = schemas.struct(types)
     batch = batch.select(*types)
     if on_duplicate == "latest":
         batch = latest_per_key(batch, key)
-    writing = f"{_pending(path)}.__writing"
-    batch.write.mode("overwrite").parquet(writing)
-    stored = spark.read.schema(schemas.struct(types)).parquet(writing)
-    if on_duplicate == "raise":
-        refuse_repeated_keys(stored, key)
-    rows = stored.count()
-    files.rename(spark, writing, _pending(path))
-    _apply(spark, path, types, key, partition_by, cluster_by)
+    # Stored once, since it is read for its keys, its partitions and its rows.
+    batch.write.mode("overwrite").parquet(f"{path}.__batch")
+    batch = spark.read.schema(struct).parquet(f"{path}.__batch")
+    rows, keys, values, has_null = batch.agg(
+        F.count(F.lit(1)),
+        F.countDistinct(F.struct(key)),
+        F.collect_set(partition_by),  # months or days: a bounded set
+        F.bool_or(F.col(partition_by).isNull()),
+    ).first()
+    if rows > keys:
+        repeated = batch.groupBy(key).count().filter("count > 1").limit(5).collect()
+        raise DuplicateKeys(f"{key} repeated in one batch, for example {[r[0] for r in repeated]}")
+    if rows:
+        receiving = set(values) | ({None} if has_null else set())
+        target = spark.read.schema(struct).parquet(path).select(*types)
+        matched = target.join(batch.select(key), key, "left_semi").select(partition_by).distinct()
+        holding = {row[0] for row in matched.collect()}
+        result = merged(target.filter(_is_in(partition_by, holding | receiving)), batch, key)
+        _stage(spark, result, path, key, partition_by, cluster_by, holding)
+        recover(spark, path)
+    files.delete(spark, f"{path}.__batch")
     return rows
 
 
-def recover(
-    spark: SparkSession, path: str, types: dict[str, str], key: str, partition_by: str, cluster_by: Sequence[str]
-) -> bool:
-    """Finish a merge that was cut off. Call before reading the table's high-water mark."""
-    if not files.exists(spark, _pending(path)):
-        return False
-    _apply(spark, path, types, key, partition_by, cluster_by)
-    return True
+def _stage(
+    spark: SparkSession,
+    result: DataFrame,
+    path: str,
+    key: str,
+    partition_by: str,
+    cluster_by: Sequence[str],
+    holding: set,
+) -> None:
+    """Write the new partitions, and mark those that lost all their rows. The rename makes them count."""
+    writing = f"{path}.__writing"
+    clustered = cluster(result, _leading(partition_by, cluster_by), [key])
+    clustered.write.mode("overwrite").partitionBy(partition_by).parquet(writing)
+    for value in holding:
+        folder = f"{partition_by}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+        if not files.exists(spark, f"{writing}/{folder}"):
+            files.make(spark, f"{writing}/_emptied/{folder}")
+    files.rename(spark, writing, _staged(path))
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Put staged partitions in place; does nothing when there are none. Every step can be repeated.
+
+    Call before reading a table whose last merge may have been cut off.
+    """
+    staged = _staged(path)
+    if not files.exists(spark, staged):
+        return
+    for folder in files.children(spark, f"{staged}/_emptied"):
+        files.delete(spark, f"{path}/{folder}")
+    for folder in files.children(spark, staged):
+        if "=" in folder:
+            files.delete(spark, f"{path}/{folder}")
+            files.rename(spark, f"{staged}/{folder}", f"{path}/{folder}")
+    files.delete(spark, staged)
+    spark.catalog.refreshByPath(path)
 
 
 def full_load(
     df: DataFrame, path: str, types: dict[str, str], key: str, partition_by: str, cluster_by: Sequence[str]
 ) -> None:
     """Build the table anew."""
-    files.delete(df.sparkSession, _pending(path))
+    recover(df.sparkSession, path)
     replace_folder(
         df.select(*types),
         path,
@@ -131,58 +169,16 @@ def merge_into(batch: DataFrame, table: str, key: str) -> None:
     )
 
 
-def _pending(path: str) -> str:
-    return f"{path}.__pending"
+def _staged(path: str) -> str:
+    return f"{path}.__staged"
 
 
 def _leading(partition_by: str, cluster_by: Sequence[str]) -> list[str]:
     return [partition_by, *[c for c in cluster_by if c != partition_by]]
 
 
-def _apply(
-    spark: SparkSession, path: str, types: dict[str, str], key: str, partition_by: str, cluster_by: Sequence[str]
-) -> None:
-    struct = schemas.struct(types)
-    batch = spark.read.schema(struct).parquet(_pending(path))
-    target = spark.read.schema(struct).parquet(path).select(*types)
-
-    # Partitions (a bounded set: days or months) that hold a key of the batch, or receive one.
-    holding = _partitions(target.join(batch.select(key), key, "left_semi"), partition_by)
-    receiving = _partitions(batch, partition_by)
-    affected = holding | receiving
-    # Overwriting by partition does not clear a partition that gets no rows. Clear those first: all their
-    # rows are replaced by rows of the stored batch, so an interruption here loses nothing.
-    losing = holding - receiving
-    kept = target.filter(_is_in(partition_by, losing)).join(batch.select(key), key, "left_anti")
-    emptied = losing - _partitions(kept, partition_by) if losing else set()
-    for value in emptied:
-        files.delete(spark, f"{path}/{partition_by}={_folder(value)}")
-    if emptied:
-        spark.catalog.refreshByPath(path)
-        target = spark.read.schema(struct).parquet(path).select(*types)
-    if receiving:
-        result = merged(target.filter(_is_in(partition_by, affected - emptied)), batch, key)
-        (
-            cluster(result, _leading(partition_by, cluster_by), [key])
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition_by)
-            .parquet(path)
-        )
-    files.delete(spark, _pending(path))
-    spark.catalog.refreshByPath(path)
-
-
-def _partitions(df: DataFrame, column: str) -> set:
-    return {row[0] for row in df.select(column).distinct().collect()}
-
-
 def _is_in(column: str, values: set) -> Column:
     tests = [F.col(column).isin(*[v for v in values if v is not None])] if values - {None} else []
     if None in values:
         tests.append(F.col(column).isNull())
     return reduce(lambda a, b: a | b, tests, F.lit(False))
-
-
-def _folder(value) -> str:
-    return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)

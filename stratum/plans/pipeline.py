@@ -103,7 +103,6 @@ def build_silver(
     layout = (SILVER_TYPES, silver.KEY, config.partition_by, silver.CLUSTER_BY)
     mark = None
     if store.exists("silver", SILVER) and not config.full_refresh:
-        upsert.recover(spark, path, *layout)
         mark = upsert.high_water_mark(_silver(store))
     new_orders = upsert.newer_than(orders, mark, lookback_days=config.lookback_days)
     batch = silver.int_orders_enriched(new_orders, customers, processed_at=config.now)
@@ -140,6 +139,7 @@ def build_gold(
 
 
 def _silver(store: LayerStore) -> DataFrame:
+    upsert.recover(store.spark, store.path("silver", SILVER))
     return store.read("silver", SILVER, SILVER_TYPES)
 
 

@@ -15,6 +15,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if the folder does not exist."""
+    target, fs = _path(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(target)] if fs.exists(target) else []
+
+
+def make(spark: SparkSession, path: str) -> None:
+    target, fs = _path(spark, path)
+    fs.mkdirs(target)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     target, fs = _path(spark, path)
     fs.delete(target, True)

@@ -216,21 +216,30 @@ def test_empty_batch_changes_nothing(spark, store):
     assert set(table(store)) == {"A"}
 
 
-def test_merge_that_was_cut_off_is_finished_by_the_next_run(spark, store, monkeypatch):
-    load(spark, store, order("A", order_date="2023-05-05"), order("B"))
+@pytest.mark.parametrize("renames", [None, 0, 1, 2])
+def test_merge_that_was_cut_off_is_finished_by_the_next_run(spark, store, monkeypatch, renames):
+    load(spark, store, order("A", order_date="2023-05-05"), order("B"), order("K"))
     batch = [order("A", order_date="2023-07-07", _loaded_at=loaded(13)), order("C", _loaded_at=loaded(14))]
+    done = []
+    rename = files.rename
 
     def cut_off(*args):
-        raise RuntimeError("driver lost")
+        if len(done) == (renames or 0):
+            raise RuntimeError("driver lost")
+        done.append(args)
+        rename(*args)
 
-    # The emptied partition is gone, nothing is written yet.
     with monkeypatch.context() as patch:
-        patch.setattr(upsert, "cluster", cut_off)
+        if renames is None:
+            patch.setattr(upsert, "cluster", cut_off)  # before anything new is written
+        else:
+            patch.setattr(files, "rename", cut_off)  # before the new partitions count, then while swapping
         with pytest.raises(RuntimeError):
             load(spark, store, *batch)
-    assert load(spark, store, *batch) == 0
-    assert set(table(store)) == {"A", "B", "C"}
-    assert not files.exists(spark, upsert._pending(store.path("silver", SILVER)))
+    load(spark, store, *batch)
+    rows = table(store)
+    assert set(rows) == {"A", "B", "C", "K"} and rows["A"]["order_date"] == day("2023-07-07")
+    assert files.children(spark, f"{store.root}/silver") == [SILVER]
 
 
 def test_upsert_is_idempotent(spark, store):
