@@ -17,7 +17,7 @@ from stratum.plans.check_catalog import CATALOG, SEGMENTS
 from stratum.plans.pipeline import PipelineConfig, run_pipeline
 from stratum.registry.params import AS_OF, CUT, CUT_TIME, EARLY_CUT_TIME, NOW, START_DATE
 from stratum.sources import readers, tpch
-from stratum.sources.layers import LayerStore, cluster, create_view, replace_folder
+from stratum.sources.layers import LayerStore, create_view, replace_folder
 from stratum.sources.scratch import materialize, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]

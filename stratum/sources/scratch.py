@@ -14,13 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from stratum.sources import files
 
 _CONF = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(_CONF, None)
     if not root:
-        root = tempfile.mkdtemp(prefix="stratum-scratch-")
-        spark.conf.set(_CONF, root)
+        app = spark.sparkContext.applicationId
+        if app not in _local_folders:
+            _local_folders[app] = tempfile.mkdtemp(prefix="stratum-scratch-")
+        root = _local_folders[app]
     return root.rstrip("/")
 
 

@@ -133,7 +133,8 @@ def test_customer_360(spark):
         [order("A", quantity="1000"), order("B", order_date="2024-03-01", shipped_date=None)],
         people,
     )
-    mart = {r["customer_id"]: r for r in gold.mart_customer_360(rows, customers(spark, *people), "2024-06-01").collect()}
+    marts = gold.mart_customer_360(rows, customers(spark, *people), "2024-06-01")
+    mart = {r["customer_id"]: r for r in marts.collect()}
     first, idle = mart["C1"], mart["C2"]
     assert first["customer_tenure_days"] == 51 and first["active_months"] == 2
     assert first["days_since_last_order"] == 92 and first["churn_risk"] == "medium"

@@ -361,7 +361,8 @@ def test_landed_files_are_merged_once(spark, store, folder):
 
     def merge():
         stream = read_landed_orders(spark, landing)
-        merge_landed_orders(stream, customers(spark, customer()), store, f"{folder}/checkpoint", CONFIG).awaitTermination()
+        people = customers(spark, customer())
+        merge_landed_orders(stream, people, store, f"{folder}/checkpoint", CONFIG).awaitTermination()
 
     land("a.json", order("A"), order("B", quantity="0"))
     merge()
