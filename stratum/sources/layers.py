@@ -56,6 +56,7 @@ class LayerStore:
         return f"{self.root.rstrip('/')}/{layer}/{model}"
 
     def exists(self, layer: str, model: str) -> bool:
+        finish_replace(self.spark, self.path(layer, model))
         return files.exists(self.spark, self.path(layer, model))
 
     def read(self, layer: str, model: str, types: dict[str, str] | None = None) -> DataFrame:
@@ -98,6 +99,7 @@ def replace_folder(
 ) -> None:
     """Write beside the target, then swap folders, so a failed job leaves the old table untouched."""
     spark = df.sparkSession
+    finish_replace(spark, path)
     fresh, old = f"{path}.__new", f"{path}.__old"
     if cluster_by:
         df = cluster(df, cluster_by, spread_by)
@@ -111,3 +113,11 @@ def replace_folder(
     files.rename(spark, fresh, path)
     files.delete(spark, old)
     spark.catalog.refreshByPath(path)
+
+
+def finish_replace(spark: SparkSession, path: str) -> None:
+    """Finish a swap that was cut off between its two renames; by then the new table was complete."""
+    fresh, old = f"{path}.__new", f"{path}.__old"
+    if files.exists(spark, old) and not files.exists(spark, path):
+        files.rename(spark, fresh, path)
+        files.delete(spark, old)

@@ -73,6 +73,22 @@ def test_replace_leaves_the_old_table_when_the_job_fails(spark, store):
     assert store.replace(spark.range(5), "gold", "t").count() == 5
 
 
+def test_replace_cut_off_between_its_renames_is_finished(spark, store, monkeypatch):
+    store.replace(spark.range(3), "gold", "t")
+    rename = files.rename
+
+    def cut_off(spark, source, target):
+        if source.endswith(".__new"):
+            raise RuntimeError("driver lost")
+        rename(spark, source, target)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(files, "rename", cut_off)
+        with pytest.raises(RuntimeError):
+            store.replace(spark.range(5), "gold", "t")
+    assert store.exists("gold", "t") and store.read("gold", "t").count() == 5
+
+
 def test_a_model_can_be_rebuilt_from_itself(spark, store):
     store.replace(spark.range(3), "gold", "t")
     store.replace(store.read("gold", "t").filter("id > 0"), "gold", "t")
