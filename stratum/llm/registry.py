@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import token_output
+from stratum.llm import decontaminate, piece_bpe, token_output
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontaminate.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     files = token_output.token_files(_table(spark, sf_dir, "documents"), tokenizer)
@@ -24,7 +38,11 @@ def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op10_token_id_output": op10_token_id_output}
+    return {
+        "op6_benchmark_decontamination": op6_benchmark_decontamination,
+        "op7_sentencepiece": op7_sentencepiece,
+        "op10_token_id_output": op10_token_id_output,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
