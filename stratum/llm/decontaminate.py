@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.text import PUNCTUATION, chunks, encode_words, ragged, starts, table
+from stratum.llm.text import PUNCTUATION, chunks, distinct, encode_words, ragged, starts, table
 
 _WORDS = table(PUNCTUATION)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -57,7 +57,7 @@ def winnow(hashes: np.ndarray, owner: np.ndarray, k: int, window: int) -> np.nda
         better = grams[j : j + n] <= least
         least[better] = grams[j : j + n][better]
         chosen[better] = np.flatnonzero(better) + j
-    return np.unique(chosen[owner[:n] == owner[window - 1 :]])
+    return distinct(chosen[owner[:n] == owner[window - 1 :]])
 
 
 @dataclass

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import decontaminate, piece_bpe, token_output
+from stratum.llm import decontaminate, licenses, line_crf, piece_bpe, slots, stable_knn, token_output, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = slots.shard_by_bytes(_table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot",
+    )
+
+
+def op3_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stable_knn.nearest(_table(spark, sf_dir, "embeddings"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -31,6 +48,14 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     files = token_output.token_files(_table(spark, sf_dir, "documents"), tokenizer)
@@ -39,8 +64,13 @@ def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_sharding": op2_sharding,
+        "op3_nearest_vectors": op3_nearest_vectors,
+        "op5_toxicity": op5_toxicity,
         "op6_benchmark_decontamination": op6_benchmark_decontamination,
         "op7_sentencepiece": op7_sentencepiece,
+        "op8_quality": op8_quality,
+        "op9_license_scan": op9_license_scan,
         "op10_token_id_output": op10_token_id_output,
     }
 

@@ -39,7 +39,8 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 8
             start = stop
 
 
-def _translated(column: pa.Array, mapping: bytes) -> pa.Array:
+def translated(column: pa.Array, mapping: bytes) -> pa.Array:
+    """The texts with every byte mapped; null becomes empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")
     if column.offset:  # a slice shares the buffers of its whole column
         column = pc.take(column, pa.array(np.arange(len(column))))
@@ -48,11 +49,14 @@ def _translated(column: pa.Array, mapping: bytes) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(column), offsets, data)
 
 
-def encode_words(column: pa.Array, mapping: bytes) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """(words per row, code of every word in order, distinct words). A null text has no words."""
+def encode_words(column: pa.Array, mapping: bytes | None = None) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(words per row, code of every word in order, distinct words). A null text has no words.
+
+    Without a mapping the texts are those of `translated`: only blanks part their words.
+    """
     if not len(column):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), pa.array([], pa.large_string())
-    lists = pc.split_pattern(_translated(column, mapping), " ")
+    lists = pc.split_pattern(translated(column, mapping) if mapping else column, " ")
     encoded = lists.values.dictionary_encode()
     codes = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     ends = lists.offsets.to_numpy()
@@ -72,3 +76,9 @@ def ragged(pool: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarra
     """The runs pool[begin[i] : begin[i] + length[i]], one after the other."""
     out = starts(length)
     return pool[np.repeat(begin - out[:-1], length) + np.arange(out[-1])]
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
