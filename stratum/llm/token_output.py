@@ -13,96 +13,120 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.llm.simple8b import pack, unpack
-from stratum.llm.text import chunks, encode_words, ragged, starts, table
+from stratum.llm.text import chunks, encode_words, ragged, starts, table, translated
 from stratum.sources.scratch import new_folder
 
 BLOCK_SCHEMA = (
-    "part int, block int, first long, doc_ids array<long>, lengths array<int>, words binary, "
+    "part int, block int, first long, doc_ids array<long>, lengths array<int>, words binary, word_offsets array<long>, "
     "escape_places array<long>, escape_values binary"
 )
-#: Only a space and a line feed: nothing that the tokenizer joins contains either of them.
-_GAPS = table(frozenset([0x20, 0x0A]), lower=False)
+#: Blanks and line feeds part words: nothing that the tokenizer joins contains either of them. It lower-cases, too.
+_LOWER = table(frozenset([0x20, 0x0A]))
+_AS_IS = table(frozenset([0x20, 0x0A]), lower=False)
+#: The tokenizer always cuts between an ASCII letter and punctuation other than an apostrophe.
+_CUT = r"([a-z])([!-&(-/:-@\[-`{-~])"
+#: Letters that are lower case, composed, and letters to the tokenizer's pattern.
+_PLAIN = frozenset("abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ")
 _CACHE_WORDS = 1_000_000
+_CHUNK = 4 << 20
+_BLOCK_IDS = 1 << 18
 _encoders: dict[str, _WordEncoder] = {}
 
 
 class _WordEncoder:
-    """Ids of distinct words; a worker keeps those it has met, up to a bound."""
+    """Ids of distinct words in one pool; a worker keeps the words it has met, up to a bound."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        spelled = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelling = str.maketrans({c: spelled.pre_tokenize_str(c)[0][0] for c in _PLAIN})
         self.clear()
 
     def clear(self) -> None:
-        self.pieces: dict[str, list[int]] = {}
-        self.known: dict[str, list[int]] = {}
-
-    def _encode(self, pieces: list[str]) -> None:
-        new = [p for p in dict.fromkeys(pieces) if p not in self.pieces]
-        for piece, encoding in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.pieces[piece] = encoding.ids
-
-    def __call__(self, words: list[str]) -> list[list[int]]:
-        """A word of ASCII letters with punctuation behind is two pieces to the tokenizer, whatever the case."""
-        if len(self.known) > _CACHE_WORDS or len(self.pieces) > _CACHE_WORDS:
+        self.known: dict[str, int] = {}
+        self.pool = np.zeros(0, np.uint32)
+        self.sizes = np.zeros(0, np.int64)
+
+    def _encode(self, words: list[str]) -> list[list[int]]:
+        """A word of plain letters goes to the tokenizer's model at once: nothing before it would change or cut it."""
+        ids = [[t.id for t in self.model.tokenize(w.translate(self.spelling))] if _PLAIN.issuperset(w) else None
+               for w in words]
+        others = [i for i, found in enumerate(ids) if found is None]
+        encoded = self.tokenizer.encode_batch_fast([words[i] for i in others], add_special_tokens=False)
+        for i, encoding in zip(others, encoded):
+            ids[i] = encoding.ids
+        return ids
+
+    def __call__(self, words: list[str]) -> np.ndarray:
+        """The number of each word; begin, sizes and pool have its ids."""
+        if len(self.known) > _CACHE_WORDS:
             self.clear()
-        parts = {}
-        for word in words:
-            if word not in self.known:
-                stem = word.rstrip("!\"#$%&()*+,-./:;?@[\\]^_`{}~")
-                if stem.isascii() and stem.isalpha():
-                    stem = stem.lower()
-                    parts[word] = (stem, word[len(stem) :]) if len(stem) < len(word) else (stem,)
-                else:
-                    parts[word] = (word,)
-        self._encode([piece for pair in parts.values() for piece in pair])
-        for word, pair in parts.items():
-            ids = self.pieces[pair[0]]
-            self.known[word] = ids + self.pieces[pair[1]] if len(pair) > 1 else ids
-        return [self.known[word] for word in words]
+        known = self.known
+        numbers = list(map(known.get, words))
+        missing = [i for i, number in enumerate(numbers) if number is None]
+        if missing:
+            new = [words[i] for i in missing]
+            ids = self._encode(new)
+            for i, number in zip(missing, range(len(known), len(known) + len(new))):
+                known[words[i]] = numbers[i] = number
+            self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, ids), np.int64, len(ids))])
+            flat = np.fromiter(chain.from_iterable(ids), np.uint32)
+            self.pool = np.concatenate([self.pool, flat])
+            self.begin = starts(self.sizes)[:-1]
+        return np.array(numbers, np.int64)
 
 
 def _token_ids(column: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids per text with its end id, all ids)"""
     if path not in _encoders:
         _encoders[path] = _WordEncoder(path)
-    n_words, codes, words = encode_words(column, _GAPS)
-    ids = _encoders[path](words.to_pylist())
-    sizes = np.array([len(x) for x in ids], np.int64)
-    pool = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
-    begin = starts(sizes)[:-1]
-    lengths = sizes[codes]
-    flat = ragged(pool, begin[codes], lengths)
+    encoder = _encoders[path]
+    column = pc.fill_null(column.cast(pa.large_string()), "")
+    if pc.any(pc.match_substring(column, "<|")).as_py():  # may spell a special token, which is taken as it stands
+        n_words, codes, words = encode_words(column, _AS_IS)
+    else:
+        n_words, codes, words = encode_words(pc.replace_substring_regex(translated(column, _LOWER), _CUT, r"\1 \2"))
+    numbers = encoder(words.to_pylist())[codes] if len(codes) else codes
+    lengths = encoder.sizes[numbers]
+    flat = ragged(encoder.pool, encoder.begin[numbers], lengths) if len(codes) else encoder.pool[:0]
     ends = starts(lengths)[starts(n_words)]
-    per_text = np.diff(ends)
-    return per_text + 1, np.insert(flat, ends[1:], end_id).astype(np.uint32)
+    return np.diff(ends) + 1, np.insert(flat, ends[1:], end_id).astype(np.uint32)
 
 
 def _encode_blocks(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
+    """A row a block; `first` counts the part's ids before it."""
     block = first = 0
     schema = pa.schema([
         ("part", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
-        ("lengths", pa.list_(pa.int32())), ("words", pa.binary()), ("escape_places", pa.list_(pa.int64())),
+        ("lengths", pa.list_(pa.int32())), ("words", pa.binary()),
+        ("word_offsets", pa.list_(pa.int64())), ("escape_places", pa.list_(pa.int64())),
         ("escape_values", pa.binary()),
     ])
-    for rows in chunks(batches, most=1 << 20):
+    for rows in chunks(batches, most=_CHUNK):
         lengths, ids = _token_ids(rows.column("text"), path, end_id)
-        words, places, values = pack(ids)
-        columns = [
-            [rows.column("part")[0].as_py()], [block], [first], [rows.column("doc_id").to_pylist()], [lengths],
-            [words.tobytes()], [places], [values.tobytes()],
-        ]
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
-        block, first = block + 1, first + len(ids)
+        edges, doc_ids = starts(lengths), rows.column("doc_id").to_pylist()
+        cuts = np.flatnonzero(np.diff(edges[:-1] // _BLOCK_IDS, prepend=-1)).tolist()
+        for a, b in zip(cuts, [*cuts[1:], len(doc_ids)]):
+            words, offsets, places, values = pack(ids[edges[a] : edges[b]])
+            columns = [
+                [rows.column("part")[0].as_py()], [block], [first], [doc_ids[a:b]], [lengths[a:b]],
+                [words.tobytes()], [offsets], [places], [values.tobytes()],
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+            block, first = block + 1, first + int(edges[b] - edges[a])
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, parts: int | None = None) -> None:
@@ -123,7 +147,8 @@ def _decode_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             lengths = np.array(row["lengths"], np.int64)
             edges = starts(lengths)
             ids = unpack(
-                np.frombuffer(row["words"], np.uint64), int(edges[-1]), np.array(row["escape_places"], np.int64),
+                np.frombuffer(row["words"], np.uint64), np.array(row["word_offsets"], np.int64), int(edges[-1]),
+                np.array(row["escape_places"], np.int64),
                 np.frombuffer(row["escape_values"], np.uint64),
             ).astype("<u4")
             cut = edges.tolist()
