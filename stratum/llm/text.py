@@ -42,11 +42,11 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 8
 def translated(column: pa.Array, mapping: bytes) -> pa.Array:
     """The texts with every byte mapped; null becomes empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")
-    if column.offset:  # a slice shares the buffers of its whole column
-        column = pc.take(column, pa.array(np.arange(len(column))))
     _, offsets, data = column.buffers()
-    data = pa.py_buffer((data.to_pybytes() if data else b"").translate(mapping))
-    return pa.LargeStringArray.from_buffers(len(column), offsets, data)
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    own = bytes(memoryview(data)[offsets[0] : offsets[-1]]) if data else b""  # a slice shares its column's buffers
+    moved = pa.py_buffer((offsets - offsets[0]).tobytes())
+    return pa.LargeStringArray.from_buffers(len(column), moved, pa.py_buffer(own.translate(mapping)))
 
 
 def encode_words(column: pa.Array, mapping: bytes | None = None) -> tuple[np.ndarray, np.ndarray, pa.Array]:
