@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import decontaminate, licenses, line_crf, piece_bpe, slots, stable_knn, token_output, toxicity
+from stratum.llm import (
+    decontaminate, jaccard_join, licenses, line_crf, piece_bpe, slots, stable_knn, token_output, toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +31,10 @@ def op3_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stable_knn.nearest(_table(spark, sf_dir, "embeddings"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
@@ -66,6 +72,7 @@ def queries() -> dict[str, Query]:
     return {
         "op2_sharding": op2_sharding,
         "op3_nearest_vectors": op3_nearest_vectors,
+        "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
         "op5_toxicity": op5_toxicity,
         "op6_benchmark_decontamination": op6_benchmark_decontamination,
         "op7_sentencepiece": op7_sentencepiece,
