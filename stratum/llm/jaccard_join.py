@@ -3,20 +3,21 @@
 Sets and the links between them:
 
 1. Equal sets (found by their size and two 64-bit sums) are one; the smallest doc_id stands for them.
-2. Answer skipping. Documents that share a minimum hash meet the smallest of them, their leader, and are compared with
-   it alone. Those that link to a leader form its cluster; the distance to the leader (a metric) is kept. What is later
-   computed for a leader then answers for its members: two clusters whose leaders are further apart than the threshold
-   and both radii cannot hold a link, and members are only compared where that bound does not decide.
+2. Answer skipping. Documents that share a minimum hash meet one of them, their leader, and are compared with it alone.
+   Those that link to a leader form its cluster; the distance to the leader (a metric) is kept. What is later computed
+   for a leader then answers for its members: two clusters whose leaders are further apart than the threshold and both
+   radii cannot hold a link. Where that bound does not decide, members are sent to blocks of the other cluster, and only
+   links leave those tasks.
 3. Index skipping. Every other link shares a shingle of both sets' prefixes: the first n - ceil(0.75 n) + 1 shingles in
-   a global order, by hash, with the shingles most frequent in prefixes last. Index lists hold a cluster once, ordered
-   by size, so that a set skips the blocks of lists whose sizes cannot match, and entries whose positions leave too few
-   shingles for the needed overlap. Candidate clusters are compared through their leaders as above.
+   a global order, the frequent ones last by frequency, and else by hash. Index lists hold a cluster once, ordered by
+   size, so that a set skips the blocks of lists whose sizes cannot match, and entries whose positions leave too few
+   shingles for the needed overlap. Candidate clusters are screened by their prefixes and compared as above.
 4. Components of the linked clusters come from alternating star contractions.
 
 Every comparison is an exact count on whole sets of 64-bit shingle hashes. The frequent shingles are broadcast up to a
 fixed number (a higher frequency counts as frequent when there are more, which changes no result). Ids to look up are
-broadcast up to a fixed number and joined by a shuffle beyond it. Comparisons with one document are dealt over as many
-groups as it takes for a bounded number in each.
+broadcast up to a fixed number and joined by a shuffle beyond it. Comparisons with one document or cluster are dealt
+over as many groups as it takes for a bounded number in each. doc_id is the key of the table.
 
 Null and empty texts have an empty set, link with nothing and are components of their own; a text of fewer words than
 a shingle is one shingle; a null doc_id links with nothing and has a null component; repeated rows are copies of one
@@ -34,15 +35,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.text import SPACES, chunks, encode_words, starts, table
+from stratum.llm.text import SPACES, chunks, encode_words, ragged, starts, table
 from stratum.sources.scratch import materialize
 
 K = 5
 BANDS = 6
-HOT_AT = 32  # prefixes of so many documents make a shingle frequent
+HOT_AT = 16  # prefixes of so many documents make a shingle frequent
 MOST_HOT = 1_000_000
 MOST_BROADCAST_IDS = 1_000_000
 GROUP_ROWS = 512
+_CHUNK = 3 << 20  # bytes of text or hashes that a task works on at a time
 _WORDS = table(SPACES)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _SLACK = 1e-9
@@ -84,22 +86,22 @@ def prefix_length(n: np.ndarray) -> np.ndarray:
     return np.where(n > 0, n - -(-3 * n // 4) + 1, 0)
 
 
-def _prefixes(sizes: np.ndarray, hashes: np.ndarray, hot: np.ndarray) -> list[np.ndarray]:
-    """The prefix of each set: by hash, the frequent shingles last."""
+def _prefixes(sizes: np.ndarray, hashes: np.ndarray, hot: np.ndarray, level: np.ndarray) -> list[np.ndarray]:
+    """The prefix of each set, in the global order: by level of frequency (0: not frequent), then by hash."""
     edges, keep = starts(sizes).tolist(), prefix_length(sizes).tolist()
     if not len(hot):
         return [hashes[a : a + p] for a, p in zip(edges, keep)]
     at = np.minimum(np.searchsorted(hot, hashes), len(hot) - 1)
-    frequent = hot[at] == hashes
+    of = np.where(hot[at] == hashes, level[at], 0)
     out = []
     for a, b, p in zip(edges, edges[1:], keep):
-        own, late = hashes[a:b], frequent[a:b]
-        out.append(np.concatenate([own[~late][:p], own[late]])[:p] if late.any() else own[:p])
+        own = of[a:b]
+        out.append(hashes[a:b][np.argsort(own, kind="stable")[:p]] if own.any() else hashes[a : a + p])
     return out
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in chunks(batches):
+    for rows in chunks(batches, most=_CHUNK):
         sizes, hashes = shingle_sets(rows.column("text"))
         some = np.flatnonzero(sizes)
         begin = starts(sizes)[:-1][some]
@@ -113,7 +115,7 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = pa.ListArray.from_arrays(
             pa.array(np.arange(len(sizes) + 1) * BANDS, pa.int32()), pa.array(least.view(np.int64).ravel())
         )
-        prefixes = [p.tobytes() for p in _prefixes(sizes, hashes, np.zeros(0, np.uint64))]
+        prefixes = [p.tobytes() for p in _prefixes(sizes, hashes, np.zeros(0, np.uint64), np.zeros(0))]
         yield pa.RecordBatch.from_pydict({
             "doc_id": rows.column("doc_id"), "n": pa.array(sizes),
             "sum_a": pa.array(sums[:, 0].copy().view(np.int64)), "sum_b": pa.array(sums[:, 1].copy().view(np.int64)),
@@ -130,22 +132,27 @@ def _rows_of(docs: DataFrame, roles: DataFrame) -> DataFrame:
 # Comparisons of documents with a common one, their hub.
 
 
+_ROLE = [
+    ("hub", pa.int64()), ("salt", pa.int32()), ("is_hub", pa.bool_()), ("home", pa.int64()), ("doc", pa.int64()),
+    ("shingles", pa.binary()),
+]
+_ROLE_SCHEMA = "hub long, salt int, is_hub boolean, home long, doc long, shingles binary"
+
+
 def _role_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in chunks(batches, most=2 << 20):
+    for rows in chunks(batches, most=_CHUNK):
         sizes, hashes = shingle_sets(rows.column("text"))
         edges = starts(sizes).tolist()
         ids, roles = rows.column("doc_id").to_pylist(), rows.column("roles").to_pylist()
         out = [
-            (role["hub"], role["salt"], ids[i], role["is_hub"], hashes[edges[i] : edges[i + 1]].tobytes())
+            (*role.values(), ids[i], hashes[edges[i] : edges[i + 1]].tobytes())
             for i in range(len(ids))
             for role in roles[i]
         ]
         for a in range(0, len(out), 2048):
             columns = list(zip(*out[a : a + 2048]))
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds)], names=["hub", "salt", "doc", "is_hub", "shingles"]
-            )
+            arrays = [pa.array(c, kind) for c, (_, kind) in zip(columns, _ROLE)]
+            yield pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in _ROLE])
 
 
 def _compare_group(group: pa.Table) -> pa.Table:
@@ -164,28 +171,69 @@ def _compare_group(group: pa.Table) -> pa.Table:
     return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(["a", "b", "common", "either"], columns)})
 
 
-def compare(docs: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
-    """(a, b, common, either, distance, linked) of distinct pairs (a, b), a != b; a written table."""
-    pairs = materialize(pairs, f"{label}-pairs")
+def _roles(pairs: DataFrame, label: str) -> DataFrame:
+    """(doc_id, roles) for distinct pairs (a, b, reach): in which groups of comparisons with a hub b it is needed."""
     salts = pairs.groupBy(F.col("b").alias("hub")).agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("salts"))
     salt = F.pmod(F.xxhash64("a"), F.col("salts")).cast("int")
     hub = F.col("b") == F.col("hub")
-    members = pairs.join(salts, hub).select(F.col("a").alias("doc_id"), "hub", salt.alias("salt"), F.lit(False).alias("is_hub"))
+    members = pairs.join(salts, hub).select(F.col("a").alias("doc_id"), "hub", salt.alias("salt"), F.lit(False).alias("is_hub"), "reach")
     hubs = salts.select(
         F.col("hub").alias("doc_id"), "hub", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-        F.lit(True).alias("is_hub"),
+        F.lit(True).alias("is_hub"), F.lit(0.0).alias("reach"),
     )
-    roles = members.unionByName(hubs).groupBy("doc_id").agg(F.collect_list(F.struct("hub", "salt", "is_hub")).alias("roles"))
-    roles = materialize(roles, f"{label}-roles")
-    sets = _rows_of(docs, roles).mapInArrow(
-        _role_rows, "hub long, salt int, doc long, is_hub boolean, shingles binary"
+    role = F.struct("hub", "salt", "is_hub", "reach")
+    roles = members.unionByName(hubs).groupBy("doc_id").agg(F.collect_list(role).alias("roles"))
+    return materialize(roles, f"{label}-roles")
+
+
+def compare(docs: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
+    """(a, b, common, either, distance, linked) of distinct pairs (a, b), a != b; a written table."""
+    pairs = materialize(pairs.select("a", "b", F.lit(0.0).alias("reach")), f"{label}-pairs")
+    roles = _roles(pairs, label)
+    roles = roles.withColumn(
+        "roles",
+        F.transform("roles", lambda r: F.struct(r["hub"], r["salt"], r["is_hub"], F.lit(0).cast("long").alias("home"))),
     )
+    sets = _rows_of(docs, roles).mapInArrow(_role_rows, _ROLE_SCHEMA)
     counted = sets.groupBy("hub", "salt").applyInArrow(_compare_group, "a long, b long, common long, either long")
     counted = counted.withColumn("distance", 1 - F.col("common") / F.col("either"))
     counted = counted.withColumn("linked", 100 * F.col("common") >= 75 * F.col("either"))
     return materialize(counted, f"{label}-compared")
 
 
+def _screen_group(group: pa.Table) -> pa.Table:
+    """Pairs that may be within reach. Both prefixes hold all hashes of their sets up to some value, so below the
+    smaller of the two values it is known how many shingles are in one set only; within a distance d, sets of x and y
+    shingles differ in at most (x + y) d / (2 - d) of them."""
+    hub, ids, is_hub = group["hub"][0].as_py(), group["doc"].to_pylist(), group["is_hub"].to_pylist()
+    sets, sizes, reach = group["prefix"].to_pylist(), group["n"].to_pylist(), group["reach"].to_pylist()
+    at = next((i for i, h in enumerate(is_hub) if h), None)
+    out = []
+    if at is not None:
+        own, own_n = np.frombuffer(sets[at], np.uint64), sizes[at]
+        for doc, raw, n, far, hubs in zip(ids, sets, sizes, reach, is_hub):
+            if not hubs:
+                other = np.frombuffer(raw, np.uint64)
+                limit = min(own[-1], other[-1])
+                x, y = np.searchsorted(own, limit, "right"), np.searchsorted(other, limit, "right")
+                common = int((own[np.minimum(np.searchsorted(own, other[:y]), len(own) - 1)] == other[:y]).sum())
+                if x + y - 2 * common <= (own_n + n) * far / (2 - far) + _SLACK:
+                    out.append((doc, hub))
+    columns = list(zip(*out)) or [[]] * 2
+    return pa.table({"a": pa.array(columns[0], pa.int64()), "b": pa.array(columns[1], pa.int64())})
+
+
+def screened(alone: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
+    """(a, b): the distinct pairs (a, b, reach) that their prefixes by hash don't rule out; a written table."""
+    pairs = materialize(pairs, f"{label}-pairs")
+    roles = _roles(pairs, label)
+    few = roles.count() <= MOST_BROADCAST_IDS
+    rows = alone.select("doc_id", "n", "prefix").join(F.broadcast(roles) if few else roles, "doc_id")
+    rows = rows.select(F.col("doc_id").alias("doc"), "n", "prefix", F.explode("roles").alias("role"))
+    rows = rows.select("doc", "n", "prefix", "role.*")
+    return materialize(rows.groupBy("hub", "salt").applyInArrow(_screen_group, "a long, b long"), f"{label}-screened")
+
+
 # Index lists.
 
 
@@ -195,7 +243,7 @@ def _bucket_of(hashes: np.ndarray, n_buckets: int) -> np.ndarray:
 
 def _hash_rows(batches: Iterator[pa.RecordBatch], n_buckets: int) -> Iterator[pa.RecordBatch]:
     """A row per bucket with the prefix shingles of a batch and in how many of its documents each is."""
-    for batch in batches:
+    for batch in chunks(batches, "prefix", _CHUNK):
         hashes = np.sort(np.frombuffer(b"".join(batch.column("prefix").to_pylist()), np.uint64))
         begin = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else hashes
         values, counts = hashes[begin.astype(np.int64)], np.diff(np.append(begin, len(hashes)))
@@ -223,39 +271,72 @@ def _frequent(group: pa.Table, least: int) -> pa.Table:
     return pa.table({"shingle": hashes[begin][kept].view(np.int64), "n": total[kept]})
 
 
-def frequent_shingles(prefixes: DataFrame, n_buckets: int, hot_at: int, most: int) -> np.ndarray:
-    """The shingles in at least `hot_at` prefixes, sorted; with more than `most`, those in twice, four times so many..."""
+def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in chunks(batches, most=_CHUNK):
+        sets = [shingle_sets(rows.column("text"))[1].tobytes()]
+        yield pa.RecordBatch.from_pydict({"prefix": pa.array(sets, pa.binary())})
+
+
+def _count_frequent(sets: DataFrame, n_buckets: int, hot_at: int, label: str) -> DataFrame:
+    """(shingle, n) of the shingles in at least `hot_at` of the sets; a written table."""
 
     def frequent(group: pa.Table) -> pa.Table:
         return _frequent(group, hot_at)
 
-    rows = prefixes.mapInArrow(
-        partial(_hash_rows, n_buckets=n_buckets), "bucket int, hashes binary, counts binary"
-    )
-    counted = materialize(rows.groupBy("bucket").applyInArrow(frequent, "shingle long, n long"), "jaccard-frequent")
-    level = F.floor(F.log2(F.col("n") / hot_at)).cast("int")
-    levels = {r.level: r.n for r in counted.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect()}
-    least = 0
-    while sum(n for at, n in levels.items() if at >= least) > most:
-        least += 1
-    found = counted.filter(F.col("n") >= hot_at * 2**least).select("shingle").toArrow()
-    return np.sort(found["shingle"].to_numpy().view(np.uint64))
+    rows = sets.mapInArrow(partial(_hash_rows, n_buckets=n_buckets), "bucket int, hashes binary, counts binary")
+    return materialize(rows.groupBy("bucket").applyInArrow(frequent, "shingle long, n long"), label)
+
+
+def _late(alone: DataFrame, hot) -> DataFrame:
+    return alone.mapInArrow(partial(_affected, hot=hot), ", ".join(f"{n} {t}" for n, t in alone.dtypes) + ", late boolean")
+
+
+def frequent_shingles(docs: DataFrame, alone: DataFrame, n_buckets: int, hot_at: int, most: int):
+    """(hashes in order, levels): the frequent shingles, as a broadcast variable; levels grow with their frequency.
+
+    Counted are the prefixes of all sets, and the whole sets of those that have a frequent shingle there.
+    """
+    spark = docs.sparkSession
+    counted = _count_frequent(alone.select("prefix"), n_buckets, hot_at, "jaccard-frequent")
+
+    def collected(counted: DataFrame):
+        level = F.floor(F.log2(F.col("n") / hot_at)).cast("int")
+        levels = {r.level: r.n for r in counted.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect()}
+        least = 0
+        while sum(n for at, n in levels.items() if at >= least) > most:
+            least += 1
+        found = counted.filter(F.col("n") >= hot_at * 2**least).select("shingle", level.alias("level")).toArrow()
+        hashes = found["shingle"].to_numpy().view(np.uint64)
+        order = np.argsort(hashes)
+        return hashes[order], (found["level"].to_numpy()[order] + 1).astype(np.uint8)
+
+    first = collected(counted)
+    if not len(first[0]):
+        return spark.sparkContext.broadcast(first)
+    late = _late(alone.select("doc_id", "prefix"), spark.sparkContext.broadcast(first)).filter("late").select("doc_id")
+    late = materialize(late, "jaccard-late")
+    whole = _rows_of(docs, late).mapInArrow(_whole_sets, "prefix binary")
+    more = _count_frequent(whole, n_buckets, hot_at, "jaccard-frequent")
+    both = counted.union(more).groupBy("shingle").agg(F.max("n").alias("n"))
+    return spark.sparkContext.broadcast(collected(materialize(both, "jaccard-frequent")))
 
 
 def _affected(batches: Iterator[pa.RecordBatch], hot) -> Iterator[pa.RecordBatch]:
+    """Marks the sets with a frequent shingle in their prefix by hash; the others' prefixes stay as they are."""
+    known = hot.value[0]
     for batch in batches:
         late = []
         for raw in batch.column("prefix").to_pylist():
             own = np.frombuffer(raw, np.uint64)
-            at = np.minimum(np.searchsorted(hot.value, own), len(hot.value) - 1)
-            late.append(bool((hot.value[at] == own).any()))
+            at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+            late.append(bool((known[at] == own).any()))
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(late)], names=[*batch.schema.names, "late"])
 
 
 def _later_prefixes(batches: Iterator[pa.RecordBatch], hot) -> Iterator[pa.RecordBatch]:
-    for rows in chunks(batches):
+    for rows in chunks(batches, most=_CHUNK):
         sizes, hashes = shingle_sets(rows.column("text"))
-        prefixes = [p.tobytes() for p in _prefixes(sizes, hashes, hot.value)]
+        prefixes = [p.tobytes() for p in _prefixes(sizes, hashes, *hot.value)]
         yield pa.RecordBatch.from_arrays(
             [rows.column("doc_id"), rows.column("cluster"), pa.array(sizes), pa.array(prefixes, pa.binary())],
             names=["doc_id", "cluster", "n", "prefix"],
@@ -264,7 +345,7 @@ def _later_prefixes(batches: Iterator[pa.RecordBatch], hot) -> Iterator[pa.Recor
 
 def _entry_rows(batches: Iterator[pa.RecordBatch], n_buckets: int) -> Iterator[pa.RecordBatch]:
     """A row per bucket with a batch's index entries: shingle, cluster (its number in the row's list), position."""
-    for batch in batches:
+    for batch in chunks(batches, "prefix", _CHUNK):
         raw = batch.column("prefix").to_pylist()
         hashes = np.frombuffer(b"".join(raw), np.uint64)
         lengths = np.array([len(r) // 8 for r in raw], np.int64)
@@ -350,39 +431,65 @@ def _distinct_pairs(pairs: np.ndarray) -> np.ndarray:
 # Clusters and components.
 
 
-def _near_copies(docs: DataFrame, alone: DataFrame) -> DataFrame:
-    """(doc, cluster, distance): documents linked to a leader that has no leader itself; the nearest such leader."""
-    bands = alone.select(F.col("doc_id").alias("doc"), "n", F.posexplode("bands").alias("band", "value"))
-    meets = bands.groupBy("band", "value").agg(
-        F.min(F.struct("doc", "n")).alias("leader"), F.count("*").alias("times")
-    ).filter("times > 1")
-    near = 3 * F.greatest("n", F.col("leader.n")) <= 4 * F.least("n", F.col("leader.n"))
+def _star(docs: DataFrame, free: DataFrame, label: str) -> DataFrame:
+    """(doc, cluster, distance): documents linked to a leader that has no leader itself; the nearest such leader.
+
+    Of documents with a common minimum hash, the one that shares most of its minimum hashes with others leads: in a
+    family of copies that is the one they are all near.
+    """
+    bands = free.select(F.col("doc_id").alias("doc"), "n", F.posexplode("bands").alias("band", "value"))
+    shared = bands.groupBy("band", "value").agg(F.count("*").alias("times")).filter("times > 1")
+    bands = bands.join(shared, ["band", "value"])
+    fame = bands.groupBy("doc").agg(F.sum("times").alias("fame"))
+    bands = materialize(bands.drop("times").join(fame, "doc"), f"{label}-bands")
+    meets = bands.groupBy("band", "value").agg(F.min(F.struct(-F.col("fame"), "doc", "n")).alias("leader"))
+    meets = meets.select("band", "value", F.col("leader.doc").alias("leader"), F.col("leader.n").alias("size"))
+    near = 3 * F.greatest("n", "size") <= 4 * F.least("n", "size")
     star = (
         bands.join(meets, ["band", "value"])
-        .filter((F.col("doc") != F.col("leader.doc")) & near)
-        .select(F.col("doc").alias("a"), F.col("leader.doc").alias("b"))
+        .filter((F.col("doc") != F.col("leader")) & near)
+        .select(F.col("doc").alias("a"), F.col("leader").alias("b"))
         .distinct()
     )
-    links = compare(docs, star, "jaccard-star").filter("linked")
+    links = compare(docs, star, label).filter("linked")
     led = links.select(F.col("a").alias("b")).distinct()
     to_roots = links.join(led, "b", "left_anti")
     nearest = to_roots.groupBy("a").agg(F.min(F.struct("distance", "b")).alias("best"))
     return materialize(
         nearest.select(F.col("a").alias("doc"), F.col("best.b").alias("cluster"), F.col("best.distance").alias("distance")),
-        "jaccard-clusters",
+        f"{label}-clusters",
     )
 
 
-def _cluster_links(docs: DataFrame, candidates: DataFrame, members: DataFrame) -> DataFrame:
+def _near_copies(docs: DataFrame, alone: DataFrame, rounds: int) -> DataFrame:
+    """(doc, cluster, distance) of the documents in clusters, their leaders left out. Each round looks for leaders
+    among those that are in no cluster yet."""
+    members, free = None, alone.select("doc_id", "n", "bands")
+    for number in range(rounds):
+        found = _star(docs, free, f"jaccard-star{number}")
+        members = found if members is None else members.unionByName(found)
+        taken = found.select(F.col("doc").alias("doc_id")).union(found.select("cluster")).distinct()
+        free = free.join(taken, "doc_id", "left_anti")
+    return members
+
+
+def _cluster_links(docs: DataFrame, alone: DataFrame, candidates: DataFrame, members: DataFrame) -> DataFrame:
     """(a, b): linked clusters, among the candidate pairs of clusters."""
-    first = compare(docs, candidates, "jaccard-leaders")
+    radius = materialize(members.groupBy("cluster").agg(F.max("distance").alias("radius")), "jaccard-radius")
+
+    def with_radii(pairs: DataFrame) -> DataFrame:
+        return (
+            pairs.join(radius.select(F.col("cluster").alias("a"), F.col("radius").alias("radius_a")), "a", "left")
+            .join(radius.select(F.col("cluster").alias("b"), F.col("radius").alias("radius_b")), "b", "left")
+            .na.fill(0.0, ["radius_a", "radius_b"])
+        )
+
+    reach = F.least(0.25 + F.col("radius_a") + F.col("radius_b") + _SLACK, F.lit(1.0))
+    asked = with_radii(candidates).select("a", "b", reach.alias("reach"))
+    first = compare(docs, screened(alone, asked, "jaccard-leaders"), "jaccard-leaders")
     links = first.filter("linked").select("a", "b")
-    radius = members.groupBy("cluster").agg(F.max("distance").alias("radius"))
     open_ = (
-        first.filter("not linked")
-        .join(radius.select(F.col("cluster").alias("a"), F.col("radius").alias("radius_a")), "a", "left")
-        .join(radius.select(F.col("cluster").alias("b"), F.col("radius").alias("radius_b")), "b", "left")
-        .na.fill(0.0, ["radius_a", "radius_b"])
+        with_radii(first.filter("not linked"))
         .filter("radius_a + radius_b > 0")
         .filter(F.col("distance") <= 0.25 + F.col("radius_a") + F.col("radius_b") + _SLACK)
         .select("a", "b", "distance", "radius_a", "radius_b")
@@ -390,35 +497,62 @@ def _cluster_links(docs: DataFrame, candidates: DataFrame, members: DataFrame) -
     open_ = materialize(open_, "jaccard-open")
     if open_.isEmpty():
         return links
-    # Members against the other leader, where the metric does not rule it out.
-    of = members.select(F.col("doc"), F.col("cluster"), F.col("distance").alias("own"))
-    one = open_.join(of, F.col("cluster") == F.col("a")).filter(
-        F.col("distance") - F.col("own") <= 0.25 + F.col("radius_b") + _SLACK
+    # All members of the one against blocks of the other, in tasks; only what links leaves them.
+    every = members.select("doc", "cluster").union(members.select(F.col("cluster").alias("doc"), "cluster").distinct())
+    sizes = every.groupBy("cluster").agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("blocks"))
+    pairs = (
+        open_.select("a", "b")
+        .join(sizes.select(F.col("cluster").alias("a"), F.col("blocks").alias("blocks_a")), "a", "left")
+        .join(sizes.select(F.col("cluster").alias("b"), F.col("blocks").alias("blocks_b")), "b", "left")
+        .na.fill(1, ["blocks_a", "blocks_b"])
     )
-    other = open_.join(of, F.col("cluster") == F.col("b")).filter(
-        F.col("distance") - F.col("own") <= 0.25 + F.col("radius_a") + _SLACK
+    turned = F.col("blocks_a") > F.col("blocks_b")  # the larger one stands, the smaller one is sent to it
+    pairs = materialize(
+        pairs.select(
+            F.when(turned, F.col("b")).otherwise(F.col("a")).alias("sent"),
+            F.when(turned, F.col("a")).otherwise(F.col("b")).alias("to"),
+            F.greatest("blocks_a", "blocks_b").alias("blocks"),
+        ),
+        "jaccard-open-pairs",
     )
-    asked = one.select(F.col("doc").alias("a"), "b").union(other.select(F.col("doc").alias("a"), F.col("a").alias("b")))
-    seen = compare(docs, asked.distinct(), "jaccard-members")
-    home = members.select(F.col("doc").alias("a"), F.col("cluster").alias("home"))
-    via = seen.join(home, "a")
-    links = links.union(via.filter("linked").select(F.greatest("home", "b"), F.least("home", "b")))
-    # Members of both clusters that are each near enough to the other's leader.
-    far = via.filter("not linked").select(F.col("a").alias("doc"), "home", F.col("b").alias("to"), "distance")
-    x, y = far.alias("x"), far.alias("y")
-    done = links.select(F.col("a").alias("da"), F.col("b").alias("db")).distinct()
-    both = (
-        x.join(y, F.expr("x.home = y.to and x.to = y.home and x.home > y.home"))
-        .join(members.alias("m"), F.expr("y.doc = m.doc"))
-        .filter(F.abs(F.col("x.distance") - F.col("m.distance")) <= 0.25 + _SLACK)
-        .join(done, F.expr("x.home = da and y.home = db"), "left_anti")
-        .select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"), "x.home", F.col("y.home").alias("to"))
+    block = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
+
+    def of(pairs: DataFrame, side: str) -> DataFrame:
+        found = pairs.join(every, F.col(side) == F.col("cluster"), "left")
+        return found.withColumn("doc", F.coalesce("doc", F.col(side)))
+
+    standing = of(pairs.select("to", "blocks").distinct(), "to")
+    standing = standing.select("doc", F.col("to").alias("hub"), block.alias("salt"), F.lit(True).alias("is_hub"), F.col("to").alias("home"))
+    sent = of(pairs, "sent").select(
+        "doc", F.col("to").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("salt"),
+        F.lit(False).alias("is_hub"), F.col("sent").alias("home"),
+    )
+    role = F.struct("hub", "salt", "is_hub", "home")
+    roles = standing.unionByName(sent).groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(role).alias("roles"))
+    sets = _rows_of(docs, materialize(roles, "jaccard-open-roles")).mapInArrow(
+        _role_rows, _ROLE_SCHEMA
     )
-    both = materialize(both, "jaccard-both")
-    if both.isEmpty():
-        return links
-    checked = compare(docs, both.select("a", "b").distinct(), "jaccard-pairs").filter("linked")
-    return links.union(checked.join(both, ["a", "b"]).select("home", "to"))
+    found = sets.groupBy("hub", "salt").applyInArrow(_linked_in_block, "a long, b long")
+    return links.union(materialize(found.distinct(), "jaccard-open-links"))
+
+
+def _linked_in_block(group: pa.Table) -> pa.Table:
+    """(cluster, hub cluster) of the documents sent here that link to one that stands here."""
+    hub, standing = group["hub"][0].as_py(), np.array(group["is_hub"].to_pylist(), bool)
+    home, sets = group["home"].to_numpy(), [np.frombuffer(s, np.uint64) for s in group["shingles"].to_pylist()]
+    here = np.flatnonzero(standing)
+    sizes = np.array([len(sets[i]) for i in here], np.int64)
+    tokens = np.concatenate([*(sets[i] for i in here), np.zeros(0, np.uint64)])
+    order = np.argsort(tokens, kind="stable")
+    tokens, owner = tokens[order], np.repeat(np.arange(len(here)), sizes)[order]
+    linked = set()
+    for i in np.flatnonzero(~standing).tolist():
+        if home[i] not in linked and len(here):
+            low, high = np.searchsorted(tokens, sets[i], "left"), np.searchsorted(tokens, sets[i], "right")
+            common = np.bincount(ragged(owner, low, high - low), minlength=len(here))
+            if (100 * common >= 75 * (sizes + len(sets[i]) - common)).any():
+                linked.add(home[i])
+    return pa.table({"a": pa.array(sorted(linked), pa.int64()), "b": pa.array([hub] * len(linked), pa.int64())})
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -447,13 +581,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, entries_per_bucket: int = 1_000_000, hot_at: int = HOT_AT, most_hot: int = MOST_HOT
+    docs: DataFrame, entries_per_bucket: int = 1_000_000, hot_at: int = HOT_AT, most_hot: int = MOST_HOT,
+    rounds: int = 1,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of (doc_id, text).
 
     hot_at: prefixes of so many documents make a shingle frequent, as long as there are at most `most_hot` of them.
     """
-    spark = docs.sparkSession
     summary_schema = "doc_id long, n long, sum_a long, sum_b long, bands array<long>, prefix binary"
     sets = materialize(docs.select("doc_id", "text").mapInArrow(_summaries, summary_schema), "jaccard-sets")
     named = sets.filter("doc_id is not null and n > 0")
@@ -467,30 +601,29 @@ def near_duplicates(
 
     total = alone.agg(F.sum(F.octet_length("prefix") / 8)).first()[0] or 0
     n_buckets = max(256, int(total / entries_per_bucket) + 1)
-    members = _near_copies(docs, alone)
-    hot = frequent_shingles(alone.select("prefix"), n_buckets, hot_at, most_hot)
+    members = _near_copies(docs, alone, rounds)
+    hot = frequent_shingles(docs, alone, n_buckets, hot_at, most_hot)
     placed = alone.join(members.select(F.col("doc").alias("doc_id"), "cluster"), "doc_id", "left")
     placed = placed.select("doc_id", F.coalesce("cluster", "doc_id").alias("cluster"), "n", "prefix")
-    schema = "doc_id long, cluster long, n long, prefix binary"
-    if len(hot):
-        shared = spark.sparkContext.broadcast(hot)
-        placed = materialize(placed.mapInArrow(partial(_affected, hot=shared), schema + ", late boolean"), "jaccard-placed")
+    if len(hot.value[0]):
+        placed = materialize(_late(placed, hot), "jaccard-placed")
         again = _rows_of(docs, placed.filter("late").select("doc_id", "cluster"))
+        schema = "doc_id long, cluster long, n long, prefix binary"
         placed = placed.filter("not late").drop("late").unionByName(
-            again.mapInArrow(partial(_later_prefixes, hot=shared), schema)
+            again.mapInArrow(partial(_later_prefixes, hot=hot), schema)
         )
     entries = placed.select("cluster", "n", "prefix").mapInArrow(
         partial(_entry_rows, n_buckets=n_buckets),
         "bucket int, clusters binary, hashes binary, owners binary, positions binary",
     )
     candidates = entries.groupBy("bucket").applyInArrow(_candidates, "b long, a long").distinct()
-    joined = components(_cluster_links(docs, candidates, members))
+    joined = components(_cluster_links(docs, alone, candidates, members))
 
     rows = sets.select("doc_id", "n", "sum_a", "sum_b").join(equal.drop("times"), ["n", "sum_a", "sum_b"], "left")
     rows = rows.select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"))
     rows = rows.join(members.select(F.col("doc").alias("rep"), "cluster"), "rep", "left")
     rows = rows.withColumn("cluster", F.coalesce("cluster", "rep"))
     rows = rows.join(joined.withColumnRenamed("node", "cluster"), "cluster", "left")
-    return rows.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "cluster").alias("component_id")
-    )
+    rows = rows.select("doc_id", "n", F.coalesce("component", "cluster").alias("component"))
+    lowest = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(lowest, "component", "left").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
