@@ -259,6 +259,24 @@ def decode(ids: DataFrame, model: str) -> DataFrame:
     return ids.select("doc_id", "ids").mapInArrow(partial(_decode_rows, path=model), "doc_id long, text string")
 
 
+def _round_trip_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    model = vocabulary(path)
+    for rows in chunks(batches, most=4 << 20):
+        lengths, ids = model.encode(rows.column("text"))
+        yield pa.RecordBatch.from_pydict({
+            "doc_id": rows.column("doc_id"),
+            "n_tokens": pa.array(lengths, pa.int64()),
+            "ids": pa.ListArray.from_arrays(pa.array(starts(lengths), pa.int32()), pa.array(ids, pa.int32())),
+            "text": pa.array(model.decode(lengths, ids), pa.string()),
+        })
+
+
+def round_trip(docs: DataFrame, model: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, text): the ids of every row of (doc_id, text), and what they decode to."""
+    schema = "doc_id long, n_tokens long, ids array<int>, text string"
+    return docs.select("doc_id", "text").mapInArrow(partial(_round_trip_rows, path=model), schema)
+
+
 def _digest_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     model = vocabulary(path)
     spelled = [str(i) for i in range(len(model.output))]

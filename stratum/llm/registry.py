@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.llm import (
-    decontaminate, jaccard_join, licenses, line_crf, piece_bpe, slots, stable_knn, token_output, toxicity,
+    decontaminate, jaccard_join, licenses, line_crf, ngram_lm, piece_bpe, slots, stable_knn, token_output, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = slots.shard_by_bytes(_table(spark, sf_dir, "documents"))
     return placed.select(
@@ -70,6 +74,7 @@ def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_ngram_scores": op1_ngram_scores,
         "op2_sharding": op2_sharding,
         "op3_nearest_vectors": op3_nearest_vectors,
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
