@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from stratum.llm.text import distinct
+
 _STEPS, _FLOOR = 254, -7.0
 
 
@@ -26,20 +28,23 @@ LEVELS = np.concatenate([[0.0], 10 ** (_FLOOR * (255 - np.arange(1, 256)) / _STE
 class EliasFano:
     """A sequence of values that never fall; random access and successor search, many at once."""
 
+    _SKIP = 8
+
     def __init__(self, n: int, width: int, low: np.ndarray, high: np.ndarray):
         self.n, self.width, self.low, self.high = n, width, low, high
         self.ones: np.ndarray | None = None
+        self.samples: np.ndarray | None = None
 
     @classmethod
     def of(cls, values: np.ndarray) -> EliasFano:
         n = len(values)
         top = int(values[-1]) if n else 0
-        width = max(0, int(top // n).bit_length() - 1) if n and top else 0
+        width = min(56, max(0, int(top // n).bit_length() - 1)) if n and top else 0
         bits = (values[:, None] >> np.arange(width)) & 1
         low = np.packbits(bits.astype(np.uint8).ravel(), bitorder="little")
         gaps = np.zeros((top >> width) + n + 1, np.uint8)
         gaps[(values >> width) + np.arange(n)] = 1
-        return cls(n, width, low, np.packbits(gaps, bitorder="little"))
+        return cls(n, width, np.concatenate([low, np.zeros(8, np.uint8)]), np.packbits(gaps, bitorder="little"))
 
     def arrays(self) -> list[np.ndarray]:
         return [np.array([self.n, self.width], np.int64), self.low, self.high]
@@ -47,23 +52,39 @@ class EliasFano:
     def __getitem__(self, at: np.ndarray) -> np.ndarray:
         if self.ones is None:  # where the unary gaps end
             self.ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))
-        value = (self.ones[at] - at) << self.width
+        high = self.ones[at] - at
+        if not self.width:
+            return high
         bit = at * self.width
-        for j in range(self.width):
-            value |= ((self.low[(bit + j) >> 3] >> ((bit + j) & 7)) & 1).astype(np.int64) << j
-        return value
-
-    def successor(self, begin: np.ndarray, end: np.ndarray, value: np.ndarray) -> np.ndarray:
-        """The first place in [begin, end) whose value is not below the given one; end without any."""
-        low, high = begin.copy(), end.copy()
-        open_ = np.flatnonzero(low < high)
-        while len(open_):
-            middle = (low[open_] + high[open_]) >> 1
-            below = self[middle] < value[open_]
-            low[open_[below]] = middle[below] + 1
-            high[open_[~below]] = middle[~below]
-            open_ = open_[low[open_] < high[open_]]
-        return low
+        words = np.ndarray((len(self.low) - 7,), np.uint64, self.low, strides=(1,))  # eight bytes from any byte on
+        low = (words[bit >> 3] >> (bit & 7).astype(np.uint64)) & np.uint64((1 << self.width) - 1)
+        return (high << self.width) | low.astype(np.int64)
+
+    def successor(self, values: np.ndarray) -> np.ndarray:
+        """The first place whose value is not below each given one; n without any.
+
+        Every eighth value is kept decoded; three more are looked at from there.
+        """
+        if not self.n:
+            return np.zeros(len(values), np.int64)
+        if self.samples is None:
+            self.samples = self[np.arange(0, self.n, self._SKIP)]
+        block = np.searchsorted(self.samples, values, side="left") - 1
+        at = np.maximum(block, 0) * self._SKIP
+        step = self._SKIP // 2
+        while step:
+            further = np.minimum(at + step, self.n - 1)
+            at = np.where(self[further] < values, further, at)
+            step //= 2
+        return np.where(block < 0, 0, at + 1)
+
+    def place(self, values: np.ndarray) -> np.ndarray:
+        """Where each value stands; -1 for values that are not there."""
+        at = self.successor(values)
+        if not self.n:
+            return at - 1
+        found = self[np.minimum(at, self.n - 1)] == values
+        return np.where(found & (at < self.n), at, -1)
 
 
 class Level:
@@ -81,14 +102,12 @@ class Level:
 
     def find(self, node: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """The place of each id below its node; -1 where there is none (also for node or id -1)."""
-        known = np.flatnonzero((node >= 0) & (ids >= 0) & (ids < self.step))
+        known = (node >= 0) & (ids >= 0) & (ids < self.step)
+        if known.all():
+            return self.ids.place(node * self.step + ids)
         out = np.full(len(node), -1, np.int64)
-        wanted = node[known] * self.step + ids[known]
-        end = self.pointers[node[known] + 1]
-        at = self.ids.successor(self.pointers[node[known]], end, wanted)
-        inside = np.flatnonzero(at < end)
-        hit = inside[self.ids[at[inside]] == wanted[inside]]
-        out[known[hit]] = at[hit]
+        at = np.flatnonzero(known)
+        out[at] = self.ids.place(node[at] * self.step + ids[at])
         return out
 
     def arrays(self) -> list[np.ndarray]:
@@ -128,25 +147,28 @@ class Trie:
         """bigrams: sorted (middle, third), shares: their probabilities; trigrams: sorted (middle, first, third), their
         counts. A trigram's probability is smoothed after Witten and Bell: a context leaves as many shares as it has
         different continuations."""
-        middles = np.unique(np.concatenate([bigrams[:, 0], trigrams[:, 0]]))
+        middles = distinct(np.concatenate([bigrams[:, 0], trigrams[:, 0]]))
         of_bigram, of_trigram = np.searchsorted(middles, bigrams[:, 0]), np.searchsorted(middles, trigrams[:, 0])
         step = int(max(bigrams[:, 1].max(initial=0), trigrams[:, 1:].max(initial=0))) + 1
         own, all_ = of_bigram * step + bigrams[:, 1], of_trigram * step + trigrams[:, 2]
-        keys = np.unique(np.concatenate([own, all_]))
+        keys = distinct(np.concatenate([own, all_]))
         codes = np.zeros(len(keys), np.uint8)
         codes[np.searchsorted(keys, own)] = quantised(shares)
         followers = Level.of(keys // step, keys % step, len(middles), codes)
         first_of = np.searchsorted(keys // step, np.arange(len(middles)))
         rank = np.searchsorted(keys, all_) - first_of[of_trigram]
 
-        contexts, context = np.unique(of_trigram * step + trigrams[:, 1], return_inverse=True)
+        own = of_trigram * step + trigrams[:, 1]
+        new = np.flatnonzero(own[1:] != own[:-1]) + 1
+        begin = np.concatenate([[0], new]) if len(own) else np.zeros(0, np.int64)
+        contexts = own[begin]
+        context = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(own))))
         total = np.bincount(context, counts, len(contexts))
         kinds = np.bincount(context, minlength=len(contexts))
         left = kinds / np.maximum(total + kinds, 1)
         leaders = Level.of(contexts // step, contexts % step, len(middles), quantised(left))
-        order = np.lexsort((rank, context))
         shares = counts / (total + kinds)[context] if len(counts) else np.zeros(0)
-        thirds = Level.of(context[order], rank[order], len(contexts), quantised(shares)[order])
+        thirds = Level.of(context, rank, len(contexts), quantised(shares))
         return cls(EliasFano.of(middles), followers, leaders, thirds)
 
     def to_bytes(self) -> bytes:
@@ -166,14 +188,20 @@ class Trie:
 
         return cls(sequence(), level(), level(), level())
 
+    @staticmethod
+    def _runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(where runs of equal rows begin, their lengths)"""
+        n = len(columns[0])
+        new = np.zeros(n, bool)
+        new[:1] = True
+        for column in columns:
+            new[1:] |= column[1:] != column[:-1]
+        begin = np.flatnonzero(new)
+        return begin, np.diff(np.append(begin, n))
+
     def _middle(self, words: np.ndarray) -> np.ndarray:
-        n = np.full(len(words), self.middles.n)
-        at = self.middles.successor(np.zeros(len(words), np.int64), n, words)
-        inside = np.flatnonzero(at < n)
-        out = np.full(len(words), -1, np.int64)
-        hit = inside[self.middles[at[inside]] == words[inside]]
-        out[hit] = at[hit]
-        return out
+        begin, length = self._runs(words)
+        return np.repeat(self.middles.place(words[begin]), length)
 
     def bigram(self, middle: np.ndarray, third: np.ndarray) -> np.ndarray:
         """The code of each bigram's probability; 0 if it is not in the trie."""
@@ -185,7 +213,8 @@ class Trie:
         if not self.thirds.ids.n:
             return np.zeros(len(first), np.uint8), np.zeros(len(first), np.uint8)
         node = self._middle(middle)
-        context = self.leaders.find(node, first)
+        run, length = self._runs(node, first)
+        context = np.repeat(self.leaders.find(node[run], first[run]), length)
         follower = self.followers.find(node, third)
         begin = self.followers.pointers[np.maximum(node, 0)]
         rank = np.where(follower >= 0, follower - begin, -1)

@@ -258,21 +258,31 @@ def _gram_requests(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa
 
 def _summed(keys: list[np.ndarray], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(distinct rows of the keys in order, their counts)"""
-    order = np.lexsort(keys[::-1])
+    if not len(counts):
+        return np.zeros((0, len(keys)), np.int64), np.zeros(0, np.int64)
+    firsts = np.unique(keys[0][np.flatnonzero(np.diff(keys[0], prepend=-1))])  # the keys come in sorted runs
+    step = max(int(k.max()) for k in keys[1:]) + 1
+    if len(firsts) * step ** (len(keys) - 1) < 2**63:
+        joint = np.searchsorted(firsts, keys[0])
+        for k in keys[1:]:
+            joint = joint * step + k
+        order = np.argsort(joint, kind="stable")
+    else:
+        order = np.lexsort(keys[::-1])
     sorted_ = [k[order] for k in keys]
     new = np.ones(len(order), bool)
-    new[1:] = np.any([k[1:] != k[:-1] for k in sorted_], axis=0) if len(order) else True
+    new[1:] = np.any([k[1:] != k[:-1] for k in sorted_], axis=0)
     begin = np.flatnonzero(new)
-    total = np.add.reduceat(counts[order], begin) if len(begin) else np.zeros(0, np.int64)
-    return np.stack([k[begin] for k in sorted_], axis=1), total
+    return np.stack([k[begin] for k in sorted_], axis=1), np.add.reduceat(counts[order], begin)
 
 
 def build_trie(parts: dict[str, np.ndarray]) -> Trie:
     """The trie of the n-grams that occur in training among those sent to a shard."""
     b, t = parts["b_count"] > 0, parts["t_count"] > 0
     bigrams, times = _summed([parts["b_middle"][b], parts["b_third"][b]], parts["b_count"][b])
-    order = np.unique(parts["b_middle"], return_index=True)
-    total = parts["b_total"][order[1]][np.searchsorted(order[0], bigrams[:, 0])] if len(bigrams) else times
+    run = np.flatnonzero(np.diff(parts["b_middle"], prepend=-1))
+    middles, first = np.unique(parts["b_middle"][run], return_index=True)
+    total = parts["b_total"][run[first]][np.searchsorted(middles, bigrams[:, 0])] if len(bigrams) else times
     trigrams, counts = _summed([parts[f"t_{x}"][t] for x in ("middle", "first", "third")], parts["t_count"][t])
     return Trie.build(bigrams, 0.5 * times / np.maximum(total, 1), trigrams, counts)
 
