@@ -3,7 +3,8 @@
 Every stage takes the documents that its predecessor kept, as a written table, and returns those that it keeps, with
 all their columns; the last one returns their token ids. Stages decide by doc_id, the key of the table; documents
 without one are judged by none and kept. Null and empty texts pass a stage unless it rejects them by its own score.
-An empty table runs through all stages.
+An empty table runs through all stages. The stages bound the session's Arrow batches by bytes, as texts differ much in
+length.
 """
 
 from __future__ import annotations
@@ -19,6 +20,13 @@ from stratum.sources.scratch import materialize
 MOST_BROADCAST_IDS = 1_000_000
 
 
+BATCH_BYTES = "8m"
+
+
+def _bound_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     rejected = materialize(rejected.select("doc_id").filter("doc_id is not null").distinct(), "rejected")
     few = rejected.count() <= MOST_BROADCAST_IDS
@@ -27,18 +35,21 @@ def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weakly supervised classifier finds toxic go."""
+    _bound_batches(spark)
     scored = toxicity.score_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return _without(docs, scored.filter("predicted = 1"))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose lines are found bad on the whole go."""
+    _bound_batches(spark)
     scored = line_crf.score_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return _without(docs, scored.filter("predicted = 0"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by near-duplicate texts the one of the smallest doc_id stays, once."""
+    _bound_batches(spark)
     grouped = jaccard_join.near_duplicates(docs)
     kept = _without(docs, grouped.filter("doc_id <> component_id"))
     repeated = docs.groupBy("doc_id").agg(F.count("*").alias("times")).filter("times > 1 and doc_id is not null")
@@ -51,6 +62,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with too many words from benchmark passages go."""
+    _bound_batches(spark)
     found = decontaminate.find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     rule = decontaminate.contaminated(F.col("n_hit"), F.col("n_words"))
     return _without(docs, found.filter(rule))
@@ -58,6 +70,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every document that is left, and the text that they decode to."""
+    _bound_batches(spark)
     return piece_bpe.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 

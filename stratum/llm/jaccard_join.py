@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.text import SPACES, chunks, encode_words, ragged, starts, table
+from stratum.llm.text import SPACES, chunks, encode_words, give_back, ragged, starts, table
 from stratum.sources.scratch import materialize
 
 K = 5
@@ -44,7 +44,7 @@ HOT_AT = 16  # prefixes of so many documents make a shingle frequent
 MOST_HOT = 1_000_000
 MOST_BROADCAST_IDS = 1_000_000
 GROUP_ROWS = 512
-_CHUNK = 3 << 20  # bytes of text or hashes that a task works on at a time
+_CHUNK = 2 << 20  # bytes of text or hashes that a task works on at a time
 _WORDS = table(SPACES)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _SLACK = 1e-9
@@ -167,6 +167,7 @@ def _compare_group(group: pa.Table) -> pa.Table:
             if len(own) and len(other):
                 common = int((own[np.minimum(np.searchsorted(own, other), len(own) - 1)] == other).sum())
             out.append((doc, hub, common, len(own) + len(other) - common))
+    give_back()
     columns = list(zip(*out)) or [[]] * 4
     return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(["a", "b", "common", "either"], columns)})
 
@@ -418,6 +419,7 @@ def _candidates(group: pa.Table) -> pa.Table:
             pair.sort(axis=1)
             found.append(_distinct_pairs(pair))
     pairs = _distinct_pairs(np.concatenate(found))
+    give_back()
     return pa.table({"b": pairs[:, 0], "a": pairs[:, 1]})
 
 

@@ -26,7 +26,7 @@ from stratum.llm.text import chunks, ragged, starts
 
 BLANK = "▁"
 _NO_RANK = np.iinfo(np.int64).max
-_CACHE_WORDS = 500_000
+_CACHE_WORDS = 100_000
 _vocabularies: dict[str, Vocabulary] = {}
 
 
@@ -231,7 +231,7 @@ def vocabulary(path: str) -> Vocabulary:
 
 def _encode_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     model = vocabulary(path)
-    for rows in chunks(batches, most=4 << 20):
+    for rows in chunks(batches, most=2 << 20):
         lengths, ids = model.encode(rows.column("text"))
         flat = pa.array(ids, pa.int32())
         lists = pa.ListArray.from_arrays(pa.array(starts(lengths), pa.int32()), flat)
@@ -261,7 +261,7 @@ def decode(ids: DataFrame, model: str) -> DataFrame:
 
 def _round_trip_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     model = vocabulary(path)
-    for rows in chunks(batches, most=4 << 20):
+    for rows in chunks(batches, most=2 << 20):
         lengths, ids = model.encode(rows.column("text"))
         yield pa.RecordBatch.from_pydict({
             "doc_id": rows.column("doc_id"),
@@ -269,6 +269,7 @@ def _round_trip_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[p
             "ids": pa.ListArray.from_arrays(pa.array(starts(lengths), pa.int32()), pa.array(ids, pa.int32())),
             "text": pa.array(model.decode(lengths, ids), pa.string()),
         })
+    model.words.clear()
 
 
 def round_trip(docs: DataFrame, model: str) -> DataFrame:
@@ -280,7 +281,7 @@ def round_trip(docs: DataFrame, model: str) -> DataFrame:
 def _digest_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     model = vocabulary(path)
     spelled = [str(i) for i in range(len(model.output))]
-    for rows in chunks(batches, most=4 << 20):
+    for rows in chunks(batches, most=2 << 20):
         lengths, ids = model.encode(rows.column("text"))
         texts = model.decode(lengths, ids)
         cut, listed = starts(lengths).tolist(), ids.tolist()

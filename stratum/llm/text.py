@@ -7,6 +7,7 @@ words of a batch become Python strings.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,8 +25,11 @@ def table(separators: frozenset[int], lower: bool = True) -> bytes:
     return bytes(0x20 if b in separators else b + 32 if lower and b in _A_TO_Z else b for b in range(256))
 
 
-def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """The same rows in pieces of about `most` bytes of text, a single longer text alone; so memory stays bounded."""
+def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 3 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in pieces of about `most` bytes of text, a single longer text alone; so memory stays bounded.
+
+    After the last one, the worker gives freed memory back: others on its machine need it before its next task.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -37,6 +41,14 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 8
             stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    give_back()
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
 
 
 def translated(column: pa.Array, mapping: bytes) -> pa.Array:
