@@ -7,17 +7,14 @@ from pyspark.sql import functions as F
 
 from stratum.functions.expressions import as_date
 
-# Fixed value: a spine stops after this many steps.
-MAX_STEPS = 3650
-
 _STEPS = {"day": (1, "D"), "week": (7, "D"), "month": (1, "M"), "quarter": (3, "M"), "year": (12, "M")}
 
 
-def spine_dates(start, end, datepart: str = "day", max_steps: int = MAX_STEPS) -> Column:
+def spine_dates(start, end, datepart: str = "day", max_steps: int | None = None) -> Column:
     """Array of dates start, start + 1 part, ... up to and including end.
 
     Every date is counted from the start, so month steps from the 31st fall on each month's last day.
-    An end before the start gives an empty array.
+    An end before the start gives an empty array. ``max_steps`` cuts the spine; by default it has them all.
     """
     size, unit = _STEPS[datepart]
     first, last = as_date(start), as_date(end)
@@ -26,7 +23,7 @@ def spine_dates(start, end, datepart: str = "day", max_steps: int = MAX_STEPS) -
     else:
         months = (F.year(last) - F.year(first)) * 12 + F.month(last) - F.month(first)
         available = F.floor(months / size)
-    steps = F.least(available, F.lit(max_steps - 1)).cast("int")
+    steps = (available if max_steps is None else F.least(available, F.lit(max_steps - 1))).cast("int")
     numbers = F.when(steps >= 0, F.sequence(F.lit(0), steps)).otherwise(F.array().cast("array<int>"))
     if unit == "D":
         dates = F.transform(numbers, lambda i: F.date_add(first, (i * size).cast("int")))
@@ -36,7 +33,7 @@ def spine_dates(start, end, datepart: str = "day", max_steps: int = MAX_STEPS) -
 
 
 def date_spine(
-    spark: SparkSession, start, end, datepart: str = "day", max_steps: int = MAX_STEPS
+    spark: SparkSession, start, end, datepart: str = "day", max_steps: int | None = None
 ) -> DataFrame:
     """One row ``date_day`` per step from start to end, both included."""
     return spark.range(1).select(F.explode(spine_dates(start, end, datepart, max_steps)).alias("date_day"))

@@ -4,11 +4,12 @@ A row's tile depends only on how it compares with the first row of each tile. So
 rows, the few rows that start a tile are found exactly, and every row is then labelled by comparing it with
 those: a projection, with no shuffle and no window.
 
-The starting rows are found by narrowing. A sample of fixed expected size, chosen by hash, suggests for each
-start a lower and an upper row between which it should lie; one aggregate over the table counts the rows
-below both. The counts prove whether the start lies between them; if not, that side is opened and counted
-again. A pair that still encloses many rows is narrowed by a sample of the rows inside. In the end the few
-enclosed rows are numbered. The sample only chooses where to look: the result is exact for any sample.
+The starting rows are found by narrowing. A sample of bounded expected size, chosen by hash and numbered in
+Spark, suggests for each start a lower and an upper row between which it should lie; one aggregate over the
+table counts the rows below both. The counts prove whether the start lies between them; if not, that side is
+opened and counted again. A pair that still encloses many rows is narrowed by a sample of the rows inside. In
+the end the few enclosed rows are numbered. The sample only chooses where to look: the result is exact for any
+sample, at every size. Only the suggested rows and the tile starts reach the driver, and only Spark compares.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,11 +39,12 @@ class Ranking:
     descending: bool = False
 
     def sort_columns(self, tie: str) -> list[Column]:
-        """Three ascending columns that give the order: NULL position, key, tie-break."""
+        """What gives the order: NULL position and tie-break ascending, the key as the ranking says."""
         key = F.col(self.key)
-        if self.descending:
-            return [key.isNotNull(), -key, F.col(tie)]
-        return [key.isNull(), key, F.col(tie)]
+        return [key.isNotNull() if self.descending else key.isNull(), key, F.col(tie)]
+
+    def order(self, null: str, key: str, tie: str) -> list[Column]:
+        return [F.col(null), F.col(key).desc() if self.descending else F.col(key).asc(), F.col(tie)]
 
 
 @dataclass
@@ -100,29 +101,22 @@ def find_tile_starts(
     if sample_rows < _LEAST_SAMPLE:
         raise ValueError(f"sample_rows must be at least {_LEAST_SAMPLE}")
     total = df.count()
-    sample = _sample(df, tie, rankings, sample_rows, total)
-    if total <= sample_rows:  # the sample holds every row
-        ordered = {r.name: sorted(_values(row, r) for row in sample) for r in rankings}
-        return {r.name: [ordered[r.name][i] for i in tile_starts(total, tiles)] for r in rankings}
-
-    searches = []
+    searches = [_Search(r, rank, enclosed=total) for r in rankings for rank in tile_starts(total, tiles)]
+    if not searches:
+        return {r.name: [] for r in rankings}
     for ranking in rankings:
-        ordered = sorted(_values(row, ranking) for row in sample)
-        for rank in tile_starts(total, tiles):
-            search = _Search(ranking, rank, enclosed=total)
-            search.low, search.high = _bracket(ordered, rank / total, None, None)
-            searches.append(search)
+        own = [s for s in searches if s.ranking is ranking]
+        _suggest(df, tie, ranking, own, sample_rows, total)
     while True:
         _count(df, tie, total, [s for s in searches if not s.proven])
         wide = [s for s in searches if s.proven and s.enclosed > enclosed_rows]
         if not wide and all(s.proven for s in searches):
             break
         for search in wide:
-            inside = df.filter(_inside(df, search, tie))
-            rows = _sample(inside, tie, [search.ranking], sample_rows, search.enclosed)
-            ordered = sorted(_values(row, search.ranking) for row in rows)
-            share = (search.rank - search.below) / search.enclosed
-            search.low, search.high = _bracket(ordered, share, search.low, search.high)
+            before = (search.low, search.high)
+            _suggest(df.filter(_inside(df, search, tie)), tie, search.ranking, [search], sample_rows, search.enclosed)
+            if (search.low, search.high) == before:
+                raise ValueError(f"{tie} does not tell {search.enclosed} rows of one {search.ranking.key} apart")
             search.proven = False
     return _number_enclosed(df, tie, rankings, searches)
 
@@ -130,35 +124,45 @@ def find_tile_starts(
 # --- sort values --------------------------------------------------------------------------
 
 
-def _sample(df: DataFrame, tie: str, rankings: Sequence[Ranking], rows: int, total: int) -> list:
-    """About ``rows`` of the ``total`` rows of df, chosen by a hash of ``tie``; all of them if so few.
+def _suggest(
+    df: DataFrame, tie: str, ranking: Ranking, searches: list[_Search], rows: int, total: int
+) -> None:
+    """New bounds for searches in the same ``total`` rows, some standard deviations about their share of a sample.
 
-    What reaches the driver has that size however large df is, and no task sends more than its share.
+    The sample has about ``rows`` rows, chosen by a hash of ``tie``, so one task can number it.
     """
-    columns = []
-    for ranking in rankings:
-        null, key, _ = ranking.sort_columns(tie)
-        columns += [null.alias(f"{ranking.name}_null"), key.alias(f"{ranking.name}_key")]
     if total > rows:
         hashed = F.pmod(F.xxhash64(tie), F.lit(_HASHES))
         df = df.filter(hashed < F.lit(_HASHES * rows // total))
-    return df.select(F.col(tie).alias("_tie"), *columns).collect()
-
-
-def _values(row, ranking: Ranking) -> tuple[bool, Any, Any]:
-    key = row[f"{ranking.name}_key"]
-    return (row[f"{ranking.name}_null"], 0 if key is None else key, row["_tie"])
+    null, key, tie_column = ranking.sort_columns(tie)
+    named = df.select(null.alias("_null"), key.alias("_key"), tie_column.alias("_tie"))
+    size = named.count()
+    wanted = {}
+    for search in searches:
+        share = (search.rank - search.below) / search.enclosed
+        margin = _SIGMAS * math.sqrt(size * share * (1 - share)) + 1
+        wanted[id(search)] = (math.floor(share * size - margin), math.ceil(share * size + margin))
+    places = sorted({p for pair in wanted.values() for p in pair if 0 <= p < size})
+    if not places:
+        return
+    position = F.row_number().over(Window.orderBy(*ranking.order("_null", "_key", "_tie"))) - 1
+    found = named.withColumn("_position", position).filter(F.col("_position").isin(places)).collect()
+    rows_at = {r["_position"]: (r["_null"], r["_key"], r["_tie"]) for r in found}
+    for search in searches:
+        first, last = wanted[id(search)]
+        search.low, search.high = rows_at.get(first, search.low), rows_at.get(last, search.high)
 
 
 def _at_or_after(df: DataFrame, ranking: Ranking, tie: str, row: tuple) -> Column:
     """True for rows that sort at or after ``row``; never NULL."""
     null, key, tie_column = ranking.sort_columns(tie)
-    row_null, row_key, row_tie = row
-    if row_null != ranking.descending:  # the row's key is NULL
+    _, row_key, row_tie = row
+    if row_key is None:
         later_tie = tie_column >= F.lit(row_tie)
         return null | later_tie if ranking.descending else null & later_tie
     limit = F.lit(row_key).cast(df.schema[ranking.key].dataType)
-    after = (key > limit) | ((key == limit) & (tie_column >= F.lit(row_tie)))
+    beyond = key < limit if ranking.descending else key > limit
+    after = beyond | ((key == limit) & (tie_column >= F.lit(row_tie)))
     return F.coalesce(after, F.lit(not ranking.descending))
 
 
@@ -174,14 +178,6 @@ def _inside(df: DataFrame, search: _Search, tie: str) -> Column:
 # --- narrowing ----------------------------------------------------------------------------
 
 
-def _bracket(ordered: list[tuple], share: float, low: tuple | None, high: tuple | None):
-    """Sample rows some standard deviations below and above the given share of the sample."""
-    size = len(ordered)
-    margin = _SIGMAS * math.sqrt(size * share * (1 - share)) + 1
-    first, last = math.floor(share * size - margin), math.ceil(share * size + margin)
-    return (ordered[first] if first >= 0 else low, ordered[last] if last < size else high)
-
-
 def _count(df: DataFrame, tie: str, total: int, searches: list[_Search]) -> None:
     """Count, for all searches in one pass, the rows before each bound; open a bound that missed."""
     counts = []
@@ -213,7 +209,7 @@ def _number_enclosed(
         null, key, _ = ranking.sort_columns(tie)
         inside = [_inside(df, s, tie) for s in own]
         searched = F.array_compact(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(inside)]))
-        window = Window.partitionBy("_search").orderBy("_null", "_key", "_tie")
+        window = Window.partitionBy("_search").orderBy(*ranking.order("_null", "_key", "_tie"))
         position = reduce(
             lambda c, i: c.when(F.col("_search") == i, own[i].rank - own[i].below + 1),
             range(1, len(own)),
@@ -231,6 +227,6 @@ def _number_enclosed(
             .filter(F.col("_position") == position)
             .collect()
         )
-        by_search = {r["_search"]: (r["_null"], 0 if r["_key"] is None else r["_key"], r["_tie"]) for r in rows}
+        by_search = {r["_search"]: (r["_null"], r["_key"], r["_tie"]) for r in rows}
         found[ranking.name] = [by_search[i] for i in range(len(own))]
     return found

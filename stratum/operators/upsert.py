@@ -83,17 +83,10 @@ def upsert(
     # Stored once, since it is read for its keys, its partitions and its rows.
     batch.write.mode("overwrite").parquet(f"{path}.__batch")
     batch = spark.read.schema(struct).parquet(f"{path}.__batch")
-    rows, keys, values, has_null = batch.agg(
-        F.count(F.lit(1)),
-        F.countDistinct(F.struct(key)),
-        F.collect_set(partition_by),  # months or days: a bounded set
-        F.bool_or(F.col(partition_by).isNull()),
-    ).first()
-    if rows > keys:
-        repeated = batch.groupBy(key).count().filter("count > 1").limit(5).collect()
-        raise DuplicateKeys(f"{key} repeated in one batch, for example {[r[0] for r in repeated]}")
+    refuse_duplicates(batch, key)
+    rows = batch.count()
     if rows:
-        receiving = set(values) | ({None} if has_null else set())
+        receiving = {row[0] for row in batch.select(partition_by).distinct().collect()}  # folders of the table
         target = spark.read.schema(struct).parquet(path).select(*types)
         matched = target.join(batch.select(key), key, "left_semi").select(partition_by).distinct()
         holding = {row[0] for row in matched.collect()}
@@ -104,6 +97,12 @@ def upsert(
     return rows
 
 
+def refuse_duplicates(batch: DataFrame, key: str) -> None:
+    repeated = batch.groupBy(key).agg(F.count("*").alias("times")).filter("times > 1").limit(5).collect()
+    if repeated:
+        raise DuplicateKeys(f"{key} repeated in one batch, for example {[r[0] for r in repeated]}")
+
+
 def _stage(
     spark: SparkSession,
     result: DataFrame,
@@ -143,10 +142,20 @@ def recover(spark: SparkSession, path: str) -> None:
 
 
 def full_load(
-    df: DataFrame, path: str, types: dict[str, str], key: str, partition_by: str, cluster_by: Sequence[str]
+    df: DataFrame,
+    path: str,
+    types: dict[str, str],
+    key: str,
+    partition_by: str,
+    cluster_by: Sequence[str],
+    on_duplicate: str | None = None,
 ) -> None:
-    """Build the table anew."""
+    """Build the table anew. ``on_duplicate`` treats repeated keys as ``upsert`` does; None takes all rows."""
     recover(df.sparkSession, path)
+    if on_duplicate == "latest":
+        df = latest_per_key(df.select(*types), key)
+    elif on_duplicate == "raise":
+        refuse_duplicates(df, key)
     replace_folder(
         df.select(*types),
         path,

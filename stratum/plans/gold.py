@@ -77,7 +77,9 @@ def mart_revenue_by_segment(
     start_date: Column | dt.date | str = START_DATE,
     order_ids_unique: bool = False,
 ) -> DataFrame:
-    orders = silver.filter(F.col("order_date") >= fx.as_date(start_date))
+    start = fx.as_date(start_date)
+    # Silver is laid out by month: the second condition lets whole months be skipped.
+    orders = silver.filter((F.col("order_date") >= start) & (F.col("order_month") >= F.trunc(start, "month")))
     mart = with_month_over_month(monthly_segment(orders, order_ids_unique))
     return mart.orderBy(F.desc_nulls_first("order_month"), F.desc_nulls_first("net_revenue"))
 

@@ -84,7 +84,7 @@ def run_pipeline(
         run.merged_rows = build_silver(spark, orders, customers, store, config)
         _gate(run, config, {SILVER: _silver(store)}, parents={"stg_customers": customers})
     if "gold" in config.layers:
-        tables = build_gold(_silver(store), customers, store, config)
+        tables = build_gold(_silver(store), customers, store, config, order_ids_unique=_order_ids_proven(run))
         _gate(run, config, tables)
         _check_row_counts(spark, tables, store, config, run)
     return run
@@ -101,30 +101,35 @@ def build_silver(
     config = config or PipelineConfig()
     path = store.path("silver", SILVER)
     layout = (SILVER_TYPES, silver.KEY, config.partition_by, silver.CLUSTER_BY)
-    mark = None
-    if store.exists("silver", SILVER) and not config.full_refresh:
+    present = store.exists("silver", SILVER) and not config.full_refresh and not _silver(store).isEmpty()
+    if present:
         mark = upsert.high_water_mark(_silver(store))
-    new_orders = upsert.newer_than(orders, mark, lookback_days=config.lookback_days)
-    batch = silver.int_orders_enriched(new_orders, customers, processed_at=config.now)
-    if mark is None:
-        upsert.full_load(batch, path, *layout)
+        # A table without any load time has no mark that an order could be newer than.
+        new_orders = upsert.newer_than(orders, mark, lookback_days=config.lookback_days) if mark else orders.limit(0)
+    batch = silver.int_orders_enriched(new_orders if present else orders, customers, processed_at=config.now)
+    if not present:
+        upsert.full_load(batch, path, *layout, on_duplicate=config.on_duplicate)
         return None
     return upsert.upsert(spark, batch, path, *layout, on_duplicate=config.on_duplicate)
 
 
 def build_gold(
-    orders: DataFrame, customers: DataFrame, store: LayerStore, config: PipelineConfig | None = None
+    orders: DataFrame,
+    customers: DataFrame,
+    store: LayerStore,
+    config: PipelineConfig | None = None,
+    order_ids_unique: bool = False,
 ) -> dict[str, DataFrame]:
-    """Rebuild both marts. The silver gate has shown order ids to be unique, so they need no distinct count."""
+    """Rebuild both marts. Order ids that are known to be unique need no distinct count."""
     config = config or PipelineConfig()
-    revenue = gold.mart_revenue_by_segment(orders, config.start_date, order_ids_unique=True)
+    revenue = gold.mart_revenue_by_segment(orders, config.start_date, order_ids_unique)
     customer_360 = gold.mart_customer_360(
         orders,
         customers,
         config.as_of,
         config.recency_direction,
         refreshed_at=config.now,
-        order_ids_unique=True,
+        order_ids_unique=order_ids_unique,
     )
     return {
         GOLD[0]: store.replace(revenue, "gold", GOLD[0]),
@@ -138,6 +143,12 @@ def build_gold(
     }
 
 
+def _order_ids_proven(run: PipelineRun) -> bool:
+    """Whether this run has checked silver's order ids and found none repeated."""
+    found = [c for c in run.checks if (c["model"], c["column_name"], c["check_type"]) == (SILVER, "order_id", "unique")]
+    return bool(found) and not any(c["failures"] for c in found)
+
+
 def _silver(store: LayerStore) -> DataFrame:
     upsert.recover(store.spark, store.path("silver", SILVER))
     return store.read("silver", SILVER, SILVER_TYPES)
@@ -177,7 +188,7 @@ def _check_row_counts(
     config: PipelineConfig,
     run: PipelineRun,
 ) -> None:
-    """Compare the gold row counts with those of the run before, then record them."""
+    """Compare the gold row counts with those of the last run that passed, and record them if this one passes."""
     run.row_counts = {model: df.count() for model, df in tables.items()}
     counts = spark.createDataFrame(list(run.row_counts.items()), "model string, n_rows long")
     types = {"run_at": "timestamp_ntz", "model": "string", "n_rows": "bigint"}
@@ -187,8 +198,8 @@ def _check_row_counts(
         run.not_grown = sorted(
             r["model"] for r in checks.row_counts_not_grown(counts, previous).collect()
         )
+    if run.not_grown and config.row_count_severity == "error":
+        raise GateFailure(f"row counts did not grow: {run.not_grown}")
     counts.select(fx.as_timestamp(None).alias("run_at"), "model", "n_rows").write.mode("append").parquet(
         store.path("runs", "row_counts")
     )
-    if run.not_grown and config.row_count_severity == "error":
-        raise GateFailure(f"row counts did not grow: {run.not_grown}")

@@ -6,18 +6,12 @@ from stratum.plans.check_catalog import CATALOG
 from stratum.registry.params import AS_OF, CUT, CUT_TIME, EARLY_CUT_TIME, NOW, START_DATE
 
 _RAW_ORDERS = """
-lines as (
-  select * exclude (position) from (
-    select *, row_number() over (
-      partition by l_orderkey, l_linenumber
-      order by l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_quantity, l_discount, l_tax,
-               l_returnflag, l_linestatus) as position
-    from lineitem)
-  where position = 1),
 raw_orders as (
   select
-    cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar) as order_id,
-    case when o_custkey % 83 <> 0 then cast(o_custkey as varchar) end as customer_id,
+    cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar) || '-' || cast(l_partkey as varchar)
+      || '-' || cast(l_suppkey as varchar) || '-' || cast(cast(l_shipdate as date) as varchar) as order_id,
+    case when o_custkey % 83 = 0 then null when o_custkey % 101 = 0 then cast(-o_custkey as varchar)
+         else cast(o_custkey as varchar) end as customer_id,
     cast(l_partkey as varchar) as product_id,
     cast(o_orderdate as date) as order_date,
     case when l_linestatus = 'F' then cast(l_shipdate as date) end as shipped_date,
@@ -37,7 +31,7 @@ raw_orders as (
                 when '4' then 'online' when '5' then 'online' end as channel,
     cast(o_orderdate + interval '30' hour as timestamp) as _loaded_at,
     'orders_' || cast(year(o_orderdate) as varchar) || '.json' as _source_file
-  from lines
+  from lineitem
   left join orders on o_orderkey = l_orderkey
   left join part on p_partkey = l_partkey
   left join customer on c_custkey = o_custkey
@@ -60,8 +54,7 @@ stg_customers as (
     c_acctbal >= 0 as is_active,
     'AM_' || cast(c_custkey % 4 as varchar) as account_manager,
     timestamp '1995-01-01 00:00:00' as _loaded_at
-  from customer left join nation on n_nationkey = c_nationkey
-  where c_custkey % 101 <> 0)"""
+  from customer left join nation on n_nationkey = c_nationkey)"""
 
 
 def _flagged(source: str, name: str = "flagged") -> str:

@@ -65,8 +65,7 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Order ids are unique here: the feed keeps one row per order line and numbers it by its key.
-    return gold.customer_metrics(clean(spark, sf_dir), AS_OF, order_ids_unique=True)
+    return gold.customer_metrics(clean(spark, sf_dir), AS_OF)
 
 
 def stored_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +74,7 @@ def stored_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = enriched(spark, sf_dir).filter(F.col("order_date") >= fx.as_date(START_DATE))
-    return gold.monthly_segment(rows, order_ids_unique=True)
+    return gold.monthly_segment(rows)
 
 
 # --- scans, sources and sinks -------------------------------------------------------------
@@ -565,14 +564,14 @@ def int_orders_incremental(spark, sf_dir):
 
 @query
 def mart_revenue_by_segment(spark, sf_dir):
-    return gold.mart_revenue_by_segment(enriched(spark, sf_dir), START_DATE, order_ids_unique=True)
+    return gold.mart_revenue_by_segment(enriched(spark, sf_dir), START_DATE)
 
 
 @query
 def mart_customer_360(spark, sf_dir):
     # The metrics read no customer attribute, so the orders need not be joined to the customers first.
     return gold.mart_customer_360(
-        clean(spark, sf_dir), customers(spark, sf_dir), AS_OF, refreshed_at=NOW, order_ids_unique=True
+        clean(spark, sf_dir), customers(spark, sf_dir), AS_OF, refreshed_at=NOW
     ).drop("_refreshed_at")
 
 
@@ -616,8 +615,9 @@ def layered_run_summary(spark, sf_dir):
 
 @query
 def check_unique(spark, sf_dir):
-    """Order line ids as delivered, before the feed keeps one row of each."""
-    lines = tpch.table(spark, sf_dir, "lineitem").select(tpch.line_id().alias("order_id"))
+    """Line numbers that the given orders repeat."""
+    number = F.concat_ws("-", "l_orderkey", "l_linenumber")
+    lines = tpch.table(spark, sf_dir, "lineitem").select(number.alias("order_id"))
     return checks.duplicate_keys(lines, "order_id")
 
 
@@ -699,9 +699,9 @@ def dq_suite_silver(spark, sf_dir):
 @query
 def dq_suite_gold(spark, sf_dir):
     silver_table = materialize(enriched(spark, sf_dir), "silver")
-    revenue = gold.mart_revenue_by_segment(silver_table, START_DATE, order_ids_unique=True)
+    revenue = gold.mart_revenue_by_segment(silver_table, START_DATE)
     customer_360 = gold.mart_customer_360(
-        silver_table, customers(spark, sf_dir), AS_OF, refreshed_at=NOW, order_ids_unique=True
+        silver_table, customers(spark, sf_dir), AS_OF, refreshed_at=NOW
     )
     return _suite(materialize(revenue, "revenue"), "mart_revenue_by_segment").unionByName(
         _suite(materialize(customer_360, "customer-360"), "mart_customer_360")

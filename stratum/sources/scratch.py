@@ -1,7 +1,7 @@
 """Intermediate tables in the folder that all executors share.
 
-The folder is the session's ``spark.checkpoint.dir``. Only where that is unset (tests, a laptop) a local
-folder is used. Tables written here survive the loss of executors, and reading them back cuts the lineage.
+The folder is the session's ``spark.checkpoint.dir``. Only where that is unset and Spark runs in one local
+process (tests, a laptop) a local folder is used; a cluster without it is refused. Tables written here survive the loss of executors, and reading them back cuts the lineage.
 """
 
 from __future__ import annotations
@@ -20,6 +20,9 @@ _local_folders: dict[str, str] = {}
 def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(_CONF, None)
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set {_CONF} to a folder that all executors of {master} share")
         app = spark.sparkContext.applicationId
         if app not in _local_folders:
             _local_folders[app] = tempfile.mkdtemp(prefix="stratum-scratch-")

@@ -171,6 +171,6 @@ def test_spine_of_other_parts(spark):
     assert spine(spark, "2022-01-01", "2024-01-01", "year") == ["2022-01-01", "2023-01-01", "2024-01-01"]
 
 
-def test_spine_stops_after_its_steps(spark):
-    assert len(spine(spark, "2000-01-01", "2020-01-01")) == 3650
+def test_spine_stops_only_after_steps_asked_for(spark):
+    assert len(spine(spark, "2000-01-01", "2020-12-31")) == 7671
     assert len(spine(spark, "2000-01-01", "2020-01-01", max_steps=10000)) == 7306
