@@ -62,23 +62,33 @@ def shingle_sets(column: pa.Array, k: int = K) -> tuple[np.ndarray, np.ndarray]:
     known = pd.util.hash_array(np.array(words.to_pylist(), dtype=object), categorize=False).astype(np.uint64)
     hashes = known[codes] if len(codes) else np.zeros(0, np.uint64)
     edges = starts(counts)
-    found, owners = [], []
+    runs = np.where(counts >= k, counts - k + 1, np.minimum(counts, 1))  # shingles of each text, repeats included
+    places = starts(runs)
+    grams = np.zeros(places[-1], np.uint64)
     for length in range(1, k + 1):
         texts = np.flatnonzero(counts >= k if length == k else counts == length)
-        begin, runs = edges[texts], counts[texts] - length + 1
-        at = np.repeat(begin - (np.cumsum(runs) - runs), runs) + np.arange(runs.sum())
-        gram = np.full(len(at), length, np.uint64)
+        if not len(texts):
+            continue
+        begin, at = edges[texts], places[texts]
+        if length == k:
+            own = np.arange(runs[texts].sum()) - np.repeat(starts(runs[texts])[:-1], runs[texts])
+            begin, at = np.repeat(begin, runs[texts]) + own, np.repeat(at, runs[texts]) + own
+        gram = np.full(len(hashes) - k + 1 if length == k else len(begin), length, np.uint64)
         with np.errstate(over="ignore"):
             for j in range(length):
-                gram = (gram ^ (gram >> np.uint64(31))) * _FACTOR + hashes[at + j]
-        found.append(_mixed(gram, 0))
-        owners.append(np.repeat(texts, runs))
-    gram, owner = np.concatenate(found), np.concatenate(owners)
-    order = np.lexsort((gram, owner))
-    gram, owner = gram[order], owner[order]
-    first = np.ones(len(gram), bool)
-    first[1:] = (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])
-    return np.bincount(owner[first], minlength=len(counts)).astype(np.int64), gram[first]
+                gram ^= gram >> np.uint64(31)
+                gram *= _FACTOR
+                # Those of k words are made from each word on, also across texts, and then picked.
+                gram += hashes[j : j + len(gram)] if length == k else hashes[begin + j]
+        grams[at] = _mixed(gram[begin] if length == k else gram, 0)
+    cut = places.tolist()
+    for i in np.flatnonzero(runs > 1).tolist():
+        grams[cut[i] : cut[i + 1]].sort()
+    first = np.ones(len(grams), bool)
+    first[1:] = grams[1:] != grams[:-1]
+    first[places[:-1][runs > 0]] = True
+    before = starts(first)
+    return before[places[1:]] - before[places[:-1]], grams[first]
 
 
 def prefix_length(n: np.ndarray) -> np.ndarray:
