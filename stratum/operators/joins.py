@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratum.sources.scratch import materialize
+
 # A dimension is sent whole to every executor only when measured below both limits.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -14,6 +16,9 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # A key is cut over several tasks once it has more fact rows than one task should join.
 ROWS_PER_TASK = 2_000_000
 
+# So many frequent keys are broadcast at most.
+MOST_FREQUENT_KEYS = 1_000_000
+
 _FIXED_WIDTH = 16
 
 
@@ -43,8 +48,8 @@ def left_join(
     A dimension measured as small is broadcast, so the facts are not shuffled at all. Otherwise both sides
     are shuffled, and the fact rows of each key with more than ``rows_per_task`` rows are dealt over several
     salts by a hash of ``spread_by``, while only that key's dimension rows are repeated once per salt. The
-    list of such keys holds at most (fact rows / rows_per_task) entries. Rows without a key are dealt out
-    the same way.
+    list of such keys is stored and broadcast; where it would be longer than ``MOST_FREQUENT_KEYS``, only the
+    more frequent ones are dealt out. Rows without a key are dealt out the same way.
     """
     if broadcast is None:
         broadcast = fits_broadcast(dimension)
@@ -63,6 +68,15 @@ def frequent_keys(facts: DataFrame, key: str, rows_per_task: int) -> DataFrame:
     )
 
 
+def _bounded(hot: DataFrame) -> DataFrame:
+    """The most frequent of the keys, as far as they may be broadcast."""
+    least = 1
+    while hot.count() > MOST_FREQUENT_KEYS:
+        least *= 2
+        hot = hot.filter(F.col("_salts") > least)
+    return hot
+
+
 def salted_left_join(
     facts: DataFrame,
     dimension: DataFrame,
@@ -71,9 +85,7 @@ def salted_left_join(
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     spread = [spread_by] if isinstance(spread_by, str) else list(spread_by)
-    # One row per rows_per_task fact rows at most. Both joins match it the same way, so it is computed and
-    # sent once.
-    hot = F.broadcast(frequent_keys(facts, key, rows_per_task))
+    hot = F.broadcast(_bounded(materialize(frequent_keys(facts, key, rows_per_task), "frequent-keys")))
     dealt = (
         facts.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left")
         .withColumn("_salt", F.pmod(F.xxhash64(*spread), F.coalesce("_salts", F.lit(1))).cast("int"))

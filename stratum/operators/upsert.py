@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,10 @@ from stratum.functions import as_timestamp
 from stratum.operators.dedup import first_per_key
 from stratum.sources import files
 from stratum.sources.layers import cluster, replace_folder
+from stratum.sources.scratch import dropped_after, materialize
+
+#: Keys of a batch are broadcast up to this number, and joined by a shuffle beyond it.
+MOST_BROADCAST_KEYS = 1_000_000
 
 
 class DuplicateKeys(ValueError):
@@ -49,9 +54,20 @@ def latest_per_key(batch: DataFrame, key: str, order: str = "_loaded_at") -> Dat
     return first_per_key(batch, [key], [F.desc_nulls_last(order), *rest])
 
 
-def merged(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """Target rows whose key is not in the batch, and all batch rows. No target row is ever just deleted."""
-    kept = target.join(batch.select(key), key, "left_anti")
+def not_older(batch: DataFrame, held: DataFrame, key: str, order: str) -> DataFrame:
+    """Batch rows that are at least as new as the row held for their key; no load time counts as oldest."""
+    newest = held.groupBy(key).agg(F.max(order).alias("_held"))
+    at_least = F.col("_held").isNull() | (F.col(order) >= F.col("_held"))
+    return batch.join(newest, key, "left").filter(at_least).select(*batch.columns)
+
+
+def merged(target: DataFrame, batch: DataFrame, key: str, broadcast: bool = False) -> DataFrame:
+    """Target rows whose key is not in the batch, and all batch rows. No target row is ever just deleted.
+
+    With ``broadcast`` the keys of the batch are sent to the target, whose rows are then not shuffled for the join.
+    """
+    keys = batch.select(key)
+    kept = target.join(F.broadcast(keys) if broadcast else keys, key, "left_anti")
     return kept.select(*batch.columns).unionByName(batch)
 
 
@@ -64,10 +80,12 @@ def upsert(
     partition_by: str,
     cluster_by: Sequence[str],
     on_duplicate: str = "raise",
+    order: str = "_loaded_at",
 ) -> int:
     """Merge a batch into the parquet table at ``path``; returns the number of rows in the batch.
 
-    A key repeated within the batch is refused (``raise``), or its newest row is taken (``latest``).
+    A key repeated within the batch is refused (``raise``), or its newest row is taken (``latest``). A batch row
+    that is older than the table's row of its key, by ``order``, does not replace it. One writer at a time.
 
     Until the new partitions are complete the table is untouched, so a run that dies before can simply be
     run again. One that dies later, while partitions are swapped, is finished by ``recover`` at the start of
@@ -79,21 +97,24 @@ def upsert(
     struct = schemas.struct(types)
     batch = batch.select(*types)
     if on_duplicate == "latest":
-        batch = latest_per_key(batch, key)
-    # Stored once, since it is read for its keys, its partitions and its rows.
-    batch.write.mode("overwrite").parquet(f"{path}.__batch")
-    batch = spark.read.schema(struct).parquet(f"{path}.__batch")
-    refuse_duplicates(batch, key)
-    rows = batch.count()
-    if rows:
-        receiving = {row[0] for row in batch.select(partition_by).distinct().collect()}  # folders of the table
-        target = spark.read.schema(struct).parquet(path).select(*types)
-        matched = target.join(batch.select(key), key, "left_semi").select(partition_by).distinct()
-        holding = {row[0] for row in matched.collect()}
-        result = merged(target.filter(_is_in(partition_by, holding | receiving)), batch, key)
-        _stage(spark, result, path, key, partition_by, cluster_by, holding)
-        recover(spark, path)
-    files.delete(spark, f"{path}.__batch")
+        batch = latest_per_key(batch, key, order)
+    with dropped_after(spark):
+        # Stored once, since it is read for its keys, its partitions and its rows.
+        batch = materialize(batch, "merge-batch")
+        refuse_duplicates(batch, key)
+        rows = batch.count()
+        if rows:
+            few = rows <= MOST_BROADCAST_KEYS
+            keys = batch.select(key)
+            target = spark.read.schema(struct).parquet(path).select(*types)
+            held = target.join(F.broadcast(keys) if few else keys, key, "left_semi")
+            held = materialize(held.select(key, partition_by, *([order] if order != partition_by else [])), "merge-held")
+            batch = not_older(batch, held, key, order)
+            holding = {row[0] for row in held.select(partition_by).distinct().collect()}  # folders of the table
+            receiving = {row[0] for row in batch.select(partition_by).distinct().collect()}
+            result = merged(target.filter(_is_in(partition_by, holding | receiving)), batch, key, broadcast=few)
+            _stage(spark, result, path, key, partition_by, cluster_by, holding)
+            recover(spark, path)
     return rows
 
 
@@ -116,9 +137,14 @@ def _stage(
     writing = f"{path}.__writing"
     clustered = cluster(result, _leading(partition_by, cluster_by), [key])
     clustered.write.mode("overwrite").partitionBy(partition_by).parquet(writing)
+    # Folder names hold some characters in an escaped form, so they are looked up and not made.
+    present = {unquote(f.partition("=")[2]): f for f in files.children(spark, path) if "=" in f}
+    filled = set(files.children(spark, writing))
     for value in holding:
-        folder = f"{partition_by}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
-        if not files.exists(spark, f"{writing}/{folder}"):
+        folder = present.get("__HIVE_DEFAULT_PARTITION__" if value is None else str(value))
+        if folder is None:
+            raise ValueError(f"no folder of {path} is known to hold {partition_by} {value!r}")
+        if folder not in filled:
             files.make(spark, f"{writing}/_emptied/{folder}")
     files.rename(spark, writing, _staged(path))
 
@@ -166,7 +192,10 @@ def full_load(
 
 
 def merge_into(batch: DataFrame, table: str, key: str) -> None:
-    """The same merge as one statement, for catalogs whose tables support row-level changes."""
+    """The same merge as one statement, for catalogs whose tables support row-level changes.
+
+    Not tested: no such catalog comes with Spark itself.
+    """
     (
         batch.alias("s")
         .mergeInto(table, F.expr(f"{table}.`{key}` = s.`{key}`"))

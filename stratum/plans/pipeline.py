@@ -19,6 +19,7 @@ from stratum.plans import bronze, gold, silver
 from stratum.plans.check_catalog import checks_for
 from stratum.schemas import SILVER_TYPES
 from stratum.sources.layers import LAYERS, LayerStore, create_view
+from stratum.sources.scratch import dropped_after
 
 SILVER = "int_orders_enriched"
 GOLD = ("mart_revenue_by_segment", "mart_customer_360")
@@ -106,11 +107,12 @@ def build_silver(
         mark = upsert.high_water_mark(_silver(store))
         # A table without any load time has no mark that an order could be newer than.
         new_orders = upsert.newer_than(orders, mark, lookback_days=config.lookback_days) if mark else orders.limit(0)
-    batch = silver.int_orders_enriched(new_orders if present else orders, customers, processed_at=config.now)
-    if not present:
-        upsert.full_load(batch, path, *layout, on_duplicate=config.on_duplicate)
-        return None
-    return upsert.upsert(spark, batch, path, *layout, on_duplicate=config.on_duplicate)
+    with dropped_after(spark):
+        batch = silver.int_orders_enriched(new_orders if present else orders, customers, processed_at=config.now)
+        if not present:
+            upsert.full_load(batch, path, *layout, on_duplicate=config.on_duplicate)
+            return None
+        return upsert.upsert(spark, batch, path, *layout, on_duplicate=config.on_duplicate)
 
 
 def build_gold(
@@ -122,25 +124,26 @@ def build_gold(
 ) -> dict[str, DataFrame]:
     """Rebuild both marts. Order ids that are known to be unique need no distinct count."""
     config = config or PipelineConfig()
-    revenue = gold.mart_revenue_by_segment(orders, config.start_date, order_ids_unique)
-    customer_360 = gold.mart_customer_360(
-        orders,
-        customers,
-        config.as_of,
-        config.recency_direction,
-        refreshed_at=config.now,
-        order_ids_unique=order_ids_unique,
-    )
-    return {
-        GOLD[0]: store.replace(revenue, "gold", GOLD[0]),
-        GOLD[1]: store.replace(
-            customer_360,
-            "gold",
-            GOLD[1],
-            cluster_by=gold.CUSTOMER_360_CLUSTER_BY,
-            spread_by=["customer_id"],
-        ),
-    }
+    with dropped_after(store.spark):
+        revenue = gold.mart_revenue_by_segment(orders, config.start_date, order_ids_unique)
+        customer_360 = gold.mart_customer_360(
+            orders,
+            customers,
+            config.as_of,
+            config.recency_direction,
+            refreshed_at=config.now,
+            order_ids_unique=order_ids_unique,
+        )
+        return {
+            GOLD[0]: store.replace(revenue, "gold", GOLD[0]),
+            GOLD[1]: store.replace(
+                customer_360,
+                "gold",
+                GOLD[1],
+                cluster_by=gold.CUSTOMER_360_CLUSTER_BY,
+                spread_by=["customer_id"],
+            ),
+        }
 
 
 def _order_ids_proven(run: PipelineRun) -> bool:
@@ -188,18 +191,19 @@ def _check_row_counts(
     config: PipelineConfig,
     run: PipelineRun,
 ) -> None:
-    """Compare the gold row counts with those of the last run that passed, and record them if this one passes."""
+    """Compare the gold row counts with the last ones of an earlier day, and record them if this run passes."""
     run.row_counts = {model: df.count() for model, df in tables.items()}
     counts = spark.createDataFrame(list(run.row_counts.items()), "model string, n_rows long")
     types = {"run_at": "timestamp_ntz", "model": "string", "n_rows": "bigint"}
     if store.exists("runs", "row_counts"):
         history = store.read("runs", "row_counts", types)
-        previous = history.groupBy("model").agg(F.max_by("n_rows", "run_at").alias("n_rows"))
+        earlier = F.to_date("run_at") < F.to_date(fx.as_timestamp(config.now))
+        previous = history.filter(earlier).groupBy("model").agg(F.max_by("n_rows", "run_at").alias("n_rows"))
         run.not_grown = sorted(
             r["model"] for r in checks.row_counts_not_grown(counts, previous).collect()
         )
     if run.not_grown and config.row_count_severity == "error":
         raise GateFailure(f"row counts did not grow: {run.not_grown}")
-    counts.select(fx.as_timestamp(None).alias("run_at"), "model", "n_rows").write.mode("append").parquet(
+    counts.select(fx.as_timestamp(config.now).alias("run_at"), "model", "n_rows").write.mode("append").parquet(
         store.path("runs", "row_counts")
     )

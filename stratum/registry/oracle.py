@@ -465,6 +465,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "mart_customer_360": one_of(_TO_360, "*", "customer_360"),
         "layered_run_summary": _layered_run_summary(),
+        "layer_selection_summary": _layered_run_summary(),
         # checks
         "check_unique": "select order_id, count(*) as n_records from ("
         "select cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar) as order_id from lineitem) "

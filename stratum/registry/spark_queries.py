@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from stratum.plans.check_catalog import CATALOG, SEGMENTS
 from stratum.plans.pipeline import PipelineConfig, run_pipeline
 from stratum.registry.params import AS_OF, CUT, CUT_TIME, EARLY_CUT_TIME, NOW, START_DATE
 from stratum.sources import readers, tpch
-from stratum.sources.layers import LayerStore, create_view, replace_folder
+from stratum.sources.layers import LAYERS, LayerStore, create_view, replace_folder
 from stratum.sources.scratch import materialize, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -588,14 +589,12 @@ EXPECTED_FAILURES = (
 )
 
 
-@query
-def layered_run_summary(spark, sf_dir):
-    """The whole gated run; rows per built table and failures per check that fails."""
-    store = LayerStore(spark, new_folder(spark, "layered-run"))
+def _run_summary(spark, sf_dir, label: str, runs_of_layers) -> DataFrame:
+    """Rows per built table and failures per check that fails, of one run for each of the groups of layers."""
+    store = LayerStore(spark, new_folder(spark, label))
+    landed, people = landed_orders(spark, sf_dir), tpch.raw_customers(spark, sf_dir)
     config = PipelineConfig(start_date=START_DATE, as_of=AS_OF, now=NOW, warn_only=EXPECTED_FAILURES)
-    run = run_pipeline(
-        spark, landed_orders(spark, sf_dir), tpch.raw_customers(spark, sf_dir), store, config
-    )
+    runs = [run_pipeline(spark, landed, people, store, replace(config, layers=layers)) for layers in runs_of_layers]
     tables = {
         "silver.int_orders_enriched": store.read("silver", "int_orders_enriched", schemas.SILVER_TYPES),
         "gold.mart_revenue_by_segment": store.read("gold", "mart_revenue_by_segment"),
@@ -605,11 +604,27 @@ def layered_run_summary(spark, sf_dir):
         df.agg(F.count(F.lit(1)).alias("n")).select(F.lit("rows").alias("measure"), F.lit(name).alias("item"), "n")
         for name, df in tables.items()
     ]
-    failing = [("failures", f"{c['model']}.{c['check_type']}_{c['column_name']}", c["failures"]) for c in run.failed()]
+    failing = [
+        ("failures", f"{c['model']}.{c['check_type']}_{c['column_name']}", c["failures"])
+        for run in runs
+        for c in run.failed()
+    ]
     failures = spark.createDataFrame(failing, "measure string, item string, n long")
     return reduce(DataFrame.unionByName, [*rows, failures])
 
 
+@query
+def layered_run_summary(spark, sf_dir):
+    """The whole gated run; rows per built table and failures per check that fails."""
+    return _run_summary(spark, sf_dir, "layered-run", [LAYERS])
+
+
+@query
+def layer_selection_summary(spark, sf_dir):
+    """The same, each layer by a run of its own that selects only it."""
+    return _run_summary(spark, sf_dir, "layer-selection", [[layer] for layer in LAYERS])
+
+
 # --- checks -------------------------------------------------------------------------------
 
 

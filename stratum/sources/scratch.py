@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +18,7 @@ from stratum.sources import files
 
 _CONF = "spark.checkpoint.dir"
 _local_folders: dict[str, str] = {}
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -33,7 +37,23 @@ def scratch_root(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path nobody else uses, below a folder of this application."""
     app = spark.sparkContext.applicationId
-    return f"{scratch_root(spark)}/stratum/{app}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{scratch_root(spark)}/stratum/{app}/{label}-{uuid.uuid4().hex[:12]}"
+    if _written.get() is not None:
+        _written.get().append(path)
+    return path
+
+
+@contextmanager
+def dropped_after(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables that the block makes when it ends; no lazy DataFrame may outlive it."""
+    token = _written.set([])
+    try:
+        yield
+    finally:
+        paths = _written.get()
+        _written.reset(token)
+        for path in paths:
+            files.delete(spark, path)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Landed order files into silver, each file once.
 
 The same enrichment and merge as the daily run. Which files are new is tracked by the stream's checkpoint
-instead of the high-water mark, so a late file is not missed. A batch that is run again after a failure
+instead of the high-water mark, so a late file is not missed; its rows replace only rows that are not newer. A batch that is run again after a failure
 merges to the same table.
 """
 
@@ -16,6 +16,7 @@ from stratum.operators import upsert
 from stratum.plans import bronze, silver
 from stratum.plans.pipeline import SILVER, PipelineConfig
 from stratum.sources.layers import LayerStore
+from stratum.sources.scratch import dropped_after
 
 
 def read_landed_orders(spark: SparkSession, landing: str, max_files: int = 1000) -> DataFrame:
@@ -43,10 +44,11 @@ def merge_landed_orders(
     path = store.path("silver", SILVER)
 
     def merge(rows: DataFrame, batch_id: int) -> None:
-        batch = silver.int_orders_enriched(bronze.stg_orders(rows), customers, config.now)
-        if not store.exists("silver", SILVER):
-            upsert.full_load(batch.limit(0), path, *layout)
-        upsert.upsert(rows.sparkSession, batch, path, *layout, on_duplicate=config.on_duplicate)
+        with dropped_after(rows.sparkSession):
+            batch = silver.int_orders_enriched(bronze.stg_orders(rows), customers, config.now)
+            if not store.exists("silver", SILVER):
+                upsert.full_load(batch.limit(0), path, *layout)
+            upsert.upsert(rows.sparkSession, batch, path, *layout, on_duplicate=config.on_duplicate)
 
     return (
         landed.writeStream.foreachBatch(merge)

@@ -14,6 +14,7 @@ from stratum.plans import bronze, silver
 from stratum.plans.pipeline import SILVER, GateFailure, PipelineConfig, build_silver, run_pipeline
 from stratum.sources import files, readers
 from stratum.sources.layers import LayerStore, cluster, create_view, replace_folder
+from stratum.sources.scratch import new_folder
 from stratum.streaming.landing import merge_landed_orders, read_landed_orders
 from tests.data import customer, customers, day, order, orders, raw
 
@@ -211,6 +212,39 @@ def test_row_moves_between_partitions_that_keep_others(spark, store):
     assert {k: r["order_month"].month for k, r in table(store).items()} == {"A": 2, "B": 1, "C": 2}
 
 
+def test_row_leaves_a_partition_whose_folder_name_is_escaped(spark, folder):
+    types = {"k": "string", "g": "string", "_loaded_at": "int"}
+    path, rest = f"{folder}/t", (types, "k", "g", ["g"])
+    struct = schemas.struct(types)
+    upsert.full_load(spark.createDataFrame([("A", "a:b c%", 1), ("B", "x", 1)], struct), path, *rest)
+    upsert.upsert(spark, spark.createDataFrame([("A", "x", 2)], struct), path, *rest)
+    rows = spark.read.schema(struct).parquet(path).collect()
+    assert sorted((r.k, r.g) for r in rows) == [("A", "x"), ("B", "x")]
+
+
+@pytest.mark.parametrize("most", [10, 0])
+def test_older_rows_do_not_replace_newer_ones(spark, store, monkeypatch, most):
+    monkeypatch.setattr(upsert, "MOST_BROADCAST_KEYS", most)
+    load(spark, store, order("A", quantity="8", _loaded_at=loaded(12)), order("B", _loaded_at=loaded(12)))
+    late = [
+        order("A", quantity="3", order_date="2023-03-03", _loaded_at=loaded(11)),
+        order("B", quantity="4", _loaded_at=loaded(12)),
+        order("C", _loaded_at=loaded(11)),
+    ]
+    assert load(spark, store, *late, lookback_days=3) == 3
+    assert {k: r["quantity"] for k, r in table(store).items()} == {"A": 8, "B": 4, "C": 2}
+
+
+def test_scratch_tables_go_with_the_run(spark, store):
+    def scratch_tables():
+        return files.children(spark, os.path.dirname(new_folder(spark, "x")))
+
+    before = scratch_tables()
+    run(spark, store, [order("A"), order("B")])
+    run(spark, store, [order("A", _loaded_at=loaded(13))])
+    assert scratch_tables() == before
+
+
 def test_orders_without_a_date(spark, store):
     load(spark, store, order("A", order_date=None, shipped_date=None), order("B"))
     load(spark, store, order("A", quantity="7", _loaded_at=loaded(13)))
@@ -328,14 +362,18 @@ def test_customer_without_orders_fails_gold_unless_only_warned(spark, store):
     ]
 
 
-def test_row_counts_are_compared_with_the_run_before(spark, store):
+def test_row_counts_are_compared_with_the_day_before(spark, store):
     assert run(spark, store, [order("A")]).not_grown == []
+    assert run(spark, store, [order("A")]).not_grown == []  # again on the same day
     later = [order("B", order_date="2024-02-02", shipped_date=None, _loaded_at=loaded(13))]
     now = PipelineConfig(now="2024-01-13 07:00:00", as_of="2024-03-01")
     assert run(spark, store, later, config=now).not_grown == ["mart_customer_360"]
     strict = PipelineConfig(now="2024-01-13 07:00:00", as_of="2024-03-01", row_count_severity="error")
     with pytest.raises(GateFailure, match="grow"):
         run(spark, store, later, config=strict)
+    grown = [customer(), customer("C9", email="c9@x.org")]
+    again = [*later, order("D", customer_id="C9", order_date="2024-02-02", shipped_date=None, _loaded_at=loaded(14))]
+    assert run(spark, store, again, people=grown, config=strict).not_grown == []  # a retry can pass
 
 
 def test_layers_can_be_run_one_by_one(spark, store):

@@ -80,11 +80,18 @@ def test_scratch_is_below_the_shared_folder(spark):
 
 
 def test_scratch_without_a_shared_folder():
-    class Unset:
-        class conf:
-            get = staticmethod(lambda key, default: default)
+    def session(where):
+        class Unset:
+            class conf:
+                get = staticmethod(lambda key, default: default)
 
-        class sparkContext:
-            applicationId = "app"
+            class sparkContext:
+                applicationId = "app"
+                master = where
 
-    assert scratch.scratch_root(Unset) == scratch.scratch_root(Unset)
+        return Unset
+
+    assert scratch.scratch_root(session("local[2]")) == scratch.scratch_root(session("local"))
+    for where in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch.scratch_root(session(where))

@@ -21,5 +21,12 @@ def test_every_sql_has_a_query():
     assert set(oracle_sql()) == set(queries())
 
 
+def test_revenue_mart_is_sorted(spark):
+    rows = queries()["mart_revenue_by_segment"](spark, SF_DIR).collect()
+    assert len(rows) > 100 and [(r.order_month, r.net_revenue) for r in rows] == sorted(
+        ((r.order_month, r.net_revenue) for r in rows), reverse=True
+    )
+
+
 def test_entry_returns_rows(spark):
     assert entry(spark).count() > 0
