@@ -58,6 +58,7 @@ class _Search:
     below: int = 0
     enclosed: int = 0
     proven: bool = False
+    last_enclosed: int | None = None  # when its bounds were last narrowed
 
 
 def tile_starts(rows: int, tiles: int) -> list[int]:
@@ -113,10 +114,11 @@ def find_tile_starts(
         if not wide and all(s.proven for s in searches):
             break
         for search in wide:
-            before = (search.low, search.high)
-            _suggest(df.filter(_inside(df, search, tie)), tie, search.ranking, [search], sample_rows, search.enclosed)
-            if (search.low, search.high) == before:
+            # The same rows give the same sample again, so a search that did not shrink never would.
+            if search.enclosed == search.last_enclosed:
                 raise ValueError(f"{tie} does not tell {search.enclosed} rows of one {search.ranking.key} apart")
+            search.last_enclosed = search.enclosed
+            _suggest(df.filter(_inside(df, search, tie)), tie, search.ranking, [search], sample_rows, search.enclosed)
             search.proven = False
     return _number_enclosed(df, tie, rankings, searches)
 

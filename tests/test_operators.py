@@ -75,17 +75,36 @@ def test_ntile_narrows_down_to_the_same_result(spark):
 
 def test_ntile_recovers_from_a_misleading_sample(spark, monkeypatch):
     df = ranked(spark, random_rows(3000, 2))
-    honest = ranking._sample
+    honest = ranking._suggest
 
-    def lowest_only(df, tie, rankings, rows, total):
+    def lowest_only(df, tie, of, searches, rows, total):
         if total == 3000:
-            return honest(df.filter("id < 'id000150'"), tie, rankings, rows, rows)
-        return honest(df, tie, rankings, rows, total)
+            return honest(df.filter("money < 0"), tie, of, searches, rows, total)
+        return honest(df, tie, of, searches, rows, total)
 
-    monkeypatch.setattr(ranking, "_sample", lowest_only)
+    monkeypatch.setattr(ranking, "_suggest", lowest_only)
     assert_same_as_window(df, sample_rows=120, enclosed_rows=200)
 
 
+@pytest.mark.parametrize("kind", ["double", "date", "string"])
+@pytest.mark.parametrize("descending", [False, True])
+def test_ntile_of_other_types(spark, kind, descending):
+    number = "case when i % 9 = 0 then null when i % 4 = 0 then double('nan') else double(i * 37 % 101) end"
+    key = {"double": number, "date": "date_add(date'2020-01-01', int(i * 37 % 101))", "string": "string(i * 37 % 101)"}
+    df = spark.range(1500).selectExpr("id as i", "concat('k', id) as tie").selectExpr("tie", f"{key[kind]} as key")
+    sizes = {"sample_rows": 120, "enclosed_rows": 100}
+    actual = add_ntiles(df, "tie", [Ranking("tile", "key", descending)], 5, **sizes)
+    order = F.desc_nulls_first("key") if descending else F.asc_nulls_last("key")
+    expected = df.withColumn("tile", F.ntile(5).over(Window.orderBy(order, F.asc("tie"))).cast("int"))
+    assert {r.tie: r.tile for r in actual.collect()} == {r.tie: r.tile for r in expected.collect()}
+
+
+def test_ntile_refuses_a_tie_that_tells_nothing_apart(spark):
+    df = spark.range(3000).selectExpr("'same' as tie", "1 as key")
+    with pytest.raises(ValueError, match="apart"):
+        add_ntiles(df, "tie", [Ranking("tile", "key")], 5, sample_rows=120, enclosed_rows=100)
+
+
 def test_ntile_plan_has_no_window_and_no_shuffle(spark):
     df = add_ntiles(ranked(spark, random_rows(50, 3)), "id", [Ranking("tile", "money")], 5)
     plan = df._jdf.queryExecution().executedPlan().toString()
