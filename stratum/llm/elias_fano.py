@@ -8,6 +8,8 @@ buffer, so it can be read through a memory map without decoding it first.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 
 from stratum.llm.text import distinct
@@ -15,14 +17,25 @@ from stratum.llm.text import distinct
 _STEPS, _FLOOR = 254, -7.0
 
 
-def quantised(p: np.ndarray) -> np.ndarray:
-    """A byte per probability: even steps of its logarithm down to 10^-7; 0 for none."""
+def floor_below(*shares: np.ndarray) -> float:
+    """The logarithm of half the least of the probabilities given, none of them 0; -7 if that is less."""
+    return min(_FLOOR, float(np.log10(min(p.min(initial=1.0) for p in shares) / 2)))
+
+
+def quantised(p: np.ndarray, floor: float = _FLOOR) -> np.ndarray:
+    """A byte per probability: even steps of its logarithm down to `floor`; 0 for none."""
     with np.errstate(divide="ignore"):
-        at = np.rint((np.log10(p) / _FLOOR) * _STEPS)
+        at = np.rint((np.log10(p) / floor) * _STEPS)
     return np.where(p > 0, 255 - np.clip(at, 0, _STEPS), 0).astype(np.uint8)
 
 
-LEVELS = np.concatenate([[0.0], 10 ** (_FLOOR * (255 - np.arange(1, 256)) / _STEPS)])
+@lru_cache(maxsize=1024)
+def levels(floor: float = _FLOOR) -> np.ndarray:
+    """The probability of each byte."""
+    return np.concatenate([[0.0], 10 ** (floor * (255 - np.arange(1, 256)) / _STEPS)])
+
+
+LEVELS = levels()
 
 
 class EliasFano:
@@ -137,10 +150,13 @@ class Trie:
     Level 1: the middle words. Below each, the words that follow it with the probability that they do, and the words
     that stand before it with what such a context leaves to shorter ones. Below a pair of first and middle word, the
     third words by their places among the middle word's followers: small numbers, relative to the context.
+
+    floor: the logarithm of the smallest probability that its bytes can tell, below all that it holds.
     """
 
-    def __init__(self, middles: EliasFano, followers: Level, leaders: Level, thirds: Level):
+    def __init__(self, middles: EliasFano, followers: Level, leaders: Level, thirds: Level, floor: float):
         self.middles, self.followers, self.leaders, self.thirds = middles, followers, leaders, thirds
+        self.floor = floor
 
     @classmethod
     def build(cls, bigrams: np.ndarray, shares: np.ndarray, trigrams: np.ndarray, counts: np.ndarray) -> Trie:
@@ -152,9 +168,7 @@ class Trie:
         step = int(max(bigrams[:, 1].max(initial=0), trigrams[:, 1:].max(initial=0))) + 1
         own, all_ = of_bigram * step + bigrams[:, 1], of_trigram * step + trigrams[:, 2]
         keys = distinct(np.concatenate([own, all_]))
-        codes = np.zeros(len(keys), np.uint8)
-        codes[np.searchsorted(keys, own)] = quantised(shares)
-        followers = Level.of(keys // step, keys % step, len(middles), codes)
+        at_bigram = np.searchsorted(keys, own)
         first_of = np.searchsorted(keys // step, np.arange(len(middles)))
         rank = np.searchsorted(keys, all_) - first_of[of_trigram]
 
@@ -166,14 +180,19 @@ class Trie:
         total = np.bincount(context, counts, len(contexts))
         kinds = np.bincount(context, minlength=len(contexts))
         left = kinds / np.maximum(total + kinds, 1)
-        leaders = Level.of(contexts // step, contexts % step, len(middles), quantised(left))
-        shares = counts / (total + kinds)[context] if len(counts) else np.zeros(0)
-        thirds = Level.of(context, rank, len(contexts), quantised(shares))
-        return cls(EliasFano.of(middles), followers, leaders, thirds)
+        of_thirds = counts / (total + kinds)[context] if len(counts) else np.zeros(0)
+        floor = floor_below(shares, left, of_thirds)
+        codes = np.zeros(len(keys), np.uint8)
+        codes[at_bigram] = quantised(shares, floor)
+        followers = Level.of(keys // step, keys % step, len(middles), codes)
+        leaders = Level.of(contexts // step, contexts % step, len(middles), quantised(left, floor))
+        thirds = Level.of(context, rank, len(contexts), quantised(of_thirds, floor))
+        return cls(EliasFano.of(middles), followers, leaders, thirds, floor)
 
     def to_bytes(self) -> bytes:
-        levels = [self.followers, self.leaders, self.thirds]
-        return _stored([*self.middles.arrays(), *(a for level in levels for a in level.arrays())])
+        below = [self.followers, self.leaders, self.thirds]
+        floor = np.array([self.floor]).view(np.int64)
+        return _stored([*self.middles.arrays(), *(a for level in below for a in level.arrays()), floor])
 
     @classmethod
     def from_buffer(cls, buffer) -> Trie:
@@ -186,7 +205,7 @@ class Trie:
         def level() -> Level:
             return Level(sequence(), sequence(), int(next(arrays)[0]), next(arrays))
 
-        return cls(sequence(), level(), level(), level())
+        return cls(sequence(), level(), level(), level(), float(next(arrays).view(np.float64)[0]))
 
     @staticmethod
     def _runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

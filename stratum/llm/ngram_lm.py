@@ -12,7 +12,8 @@ row an occurrence:
 
 The model: unigrams are (c + 1) / (N + V + 1), which leaves a share for unknown words; bigrams interpolate evenly with
 unigrams, p2 = c(w2 w3) / 2 c(w2) + p1 / 2; trigrams with bigrams after Witten and Bell. Probabilities of seen bigrams
-and trigrams and the shares of contexts are quantised to a byte. Every text begins after two start marks and ends with
+and trigrams and the shares of contexts are quantised to a byte, in 254 even steps of the logarithm down to 10^-7, or to
+below the smallest that a shard's trie holds. Every text begins after two start marks and ends with
 an end mark, which counts as a token.
 
 Two different words of one hash would count as one (with a billion words, a chance of about 3 %). Null texts count as
@@ -34,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.elias_fano import LEVELS, Trie
+from stratum.llm.elias_fano import Trie, levels
 from stratum.llm.text import SPACES, chunks, encode_words, starts, table
 from stratum.sources import files
 from stratum.sources.scratch import materialize, new_folder
@@ -301,11 +302,13 @@ def _answer_shard(group: pa.Table) -> pa.Table:
         (_packed(bigram[a:b].astype(np.uint8)), _packed(share[c:d]), _packed(left[c:d]))
         for a, b, c, d in zip(of_b, of_b[1:], of_t, of_t[1:])
     ]
-    names = ["block", "shard", "bigram", "trigram", "left"]
+    names = ["block", "shard", "floor", "bigram", "trigram", "left"]
+    floors = pa.array([trie.floor] * len(rows), pa.float64())
     return pa.table(
-        [group["block"].combine_chunks(), group["shard"].combine_chunks(), *(pa.array(c, pa.binary()) for c in zip(*rows))],
+        [group["block"].combine_chunks(), group["shard"].combine_chunks(), floors,
+         *(pa.array(c, pa.binary()) for c in zip(*rows))],
         names=names,
-    )
+    )
 
 
 _SCORED = (
@@ -317,14 +320,14 @@ def _score_block(block: pa.Table, answers: pa.Table, plan: Plan) -> pa.Table:
     row = block.to_pylist()[0]
     g = _grams(row, plan)
     found = {a["shard"]: a for a in answers.to_pylist()}
-    bigram, share = np.zeros(len(g.bigrams), np.uint8), np.zeros(len(g.trigrams), np.uint8)
-    left = np.zeros(len(g.trigrams), np.uint8)
+    bigram, share, left = np.zeros(len(g.bigrams)), np.zeros(len(g.trigrams)), np.zeros(len(g.trigrams))
     of_bigram, of_trigram = g.shards(plan)
     for shard, at in _rows_by(of_bigram, plan.n_shards):
-        bigram[at] = _unpacked(found[shard]["bigram"], np.uint8)
+        bigram[at] = levels(found[shard]["floor"])[_unpacked(found[shard]["bigram"], np.uint8)]
     for shard, at in _rows_by(of_trigram, plan.n_shards):
-        share[at] = _unpacked(found[shard]["trigram"], np.uint8)
-        left[at] = _unpacked(found[shard]["left"], np.uint8)
+        of_code = levels(found[shard]["floor"])
+        share[at] = of_code[_unpacked(found[shard]["trigram"], np.uint8)]
+        left[at] = of_code[_unpacked(found[shard]["left"], np.uint8)]
     one = plan.unigram(g.totals)
     count = g.totals[g.third]
     p = one[g.third]
@@ -332,10 +335,10 @@ def _score_block(block: pa.Table, answers: pa.Table, plan: Plan) -> pa.Table:
     middle = np.roll(g.third, 1)
     middle[edges[:-1]] = np.searchsorted(g.words, START)
     seen = g.totals[middle] > 0
-    two = np.where(g.bigram_of >= 0, LEVELS[bigram[g.bigram_of]] if len(bigram) else 0.0, 0.0)
+    two = np.where(g.bigram_of >= 0, bigram[g.bigram_of] if len(bigram) else 0.0, 0.0)
     p = np.where(seen, two + 0.5 * p, p)
-    rest = np.where(g.trigram_of >= 0, LEVELS[left[g.trigram_of]] if len(left) else 0.0, 0.0)
-    three = np.where(g.trigram_of >= 0, LEVELS[share[g.trigram_of]] if len(share) else 0.0, 0.0)
+    rest = np.where(g.trigram_of >= 0, left[g.trigram_of] if len(left) else 0.0, 0.0)
+    three = np.where(g.trigram_of >= 0, share[g.trigram_of] if len(share) else 0.0, 0.0)
     p = np.where(rest > 0, three + rest * p, p)
     add = lambda x: np.add.reduceat(x, edges[:-1]) if len(g.lengths) else np.zeros(0)
     return pa.table({
@@ -387,7 +390,7 @@ def score_texts(docs: DataFrame, modulus: int = 7, held_out: int = 2, shard_toke
         partial(_gram_requests, plan=plan), "shard int, block long, " + ", ".join(f"{p} binary" for p in _PARTS)
     )
     found = asked.groupBy("shard").applyInArrow(
-        _answer_shard, "block long, shard int, bigram binary, trigram binary, left binary"
+        _answer_shard, "block long, shard int, floor double, bigram binary, trigram binary, left binary"
     )
     score = partial(_score_block, plan=plan)
     return numbered.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(score, _SCORED)

@@ -129,6 +129,25 @@ def test_op1_equals_a_plain_model(spark, given):
         assert abs(r.base_score - base) < 1e-6 and abs(r.score - score) < 1e-6
 
 
+def test_op1_tells_rare_followers_of_very_frequent_words():
+    total, rare = 300_000_000, 1000
+    third = np.arange(10, 10 + rare)
+    counts = np.where(np.arange(rare) == 0, total - rare + 1, 1)
+    parts = {"b_middle": np.full(rare, 5), "b_third": third, "b_count": counts, "b_total": np.full(rare, total)}
+    parts |= {"t_middle": np.full(rare, 5), "t_first": np.full(rare, 6), "t_third": third, "t_count": counts}
+    trie = elias_fano.Trie.from_buffer(ngram_lm.build_trie(parts).to_bytes())
+    of_code = elias_fano.levels(trie.floor)
+    share, left = trie.trigram(parts["t_first"], parts["t_middle"], third)
+    step = 10 ** (-trie.floor / 254)
+    for found, p in (
+        (of_code[trie.bigram(parts["b_middle"], third)], 0.5 * counts / total),
+        (of_code[share], counts / (total + rare)),
+        (of_code[left], np.full(rare, rare / (total + rare))),
+    ):
+        assert (np.maximum(found / p, p / found) <= step**0.5 * (1 + 1e-9)).all()
+    assert of_code[1] < 0.5 / total
+
+
 def test_op2_places_and_balances(spark, given):
     bytes_, places = collections.Counter(), collections.defaultdict(list)
     for r in registry.op2_sharding(spark, SF_DIR).collect():
