@@ -9,9 +9,10 @@ until the chi-square test holds: a point beyond would be among the k best with a
 A coarse kd-tree, fitted to a bounded sample, cuts the projected space into cells for the tasks; every vector is put
 into its cell, and cells of many rows are dealt over several tasks. A query first searches its own cell, which bounds
 its k-th distance, then the other cells that the test does not rule out by their boxes. Queries go in blocks of a
-bounded size. Vectors that are null, zero, of another length than the first, or hold null or non-finite components
-take no part; a repeated row is a candidate of its own, and only the query's own vec_id is left out; equal products
-go to the smaller vec_id; an empty table gives no rows; other columns are not read.
+bounded size. Vectors that are null, zero, or hold null or non-finite components take no part. Vectors of unequal
+length have no inner product: each length is searched by itself, among its own vectors. A repeated row is a candidate
+of its own, and only the query's own vec_id is left out; equal products go to the smaller vec_id; an empty table gives
+no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -185,13 +186,23 @@ def nearest(
     query_rows: int = 4096, seed: int = 7,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each vec_id divisible by `every`, its k best of all other rows."""
-    spark = table.sparkSession
     rows = valid_vectors(table)
-    about = rows.agg(F.count("*").alias("n"), F.max("norm").alias("longest"), F.min(F.size("vector")).alias("dims"))
-    n, longest, dims = about.first()
-    if not n:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.filter(F.size("vector") == dims).drop("norm")
+    asked = F.count_if(F.col("vec_id") % every == 0)
+    lengths = rows.groupBy(F.size("vector").alias("dims")).agg(
+        F.count("*").alias("n"), F.max("norm").alias("longest"), asked.alias("asked")
+    )
+    found = table.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for dims, n, longest, _ in lengths.filter("asked > 0 and n > 1").sort("dims").collect():  # a row per length
+        own = rows.filter(F.size("vector") == dims).drop("norm")
+        found = found.unionByName(_nearest(own, n, longest, dims, every, k, m, certainty, cell_rows, query_rows, seed))
+    return found
+
+
+def _nearest(
+    rows: DataFrame, n: int, longest: float, dims: int, every: int, k: int, m: int, certainty: float, cell_rows: int,
+    query_rows: int, seed: int,
+) -> DataFrame:
+    """The result of `nearest` for vectors of one length."""
     projection = Projection(np.random.default_rng(seed).standard_normal((dims + 1, m)), longest)
     limit = chi_square_quantile(certainty, m)
 

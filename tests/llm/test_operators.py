@@ -13,7 +13,7 @@ import pytest
 import sentencepiece
 import tokenizers
 
-from stratum.llm import decontaminate, elias_fano, jaccard_join, licenses, ngram_lm, piece_bpe, registry, simple8b, slots
+from stratum.llm import decontaminate, elias_fano, jaccard_join, licenses, ngram_lm, piece_bpe, registry, simple8b, slots, stable_knn
 from tests.conftest import SF_DIR
 
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
@@ -184,6 +184,29 @@ def test_op3_recall(spark):
     assert hits >= 0.95 * 20 * len(found)
 
 
+def plain_nearest(rows, k=20):
+    """For each query row its k best rows of the same length."""
+    out = collections.Counter()
+    for query, x in dict.fromkeys((i, tuple(v)) for i, v in rows if i % 20 == 0):
+        near = [(-sum(a * b for a, b in zip(x, y)), i) for i, y in rows if i != query and len(y) == len(x)]
+        out.update((query, rank, i) for rank, (_, i) in enumerate(sorted(near)[:k], 1))
+    return out
+
+
+def nearest_ranks(spark, rows):
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    return collections.Counter((r.query_id, r["rank"], r.vec_id) for r in stable_knn.nearest(frame).collect())
+
+
+def test_op3_searches_every_length(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.integers(-9, 10, 6).astype(float).tolist()) for i in range(200)]
+    rows += [(1000 + i, [1.0 + i, 2.0, 3.0]) for i in range(30)] + [(2000, [1.0])]
+    rows = [(i, v) for i, v in rows if any(v)]
+    found = nearest_ranks(spark, rows)
+    assert found == plain_nearest(rows) and len(found) == 240
+
+
 def plain_components(rows):
     def shingles(text):
         w = SPACED.findall(lower(text))
