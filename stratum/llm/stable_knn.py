@@ -11,8 +11,8 @@ into its cell, and cells of many rows are dealt over several tasks. A query firs
 its k-th distance, then the other cells that the test does not rule out by their boxes. Queries go in blocks of a
 bounded size. Vectors that are null, zero, or hold null or non-finite components take no part. Vectors of unequal
 length have no inner product: each length is searched by itself, among its own vectors. A repeated row is a candidate
-of its own, and only the query's own vec_id is left out; equal products go to the smaller vec_id; an empty table gives
-no rows; other columns are not read.
+of its own but one query; a vec_id with several vectors is a query for each of them, and only the query's own vec_id is
+left out; equal products go to the smaller vec_id; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from stratum.sources.scratch import materialize
 
 SAMPLE_ROWS = 16_384
-_FOUND = "query_id long, vec_id long, score double"
+_FOUND = "query_id long, twin long, vec_id long, score double"  # twin: a hash that tells vectors of one vec_id apart
 
 
 def chi_square_quantile(p: float, m: int) -> float:
@@ -162,14 +162,17 @@ def search(
 
 def _search_group(points: pa.Table, asked: pa.Table, projection: Projection, k: int, limit: float) -> pa.Table:
     if not points.num_rows or not asked.num_rows:
-        return pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]).empty_table()
+        kinds = {"query_id": pa.int64(), "twin": pa.int64(), "vec_id": pa.int64(), "score": pa.float64()}
+        return pa.schema(kinds).empty_table()
     points, asked = points.combine_chunks(), asked.combine_chunks()
     query_ids = asked["query_id"].to_numpy()
     row, vec, score = search(
         points["vec_id"].to_numpy(), _vectors(points["vector"].chunk(0)), query_ids,
         _vectors(asked["vector"].chunk(0)), asked["kth"].to_numpy(), projection, k, limit,
     )
-    return pa.table({"query_id": query_ids[row], "vec_id": vec, "score": score})
+    return pa.table({
+        "query_id": query_ids[row], "twin": asked["twin"].to_numpy()[row], "vec_id": vec, "score": score,
+    })
 
 
 def valid_vectors(table: DataFrame) -> DataFrame:
@@ -226,8 +229,8 @@ def _nearest(
     block = F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(blocks)).cast("int")
     queries = points.filter(F.col("vec_id") % every == 0).select(
         F.col("vec_id").alias("query_id"), "vector", F.col("cell").alias("home"),
-        F.col("part").alias("home_part"), block.alias("block"),
-    )
+        F.col("part").alias("home_part"), block.alias("block"), F.xxhash64("vector").alias("twin"),
+    ).dropDuplicates(["query_id", "twin"])
 
     def look(asked: DataFrame) -> DataFrame:
         keys = ["cell", "part", "block"]
@@ -235,16 +238,17 @@ def _nearest(
         return dealt.groupBy(keys).cogroup(asked.groupBy(keys)).applyInArrow(work, _FOUND)
 
     def best(found: DataFrame) -> DataFrame:
-        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        order = Window.partitionBy("query_id", "twin").orderBy(F.desc("score"), "vec_id")
         return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
     at_home = queries.withColumns({"cell": F.col("home"), "part": F.col("home_part"), "kth": F.lit(float("-inf"))})
     first = materialize(look(at_home), "knn-home")
-    bounds = best(first).filter(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
-    spread = queries.join(bounds, "query_id", "left").withColumn("kth", F.coalesce("kth", F.lit(float("-inf"))))
+    bounds = best(first).filter(F.col("rank") == k).select("query_id", "twin", F.col("score").alias("kth"))
+    spread = queries.join(bounds, ["query_id", "twin"], "left")
+    spread = spread.withColumn("kth", F.coalesce("kth", F.lit(float("-inf"))))
     route = partial(_route, projection=projection, low=low, high=high, parts=parts, limit=limit)
     visits = spread.mapInArrow(
-        route, "query_id long, vector array<double>, kth double, block int, cell long, part int"
+        route, "query_id long, twin long, vector array<double>, kth double, block int, cell long, part int"
     )
     found = best(first.unionByName(look(visits)))
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
@@ -273,7 +277,7 @@ def _route(
             for a in range(0, len(query), 8192):
                 taken = rows.take(pa.array(query[a : a + 8192]))
                 yield pa.RecordBatch.from_arrays(
-                    [taken.column("query_id"), taken.column("vector"), taken.column("kth"), taken.column("block"),
+                    [*(taken.column(c) for c in ("query_id", "twin", "vector", "kth", "block")),
                      pa.array(cell[a : a + 8192], pa.int64()), pa.array(part[a : a + 8192], pa.int32())],
-                    names=["query_id", "vector", "kth", "block", "cell", "part"],
+                    names=["query_id", "twin", "vector", "kth", "block", "cell", "part"],
                 )

@@ -207,6 +207,14 @@ def test_op3_searches_every_length(spark):
     assert found == plain_nearest(rows) and len(found) == 240
 
 
+def test_op3_repeated_query_rows_are_one_query(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.integers(-9, 10, 6).astype(float).tolist()) for i in range(1, 200)]
+    rows += [rows[39], rows[39], rows[59], (80, [9.0, 8.0, 7.0, 0.0, -1.0, 2.0])]
+    found = nearest_ranks(spark, rows)
+    assert found == plain_nearest(rows) and sum(query == 40 for query, _, _ in found) == 20
+
+
 def plain_components(rows):
     def shingles(text):
         w = SPACED.findall(lower(text))
