@@ -1,11 +1,14 @@
 """License notices by an exact set-similarity join, with DataFrame operations only.
 
-Blocks are the lines of a text, as sets of words; templates are notices, as sets of words too. A block matches a
-template when it holds at least `threshold` of the template's words. All words of templates are ordered by how many
+Blocks are the lines of a text, as sets of words, and, as notices stand wrapped, its runs of words across lines: for each
+template the runs as long as its text and RUN_SLACK words more. Templates are notices, as sets of words too. A block
+matches a template when it holds at least `threshold` of the template's words. All words of templates are ordered by how many
 documents hold them, rarest first. A block that matches must hold one of a template's first t - o + 1 words (t words,
 o needed): the prefix filter. It needs o words at all (length filter), and counted from the pair's first common word
 on, the template and the block must each have o words left (positional filter). What passes is counted exactly.
-Each pair is found once, through its first common prefix word, so nothing is grouped or shuffled for it.
+A line and a template are found once, through their first common prefix word, so nothing is grouped or shuffled for it.
+Runs are found around each prefix word of a text that has several lines: the words that a run with it can reach are cut
+out, and only if these hold o of the template's words are its runs counted one by one.
 
 Templates come from a fixed list, so what is collected (a count per template word) and broadcast is bounded by it.
 
@@ -44,6 +47,7 @@ TEMPLATES = [
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 ]
 THRESHOLD = 0.9
+RUN_SLACK = 4  # words that may stand within a wrapped notice beside its own
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -107,7 +111,7 @@ def word_order(scan: DataFrame, vocabulary: list[str]) -> list[str]:
 def matches(
     scan: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """(doc_id, text_key, line, label, containment) of every line and template that match."""
+    """(doc_id, text_key, label, containment) of every block and template that match."""
     spark = scan.sparkSession
     sets = [(label, sorted(set(text.split()))) for label, text in templates]
     order = word_order(scan, sorted({w for _, words in sets for w in words}))
@@ -117,13 +121,13 @@ def matches(
         words = sorted(words, key=rank.__getitem__)
         needed = math.ceil(threshold * len(words) - 1e-9)
         for place, word in enumerate(words[: len(words) - needed + 1]):
-            index.append((word, number, label, place, needed, " ".join(words)))
+            index.append((word, len(templates[number][1].split()) + RUN_SLACK, label, place, needed, " ".join(words)))
     listed = F.from_json(
         F.lit("[" + ",".join(
-            f'{{"word":"{w}","label":"{label}","place":{p},"needed":{o},"template":"{t}"}}'
-            for w, _, label, p, o, t in index
+            f'{{"word":"{w}","run":{n},"label":"{label}","place":{p},"needed":{o},"template":"{t}"}}'
+            for w, n, label, p, o, t in index
         ) + "]"),
-        "array<struct<word string, label string, place int, needed int, template string>>",
+        "array<struct<word string, run int, label string, place int, needed int, template string>>",
     )
     prefixes = spark.range(1).select(F.inline(listed))
     probes = sorted({w for w, *_ in index})
@@ -145,13 +149,38 @@ def matches(
         & ~F.arrays_overlap(F.slice("template", F.lit(1), F.col("place")), "held")  # found by an earlier word
     )
     common = F.size(F.array_intersect("template", "held"))
-    return (
-        passed.withColumn("common", common)
-        .filter(F.col("common") >= F.col("needed"))
-        .select("doc_id", "text_key", "line", "label", (F.col("common") / F.size("template")).alias("containment"))
+    in_lines = passed.withColumn("common", common)
+    in_runs = _run_pairs(scan, prefixes, probes, max((n for _, n, *_ in index), default=1))
+    found = in_lines.select("doc_id", "text_key", "label", "template", "needed", "common").unionByName(in_runs)
+    return found.filter(F.col("common") >= F.col("needed")).select(
+        "doc_id", "text_key", "label", (F.col("common") / F.size("template")).alias("containment")
     )
 
 
+def _run_pairs(scan: DataFrame, prefixes: DataFrame, probes: list[str], longest: int) -> DataFrame:
+    """(doc_id, text_key, label, template, needed, common) of the words around a prefix word and its templates; common:
+    the most that a run holds. Only texts of several lines: a run within a line holds no more than the line."""
+    reach = longest - 1
+    several = F.col("text").contains("\n") & F.arrays_overlap("words", _literal(probes))
+    marked = F.transform("words", lambda w, i: F.when(w.isin(probes), F.struct(w.alias("word"), i.alias("at"))))
+    around = F.transform(F.array_compact(marked), lambda x: F.struct(
+        x["word"].alias("word"),
+        F.least(x["at"], F.lit(reach)).alias("before"),
+        F.slice("words", F.greatest(x["at"] - reach, F.lit(0)) + 1, F.least(x["at"], F.lit(reach)) + longest).alias("near"),
+    ))
+    hits = scan.filter(several).select("doc_id", F.xxhash64("text").alias("text_key"), F.inline(around))
+    pairs = hits.join(F.broadcast(prefixes), "word").withColumn("template", F.split("template", " "))
+    before = F.least(F.col("before"), F.col("run") - 1)
+    near = F.slice("near", F.col("before") - before + 1, before + F.col("run"))
+    held = F.size(F.array_intersect("template", "near"))
+    passed = pairs.withColumn("near", near).filter(held >= F.col("needed"))
+    common = F.array_max(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size("near") - F.col("run") + 1, F.lit(1))),
+        lambda at: F.size(F.array_intersect("template", F.slice("near", at, F.col("run")))),
+    ))
+    return passed.select("doc_id", "text_key", "label", "template", "needed", common.alias("common"))
+
+
 def scan_licenses(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Words, phrases, labels and score of every row of (doc_id, text); score: the best containment, 1 for a phrase."""
     scan = base_scan(docs)

@@ -321,6 +321,23 @@ def test_op9_equals_plain_scans(spark, given):
         assert r.score == (1.0 if at else best)
 
 
+def test_op9_finds_wrapped_notices(spark):
+    rows = []
+    for label, notice in licenses.TEMPLATES:
+        w = notice.split()
+        for lines in (2, 3, len(w)):
+            step = -(-len(w) // lines)
+            rows.append((label, "before it\n# " + "\n# ".join(" ".join(w[i : i + step]) for i in range(0, len(w), step)) + " after it"))
+    long, filling = dict(licenses.TEMPLATES)["unlicense"].split(), " x" * 30
+    rows.append(("", " ".join(long[:6]) + f"\n{filling}\n" + " ".join(long[6:])))  # too far apart for one notice
+    rows.append(("", " ".join(long[:8]) + "\nand more"))  # not enough of it
+    frame = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    for r in licenses.scan_licenses(frame).collect():
+        label, text = rows[r.doc_id]
+        assert label in r.labels.split(",") and r.score == (1.0 if label else r.score), text
+        assert label or (r.labels, r.score) == ("", 0.0), text
+
+
 def test_op10_equals_the_library(spark, given):
     library = tokenizers.Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     rows = {r.doc_id: r for r in registry.op10_token_id_output(spark, SF_DIR).collect()}
