@@ -70,8 +70,10 @@ def _word_sets(texts: list[str]) -> list[set[str]]:
     return out
 
 
-def induce_lexicon(texts: list[str], toxic: np.ndarray, weight: np.ndarray, most_terms: int = 400) -> Lexicon:
-    """Greedy cover of the toxic texts by terms that nearly only they hold."""
+def induce_lexicon(texts: list[str], toxic: np.ndarray, weight: np.ndarray) -> Lexicon:
+    """Greedy cover of the toxic texts by terms that nearly only they hold, terms as common, and the given insults.
+
+    All of them are kept: each chosen term covers a share of the sample, and the sample bounds the others."""
     sets = _word_sets(texts)
     bad = [{t for w in s for t in _terms(w)} for s, y in zip(sets, toxic) if y]
     held = Counter(t for s in bad for t in s)
@@ -89,7 +91,7 @@ def induce_lexicon(texts: list[str], toxic: np.ndarray, weight: np.ndarray, most
         for t in s & good:
             where[t].add(i)
     chosen, open_ = [], set(range(len(bad)))
-    while where and len(chosen) < most_terms:
+    while where:
         # Longer terms win ties: a whole word rather than its stem.
         term = max(where, key=lambda t: (len(where[t] & open_), -clean[t], len(where[t]), len(t), t))
         if len(where[term] & open_) < least:
@@ -97,13 +99,14 @@ def induce_lexicon(texts: list[str], toxic: np.ndarray, weight: np.ndarray, most
         open_ -= where.pop(term)
         chosen.append(term)
     # Terms as common in toxic texts as those chosen vote too, though the others cover their texts already.
-    often = 2 * least
+    often, taken = 2 * least, set(chosen)
     for term in sorted(where, key=lambda t: (-held[t], -len(t), t)):
         word = term.partition(":")[2] or term
-        if held[term] >= often and not clean[term] and not any(f"{n}:{word[:n]}" in chosen for n in STEMS):
+        if held[term] >= often and not clean[term] and not any(f"{n}:{word[:n]}" in taken for n in STEMS):
             chosen.append(term)
+            taken.add(term)
     chosen = list(dict.fromkeys([*chosen, *SEEDS]))
-    return Lexicon({t: i % LEXICON_VOTERS for i, t in enumerate(chosen[:most_terms])})
+    return Lexicon({t: i % LEXICON_VOTERS for i, t in enumerate(chosen)})
 
 
 def vote_strengths(column: pa.Array, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray]:

@@ -13,7 +13,9 @@ import pytest
 import sentencepiece
 import tokenizers
 
-from stratum.llm import decontaminate, elias_fano, jaccard_join, licenses, ngram_lm, piece_bpe, registry, simple8b, slots, stable_knn
+from stratum.llm import (
+    decontaminate, elias_fano, jaccard_join, licenses, ngram_lm, piece_bpe, registry, simple8b, slots, stable_knn, toxicity,
+)
 from tests.conftest import SF_DIR
 
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
@@ -264,6 +266,16 @@ def test_classifiers_on_held_out_rows(spark, name, column, least):
     assert sum(r.predicted == marks[r.doc_id] for r in held) >= least * len(held)
 
 
+def test_op5_lexicon_keeps_insults_beside_many_common_terms():
+    rare = [a + b + c for a in "bcdfghjklm" for b in "aeiouyx" for c in "npqrstvwz"]
+    texts = [" ".join(rare) + f" {i}" for i in range(40)] + [f"a calm text about number {i}" for i in range(80)]
+    toxic = np.array([1] * 40 + [0] * 80)
+    lexicon = toxicity.induce_lexicon(texts, toxic, np.ones(len(texts)))
+    assert all(lexicon.of(w) >= 0 for w in [*toxicity.SEEDS, *rare])
+    votes, _ = toxicity.vote_strengths(pa.array(["what an imbecile", "a calm text"], pa.large_string()), lexicon)
+    assert votes.sum(1).tolist() == [1, 0]
+
+
 @pytest.mark.parametrize("slice_chars", [1 << 20, 2_000])
 def test_op6_equals_all_windows(spark, given, slice_chars):
     items = {r.item_id: r.text for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()}
