@@ -82,7 +82,8 @@ STAGES = [
     ("encoding", encoding_stage),
 ]
 
-#: Classifiers, components and encoding are beyond SQL; tests/llm compares every stage with a plain version.
+#: Classifiers, components and encoding are beyond SQL; tests/llm compares the stages of the two classifiers with their
+#: operators' predictions and the other stages with plain versions.
 ORACLE_SQL = None
 
 

@@ -1,8 +1,15 @@
 """The pipeline's stages against the operators' own results."""
 
+import collections
+
 import corpus_pipeline
-from stratum.llm import registry
+import public_tokenizers
+import pytest
+import sentencepiece
+
+from stratum.llm import line_crf, registry, toxicity
 from tests.conftest import SF_DIR
+from tests.llm.test_operators import EDGE, WORDS, edge_dir, empty_dir, lower, plain_components  # noqa: F401
 
 
 def ids(df):
@@ -23,3 +30,79 @@ def test_stages_keep_what_the_operators_let_pass(spark, tmp_path):
         if number < 4:
             assert docs.columns == columns
     assert ids(docs) == before and len(before) > 500
+
+
+def plain_hits(text, items, length=13):
+    """(words, words within a window that a benchmark text holds too) of a text."""
+    w, hit = WORDS.findall(lower(text)), set()
+    for item in items:
+        v = WORDS.findall(lower(item))
+        n = min(length, len(v))
+        windows = {tuple(v[i : i + n]) for i in range(len(v) - n + 1)} if n else set()
+        hit.update(j for i in range(len(w) - n + 1) if tuple(w[i : i + n]) in windows for j in range(i, i + n))
+    return len(w), len(hit)
+
+
+def plain_stages(spark, folder, docs):
+    """What each stage should keep of the rows it is given: its name and a function of them."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    items = [r.text for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+
+    def judged(score, bad):
+        def kept(rows):
+            frame = spark.createDataFrame(rows, "doc_id long, text string")
+            out = {r.doc_id for r in score(frame, labels).collect() if r.predicted == bad}
+            return [r for r in rows if r[0] is None or r[0] not in out]
+
+        return kept
+
+    def near_duplicates(rows):
+        least = {d: c for d, (_, c) in plain_components([r for r in rows if r[0] is not None]).items()}
+        once = dict.fromkeys(r for r in rows if r[0] is not None and least[r[0]] == r[0])
+        return [*once, *(r for r in rows if r[0] is None)]
+
+    def clean(rows):
+        counts = [(r, *plain_hits(r[1], items)) for r in rows]
+        return [r for r, n, hit in counts if r[0] is None or not (hit and 20 * hit >= n)]
+
+    return [judged(toxicity.score_toxicity, 1), judged(line_crf.score_quality, 0), near_duplicates, clean]
+
+
+def check_stages(spark, folder, docs, scratch):
+    """Runs the stages on (doc_id, text) rows, each against its plain version; the number of rows after each."""
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    rows, sizes = [(r.doc_id, r.text) for r in docs.collect()], []
+    plain = plain_stages(spark, folder, docs)
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, folder).write.parquet(f"{scratch}/{number}")
+        docs = spark.read.parquet(f"{scratch}/{number}")
+        if number < len(plain):
+            rows = plain[number](rows)
+            found = collections.Counter((r.doc_id, r.text) for r in docs.collect())
+            assert found == collections.Counter(rows), name
+        sizes.append(len(rows))
+    found = collections.Counter((r.doc_id, tuple(r.ids)) for r in docs.collect())
+    assert found == collections.Counter((i, tuple(library.encode(t or "", add_eos=True))) for i, t in rows)
+    return sizes
+
+
+def test_stages_equal_plain_versions(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").filter("doc_id < 300")
+    sizes = check_stages(spark, SF_DIR, docs, tmp_path)
+    assert all(a > b for a, b in zip([docs.count(), *sizes], sizes[:4]))  # every stage has something to reject
+
+
+def test_stages_on_edge_cases(spark, edge_dir, tmp_path):  # noqa: F811
+    docs = spark.read.parquet(f"{edge_dir}/documents.parquet").select("doc_id", "text")
+    check_stages(spark, edge_dir, docs, tmp_path)
+
+
+def test_run_on_edge_cases_keeps_columns_and_ids(spark, edge_dir):  # noqa: F811
+    out = corpus_pipeline.run(spark, edge_dir)
+    found = [r.doc_id for r in out.collect()]
+    assert out.columns == ["doc_id", "n_tokens", "ids", "text"]
+    assert set(found) <= {i for i, _ in EDGE} and len(found) == len(set(found))
+
+
+def test_run_on_empty_tables(spark, empty_dir):  # noqa: F811
+    assert corpus_pipeline.run(spark, empty_dir).collect() == []
