@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.llm import (
-    decontaminate, jaccard_join, licenses, line_crf, ngram_lm, piece_bpe, slots, stable_knn, token_output, toxicity,
+    decontaminate, hard_negatives, jaccard_join, licenses, line_crf, merkle, ngram_lm, piece_bpe, slots, stable_knn,
+    token_output, toxicity,
 )
+from stratum.llm.oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +74,14 @@ def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_scores": op1_ngram_scores,
@@ -84,8 +94,10 @@ def queries() -> dict[str, Query]:
         "op8_quality": op8_quality,
         "op9_license_scan": op9_license_scan,
         "op10_token_id_output": op10_token_id_output,
+        "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_hard_negatives": op12_hard_negatives,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
