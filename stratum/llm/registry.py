@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stratum.llm import (
     decontaminate, hard_negatives, jaccard_join, licenses, line_crf, merkle, ngram_lm, piece_bpe, slots, stable_knn,
-    token_output, toxicity,
+    suffix_dedup, token_output, toxicity,
 )
 from stratum.llm.oracle import ORACLE
 
@@ -82,6 +82,15 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return left.select(
+        "doc_id", "n_bytes", "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_scores": op1_ngram_scores,
@@ -96,6 +105,7 @@ def queries() -> dict[str, Query]:
         "op10_token_id_output": op10_token_id_output,
         "op11_merkle_manifest": op11_merkle_manifest,
         "op12_hard_negatives": op12_hard_negatives,
+        "op13_suffix_dedup": op13_suffix_dedup,
     }
 
 
