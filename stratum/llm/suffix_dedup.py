@@ -24,6 +24,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -37,22 +38,23 @@ from pyspark.sql import functions as F
 
 from stratum.llm.induced_sort import common_prefixes, suffix_array
 from stratum.llm.text import give_back, ragged, starts
-from stratum.sources.scratch import materialize
+from stratum.sources.scratch import materialize, new_folder
 
 LENGTH = 50
 GRAM = 24
 BLOCK_BYTES = 12 << 20
-BUCKET_BYTES = 64 << 20  # of text, for each bucket of anchors
-SHARD_BYTES = 2 << 20  # of snippets, for each suffix array
+BUCKET_BYTES = 32 << 20  # of text, for each bucket of anchors
+SHARD_BYTES = 1 << 20  # of snippets, for each suffix array
 #: Runs of one anchor, counted by 16 a block and more, from which its windows are sent one by one.
 HOT_RUNS = 1 << 14
 _COUNTED = 16
 _SEGMENT = 1 << 18
 _ROW_BYTES = 64  # what a row counts besides its text
+_RUNS = 1 << 14  # worked on at a time where each takes many bytes
 _BASE = 0x9E3779B97F4A7C15
 _HIGH, _LOW = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
 _BLOCKS = "block long, ids binary, named binary, lengths binary, packed binary, n_bytes long"
-_KINDS = "kind int, block long, bucket int, keys binary, sizes binary, ids binary, content binary, begins binary, codes binary"
+_KINDS = "kind int, block long, bucket int, keys binary, sizes binary, ids binary, content binary, begins binary, codes binary, goes binary"
 
 
 def ragged_places(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -61,6 +63,21 @@ def ragged_places(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.repeat(begin - out[:-1], length) + np.arange(out[-1])
 
 
+def _packed(values: np.ndarray | bytes, level: int = 3) -> bytes:
+    """Compressed, with the size before."""
+    raw = values if isinstance(values, bytes) else values.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", level).compress(raw, asbytes=True)
+
+
+def _raw(packed: bytes) -> bytes:
+    size = int.from_bytes(packed[:8], "little")
+    return pa.decompress(memoryview(packed)[8:], size, "zstd", asbytes=True) if size else b""
+
+
+def _unpacked(packed: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(_raw(packed), kind)
+
+
 def _mixed(values: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -132,7 +149,8 @@ def anchor_runs(data: np.ndarray, ends: np.ndarray) -> Runs:
 
 
 def _keys(hashes: np.ndarray, n_buckets: int) -> np.ndarray:
-    """Bucket in the upper half, 32 more bits of the hash in the lower."""
+    """Bucket in the upper half, 32 more bits in the lower. Mixed anew, as anchors are those of small hashes."""
+    hashes = _mixed(hashes)
     bucket = ((hashes >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)
     return (bucket << np.uint64(32)) | (hashes & _LOW)
 
@@ -154,7 +172,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "ids": [pc.fill_null(column, 0).to_numpy(zero_copy_only=False).tobytes()],
             "named": [np.packbits(column.is_valid().to_numpy(zero_copy_only=False)).tobytes()],
             "lengths": [lengths.tobytes()],
-            "packed": [pa.compress(body, "zstd", asbytes=True)],
+            "packed": [_packed(body, 6)],
             "n_bytes": pa.array([len(body)], pa.int64()),
         })
 
@@ -186,7 +204,7 @@ class Block:
     @staticmethod
     def of(row: dict) -> Block:
         lengths = np.frombuffer(row["lengths"], np.int64)
-        raw = pa.decompress(row["packed"], row["n_bytes"], "zstd", asbytes=True) if row["n_bytes"] else b""
+        raw = _raw(row["packed"])
         named = np.unpackbits(np.frombuffer(row["named"], np.uint8), count=len(lengths)).astype(bool)
         return Block(
             row["block"], np.frombuffer(row["ids"], np.int64), named, np.cumsum(lengths),
@@ -216,8 +234,8 @@ def _announce(batches: Iterator[pa.RecordBatch], n_buckets: int) -> Iterator[pa.
     """A message for each block and bucket: the block's anchors, which of them several of its documents have, and how
     often those with many runs stand."""
     for batch in batches:
-        for row in batch.to_pylist():
-            block = Block.of(row)
+        for place in range(batch.num_rows):
+            block = Block.of(batch.slice(place, 1).to_pylist()[0])
             _, keys, ids = block.runs(n_buckets)
             order = np.argsort(keys, kind="stable")
             keys, ids = keys[order], ids[order]
@@ -273,12 +291,22 @@ def _compare(key: tuple, table: pa.Table, hot_runs: int) -> pa.Table:
 # --- snippets -----------------------------------------------------------------------------------
 
 
-def _distinct(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    """(code of each stretch, the distinct stretches)"""
+def _cut_out(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches one after the other."""
+    edge = starts(size)
+    out = np.empty(edge[-1], np.uint8)
+    for a in range(0, len(size), _RUNS):
+        b = min(a + _RUNS, len(size))
+        out[edge[a] : edge[b]] = ragged(data, begin[a:b], size[a:b])
+    return out
+
+
+def _distinct(text: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """(code of each of the stretches that the text consists of, the distinct stretches)"""
     offsets = pa.py_buffer(starts(size).tobytes())
-    column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, offsets, pa.py_buffer(ragged(data, begin, size))])
+    column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, offsets, pa.py_buffer(text)])
     encoded = column.dictionary_encode()
-    return encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64), encoded.dictionary
+    return encoded.indices.to_numpy(zero_copy_only=False), encoded.dictionary
 
 
 def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -329,11 +357,11 @@ def _send(key: tuple, blocks: pa.Table, answers: pa.Table, n_buckets: int) -> pa
 
 
 def _messages(out: dict, block: Block, begin: np.ndarray, size: np.ndarray, keys: np.ndarray, ids: np.ndarray) -> None:
-    codes, contents = _distinct(block.data, begin, size)
+    codes, contents = _distinct(_cut_out(block.data, begin, size), size)
     # Of each snippet the first run stands for it; the order of the snippets is that of their buckets.
     _, first = np.unique(codes, return_index=True)
     order = np.argsort(keys[first], kind="stable")
-    place = np.empty(len(order), np.int64)
+    place = np.empty(len(order), np.int32)
     place[order] = np.arange(len(order))
     codes = place[codes]
     snippet_keys = keys[first][order]
@@ -343,18 +371,30 @@ def _messages(out: dict, block: Block, begin: np.ndarray, size: np.ndarray, keys
     edge = starts(sizes)
     present, cut = _cut_by_bucket(snippet_keys)
     for bucket, a, b in zip(present.tolist(), cut[:-1].tolist(), cut[1:].tolist()):
-        values = (0, block.number, bucket, (snippet_keys[a:b] & _LOW).astype(np.uint32).tobytes(), sizes[a:b].astype(np.uint8).tobytes(),
-                  least[a:b].tobytes(), pa.compress(contents[edge[a] : edge[b]].tobytes(), "zstd", asbytes=True), None, None)
+        values = (
+            0, block.number, bucket, _packed((snippet_keys[a:b] & _LOW).astype(np.uint32)), _packed(sizes[a:b].astype(np.uint8)),
+            _packed(least[a:b]), _packed(contents[edge[a] : edge[b]]), None, None, None,
+        )
         for name, value in zip(out, values):
             out[name].append(value)
-    # Runs of the smallest doc_id wait for the answer of their snippet (its code), all others are hits: -1.
-    codes = np.where(ids > least[codes], -1, codes).astype(np.int32)
-    values = (1, block.number, -1, None, size.astype(np.uint8).tobytes(), None, None, begin.tobytes(), codes.tobytes())
+    # Runs of the smallest doc_id wait for the answer of their snippet, all others go; those that touch are one stretch.
+    goes = ids > least[codes]
+    waits = ~goes
+    first, last = begin[goes], (begin + size)[goes]
+    order = np.argsort(first, kind="stable")
+    first, last = first[order], np.maximum.accumulate(last[order]) if len(order) else last
+    new = np.concatenate([[True], first[1:] > last[:-1]]) if len(first) else np.zeros(0, bool)
+    ends = last[np.append(np.flatnonzero(new)[1:] - 1, len(last) - 1)] if len(first) else last
+    values = (
+        1, block.number, -1, None, _packed(size[waits].astype(np.uint8)), None, None,
+        _packed(np.diff(begin[waits], prepend=0).astype(np.int32)), _packed(codes[waits]),
+        _packed(np.stack([first[new], ends]).astype(np.int64)),
+    )
     for name, value in zip(out, values):
         out[name].append(value)
 
 
-_SENT = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("bucket", pa.int32()), *[(n, pa.binary()) for n in ("keys", "sizes", "ids", "content", "begins", "codes")]])
+_SENT = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("bucket", pa.int32()), *[(n, pa.binary()) for n in ("keys", "sizes", "ids", "content", "begins", "codes", "goes")]])
 
 
 # --- shards ---------------------------------------------------------------------------------------
@@ -371,27 +411,22 @@ def window_classes(text: np.ndarray, windows: np.ndarray) -> np.ndarray:
 
 def _search(key: tuple, table: pa.Table) -> pa.Table:
     """For each message a bit for each window of its snippets: whether a smaller doc_id has it."""
-    read = lambda name, kind: [np.frombuffer(x, kind) for x in table[name].to_pylist()]
-    sizes, keys, ids = read("sizes", np.uint8), read("keys", np.uint32), read("ids", np.int64)
-    counts = [len(x) for x in sizes]
-    texts = [
-        np.frombuffer(pa.decompress(x, int(s.sum(dtype=np.int64)), "zstd", asbytes=True), np.uint8)
-        for x, s in zip(table["content"].to_pylist(), sizes)
-    ]
-    text, size = np.concatenate(texts), np.concatenate(sizes).astype(np.int64)
-    keys, ids = np.concatenate(keys), np.concatenate(ids)
-    del texts
-    codes, contents = _distinct(text, starts(size)[:-1], size)
-    del text
+    read = lambda name, kind: [_unpacked(x, kind) for x in table[name].to_pylist()]
+    sizes, keys, ids = read("sizes", np.uint8), np.concatenate(read("keys", np.uint32)), np.concatenate(read("ids", np.int64))
+    counts = starts(np.array([len(x) for x in sizes]))
+    size = np.concatenate(sizes).astype(np.int64)
+    codes, contents = _distinct(np.concatenate(read("content", np.uint8)), size)
+    known, rank = np.unique(ids, return_inverse=True)  # doc_ids as small numbers
+    rank = rank.astype(np.int32)
     _, first = np.unique(codes, return_index=True)
-    least = np.full(len(first), np.iinfo(np.int64).max)
-    np.minimum.at(least, codes, ids)
+    least = np.full(len(first), len(known), np.int32)
+    np.minimum.at(least, codes, rank)
     order = np.argsort(keys[first], kind="stable")
-    text, snippet_size = _flat(contents.take(pa.array(order)))
-    sorted_keys = keys[first][order]
+    contents, snippet_size = _flat(contents.take(pa.array(order)))
+    sorted_keys, least = keys[first][order], least[order]
     edge, n_windows = starts(snippet_size), snippet_size - LENGTH + 1
     window_edge = starts(n_windows)
-    smallest = np.empty(window_edge[-1], np.int64)  # doc_id, by window of the distinct snippets
+    smallest = np.empty(window_edge[-1], np.int32)  # by window of the distinct snippets
     a = 0
     while a < len(order):
         b = int(np.searchsorted(edge, edge[a] + SHARD_BYTES, side="right")) - 1
@@ -399,54 +434,53 @@ def _search(key: tuple, table: pa.Table) -> pa.Table:
         while b < len(order) and sorted_keys[b] == sorted_keys[b - 1]:  # an anchor's snippets stay together
             b += 1
         windows = ragged_places(edge[a:b] - edge[a], n_windows[a:b])
-        classes = window_classes(text[edge[a] : edge[b]], windows)
-        owner = np.repeat(least[order[a:b]], n_windows[a:b])
-        by_class = np.full(int(classes.max()) + 1, np.iinfo(np.int64).max)
-        np.minimum.at(by_class, classes, owner)
+        classes = window_classes(contents[edge[a] : edge[b]], windows)
+        by_class = np.full(int(classes.max()) + 1, len(known), np.int32)
+        np.minimum.at(by_class, classes, np.repeat(least[a:b], n_windows[a:b]))
         smallest[window_edge[a] : window_edge[b]] = by_class[classes]
         a = b
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
-    at = place[codes]
-    hit = ragged(smallest, window_edge[at], n_windows[at]) < np.repeat(ids, n_windows[at])
-    cut = starts(size - LENGTH + 1)[starts(np.array(counts))].tolist()
+    hits = []
+    for a, b in zip(counts[:-1].tolist(), counts[1:].tolist()):
+        at = place[codes[a:b]]
+        hit = ragged(smallest, window_edge[at], n_windows[at]) < np.repeat(rank[a:b], n_windows[at])
+        hits.append(_packed(np.packbits(hit)))
     return pa.table({
         "kind": pa.array(np.full(table.num_rows, 2), pa.int32()), "block": table["block"], "bucket": table["bucket"],
-        "content": pa.array([np.packbits(hit[a:b]).tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
-        "keys": pa.array([np.array([c], np.int64).tobytes() for c in counts], pa.binary()),
-        **{name: pa.nulls(table.num_rows, pa.binary()) for name in ("sizes", "ids", "begins", "codes")},
+        "sizes": table["sizes"], "content": pa.array(hits, pa.binary()),
+        **{name: pa.nulls(table.num_rows, pa.binary()) for name in ("keys", "ids", "begins", "codes", "goes")},
     }).select(_SENT.names)
 
 
 # --- removal --------------------------------------------------------------------------------------
 
 
-def _hit_windows(told: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """(begin, end) of stretches of the block's text that are to go."""
+def _gone(n_bytes: int, told: pa.Table) -> np.ndarray:
+    """Whether each byte of the block's text is to go."""
+    change = np.zeros(n_bytes + 1, np.int32)
     mine = told.filter(pc.equal(told["kind"], 1)).to_pylist()
-    if not mine:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    begin, codes = np.frombuffer(mine[0]["begins"], np.int64), np.frombuffer(mine[0]["codes"], np.int32)
-    size = np.frombuffer(mine[0]["sizes"], np.uint8).astype(np.int64)
-    n_windows = size - LENGTH + 1
-    snippet_windows = np.zeros(int(codes.max(initial=-1)) + 1, np.int64)
-    waiting = codes >= 0
-    snippet_windows[codes[waiting]] = n_windows[waiting]
-    # Answers come by bucket, as the snippets are numbered; all that were sent have one.
-    answers = told.filter(pc.equal(told["kind"], 2)).sort_by("bucket")
-    counts = [int(np.frombuffer(x, np.int64)[0]) for x in answers["keys"].to_pylist()]
-    snippet_windows = np.append(snippet_windows, np.zeros(sum(counts) - len(snippet_windows), np.int64))
-    edge = starts(snippet_windows)
-    bits = []
-    for a, b, packed in zip(starts(np.array(counts)).tolist(), starts(np.array(counts))[1:].tolist(), answers["content"].to_pylist()):
-        bits.append(np.unpackbits(np.frombuffer(packed, np.uint8), count=edge[b] - edge[a]))
-    hits = np.concatenate([*bits, np.zeros(0, np.uint8)]).astype(bool)
-    found = ragged(hits, edge[codes[waiting]], n_windows[waiting])
-    single = ragged_places(begin[waiting], n_windows[waiting])[found]
-    return (
-        np.concatenate([begin[~waiting], single]),
-        np.concatenate([begin[~waiting] + size[~waiting], single + LENGTH]),
-    )
+    if mine:
+        first, last = _unpacked(mine[0]["goes"], np.int64).reshape(2, -1)
+        np.add.at(change, first, 1)
+        np.add.at(change, last, -1)
+        # Answers come by bucket, as the snippets are numbered; all that were sent have one.
+        answers = told.filter(pc.equal(told["kind"], 2)).sort_by("bucket")
+        sizes = [_unpacked(x, np.uint8).astype(np.int64) - LENGTH + 1 for x in answers["sizes"].to_pylist()]
+        bits = [
+            np.unpackbits(_unpacked(x, np.uint8), count=int(n.sum())) for x, n in zip(answers["content"].to_pylist(), sizes)
+        ]
+        hits, edge = np.concatenate(bits).astype(bool), starts(np.concatenate(sizes))
+        begin = np.cumsum(_unpacked(mine[0]["begins"], np.int32), dtype=np.int64)
+        codes = _unpacked(mine[0]["codes"], np.int32)
+        n_windows = _unpacked(mine[0]["sizes"], np.uint8).astype(np.int64) - LENGTH + 1
+        for a in range(0, len(codes), _RUNS):
+            part = slice(a, a + _RUNS)
+            found = ragged(hits, edge[codes[part]], n_windows[part])
+            windows = ragged_places(begin[part], n_windows[part])[found]
+            np.add.at(change, windows, 1)
+            np.add.at(change, windows + LENGTH, -1)
+    return np.cumsum(change[:-1], dtype=np.int32) > 0
 
 
 def _remove(key: tuple, blocks: pa.Table, told: pa.Table) -> pa.Table:
@@ -454,11 +488,7 @@ def _remove(key: tuple, blocks: pa.Table, told: pa.Table) -> pa.Table:
     if not blocks.num_rows:
         return _RESULT.empty_table()
     block = Block.of(blocks.to_pylist()[0])
-    change = np.zeros(len(block.data) + 1, np.int32)
-    begin, end = _hit_windows(told)
-    np.add.at(change, begin, 1)
-    np.add.at(change, end, -1)
-    gone = np.cumsum(change[:-1], dtype=np.int32) > 0
+    gone = _gone(len(block.data), told)
     row_starts = np.concatenate([[0], block.ends[:-1]])
     spans, kept, removed = [], [], []
     for a, b in zip(row_starts.tolist(), block.ends.tolist()):
@@ -484,9 +514,21 @@ _RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_remove
 _RESULT_TYPES = "doc_id long, n_bytes long, n_removed long, spans array<struct<begin: long, end: long>>, kept binary"
 
 
+def _stored_by_block(blocks: DataFrame) -> DataFrame:
+    """The blocks as a table bucketed by their number, so that answers come to them and the texts are never shuffled."""
+    spark = blocks.sparkSession
+    name = f"text_blocks_{uuid.uuid4().hex}"
+    n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = blocks.write.bucketBy(n_buckets, "block").sortBy("block").option("path", new_folder(spark, "text-blocks"))
+    writer.saveAsTable(name)
+    stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # only its entry in the catalog: the files are in the scratch folder
+    return stored
+
+
 def remove_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, hot_runs: int = HOT_RUNS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, spans, kept) of every row: the stretches of bytes that go, and what is left."""
-    blocks = materialize(docs.select("doc_id", "text").mapInArrow(_pack, _BLOCKS), "text-blocks")
+    blocks = _stored_by_block(docs.select("doc_id", "text").mapInArrow(_pack, _BLOCKS))
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     n_buckets = max(1, -(-total // bucket_bytes))
     announced = blocks.mapInArrow(
