@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -169,21 +169,35 @@ def _row_fails(check: Check) -> Column:
     return _out_of_range(check.column, check.minimum, check.maximum)
 
 
+def row_checks(checks: Sequence[Check]) -> dict[str, Column]:
+    """The checks of single rows by name, each true where a row fails it: to be counted while a table is written."""
+    return {c.name: _row_fails(c) for c in checks if c.kind in _ROW_KINDS}
+
+
 def run_suite(
-    df: DataFrame, model: str, checks: Sequence[Check], parents: Mapping[str, DataFrame] | None = None
+    df: DataFrame,
+    model: str,
+    checks: Sequence[Check],
+    parents: Mapping[str, DataFrame] | None = None,
+    counted: Callable[[str], int | None] | None = None,
 ) -> DataFrame:
     """(model, column_name, check_type, severity, failures) for every check of one table.
 
     All checks of single rows share one scan and one aggregate. Uniqueness and relationships take one
-    grouped count each.
+    grouped count each. ``counted`` gives the failures of row checks by name (as ``row_checks`` has them) that were
+    counted when the table was written, None where they were not; these need no scan.
     """
     results = []
-    row_checks = [c for c in checks if c.kind in _ROW_KINDS]
-    if row_checks:
+    known = [(c, counted(c.name) if counted else None) for c in checks if c.kind in _ROW_KINDS]
+    written = [_result(model, c, F.lit(n)) for c, n in known if n is not None]
+    if written:
+        results.append(df.sparkSession.range(1).select(F.inline(F.array(*written))))
+    unknown = [c for c, n in known if n is None]
+    if unknown:
         counted = df.agg(
-            *[F.count_if(_row_fails(c)).alias(f"failures_{i}") for i, c in enumerate(row_checks)]
+            *[F.count_if(_row_fails(c)).alias(f"failures_{i}") for i, c in enumerate(unknown)]
         )
-        rows = [_result(model, c, F.col(f"failures_{i}")) for i, c in enumerate(row_checks)]
+        rows = [_result(model, c, F.col(f"failures_{i}")) for i, c in enumerate(unknown)]
         results.append(counted.select(F.inline(F.array(*rows))))
     for check in checks:
         if check.kind == "unique":

@@ -1,30 +1,31 @@
 """Incremental maintenance of a keyed parquet table: high-water mark, batch, merge.
 
 Built-in parquet tables have no MERGE, so the merge rewrites exactly the partitions that hold a key of the
-batch or receive one. They are written beside the table and then take the place of the old ones. With a
-catalog whose tables support row-level changes, ``merge_into`` does the same as one statement.
+batch or receive one, as a new version of the table (``stratum.sources.versions``). With a catalog whose tables
+support row-level changes, ``merge_into`` does the same as one statement.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
-from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from stratum import schemas
 from stratum.functions import as_timestamp
 from stratum.operators.dedup import first_per_key
-from stratum.sources import files
-from stratum.sources.layers import cluster, replace_folder
+from stratum.sources import versions
+from stratum.sources.layers import cluster, replace_table
 from stratum.sources.scratch import dropped_after, materialize
 
 #: Keys of a batch are broadcast up to this number, and joined by a shuffle beyond it.
 MOST_BROADCAST_KEYS = 1_000_000
 
+#: Up to so many keys are looked up as a list, which the bloom filters of the files are tried on.
+MOST_LISTED_KEYS = 500
+
 
 class DuplicateKeys(ValueError):
     """One batch holds a key more than once."""
@@ -81,92 +82,73 @@ def upsert(
     cluster_by: Sequence[str],
     on_duplicate: str = "raise",
     order: str = "_loaded_at",
+    row_checks: Mapping[str, Column] | None = None,
 ) -> int:
-    """Merge a batch into the parquet table at ``path``; returns the number of rows in the batch.
+    """Merge a batch into the versioned table at ``path``; returns the number of rows in the batch.
 
     A key repeated within the batch is refused (``raise``), or its newest row is taken (``latest``). A batch row
-    that is older than the table's row of its key, by ``order``, does not replace it. One writer at a time.
+    that is older than the table's row of its key, by ``order``, does not replace it.
 
-    Until the new partitions are complete the table is untouched, so a run that dies before can simply be
-    run again. One that dies later, while partitions are swapped, is finished by ``recover`` at the start of
-    the next call.
+    Only files that can hold a key of the batch are opened: those of partitions whose keys, as the log has them,
+    lie around the batch's, and for a batch of few keys those whose bloom filter knows one. The partitions that hold
+    or receive a key are written anew, as a version that counts from the moment the log points to it. A run that dies
+    before leaves the table as it was, and one of two runs at once is refused.
     """
     if on_duplicate not in ("raise", "latest"):
         raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
-    recover(spark, path)
-    struct = schemas.struct(types)
     batch = batch.select(*types)
     if on_duplicate == "latest":
         batch = latest_per_key(batch, key, order)
     with dropped_after(spark):
-        # Stored once, since it is read for its keys, its partitions and its rows.
-        batch = materialize(batch, "merge-batch")
+        # Stored once, since it is read for its keys, its partitions and its rows; measured while it is written.
+        measured = Observation()
+        watched = batch.observe(
+            measured, F.count(F.lit(1)).alias("n"), F.min(key).cast("string").alias("low"), F.max(key).cast("string").alias("high")
+        )
+        batch = materialize(watched, "merge-batch")
+        rows, low, high = (measured.get[x] for x in ("n", "low", "high"))
+        if not rows:
+            return 0
         refuse_duplicates(batch, key)
-        rows = batch.count()
-        if rows:
-            few = rows <= MOST_BROADCAST_KEYS
-            keys = batch.select(key)
-            target = spark.read.schema(struct).parquet(path).select(*types)
-            held = target.join(F.broadcast(keys) if few else keys, key, "left_semi")
-            held = materialize(held.select(key, partition_by, *([order] if order != partition_by else [])), "merge-held")
-            batch = not_older(batch, held, key, order)
-            holding = {row[0] for row in held.select(partition_by).distinct().collect()}  # folders of the table
-            receiving = {row[0] for row in batch.select(partition_by).distinct().collect()}
-            result = merged(target.filter(_is_in(partition_by, holding | receiving)), batch, key, broadcast=few)
-            _stage(spark, result, path, key, partition_by, cluster_by, holding)
-            recover(spark, path)
+        base = versions.current(spark, path)
+        few = rows <= MOST_BROADCAST_KEYS
+        keys = batch.select(key)
+        opened = base.may_hold(low, high)
+        held = versions.read(spark, path, types, base, opened)
+        if rows <= MOST_LISTED_KEYS:
+            held = held.filter(_any_of(key, [r[0] for r in keys.collect()]))
+        held = held.join(F.broadcast(keys) if few else keys, key, "left_semi")
+        held = materialize(held.select(key, partition_by, *([order] if order != partition_by else [])), "merge-held")
+        batch = not_older(batch, held, key, order)
+        concerned = _parts(held, partition_by, "holds").unionByName(_parts(batch, partition_by, "receives")).collect()
+        changed = {r.part for r in concerned}
+        if not any(r.role == "receives" for r in concerned):
+            return rows  # everything in it is older than what the table has
+        touched = [p for p in base.parts if p.part in changed]
+        target = versions.read(spark, path, types, base, touched)
+        result = cluster(merged(target, batch, key, broadcast=few), _leading(partition_by, cluster_by), [key])
+        layout = versions.Layout(partition_by, key, order, row_checks)
+        versions.commit(spark, result, path, layout, types, base, replaces=changed)
     return rows
 
 
+def _parts(rows: DataFrame, partition_by: str, role: str) -> DataFrame:
+    part = F.col(partition_by).cast("string").alias("part")
+    return rows.select(part).distinct().withColumn("role", F.lit(role))
+
+
+def _any_of(key: str, values: Sequence) -> Column:
+    """In pieces short enough for the file reader to try each value on the bloom filters."""
+    pieces = [F.col(key).isin(*values[at : at + 10]) for at in range(0, len(values), 10)]
+    return reduce(lambda a, b: a | b, pieces)
+
+
 def refuse_duplicates(batch: DataFrame, key: str) -> None:
     repeated = batch.groupBy(key).agg(F.count("*").alias("times")).filter("times > 1").limit(5).collect()
     if repeated:
         raise DuplicateKeys(f"{key} repeated in one batch, for example {[r[0] for r in repeated]}")
 
 
-def _stage(
-    spark: SparkSession,
-    result: DataFrame,
-    path: str,
-    key: str,
-    partition_by: str,
-    cluster_by: Sequence[str],
-    holding: set,
-) -> None:
-    """Write the new partitions, and mark those that lost all their rows. The rename makes them count."""
-    writing = f"{path}.__writing"
-    clustered = cluster(result, _leading(partition_by, cluster_by), [key])
-    clustered.write.mode("overwrite").partitionBy(partition_by).parquet(writing)
-    # Folder names hold some characters in an escaped form, so they are looked up and not made.
-    present = {unquote(f.partition("=")[2]): f for f in files.children(spark, path) if "=" in f}
-    filled = set(files.children(spark, writing))
-    for value in holding:
-        folder = present.get("__HIVE_DEFAULT_PARTITION__" if value is None else str(value))
-        if folder is None:
-            raise ValueError(f"no folder of {path} is known to hold {partition_by} {value!r}")
-        if folder not in filled:
-            files.make(spark, f"{writing}/_emptied/{folder}")
-    files.rename(spark, writing, _staged(path))
-
-
-def recover(spark: SparkSession, path: str) -> None:
-    """Put staged partitions in place; does nothing when there are none. Every step can be repeated.
-
-    Call before reading a table whose last merge may have been cut off.
-    """
-    staged = _staged(path)
-    if not files.exists(spark, staged):
-        return
-    for folder in files.children(spark, f"{staged}/_emptied"):
-        files.delete(spark, f"{path}/{folder}")
-    for folder in files.children(spark, staged):
-        if "=" in folder:
-            files.delete(spark, f"{path}/{folder}")
-            files.rename(spark, f"{staged}/{folder}", f"{path}/{folder}")
-    files.delete(spark, staged)
-    spark.catalog.refreshByPath(path)
-
-
 def full_load(
     df: DataFrame,
     path: str,
@@ -175,20 +157,16 @@ def full_load(
     partition_by: str,
     cluster_by: Sequence[str],
     on_duplicate: str | None = None,
+    order: str = "_loaded_at",
+    row_checks: Mapping[str, Column] | None = None,
 ) -> None:
     """Build the table anew. ``on_duplicate`` treats repeated keys as ``upsert`` does; None takes all rows."""
-    recover(df.sparkSession, path)
     if on_duplicate == "latest":
-        df = latest_per_key(df.select(*types), key)
+        df = latest_per_key(df.select(*types), key, order)
     elif on_duplicate == "raise":
         refuse_duplicates(df, key)
-    replace_folder(
-        df.select(*types),
-        path,
-        cluster_by=_leading(partition_by, cluster_by),
-        spread_by=[key],
-        partition_by=[partition_by],
-    )
+    layout = versions.Layout(partition_by, key, order if order in types else None, row_checks)
+    replace_table(df.select(*types), path, _leading(partition_by, cluster_by), [key], layout, types)
 
 
 def merge_into(batch: DataFrame, table: str, key: str) -> None:
@@ -207,16 +185,5 @@ def merge_into(batch: DataFrame, table: str, key: str) -> None:
     )
 
 
-def _staged(path: str) -> str:
-    return f"{path}.__staged"
-
-
 def _leading(partition_by: str, cluster_by: Sequence[str]) -> list[str]:
     return [partition_by, *[c for c in cluster_by if c != partition_by]]
-
-
-def _is_in(column: str, values: set) -> Column:
-    tests = [F.col(column).isin(*[v for v in values if v is not None])] if values - {None} else []
-    if None in values:
-        tests.append(F.col(column).isNull())
-    return reduce(lambda a, b: a | b, tests, F.lit(False))

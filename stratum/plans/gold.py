@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,17 +17,30 @@ from stratum.sources.scratch import materialize
 # Fixed value: the revenue mart starts here unless told otherwise.
 START_DATE = "2023-01-01"
 SEGMENT_KEYS = ("order_month", "order_year", "customer_segment", "region", "channel")
+SEGMENT_COLUMNS = (
+    *SEGMENT_KEYS,
+    "order_count",
+    "unique_customers",
+    "total_units",
+    "gross_revenue",
+    "net_revenue",
+    "total_discounts",
+    "avg_order_value",
+    "avg_days_to_ship",
+    "on_time_delivery_pct",
+)
 CUSTOMER_360_CLUSTER_BY = ("customer_segment", "country")
 TILES = 5
+RFM_SCORES = ("recency_score", "frequency_score", "monetary_score")
 
 
 def _order_measures(order_ids_unique: bool) -> dict[str, Column]:
     """Measures of a group of orders that both marts need, under the names of neither.
 
     Where order ids are known to be unique (they are the key of the silver table) their distinct count is a
-    plain count. That leaves one distinct count per mart, which Spark computes by first summing per group and
-    counted value inside each task: no rows are multiplied and no group gathers in one task. Two distinct
-    counts would multiply the rows to be shuffled.
+    plain count. One distinct count in an aggregate is computed by first summing per group and counted value inside
+    each task: no rows are multiplied and no group gathers in one task. Two of them would multiply the rows to be
+    shuffled, so each aggregate of this module holds one at most.
     """
     orders = F.count("order_id") if order_ids_unique else F.countDistinct("order_id")
     net = F.sum("net_revenue").cast(NET_SUM_TYPE)
@@ -42,11 +57,15 @@ def _order_measures(order_ids_unique: bool) -> dict[str, Column]:
 
 
 def monthly_segment(orders: DataFrame, order_ids_unique: bool = False) -> DataFrame:
-    """Volume, revenue and fulfilment per month, segment, region and channel."""
+    """Volume, revenue and fulfilment per month, segment, region and channel.
+
+    Customers are counted by an aggregate of their own that reads only them, unless that is the only distinct count.
+    The two meet group by group.
+    """
     m = _order_measures(order_ids_unique)
-    return orders.groupBy(*SEGMENT_KEYS).agg(
+    unique_customers = F.countDistinct("customer_id").alias("unique_customers")
+    measures = [
         m["orders"].alias("order_count"),
-        F.countDistinct("customer_id").alias("unique_customers"),
         F.sum("quantity").alias("total_units"),
         m["gross"].alias("gross_revenue"),
         m["net"].alias("net_revenue"),
@@ -54,7 +73,14 @@ def monthly_segment(orders: DataFrame, order_ids_unique: bool = False) -> DataFr
         m["avg_order_value"].alias("avg_order_value"),
         m["avg_days_to_ship"].alias("avg_days_to_ship"),
         m["on_time"].alias("on_time_delivery_pct"),
-    )
+    ]
+    if order_ids_unique:
+        rows = orders.groupBy(*SEGMENT_KEYS).agg(unique_customers, *measures)
+    else:
+        counted = orders.groupBy(*[F.col(k).alias(f"_{k}") for k in SEGMENT_KEYS]).agg(unique_customers)
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in SEGMENT_KEYS])
+        rows = orders.groupBy(*SEGMENT_KEYS).agg(*measures).join(counted, same)
+    return rows.select(*SEGMENT_COLUMNS)
 
 
 def with_month_over_month(monthly: DataFrame) -> DataFrame:
@@ -89,7 +115,10 @@ def customer_metrics(
     as_of: Column | dt.date | str | None = None,
     order_ids_unique: bool = False,
 ) -> DataFrame:
-    """Lifetime activity, revenue, recency and fulfilment per customer."""
+    """Lifetime activity, revenue, recency and fulfilment per customer.
+
+    The months of a customer are collected as a set, which holds one entry a month however many orders there are.
+    """
     m = _order_measures(order_ids_unique)
     first, last = F.min("order_date"), F.max("order_date")
     return silver.groupBy("customer_id").agg(
@@ -97,7 +126,7 @@ def customer_metrics(
         last.alias("last_order_date"),
         fx.days_between(first, last).alias("customer_tenure_days"),
         m["orders"].alias("lifetime_order_count"),
-        F.countDistinct(F.trunc("order_date", "month")).alias("active_months"),
+        F.size(F.collect_set(F.trunc("order_date", "month"))).cast("long").alias("active_months"),
         m["gross"].alias("lifetime_gross_revenue"),
         m["net"].alias("lifetime_net_revenue"),
         m["avg_order_value"].alias("avg_order_value"),
@@ -124,15 +153,18 @@ def rfm_rankings(recency_direction: str = "as_written") -> list[Ranking]:
     ]
 
 
-def with_rfm(metrics: DataFrame, recency_direction: str = "as_written") -> DataFrame:
-    """Add the three scores. ``metrics`` is read several times, so it should be a stored table."""
-    return add_ntiles(metrics, "customer_id", rfm_rankings(recency_direction), TILES)
+def with_rfm(
+    metrics: DataFrame, recency_direction: str = "as_written", scores: Sequence[str] = RFM_SCORES
+) -> DataFrame:
+    """Add the three scores, or some of them. ``metrics`` is read several times, so it should be a stored table."""
+    rankings = [r for r in rfm_rankings(recency_direction) if r.name in scores]
+    return add_ntiles(metrics, "customer_id", rankings, TILES)
 
 
-def rfm(metrics: DataFrame, recency_direction: str = "as_written") -> DataFrame:
-    return with_rfm(metrics, recency_direction).select(
-        "customer_id", "recency_score", "frequency_score", "monetary_score"
-    )
+def rfm(
+    metrics: DataFrame, recency_direction: str = "as_written", scores: Sequence[str] = RFM_SCORES
+) -> DataFrame:
+    return with_rfm(metrics, recency_direction, scores).select("customer_id", *scores)
 
 
 def mart_customer_360(
@@ -144,7 +176,18 @@ def mart_customer_360(
     order_ids_unique: bool = False,
 ) -> DataFrame:
     """One row per customer; a customer without orders has NULL metrics and scores."""
-    stored = materialize(customer_metrics(silver, as_of, order_ids_unique), "customer-metrics")
+    metrics = customer_metrics(silver, as_of, order_ids_unique)
+    return customer_360_of(metrics, customers, recency_direction, refreshed_at)
+
+
+def customer_360_of(
+    metrics: DataFrame,
+    customers: DataFrame,
+    recency_direction: str = "as_written",
+    refreshed_at: Column | dt.datetime | str | None = None,
+) -> DataFrame:
+    """The mart from the metrics of those customers who have orders."""
+    stored = materialize(metrics, "customer-metrics")
     scored = with_rfm(stored, recency_direction)
     metric_columns = [c for c in stored.columns if c != "customer_id"]
     return customers.join(scored, "customer_id", "left").select(

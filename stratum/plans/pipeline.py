@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from stratum import functions as fx
 from stratum.operators import checks, upsert
-from stratum.plans import bronze, gold, silver
+from stratum.plans import bronze, gold, partials, silver
 from stratum.plans.check_catalog import checks_for
 from stratum.schemas import SILVER_TYPES
 from stratum.sources.layers import LAYERS, LayerStore, create_view
+from stratum.sources.readers import read_appended
 from stratum.sources.scratch import dropped_after
 
 SILVER = "int_orders_enriched"
@@ -44,6 +45,8 @@ class PipelineConfig:
     # (model, check name) pairs that report without blocking, such as ("stg_orders", "not_null_customer_id").
     warn_only: Iterable[tuple[str, str]] = ()
     row_count_severity: str = "warn"
+    # Marts from stored sums of each month, of which only those of changed months are made anew.
+    incremental_gold: bool = False
 
 
 @dataclass
@@ -83,10 +86,10 @@ def run_pipeline(
         _gate(run, config, sources | {"stg_orders": orders, "stg_customers": customers})
     if "silver" in config.layers:
         run.merged_rows = build_silver(spark, orders, customers, store, config)
-        _gate(run, config, {SILVER: _silver(store)}, parents={"stg_customers": customers})
+        _gate(run, config, {SILVER: _silver(store)}, parents={"stg_customers": customers}, store=store, layer="silver")
     if "gold" in config.layers:
         tables = build_gold(_silver(store), customers, store, config, order_ids_unique=_order_ids_proven(run))
-        _gate(run, config, tables)
+        _gate(run, config, tables, store=store, layer="gold")
         _check_row_counts(spark, tables, store, config, run)
     return run
 
@@ -102,17 +105,19 @@ def build_silver(
     config = config or PipelineConfig()
     path = store.path("silver", SILVER)
     layout = (SILVER_TYPES, silver.KEY, config.partition_by, silver.CLUSTER_BY)
-    present = store.exists("silver", SILVER) and not config.full_refresh and not _silver(store).isEmpty()
+    held = None if config.full_refresh else store.snapshot("silver", SILVER)
+    present = held is not None and held.n_rows > 0
     if present:
-        mark = upsert.high_water_mark(_silver(store))
         # A table without any load time has no mark that an order could be newer than.
+        mark = held.newest
         new_orders = upsert.newer_than(orders, mark, lookback_days=config.lookback_days) if mark else orders.limit(0)
+    written = {"on_duplicate": config.on_duplicate, "row_checks": checks.row_checks(checks_for(SILVER))}
     with dropped_after(spark):
         batch = silver.int_orders_enriched(new_orders if present else orders, customers, processed_at=config.now)
         if not present:
-            upsert.full_load(batch, path, *layout, on_duplicate=config.on_duplicate)
+            upsert.full_load(batch, path, *layout, **written)
             return None
-        return upsert.upsert(spark, batch, path, *layout, on_duplicate=config.on_duplicate)
+        return upsert.upsert(spark, batch, path, *layout, **written)
 
 
 def build_gold(
@@ -122,26 +127,29 @@ def build_gold(
     config: PipelineConfig | None = None,
     order_ids_unique: bool = False,
 ) -> dict[str, DataFrame]:
-    """Rebuild both marts. Order ids that are known to be unique need no distinct count."""
+    """Rebuild both marts. Order ids that are known to be unique need no distinct count.
+
+    With ``incremental_gold`` the orders are not read but for the months of silver that have changed since.
+    """
     config = config or PipelineConfig()
     with dropped_after(store.spark):
-        revenue = gold.mart_revenue_by_segment(orders, config.start_date, order_ids_unique)
-        customer_360 = gold.mart_customer_360(
-            orders,
-            customers,
-            config.as_of,
-            config.recency_direction,
-            refreshed_at=config.now,
-            order_ids_unique=order_ids_unique,
-        )
+        if config.incremental_gold:
+            partials.refresh(store, SILVER)
+            revenue = partials.mart_revenue_by_segment(store, config.start_date)
+            metrics = partials.customer_metrics(store, config.as_of)
+        else:
+            revenue = gold.mart_revenue_by_segment(orders, config.start_date, order_ids_unique)
+            metrics = gold.customer_metrics(orders, config.as_of, order_ids_unique)
+        customer_360 = gold.customer_360_of(metrics, customers, config.recency_direction, refreshed_at=config.now)
         return {
-            GOLD[0]: store.replace(revenue, "gold", GOLD[0]),
+            GOLD[0]: store.replace(revenue, "gold", GOLD[0], row_checks=checks.row_checks(checks_for(GOLD[0]))),
             GOLD[1]: store.replace(
                 customer_360,
                 "gold",
                 GOLD[1],
                 cluster_by=gold.CUSTOMER_360_CLUSTER_BY,
                 spread_by=["customer_id"],
+                row_checks=checks.row_checks(checks_for(GOLD[1])),
             ),
         }
 
@@ -153,7 +161,6 @@ def _order_ids_proven(run: PipelineRun) -> bool:
 
 
 def _silver(store: LayerStore) -> DataFrame:
-    upsert.recover(store.spark, store.path("silver", SILVER))
     return store.read("silver", SILVER, SILVER_TYPES)
 
 
@@ -171,10 +178,16 @@ def _gate(
     config: PipelineConfig,
     tables: dict[str, DataFrame],
     parents: dict[str, DataFrame] | None = None,
+    store: LayerStore | None = None,
+    layer: str = "",
 ) -> None:
-    """Run the declared checks of the tables and raise if a blocking one fails."""
+    """Run the declared checks of the tables and raise if a blocking one fails.
+
+    The row checks of a stored table were counted when it was written.
+    """
+    counted = {model: store.snapshot(layer, model).failures if store else None for model in tables}
     suites = [
-        checks.run_suite(df, model, checks_for(model, config.warn_only), parents)
+        checks.run_suite(df, model, checks_for(model, config.warn_only), parents, counted[model])
         for model, df in tables.items()
     ]
     results = [r.asDict() for r in reduce(DataFrame.unionByName, suites).collect()]
@@ -192,11 +205,11 @@ def _check_row_counts(
     run: PipelineRun,
 ) -> None:
     """Compare the gold row counts with the last ones of an earlier day, and record them if this run passes."""
-    run.row_counts = {model: df.count() for model, df in tables.items()}
+    run.row_counts = {model: store.snapshot("gold", model).n_rows for model in tables}
     counts = spark.createDataFrame(list(run.row_counts.items()), "model string, n_rows long")
     types = {"run_at": "timestamp_ntz", "model": "string", "n_rows": "bigint"}
-    if store.exists("runs", "row_counts"):
-        history = store.read("runs", "row_counts", types)
+    history = read_appended(spark, store.path("runs", "row_counts"), types)
+    if history is not None:
         earlier = F.to_date("run_at") < F.to_date(fx.as_timestamp(config.now))
         previous = history.filter(earlier).groupBy("model").agg(F.max_by("n_rows", "run_at").alias("n_rows"))
         run.not_grown = sorted(

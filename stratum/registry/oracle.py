@@ -98,7 +98,18 @@ _FLAGGED = _flagged("stg_orders")
 _CLEAN = "\nclean as (select * from flagged where dq_flag = 'ok')"
 _SILVER = _silver_of("flagged", "silver")
 
-_MONTHLY = f"""
+# Silver of the orders loaded up to the cut, and what came after the newest of them for keys that it may replace.
+_INCREMENTED = f"""
+first_load as (select * from silver where _loaded_at <= timestamp '{CUT_TIME}'),
+second_load as (select * from silver where _loaded_at > (select max(_loaded_at) from first_load)),
+incremented as (
+  select * from first_load where order_id not in (select order_id from second_load)
+  union all
+  select * from second_load)"""
+
+
+def _monthly(where: str = "", silver: str = "silver") -> str:
+    return f"""
 monthly as (
   select
     order_month, order_year, customer_segment, region, channel,
@@ -112,10 +123,15 @@ monthly as (
     avg(days_to_ship) as avg_days_to_ship,
     cast(sum(case when shipped_on_time then 1 else 0 end) as double) / nullif(count(*), 0) * 100
       as on_time_delivery_pct
-  from silver
-  where order_date >= date '{START_DATE}'
+  from {silver}
+  {where}
   group by all)"""
 
+
+_MONTHLY = _monthly()
+_FROM_START = f"where order_date >= date '{START_DATE}'"
+_MONTHLY_FROM_START = _monthly(_FROM_START)
+
 _GROWTH = """
 growth as (
   select *,
@@ -180,6 +196,7 @@ _TO_METRICS = (*_TO_CLEAN, _METRICS)
 _TO_RFM = (*_TO_METRICS, _RFM)
 _TO_MONTHLY = (*_TO_SILVER, _MONTHLY)
 _TO_GROWTH = (*_TO_MONTHLY, _GROWTH)
+_TO_MART = (*_TO_SILVER, _MONTHLY_FROM_START, _GROWTH)
 _TO_360 = (_RAW_ORDERS, _RAW_CUSTOMERS, _FLAGGED, _CLEAN, _METRICS, _RFM, _CUSTOMER_360)
 
 # The table a merge leaves: rows loaded by the cut, replaced or joined by the batch.
@@ -274,16 +291,30 @@ def oracle_sql() -> dict[str, str]:
         "scan_raw_orders": _sql((_RAW_ORDERS,), "select * from raw_orders"),
         "scan_raw_customers": all_customers,
         "csv_roundtrip": all_orders,
-        "json_roundtrip": one_of((_RAW_ORDERS,), "* replace (true as _source_file)", "stg_orders"),
+        "json_roundtrip": all_orders,
+        "json_quarantine": _sql(
+            (_RAW_ORDERS,),
+            "select region, count(*) as n_rows, cast(sum(quantity) as bigint) as quantity from stg_orders "
+            "where quantity % 10 <> 0 or quantity is null group by region "
+            "union all select 'quarantine', count(*), null from stg_orders where quantity % 10 = 0",
+        ),
         "view_stg_orders": all_orders,
         "table_full_refresh": _sql((_RAW_ORDERS,), f"select * from stg_orders where order_date >= date '{CUT}'"),
         "clustered_write": one_of(_TO_CLEAN, "*", "clean"),
         "merge_upsert": one_of(_MERGED, "*", "merged"),
+        "mart_revenue_incremental": _sql(
+            (*_MERGED, _monthly(_FROM_START, "merged"), _GROWTH),
+            "select * from growth order by order_month desc nulls first, net_revenue desc nulls first",
+        ),
+        "mart_customer_360_incremental": one_of(
+            (*_MERGED, "\nclean as (select * from merged)", _METRICS, _RFM, _CUSTOMER_360), "*", "customer_360"
+        ),
         "incremental_watermark": _sql((_RAW_ORDERS,), f"select * from stg_orders where _loaded_at > {newest_seen}"),
         "full_vs_incremental_equiv": _sql(
-            _TO_SILVER,
-            "select count(*) as rows_full, count(*) as rows_incremental, cast(0 as bigint) as rows_differing "
-            "from silver",
+            (*_TO_SILVER, _INCREMENTED),
+            "select count(f.order_id) as rows_full, count(i.order_id) as rows_incremental, "
+            "count(*) filter (where f is distinct from i) as rows_differing "
+            "from silver as f full join incremented as i on f.order_id = i.order_id",
         ),
         # projections, casts and filters
         "project_alias": one_of(
@@ -461,7 +492,7 @@ def oracle_sql() -> dict[str, str]:
             _TO_SILVER, f"select * from silver where _loaded_at > timestamp '{CUT_TIME}'"
         ),
         "mart_revenue_by_segment": _sql(
-            _TO_GROWTH, "select * from growth order by order_month desc nulls first, net_revenue desc nulls first"
+            _TO_MART, "select * from growth order by order_month desc nulls first, net_revenue desc nulls first"
         ),
         "mart_customer_360": one_of(_TO_360, "*", "customer_360"),
         "layered_run_summary": _layered_run_summary(),
@@ -525,7 +556,7 @@ def oracle_sql() -> dict[str, str]:
             (*_TO_SILVER, _STORED_SILVER), _suite("int_orders_enriched", "stored_silver")
         ),
         "dq_suite_gold": _sql(
-            (*_TO_GROWTH, _CLEAN, _METRICS, _RFM, _CUSTOMER_360, _STORED_360),
+            (*_TO_MART, _CLEAN, _METRICS, _RFM, _CUSTOMER_360, _STORED_360),
             _suite("mart_revenue_by_segment", "growth") + "\nunion all " + _suite("mart_customer_360", "stored_360"),
         ),
     }
@@ -543,7 +574,7 @@ def _layered_run_summary() -> str:
         "mart_customer_360": "stored_360",
     }
     suites = "\nunion all ".join(_suite(model, source) for model, source in sources.items())
-    ctes = (*_TO_GROWTH, _STORED_SILVER, _CLEAN, _METRICS, _RFM, _CUSTOMER_360, _STORED_360)
+    ctes = (*_TO_MART, _STORED_SILVER, _CLEAN, _METRICS, _RFM, _CUSTOMER_360, _STORED_360)
     return _sql(
         (*ctes, f"\nsuites as ({suites})"),
         "select 'rows' as measure, 'silver.int_orders_enriched' as item, count(*) as n from silver\n"

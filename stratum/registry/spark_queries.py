@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 from stratum import functions as fx
 from stratum import schemas
 from stratum.operators import checks, upsert
-from stratum.plans import bronze, gold, silver
+from stratum.plans import bronze, gold, partials, silver
 from stratum.plans.check_catalog import CATALOG, SEGMENTS
 from stratum.plans.pipeline import PipelineConfig, run_pipeline
 from stratum.registry.params import AS_OF, CUT, CUT_TIME, EARLY_CUT_TIME, NOW, START_DATE
-from stratum.sources import readers, tpch
-from stratum.sources.layers import LAYERS, LayerStore, create_view, replace_folder
+from stratum.sources import readers, tpch, versions
+from stratum.sources.layers import LAYERS, LayerStore, create_view, replace_table
 from stratum.sources.scratch import materialize, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,13 +69,15 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.customer_metrics(clean(spark, sf_dir), AS_OF)
 
 
-def stored_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialize(metrics(spark, sf_dir), "customer-metrics")
+def scores(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    """Some of the scores, from a stored table of the metrics that they rank and no others."""
+    keys = [r.key for r in gold.rfm_rankings() if r.name in names]
+    stored = materialize(metrics(spark, sf_dir).select("customer_id", *keys), "customer-metrics")
+    return gold.rfm(stored, scores=names)
 
 
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = enriched(spark, sf_dir).filter(F.col("order_date") >= fx.as_date(START_DATE))
-    return gold.monthly_segment(rows)
+    return gold.monthly_segment(enriched(spark, sf_dir))
 
 
 # --- scans, sources and sinks -------------------------------------------------------------
@@ -100,11 +102,33 @@ def csv_roundtrip(spark, sf_dir):
 
 @query
 def json_roundtrip(spark, sf_dir):
+    """The orders of each source file landed apart; which file a row came from must tell its source file again."""
     path = new_folder(spark, "orders-json")
-    tpch.raw_orders(spark, sf_dir).write.json(path)
-    landed = readers.read_json_landing(spark, path, schemas.ORDER_TYPES)
-    # File names are made up by the writer; what can be compared is that every row has one.
-    return bronze.stg_orders(landed).withColumn("_source_file", F.col("_source_file").endswith(".json"))
+    stored = landed_orders(spark, sf_dir)
+    for source in [r[0] for r in stored.select("_source_file").distinct().collect()]:  # one a year
+        stored.filter(F.col("_source_file").eqNullSafe(source)).write.mode("append").json(path)
+    rows = bronze.stg_orders(readers.read_json_landing(spark, path, schemas.ORDER_TYPES))
+    # Files are named by the writer; the orders of one are all of one year, which named the source file.
+    year = F.year("order_date")
+    files = rows.groupBy("_source_file").agg(F.min(year).alias("first"), F.max(year).alias("last"))
+    named = F.when(F.col("first") == F.col("last"), F.concat(F.lit("orders_"), "first", F.lit(".json")))
+    return rows.join(files, "_source_file", "left").withColumn("_source_file", named).select(rows.columns)
+
+
+@query
+def json_quarantine(spark, sf_dir):
+    """Landed lines of which some are cut off: rows that could be read, and lines that are kept apart."""
+    raw = tpch.raw_orders(spark, sf_dir)
+    line = F.to_json(F.struct(*raw.columns))
+    cut = F.when(F.col("quantity").cast("int") % 10 == 0, F.expr("left(line, length(line) - 9)")).otherwise(F.col("line"))
+    path = new_folder(spark, "cut-json")
+    raw.select("quantity", line.alias("line")).select(cut.alias("value")).write.text(path)
+    good, bad = readers.split_json_landing(spark, path, schemas.ORDER_TYPES)
+    counted = bronze.stg_orders(good).groupBy("region").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("quantity").alias("quantity")
+    )
+    kept = bad.agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.unionByName(kept.select(F.lit("quarantine").alias("region"), "n_rows"), allowMissingColumns=True)
 
 
 @query
@@ -124,8 +148,8 @@ def table_full_refresh(spark, sf_dir):
 @query
 def clustered_write(spark, sf_dir):
     path = new_folder(spark, "clustered")
-    replace_folder(clean(spark, sf_dir), path, silver.CLUSTER_BY, [silver.KEY])
-    return spark.read.parquet(path)
+    replace_table(clean(spark, sf_dir), path, silver.CLUSTER_BY, [silver.KEY])
+    return versions.read(spark, path)
 
 
 def _silver_up_to_cut(stg, people, path):
@@ -134,23 +158,51 @@ def _silver_up_to_cut(stg, people, path):
     upsert.full_load(silver.int_orders_enriched(first, people, NOW), path, *_LAYOUT)
 
 
-@query
-def merge_upsert(spark, sf_dir):
-    """Load up to the cut, then merge a batch of updates (discount dropped, moved a month) and inserts."""
-    path = new_folder(spark, "merge")
-    stg, people = bronze.stg_orders(landed_orders(spark, sf_dir)), customers(spark, sf_dir)
-    _silver_up_to_cut(stg, people, path)
+def _late_batch(stg: DataFrame) -> DataFrame:
+    """Updates (discount dropped, moved a month) of orders loaded before the cut, and all orders loaded after it."""
     late = stg.filter(F.col("_loaded_at") > F.lit(EARLY_CUT_TIME).cast("timestamp_ntz"))
     updated = F.col("_loaded_at") <= F.lit(CUT_TIME).cast("timestamp_ntz")
-    changed = late.withColumns(
+    return late.withColumns(
         {
             "discount_pct": F.when(updated, F.lit(0).cast("decimal(5,2)")).otherwise(F.col("discount_pct")),
             "order_date": F.when(updated, F.add_months("order_date", 1)).otherwise(F.col("order_date")),
         }
     )
-    batch = silver.int_orders_enriched(changed, people, NOW)
-    upsert.upsert(spark, batch, path, *_LAYOUT)
-    return readers.read_parquet(spark, path, schemas.SILVER_TYPES).drop("_transformed_at")
+
+
+@query
+def merge_upsert(spark, sf_dir):
+    """Load up to the cut, then merge a batch of updates (discount dropped, moved a month) and inserts."""
+    path = new_folder(spark, "merge")
+    stg, people = bronze.stg_orders(landed_orders(spark, sf_dir)), customers(spark, sf_dir)
+    _silver_up_to_cut(stg, people, path)
+    upsert.upsert(spark, silver.int_orders_enriched(_late_batch(stg), people, NOW), path, *_LAYOUT)
+    return versions.read(spark, path, schemas.SILVER_TYPES).drop("_transformed_at")
+
+
+def _merged_store(spark, sf_dir, label: str) -> LayerStore:
+    """Silver merged as in ``merge_upsert``, with the partial sums of gold refreshed before and after."""
+    store = LayerStore(spark, new_folder(spark, label))
+    path = store.path("silver", "int_orders_enriched")
+    stg, people = bronze.stg_orders(landed_orders(spark, sf_dir)), customers(spark, sf_dir)
+    _silver_up_to_cut(stg, people, path)
+    partials.refresh(store, "int_orders_enriched")
+    upsert.upsert(spark, silver.int_orders_enriched(_late_batch(stg), people, NOW), path, *_LAYOUT)
+    partials.refresh(store, "int_orders_enriched")
+    return store
+
+
+@query
+def mart_revenue_incremental(spark, sf_dir):
+    """The revenue mart after a merge, from stored months of which only the changed ones were made anew."""
+    return partials.mart_revenue_by_segment(_merged_store(spark, sf_dir, "revenue-partials"), START_DATE)
+
+
+@query
+def mart_customer_360_incremental(spark, sf_dir):
+    store = _merged_store(spark, sf_dir, "customer-partials")
+    metrics = partials.customer_metrics(store, AS_OF)
+    return gold.customer_360_of(metrics, customers(spark, sf_dir), refreshed_at=NOW).drop("_refreshed_at")
 
 
 @query
@@ -166,14 +218,13 @@ def full_vs_incremental_equiv(spark, sf_dir):
     path = new_folder(spark, "incremental")
     stg, people = bronze.stg_orders(landed_orders(spark, sf_dir)), customers(spark, sf_dir)
     _silver_up_to_cut(stg, people, path)
-    built = readers.read_parquet(spark, path, schemas.SILVER_TYPES)
-    new_orders = upsert.newer_than(stg, upsert.high_water_mark(built))
+    new_orders = upsert.newer_than(stg, versions.current(spark, path).newest)
     upsert.upsert(spark, silver.int_orders_enriched(new_orders, people, NOW), path, *_LAYOUT)
 
     columns = [c for c in schemas.SILVER_TYPES if c != "_transformed_at"]
     row = F.struct(*columns).alias("row")
     full = silver.int_orders_enriched(stg, people, NOW).select(F.col("order_id"), row)
-    merged = readers.read_parquet(spark, path, schemas.SILVER_TYPES).select(F.col("order_id"), row)
+    merged = versions.read(spark, path, schemas.SILVER_TYPES).select(F.col("order_id"), row)
     both = full.alias("f").join(merged.alias("i"), "order_id", "full_outer")
     return both.agg(
         F.count("f.row").alias("rows_full"),
@@ -255,7 +306,7 @@ def join_customer_metrics_left(spark, sf_dir):
 @query
 def join_rfm_left(spark, sf_dir):
     return customers(spark, sf_dir).select("customer_id", "customer_name").join(
-        gold.rfm(stored_metrics(spark, sf_dir)), "customer_id", "left"
+        scores(spark, sf_dir, *gold.RFM_SCORES), "customer_id", "left"
     )
 
 
@@ -405,17 +456,17 @@ def window_mom_growth_pct(spark, sf_dir):
 
 @query
 def window_ntile_recency(spark, sf_dir):
-    return gold.rfm(stored_metrics(spark, sf_dir)).select("customer_id", "recency_score")
+    return scores(spark, sf_dir, "recency_score")
 
 
 @query
 def window_ntile_frequency(spark, sf_dir):
-    return gold.rfm(stored_metrics(spark, sf_dir)).select("customer_id", "frequency_score")
+    return scores(spark, sf_dir, "frequency_score")
 
 
 @query
 def window_ntile_monetary(spark, sf_dir):
-    return gold.rfm(stored_metrics(spark, sf_dir)).select("customer_id", "monetary_score")
+    return scores(spark, sf_dir, "monetary_score")
 
 
 @query
@@ -493,8 +544,8 @@ def customer_tier(spark, sf_dir):
 
 @query
 def rfm_total(spark, sf_dir):
-    scores = gold.rfm(stored_metrics(spark, sf_dir))
-    return scores.select("customer_id", gold.rfm_total().alias("rfm_total"))
+    ranked = scores(spark, sf_dir, *gold.RFM_SCORES)
+    return ranked.select("customer_id", gold.rfm_total().alias("rfm_total"))
 
 
 @query
@@ -686,8 +737,16 @@ def check_row_count_growth(spark, sf_dir):
     return checks.row_counts_not_grown(loaded_by(EARLY_CUT_TIME), loaded_by(CUT_TIME))
 
 
-def _suite(df: DataFrame, model: str, parents=None) -> DataFrame:
-    return checks.run_suite(df, model, CATALOG[model], parents).drop("severity")
+def _suite(df: DataFrame, model: str, parents=None, counted=None) -> DataFrame:
+    return checks.run_suite(df, model, CATALOG[model], parents, counted).drop("severity")
+
+
+def _stored_suite(df: DataFrame, model: str, parents=None) -> DataFrame:
+    """The suite of a table that is written here: its row checks are counted by the write itself."""
+    spark = df.sparkSession
+    path = new_folder(spark, model)
+    snapshot = replace_table(df, path, layout=versions.Layout(row_checks=checks.row_checks(CATALOG[model])))
+    return _suite(versions.read(spark, path, dict(df.dtypes), snapshot), model, parents, snapshot.failures)
 
 
 @query
@@ -707,8 +766,7 @@ def dq_suite_bronze(spark, sf_dir):
 @query
 def dq_suite_silver(spark, sf_dir):
     parents = {"stg_customers": customers(spark, sf_dir)}
-    stored = materialize(enriched(spark, sf_dir), "silver")
-    return _suite(stored, "int_orders_enriched", parents)
+    return _stored_suite(enriched(spark, sf_dir), "int_orders_enriched", parents)
 
 
 @query
@@ -718,6 +776,6 @@ def dq_suite_gold(spark, sf_dir):
     customer_360 = gold.mart_customer_360(
         silver_table, customers(spark, sf_dir), AS_OF, refreshed_at=NOW
     )
-    return _suite(materialize(revenue, "revenue"), "mart_revenue_by_segment").unionByName(
-        _suite(materialize(customer_360, "customer-360"), "mart_customer_360")
+    return _stored_suite(revenue, "mart_revenue_by_segment").unionByName(
+        _stored_suite(customer_360, "mart_customer_360")
     )

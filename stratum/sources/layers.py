@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
-from stratum import schemas
-from stratum.sources import files
+from stratum.sources import versions
 
 # Fixed value: the layers, in build order.
 LAYERS = ("bronze", "silver", "gold")
@@ -47,7 +46,7 @@ def cluster(df: DataFrame, cluster_by: Sequence[str], spread_by: Sequence[str] =
 
 @dataclass(frozen=True)
 class LayerStore:
-    """Tables of the layered model as parquet folders ``<root>/<layer>/<model>``."""
+    """Tables of the layered model as versioned parquet folders ``<root>/<layer>/<model>``."""
 
     spark: SparkSession
     root: str
@@ -56,14 +55,13 @@ class LayerStore:
         return f"{self.root.rstrip('/')}/{layer}/{model}"
 
     def exists(self, layer: str, model: str) -> bool:
-        finish_replace(self.spark, self.path(layer, model))
-        return files.exists(self.spark, self.path(layer, model))
+        return versions.exists(self.spark, self.path(layer, model))
+
+    def snapshot(self, layer: str, model: str) -> versions.Snapshot | None:
+        return versions.current(self.spark, self.path(layer, model))
 
     def read(self, layer: str, model: str, types: dict[str, str] | None = None) -> DataFrame:
-        reader = self.spark.read
-        if types is None:
-            return reader.parquet(self.path(layer, model))
-        return reader.schema(schemas.struct(types)).parquet(self.path(layer, model)).select(*types)
+        return versions.read(self.spark, self.path(layer, model), types)
 
     def replace(
         self,
@@ -72,52 +70,44 @@ class LayerStore:
         model: str,
         cluster_by: Sequence[str] = (),
         spread_by: Sequence[str] = (),
-        partition_by: Sequence[str] = (),
+        row_checks: Mapping[str, Column] | None = None,
     ) -> DataFrame:
-        """Full refresh. The new table is complete before it takes the place of the old one."""
+        """Full refresh. The new table is complete before one pointer makes it the current one."""
         path = self.path(layer, model)
-        replace_folder(df, path, cluster_by, spread_by, partition_by)
-        return self.spark.read.schema(_nullable(df)).parquet(path).select(*df.columns)
+        replace_table(df, path, cluster_by, spread_by, versions.Layout(row_checks=row_checks))
+        types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        return versions.read(self.spark, path, types)
 
     def publish(self, layer: str, model: str, database_prefix: str = "") -> str:
-        """Make a stored table queryable as ``<layer>.<model>`` in the session catalog; returns that name."""
-        columns = self.read(layer, model).columns
-        source = f"parquet.`{self.path(layer, model)}`"
-        return create_catalog_view(self.spark, layer, model, columns, source, database_prefix)
-
-
-def _nullable(df: DataFrame):
-    return schemas.struct({f.name: f.dataType.simpleString() for f in df.schema.fields})
-
-
-def replace_folder(
+        """Make the stored table, as it is now, queryable as ``<layer>.<model>`` in the session catalog; returns that
+        name. Publish again after a refresh."""
+        path = self.path(layer, model)
+        snapshot = versions.current(self.spark, path)
+        parts, partition_by = snapshot.parts, snapshot.partition_by
+        columns = versions.read(self.spark, path, snapshot=snapshot).columns
+        selects = []
+        for version in sorted({p.version for p in parts}):
+            source = f"SELECT {', '.join(columns)} FROM parquet.`{path}/version={version}`"
+            if partition_by is not None:
+                values = [p.part for p in parts if p.version == version]
+                listed = ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values if v is not None)
+                tests = [f"cast({partition_by} as string) IN ({listed})"] if listed else []
+                tests += [f"{partition_by} IS NULL"] if None in values else []
+                source += f" WHERE {' OR '.join(tests)}"
+            selects.append(source)
+        return create_catalog_view(self.spark, layer, model, columns, f"({' UNION ALL '.join(selects)})", database_prefix)
+
+
+def replace_table(
     df: DataFrame,
     path: str,
     cluster_by: Sequence[str] = (),
     spread_by: Sequence[str] = (),
-    partition_by: Sequence[str] = (),
-) -> None:
-    """Write beside the target, then swap folders, so a failed job leaves the old table untouched."""
+    layout: versions.Layout | None = None,
+    types: dict[str, str] | None = None,
+) -> versions.Snapshot:
+    """Write a whole new version of the table. A failed job leaves the old one as it was."""
     spark = df.sparkSession
-    finish_replace(spark, path)
-    fresh, old = f"{path}.__new", f"{path}.__old"
     if cluster_by:
         df = cluster(df, cluster_by, spread_by)
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(fresh)
-    files.delete(spark, old)
-    if files.exists(spark, path):
-        files.rename(spark, path, old)
-    files.rename(spark, fresh, path)
-    files.delete(spark, old)
-    spark.catalog.refreshByPath(path)
-
-
-def finish_replace(spark: SparkSession, path: str) -> None:
-    """Finish a swap that was cut off between its two renames; by then the new table was complete."""
-    fresh, old = f"{path}.__new", f"{path}.__old"
-    if files.exists(spark, old) and not files.exists(spark, path):
-        files.rename(spark, fresh, path)
-        files.delete(spark, old)
+    return versions.commit(spark, df, path, layout or versions.Layout(), types, versions.current(spark, path))

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stratum import schemas
-from stratum.operators import upsert
+from stratum.operators import checks, upsert
 from stratum.plans import bronze, silver
+from stratum.plans.check_catalog import checks_for
 from stratum.plans.pipeline import SILVER, PipelineConfig
 from stratum.sources.layers import LayerStore
 from stratum.sources.scratch import dropped_after
@@ -46,9 +47,12 @@ def merge_landed_orders(
     def merge(rows: DataFrame, batch_id: int) -> None:
         with dropped_after(rows.sparkSession):
             batch = silver.int_orders_enriched(bronze.stg_orders(rows), customers, config.now)
+            checked = checks.row_checks(checks_for(SILVER))
             if not store.exists("silver", SILVER):
-                upsert.full_load(batch.limit(0), path, *layout)
-            upsert.upsert(rows.sparkSession, batch, path, *layout, on_duplicate=config.on_duplicate)
+                upsert.full_load(batch.limit(0), path, *layout, row_checks=checked)
+            upsert.upsert(
+                rows.sparkSession, batch, path, *layout, on_duplicate=config.on_duplicate, row_checks=checked
+            )
 
     return (
         landed.writeStream.foreachBatch(merge)

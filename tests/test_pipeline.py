@@ -3,22 +3,30 @@
 import datetime as dt
 import json
 import os
+import time
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from stratum import schemas
-from stratum.operators import upsert
+from stratum.operators import checks, upsert
 from stratum.plans import bronze, silver
+from stratum.plans.check_catalog import CATALOG
 from stratum.plans.pipeline import SILVER, GateFailure, PipelineConfig, build_silver, run_pipeline
-from stratum.sources import files, readers
-from stratum.sources.layers import LayerStore, cluster, create_view, replace_folder
+from stratum.sources import files, readers, versions
+from stratum.sources.layers import LayerStore, cluster, create_view, replace_table
 from stratum.sources.scratch import new_folder
 from stratum.streaming.landing import merge_landed_orders, read_landed_orders
 from tests.data import customer, customers, day, order, orders, raw
 
 NOW = "2024-01-12 07:00:00"
+
+
+def _driver_lost(*_, **__):
+    raise RuntimeError("driver lost")
+
+
 CONFIG = PipelineConfig(now=NOW, as_of="2024-02-01")
 
 
@@ -65,6 +73,19 @@ def test_json_landing_names_its_file(spark, folder):
     assert row["_source_file"] == "batch_7.json" and row["order_id"] == "A"
 
 
+def test_json_landing_keeps_bad_lines_apart(spark, folder):
+    lines = [json.dumps(order("A")), '{"order_id": "B", "quantity": ', "no json", json.dumps(order("C")), '["list"]', ""]
+    for number in (1, 2):
+        with open(f"{folder}/{number}.json", "w") as f:
+            f.write("\n".join(lines) + "\n")
+    good, bad = readers.split_json_landing(spark, folder, schemas.ORDER_TYPES)
+    assert good.columns == list(schemas.ORDER_TYPES)
+    assert sorted((r.order_id, r["_source_file"]) for r in good.collect()) == [
+        ("A", "1.json"), ("A", "2.json"), ("C", "1.json"), ("C", "2.json")
+    ]
+    assert sorted(map(tuple, bad.collect())) == sorted((f"{n}.json", lines[i]) for n in (1, 2) for i in (1, 2, 4))
+
+
 def test_replace_leaves_the_old_table_when_the_job_fails(spark, store):
     store.replace(spark.range(3), "gold", "t")
     broken = spark.range(3).select(F.raise_error(F.lit("no")).cast("bigint").alias("id"))
@@ -74,20 +95,46 @@ def test_replace_leaves_the_old_table_when_the_job_fails(spark, store):
     assert store.replace(spark.range(5), "gold", "t").count() == 5
 
 
-def test_replace_cut_off_between_its_renames_is_finished(spark, store, monkeypatch):
+def test_replace_cut_off_before_its_pointer_changes_nothing(spark, store, monkeypatch):
     store.replace(spark.range(3), "gold", "t")
-    rename = files.rename
-
-    def cut_off(spark, source, target):
-        if source.endswith(".__new"):
-            raise RuntimeError("driver lost")
-        rename(spark, source, target)
-
+    held = store.read("gold", "t")
     with monkeypatch.context() as patch:
-        patch.setattr(files, "rename", cut_off)
+        patch.setattr(versions.Observation, "get", property(_driver_lost))
         with pytest.raises(RuntimeError):
             store.replace(spark.range(5), "gold", "t")
-    assert store.exists("gold", "t") and store.read("gold", "t").count() == 5
+    assert store.read("gold", "t").count() == 3
+    assert store.replace(spark.range(7), "gold", "t").count() == 7
+    assert held.count() == 3  # a reader of the earlier version still has all its files
+    assert versions.expire(spark, store.path("gold", "t")) == 2
+    assert store.read("gold", "t").count() == 7
+
+
+def test_the_second_of_two_writers_is_refused(spark, store):
+    path = store.path("gold", "t")
+    store.replace(spark.range(3), "gold", "t")
+    base = versions.current(spark, path)
+    versions.commit(spark, spark.range(5), path, versions.Layout(), base=base)
+    time.sleep(0.01)
+    with pytest.raises(versions.ConcurrentCommit):
+        versions.commit(spark, spark.range(9), path, versions.Layout(), base=base)
+    assert store.read("gold", "t").count() == 5
+    assert store.replace(spark.range(2), "gold", "t").count() == 2
+
+
+def test_an_empty_table_has_a_version_too(spark, store):
+    empty = spark.range(3).filter("id > 5")
+    assert store.replace(empty, "gold", "t").collect() == []
+    assert store.exists("gold", "t") and store.snapshot("gold", "t").n_rows == 0
+    assert store.read("gold", "t", {"id": "bigint"}).dtypes == empty.dtypes
+    assert not store.exists("gold", "other") and store.snapshot("gold", "other") is None
+
+
+def test_a_write_observes_its_rows_and_row_checks(spark, store):
+    fails = {"high": F.col("id") > 6, "odd": F.col("id") % 2 == 1}
+    store.replace(spark.range(10), "gold", "t", row_checks=fails)
+    snapshot = store.snapshot("gold", "t")
+    assert (snapshot.n_rows, snapshot.failures("high"), snapshot.failures("odd")) == (10, 3, 5)
+    assert snapshot.failures("other") is None
 
 
 def test_a_model_can_be_rebuilt_from_itself(spark, store):
@@ -138,9 +185,9 @@ def test_clustering_splits_one_frequent_value(spark):
 
 def test_clustered_files_have_disjoint_ranges(spark, folder):
     df = spark.range(4000).select((F.col("id") % 100).cast("int").alias("k"), "id")
-    replace_folder(df, f"{folder}/t", ["k"])
+    replace_table(df, f"{folder}/t", ["k"])
     bounds = (
-        spark.read.parquet(f"{folder}/t").groupBy(F.input_file_name()).agg(F.min("k"), F.max("k")).collect()
+        versions.read(spark, f"{folder}/t").groupBy(F.input_file_name()).agg(F.min("k"), F.max("k")).collect()
     )
     ranges = sorted((r[1], r[2]) for r in bounds)
     assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
@@ -203,7 +250,7 @@ def test_row_moves_out_of_a_partition_of_one(spark, store):
     load(spark, store, order("A", order_date="2023-05-05"), order("B"))
     load(spark, store, order("A", order_date="2023-07-07", _loaded_at=loaded(13)))
     assert {k: r["order_month"] for k, r in table(store).items()} == {"A": day("2023-07-01"), "B": day("2024-01-01")}
-    assert not os.path.exists(f"{store.path('silver', SILVER)}/order_month=2023-05-01")
+    assert {p.part for p in store.snapshot("silver", SILVER).parts} == {"2023-07-01", "2024-01-01"}
 
 
 def test_row_moves_between_partitions_that_keep_others(spark, store):
@@ -218,8 +265,9 @@ def test_row_leaves_a_partition_whose_folder_name_is_escaped(spark, folder):
     struct = schemas.struct(types)
     upsert.full_load(spark.createDataFrame([("A", "a:b c%", 1), ("B", "x", 1)], struct), path, *rest)
     upsert.upsert(spark, spark.createDataFrame([("A", "x", 2)], struct), path, *rest)
-    rows = spark.read.schema(struct).parquet(path).collect()
-    assert sorted((r.k, r.g) for r in rows) == [("A", "x"), ("B", "x")]
+    assert sorted((r.k, r.g) for r in versions.read(spark, path, types).collect()) == [("A", "x"), ("B", "x")]
+    upsert.upsert(spark, spark.createDataFrame([("B", "a:b c%", 3)], struct), path, *rest)
+    assert sorted((r.k, r.g) for r in versions.read(spark, path, types).collect()) == [("A", "x"), ("B", "a:b c%")]
 
 
 @pytest.mark.parametrize("most", [10, 0])
@@ -254,10 +302,49 @@ def test_orders_without_a_date(spark, store):
 
 def test_merge_rewrites_only_the_partitions_concerned(spark, store):
     load(spark, store, order("A", order_date="2023-05-05"), order("B", order_date="2023-06-06"))
-    untouched = f"{store.path('silver', SILVER)}/order_month=2023-05-01"
-    before = sorted(os.listdir(untouched))
+    before = {p.part: p.version for p in store.snapshot("silver", SILVER).parts}
     load(spark, store, order("B", order_date="2023-06-07", _loaded_at=loaded(13)))
-    assert sorted(os.listdir(untouched)) == before
+    after = {p.part: p.version for p in store.snapshot("silver", SILVER).parts}
+    assert after["2023-05-01"] == before["2023-05-01"] and after["2023-06-01"] != before["2023-06-01"]
+
+
+def test_merge_opens_only_files_that_can_hold_its_keys(spark, store, monkeypatch):
+    old = [order(f"A{i}", order_date="2023-05-05") for i in range(3)]
+    load(spark, store, *old, *[order(f"B{i}", order_date="2023-06-06") for i in range(3)])
+    opened, read = [], versions.read
+
+    def watched(spark, path, types=None, snapshot=None, parts=None):
+        opened.append({p.part for p in parts or ()})
+        return read(spark, path, types, snapshot, parts)
+
+    monkeypatch.setattr(upsert.versions, "read", watched)
+    load(spark, store, order("B1", order_date="2023-07-07", _loaded_at=loaded(13)))
+    assert opened == [{"2023-06-01"}, {"2023-06-01"}]  # for its keys, then to write it anew
+    opened.clear()
+    load(spark, store, order("C1", order_date="2023-07-08", _loaded_at=loaded(14)))
+    assert opened == [set(), {"2023-07-01"}]  # a key beyond all others: nothing is opened to look for it
+    assert set(table(store)) == {"A0", "A1", "A2", "B0", "B1", "B2", "C1"}
+
+
+def test_few_keys_are_tried_on_the_bloom_filters_of_the_files(spark, folder):
+    types = {"k": "string", "v": "int"}
+    rows = spark.range(20_000).select(F.concat(F.lit("key-"), F.col("id") * 2).alias("k"), F.col("id").cast("int").alias("v"))
+    snapshot = replace_table(rows.coalesce(1), f"{folder}/t", layout=versions.Layout(key="k", bloom_rows=20_000), types=types)
+    stored = versions.read(spark, f"{folder}/t", types, snapshot)
+
+    def rows_out_of_scan(keys):
+        found = stored.filter(upsert._any_of("k", keys))
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan()
+        return plan.collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+
+    assert rows_out_of_scan([f"key-{2 * i + 1}" for i in range(25)]) == 0  # all lie between keys of the file
+    assert rows_out_of_scan(["key-400"]) > 0
+
+
+def test_the_mark_is_read_from_the_log(spark, store):
+    load(spark, store, order("A", _loaded_at=loaded(11)), order("B", order_date="2023-05-05", _loaded_at=loaded(12)))
+    assert store.snapshot("silver", SILVER).newest == dt.datetime(2024, 1, 12, 6)
 
 
 def test_empty_batch_changes_nothing(spark, store):
@@ -266,32 +353,45 @@ def test_empty_batch_changes_nothing(spark, store):
     assert set(table(store)) == {"A"}
 
 
-@pytest.mark.parametrize("renames", [None, 0, 1, 2])
-def test_merge_that_was_cut_off_is_finished_by_the_next_run(spark, store, monkeypatch, renames):
+@pytest.mark.parametrize("lost_in", ["cluster", "commit", "log"])
+def test_merge_that_was_cut_off_is_run_again(spark, store, monkeypatch, lost_in):
     load(spark, store, order("A", order_date="2023-05-05"), order("B"), order("K"))
     batch = [order("A", order_date="2023-07-07", _loaded_at=loaded(13)), order("C", _loaded_at=loaded(14))]
-    done = []
-    rename = files.rename
-
-    def cut_off(*args):
-        if len(done) == (renames or 0):
-            raise RuntimeError("driver lost")
-        done.append(args)
-        rename(*args)
-
     with monkeypatch.context() as patch:
-        if renames is None:
-            patch.setattr(upsert, "cluster", cut_off)  # before anything new is written
+        if lost_in == "log":  # the new files are complete, nothing points to them
+            patch.setattr(versions, "_log_entry", _driver_lost)
         else:
-            patch.setattr(files, "rename", cut_off)  # before the new partitions count, then while swapping
+            patch.setattr(upsert if lost_in == "cluster" else versions, lost_in, _driver_lost)
         with pytest.raises(RuntimeError):
             load(spark, store, *batch)
+    assert set(table(store)) == {"A", "B", "K"}
     load(spark, store, *batch)
     rows = table(store)
     assert set(rows) == {"A", "B", "C", "K"} and rows["A"]["order_date"] == day("2023-07-07")
     assert files.children(spark, f"{store.root}/silver") == [SILVER]
 
 
+def test_row_checks_of_silver_are_summed_over_versions(spark, store):
+    late = {"shipped_date": "2026-01-01"}  # 700 days: beyond the accepted range
+    load(spark, store, order("A", **late), order("B", order_date="2023-05-05", shipped_date=None))
+    name = "accepted_range_days_to_ship"
+    assert store.snapshot("silver", SILVER).failures(name) == 1
+    load(spark, store, order("C", order_date="2023-05-06", _loaded_at=loaded(13), **late))
+    assert store.snapshot("silver", SILVER).failures(name) == 2
+    load(spark, store, order("A", _loaded_at=loaded(14)))
+    assert store.snapshot("silver", SILVER).failures(name) == 1
+
+
+def test_suite_takes_counted_row_checks_without_a_scan(spark, store):
+    load(spark, store, order("A", shipped_date="2026-01-01"))
+    rows, people = store.read("silver", SILVER, schemas.SILVER_TYPES), {"stg_customers": customers(spark, customer())}
+    scanned = checks.run_suite(rows, SILVER, CATALOG[SILVER], people)
+    counted = checks.run_suite(rows, SILVER, CATALOG[SILVER], people, store.snapshot("silver", SILVER).failures)
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2  # uniqueness and relationships
+    assert sorted(scanned.collect()) == sorted(counted.collect())
+
+
 def test_upsert_is_idempotent(spark, store):
     load(spark, store, order("A"))
     batch = silver.int_orders_enriched(

@@ -56,10 +56,28 @@ def test_mart_reads_only_its_columns_and_pushes_its_filter(spark, stored_silver)
         assert unread not in plan
 
 
-def test_declared_unique_orders_need_no_expand(spark, stored_silver):
-    assert "Expand" not in plan_of(gold.mart_revenue_by_segment(stored_silver, order_ids_unique=True))
-    assert "Expand" not in plan_of(gold.customer_metrics(stored_silver, "2001-09-30", order_ids_unique=True))
-    assert "Expand" in plan_of(gold.mart_revenue_by_segment(stored_silver))
+@pytest.mark.parametrize("unique", [True, False])
+def test_distinct_counts_multiply_no_rows(spark, stored_silver, unique):
+    assert "Expand" not in plan_of(gold.mart_revenue_by_segment(stored_silver, order_ids_unique=unique))
+    assert "Expand" not in plan_of(gold.customer_metrics(stored_silver, "2001-09-30", order_ids_unique=unique))
+
+
+@pytest.mark.parametrize(
+    "name", ["mart_revenue_by_segment", "mart_customer_360", "agg_monthly_segment", "agg_customer_metrics"]
+)
+def test_registered_distinct_counts_multiply_no_rows(spark, name):
+    assert "Expand" not in plan_of(queries()[name](spark, SF_DIR))
+
+
+def test_customers_are_counted_from_their_own_columns(spark, stored_silver):
+    plan = plan_of(gold.monthly_segment(stored_silver))
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
+    assert len(scans) == 2 and any("customer_id" in s and "net_revenue" not in s for s in scans)
+
+
+def test_a_score_reads_and_ranks_its_metric_only(spark):
+    plan = plan_of(queries()["window_ntile_monetary"](spark, SF_DIR))
+    assert "lifetime_net_revenue" in plan and "days_since_last_order" not in plan
 
 
 def test_suite_scans_the_table_once_for_all_row_checks(spark, stored_silver):
