@@ -5,7 +5,9 @@ A text becomes words: a run of blanks with what follows up to the next blank. No
 character, so merges never cross words, and only the distinct words of a batch are encoded. In a round every word
 merges the leftmost of its best-ranked pairs at once with all others, the arrays are compacted, and words without a
 mergeable pair leave; it ends when none is left. One merge per word and round keeps the library's order of merges
-exactly, also where a merged symbol opens a better pair. Characters without a piece become byte pieces.
+exactly, also where a merged symbol opens a better pair. Characters without a piece become byte pieces. New words go
+through the rounds in slices of a bounded number of symbols. A word of very many symbols, for which a merge a round
+would take quadratic time, takes its merges from a heap instead, in the same order.
 
 Null and empty texts encode to the end id alone and decode to an empty text; repeated rows are all returned; an empty
 table gives no rows; other columns of the input are not read.
@@ -14,6 +16,7 @@ table gives no rows; other columns of the input are not read.
 from __future__ import annotations
 
 import hashlib
+import heapq
 from collections.abc import Iterator
 from functools import partial
 
@@ -25,8 +28,12 @@ from pyspark.sql import DataFrame
 from stratum.llm.text import chunks, ragged, starts
 
 BLANK = "▁"
-_NO_RANK = np.iinfo(np.int64).max
+_NO_RANK = np.iinfo(np.int32).max
 _CACHE_WORDS = 100_000
+_CHUNK_BYTES = 1 << 20
+_SLICE_SYMBOLS = 1 << 17
+#: Words of more symbols take their merges from a heap, and are not kept.
+_LONG = 1 << 9
 _vocabularies: dict[str, Vocabulary] = {}
 
 
@@ -73,12 +80,15 @@ class Vocabulary:
             for cut in range(1, len(p))
             if p[:cut] in self.symbols and p[cut:] in self.symbols
         )
-        self.pair_keys, self.pair_ranks, self.pair_ids = (np.array(x, np.int64) for x in zip(*pairs))
+        self.pair_keys, self.pair_ranks, self.pair_ids = (
+            np.array(x, t) for x, t in zip(zip(*pairs), (np.int64, np.int32, np.int32))
+        )
+        self.pairs: dict[int, tuple[int, int]] = {}  # of those met in long words
         self.words: dict[str, np.ndarray] = {}
 
     def ranked(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rank of each pair, the symbol it merges to)"""
-        keys = left * self.base + right
+        keys = left.astype(np.int64) * self.base + right
         at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
         hit = self.pair_keys[at] == keys
         return np.where(hit, self.pair_ranks[at], _NO_RANK), self.pair_ids[at]
@@ -89,10 +99,10 @@ class Vocabulary:
         What stands per symbol: its word, the rank of the pair it begins, and what that pair merges to. A round
         computes anew only the pairs beside a merge.
         """
-        word = np.repeat(np.arange(len(lengths)), lengths)
+        word = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
         finished: list[tuple[np.ndarray, np.ndarray]] = []
-        rank = np.full(len(symbols), _NO_RANK)
-        into = np.zeros(len(symbols), np.int64)
+        rank = np.full(len(symbols), _NO_RANK, np.int32)
+        into = np.zeros(len(symbols), np.int32)
         if len(symbols) > 1:
             rank[:-1], into[:-1] = self.ranked(symbols[:-1], symbols[1:])
             rank[:-1][word[1:] != word[:-1]] = _NO_RANK
@@ -129,21 +139,72 @@ class Vocabulary:
         order = np.argsort(words, kind="stable")
         return np.concatenate([s for _, s in finished])[order], np.bincount(words, minlength=len(lengths))
 
+    def merge_long(self, symbols: np.ndarray) -> np.ndarray:
+        """The same merges of one word, from a heap of its pairs by rank and place: best first, then leftmost."""
+        n = len(symbols)
+        rank, into = self.ranked(symbols[:-1], symbols[1:])
+        at = np.flatnonzero(rank < _NO_RANK)
+        heap = list(zip(rank[at].tolist(), at.tolist(), symbols[at].tolist(), symbols[at + 1].tolist(), into[at].tolist()))
+        heapq.heapify(heap)
+        symbol, after, before = symbols.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+        while heap:
+            _, place, left, right, merged = heapq.heappop(heap)
+            follower = after[place]
+            if symbol[place] != left or follower == n or symbol[follower] != right:
+                continue  # one of the two has been merged meanwhile
+            symbol[place], symbol[follower] = merged, None
+            after[place] = follower = after[follower]
+            if follower < n:
+                before[follower] = place
+                self._push(heap, place, merged, symbol[follower])
+            if before[place] >= 0:
+                self._push(heap, before[place], symbol[before[place]], merged)
+        return np.array([s for s in symbol if s is not None], symbols.dtype)
+
+    def _push(self, heap: list, place: int, left: int, right: int) -> None:
+        key = left * self.base + right
+        known = self.pairs.get(key)
+        if known is None:
+            if len(self.pairs) > _CACHE_WORDS:
+                self.pairs.clear()
+            at = min(int(np.searchsorted(self.pair_keys, key)), len(self.pair_keys) - 1)
+            hit = self.pair_keys[at] == key
+            known = self.pairs[key] = (int(self.pair_ranks[at]), int(self.pair_ids[at])) if hit else (_NO_RANK, -1)
+        if known[0] < _NO_RANK:
+            heapq.heappush(heap, (known[0], place, left, right, known[1]))
+
+    def _symbols(self, words: list[str]) -> np.ndarray:
+        text = "".join(words)
+        symbols = np.fromiter((self.symbols.get(c, self.unknown) for c in text), np.int32, len(text))
+        for i in np.flatnonzero(symbols == self.unknown).tolist():
+            symbols[i] = -1 - ord(text[i])  # no piece holds this character
+        return symbols
+
     def encode_words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word; a worker keeps those it has met, up to a bound."""
+        """Ids of each word; a worker keeps the shorter ones it has met, up to a bound."""
         if len(self.words) > _CACHE_WORDS:
             self.words.clear()
-        new = [w for w in words if w not in self.words]
-        if new:
-            text = "".join(new)
-            symbols = np.fromiter((self.symbols.get(c, self.unknown) for c in text), np.int64, len(text))
-            for i in np.flatnonzero(symbols == self.unknown).tolist():
-                symbols[i] = -1 - ord(text[i])  # no piece holds this character
-            merged, sizes = self.merge(symbols, np.array([len(w) for w in new], np.int64))
-            ids, sizes = self._with_bytes(merged, sizes)
-            cut = starts(sizes).tolist()
-            self.words.update(zip(new, (ids[a:b] for a, b in zip(cut, cut[1:]))))
-        return [self.words[w] for w in words]
+        long, part, size = {}, [], 0
+        for word in words:
+            if len(word) > _LONG:
+                merged = self.merge_long(self._symbols([word]))
+                long[word] = self._with_bytes(merged, np.array([len(merged)]))[0]
+            elif word not in self.words:
+                part.append(word)
+                size += len(word)
+                if size > _SLICE_SYMBOLS:
+                    self._encode_new(part)
+                    part, size = [], 0
+        self._encode_new(part)
+        return [long[w] if len(w) > _LONG else self.words[w] for w in words]
+
+    def _encode_new(self, new: list[str]) -> None:
+        if not new:
+            return
+        merged, sizes = self.merge(self._symbols(new), np.array([len(w) for w in new], np.int64))
+        ids, sizes = self._with_bytes(merged, sizes)
+        cut = starts(sizes).tolist()
+        self.words.update(zip(new, (ids[a:b].copy() for a, b in zip(cut, cut[1:]))))
 
     def _with_bytes(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Symbols that are no pieces as the bytes of their character."""
@@ -231,7 +292,7 @@ def vocabulary(path: str) -> Vocabulary:
 
 def _encode_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     model = vocabulary(path)
-    for rows in chunks(batches, most=2 << 20):
+    for rows in chunks(batches, most=_CHUNK_BYTES, forget=model.words.clear):
         lengths, ids = model.encode(rows.column("text"))
         flat = pa.array(ids, pa.int32())
         lists = pa.ListArray.from_arrays(pa.array(starts(lengths), pa.int32()), flat)
@@ -261,7 +322,7 @@ def decode(ids: DataFrame, model: str) -> DataFrame:
 
 def _round_trip_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     model = vocabulary(path)
-    for rows in chunks(batches, most=2 << 20):
+    for rows in chunks(batches, most=_CHUNK_BYTES, forget=model.words.clear):
         lengths, ids = model.encode(rows.column("text"))
         yield pa.RecordBatch.from_pydict({
             "doc_id": rows.column("doc_id"),
@@ -269,7 +330,6 @@ def _round_trip_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[p
             "ids": pa.ListArray.from_arrays(pa.array(starts(lengths), pa.int32()), pa.array(ids, pa.int32())),
             "text": pa.array(model.decode(lengths, ids), pa.string()),
         })
-    model.words.clear()
 
 
 def round_trip(docs: DataFrame, model: str) -> DataFrame:
@@ -281,7 +341,7 @@ def round_trip(docs: DataFrame, model: str) -> DataFrame:
 def _digest_rows(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     model = vocabulary(path)
     spelled = [str(i) for i in range(len(model.output))]
-    for rows in chunks(batches, most=2 << 20):
+    for rows in chunks(batches, most=_CHUNK_BYTES, forget=model.words.clear):
         lengths, ids = model.encode(rows.column("text"))
         texts = model.decode(lengths, ids)
         cut, listed = starts(lengths).tolist(), ids.tolist()

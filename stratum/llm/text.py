@@ -8,7 +8,7 @@ words of a batch become Python strings.
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +25,16 @@ def table(separators: frozenset[int], lower: bool = True) -> bytes:
     return bytes(0x20 if b in separators else b + 32 if lower and b in _A_TO_Z else b for b in range(256))
 
 
-def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 3 << 20) -> Iterator[pa.RecordBatch]:
+def chunks(
+    batches: Iterator[pa.RecordBatch],
+    text: str = "text",
+    most: int = 3 << 20,
+    forget: Callable[[], None] | None = None,
+) -> Iterator[pa.RecordBatch]:
     """The same rows in pieces of about `most` bytes of text, a single longer text alone; so memory stays bounded.
 
-    After the last one, the worker gives freed memory back: others on its machine need it before its next task.
+    After the last one, the worker forgets what it kept between pieces and gives freed memory back: others on its
+    machine need it before its next task.
     """
     for batch in batches:
         if not batch.num_rows:
@@ -41,6 +47,8 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 3
             stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    if forget is not None:
+        forget()
     give_back()
 
 
