@@ -57,6 +57,16 @@ def relationships(column: str, to: str) -> Check:
     return Check(column, "relationships", to=to)
 
 
+def not_null_share(column: str, share: float = NOT_NULL_SHARE) -> Check:
+    """At least that share of the rows has a value; an empty table passes."""
+    return Check(column, "not_null_share", minimum=share)
+
+
+def fresh(column: str, max_hours: float = MAX_HOURS) -> Check:
+    """The newest value is at most so many hours old; a table without any fails."""
+    return Check(column, "fresh", maximum=max_hours)
+
+
 # --- failing rows of one check ------------------------------------------------------------
 
 
@@ -158,6 +168,16 @@ def _out_of_range(column: str, minimum, maximum) -> Column:
 # --- suites -------------------------------------------------------------------------------
 
 _ROW_KINDS = ("not_null", "accepted_values", "accepted_range")
+_TABLE_KINDS = ("not_null_share", "fresh")
+
+
+def _table_fails(check: Check, now: Column | dt.datetime | str | None) -> Column:
+    """1 where the whole table fails."""
+    if check.kind == "not_null_share":
+        share = fx.safe_divide(F.count_if(F.col(check.column).isNull()), F.count(F.lit(1)))
+        return F.coalesce(share > 1 - check.minimum, F.lit(False)).cast("long")
+    age = fx.hours_between(F.max(check.column), fx.as_timestamp(now))
+    return F.coalesce(age > check.maximum, F.lit(True)).cast("long")
 
 
 def _row_fails(check: Check) -> Column:
@@ -180,11 +200,12 @@ def run_suite(
     checks: Sequence[Check],
     parents: Mapping[str, DataFrame] | None = None,
     counted: Callable[[str], int | None] | None = None,
+    now: Column | dt.datetime | str | None = None,
 ) -> DataFrame:
     """(model, column_name, check_type, severity, failures) for every check of one table.
 
-    All checks of single rows share one scan and one aggregate. Uniqueness and relationships take one
-    grouped count each. ``counted`` gives the failures of row checks by name (as ``row_checks`` has them) that were
+    All checks of single rows, and of the share of NULLs and the age of the table (one failure at most, ``now`` given
+    or the current time), share one scan and one aggregate. Uniqueness and relationships take one grouped count each. ``counted`` gives the failures of row checks by name (as ``row_checks`` has them) that were
     counted when the table was written, None where they were not; these need no scan.
     """
     results = []
@@ -192,11 +213,10 @@ def run_suite(
     written = [_result(model, c, F.lit(n)) for c, n in known if n is not None]
     if written:
         results.append(df.sparkSession.range(1).select(F.inline(F.array(*written))))
-    unknown = [c for c, n in known if n is None]
+    unknown = [c for c, n in known if n is None] + [c for c in checks if c.kind in _TABLE_KINDS]
     if unknown:
-        counted = df.agg(
-            *[F.count_if(_row_fails(c)).alias(f"failures_{i}") for i, c in enumerate(unknown)]
-        )
+        fails = [_table_fails(c, now) if c.kind in _TABLE_KINDS else F.count_if(_row_fails(c)) for c in unknown]
+        counted = df.agg(*[f.alias(f"failures_{i}") for i, f in enumerate(fails)])
         rows = [_result(model, c, F.col(f"failures_{i}")) for i, c in enumerate(unknown)]
         results.append(counted.select(F.inline(F.array(*rows))))
     for check in checks:

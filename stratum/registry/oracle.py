@@ -537,12 +537,36 @@ def oracle_sql() -> dict[str, str]:
             f"date_diff('second', max(_loaded_at), timestamp '{NOW}') as age_seconds from raw_orders)",
         ),
         "check_row_count_growth": _sql(
+            _TO_SILVER,
+            f"select * from (select 'mart_revenue_by_segment' as model, {_mart_rows(CUT_TIME)} as current_rows, "
+            f"{_mart_rows(EARLY_CUT_TIME)} as previous_rows union all select 'mart_customer_360', "
+            "(select count(*) from stg_customers), (select count(*) from stg_customers)) "
+            "where current_rows <= previous_rows",
+        ),
+        "dq_suite_shares_and_freshness": _sql(
             (_RAW_ORDERS,),
-            "select status as model, "
-            f"count(*) filter (where _loaded_at <= timestamp '{EARLY_CUT_TIME}') as current_rows, "
-            f"count(*) filter (where _loaded_at <= timestamp '{CUT_TIME}') as previous_rows "
-            "from stg_orders group by status "
-            "having current_rows > 0 and previous_rows > 0 and current_rows <= previous_rows",
+            "\nunion all ".join(
+                f"select 'stg_orders' as model, '{column}' as column_name, '{kind}' as check_type, "
+                f"cast({failures} as bigint) as failures from stg_orders"
+                for column, kind, failures in (
+                    ("customer_id", "not_null", "count(*) - count(customer_id)"),
+                    ("customer_id", "not_null_share", _share_above("customer_id", 0.99)),
+                    ("shipped_date", "not_null_share", _share_above("shipped_date", 0.75)),
+                    ("order_date", "not_null_share", _share_above("order_date", 1)),
+                    ("_loaded_at", "fresh", _older_than(25)),
+                    ("_loaded_at", "fresh", _older_than(5)),
+                )
+            ),
+        ),
+        "join_bucketed_left": _sql(
+            (_RAW_ORDERS, _RAW_CUSTOMERS, _FLAGGED, _CLEAN),
+            "select o.customer_id, o.order_id, o.net_revenue, c.customer_name, c.customer_segment "
+            "from clean o left join stg_customers c on c.customer_id = o.customer_id",
+        ),
+        "clustered_interleaved": one_of(_TO_CLEAN, "*", "clean"),
+        "filter_start_subquery": _sql(
+            (*_TO_SILVER, _monthly("where order_date >= (select date_trunc('year', max(order_date)) from silver)"), _GROWTH),
+            "select * from growth order by order_month desc nulls first, net_revenue desc nulls first",
         ),
         "dq_suite_source": _sql(
             (_RAW_ORDERS, _RAW_CUSTOMERS),
@@ -562,6 +586,22 @@ def oracle_sql() -> dict[str, str]:
     }
 
 
+def _mart_rows(loaded_by: str) -> str:
+    return (
+        "(select count(*) from (select distinct order_month, customer_segment, region, channel from silver "
+        f"where _loaded_at <= timestamp '{loaded_by}' and order_date >= date '{START_DATE}'))"
+    )
+
+
+def _share_above(column: str, share: float) -> str:
+    nulls = f"cast(count(*) - count({column}) as double) / nullif(count(*), 0)"
+    return f"coalesce({nulls} > 1 - {share}, false)"
+
+
+def _older_than(hours: int) -> str:
+    return f"coalesce({_HOURS.format('max(_loaded_at)', f"timestamp '{NOW}'")} > {hours}, true)"
+
+
 def _layered_run_summary() -> str:
     """Rows of the built tables, and every declared check that fails with its number of failures."""
     sources = {

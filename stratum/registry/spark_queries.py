@@ -18,12 +18,15 @@ from stratum.plans.check_catalog import CATALOG, SEGMENTS
 from stratum.plans.pipeline import PipelineConfig, run_pipeline
 from stratum.registry.params import AS_OF, CUT, CUT_TIME, EARLY_CUT_TIME, NOW, START_DATE
 from stratum.sources import readers, tpch, versions
-from stratum.sources.layers import LAYERS, LayerStore, create_view, replace_table
+from stratum.sources.layers import (
+    LAYERS, LayerStore, cluster_interleaved, create_view, replace_table, write_bucketed,
+)
 from stratum.sources.scratch import materialize, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
+BUCKETS = 8
 _LAYOUT = (schemas.SILVER_TYPES, silver.KEY, "order_month", silver.CLUSTER_BY)
 
 
@@ -727,14 +730,67 @@ def source_freshness(spark, sf_dir):
 
 @query
 def check_row_count_growth(spark, sf_dir):
-    """Orders per status: what was loaded by the cut, against one year earlier and against the end."""
-    stg = orders(spark, sf_dir, "status", "_loaded_at")
+    """Rows of the gold tables of the orders loaded by the cut, against those of a year earlier.
+
+    The revenue mart grows by a year of months; the other one has a row per customer, so it doesn't.
+    """
+    stg, people = orders(spark, sf_dir), materialize(customers(spark, sf_dir), "customers")
 
     def loaded_by(time: str) -> DataFrame:
-        rows = stg.filter(F.col("_loaded_at") <= F.lit(time).cast("timestamp_ntz"))
-        return rows.groupBy(F.col("status").alias("model")).agg(F.count(F.lit(1)).alias("n_rows"))
+        early = stg.filter(F.col("_loaded_at") <= F.lit(time).cast("timestamp_ntz"))
+        rows = materialize(silver.int_orders_enriched(early, people, NOW), "silver")
+        marts = {
+            "mart_revenue_by_segment": gold.mart_revenue_by_segment(rows, START_DATE),
+            "mart_customer_360": gold.mart_customer_360(rows, people, AS_OF, refreshed_at=NOW),
+        }
+        counts = [df.agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("n_rows")) for name, df in marts.items()]
+        return reduce(DataFrame.unionByName, counts)
+
+    return checks.row_counts_not_grown(loaded_by(CUT_TIME), loaded_by(EARLY_CUT_TIME))
+
+
+@query
+def dq_suite_shares_and_freshness(spark, sf_dir):
+    """Declared checks of whole tables beside those of rows, in one scan."""
+    declared = [
+        checks.not_null("customer_id"),
+        checks.not_null_share("customer_id"),
+        checks.not_null_share("shipped_date", 0.75),
+        checks.not_null_share("order_date", 1),
+        checks.fresh("_loaded_at", 25),
+        checks.fresh("_loaded_at", 5),
+    ]
+    columns = ("order_id", "customer_id", "order_date", "shipped_date", "_loaded_at")
+    suite = checks.run_suite(orders(spark, sf_dir, *columns), "stg_orders", declared, now=NOW)
+    return suite.drop("severity")
+
 
-    return checks.row_counts_not_grown(loaded_by(EARLY_CUT_TIME), loaded_by(CUT_TIME))
+@query
+def join_bucketed_left(spark, sf_dir):
+    """Orders with their customer's attributes from tables in buckets of the customer: no side is shuffled."""
+    rows = clean(spark, sf_dir).select("order_id", "customer_id", "net_revenue")
+    people = customers(spark, sf_dir).select("customer_id", "customer_name", "customer_segment")
+    left = write_bucketed(rows, new_folder(spark, "orders-bucketed"), "customer_id", BUCKETS)
+    right = write_bucketed(people, new_folder(spark, "customers-bucketed"), "customer_id", BUCKETS)
+    return left.join(right.hint("merge"), "customer_id", "left")
+
+
+@query
+def clustered_interleaved(spark, sf_dir):
+    """Silver rows laid out by date and region at once."""
+    path = new_folder(spark, "interleaved")
+    replace_table(cluster_interleaved(clean(spark, sf_dir), silver.CLUSTER_BY, [silver.KEY]), path)
+    return versions.read(spark, path)
+
+
+@query
+def filter_start_subquery(spark, sf_dir):
+    """The revenue mart from a start that a query finds, the year of the newest order: months before it are not read."""
+    path = new_folder(spark, "silver-by-month")
+    upsert.full_load(enriched(spark, sf_dir), path, *_LAYOUT)
+    stored = versions.read(spark, path, schemas.SILVER_TYPES)
+    start = stored.agg(F.trunc(F.max("order_date"), "year")).scalar()
+    return gold.mart_revenue_by_segment(stored, start)
 
 
 def _suite(df: DataFrame, model: str, parents=None, counted=None) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratum.sources import versions
 
@@ -44,6 +46,60 @@ def cluster(df: DataFrame, cluster_by: Sequence[str], spread_by: Sequence[str] =
     return df.repartitionByRange(*cluster_by, *spread_by).sortWithinPartitions(*cluster_by)
 
 
+#: Ranges that each column is cut into before they are interleaved, and rows drawn to find where they begin.
+MOST_RANGES = 64
+_SAMPLE_ROWS = 10_000
+
+
+def range_starts(df: DataFrame, columns: Sequence[str], most: int = MOST_RANGES) -> dict[str, list]:
+    """For each column the values at which its ranges 1, 2, ... begin: those that cut a sample into even ones.
+
+    Rows are drawn by a hash of their values, so equal tables are cut alike. A sample only shapes the layout.
+    """
+    total = df.count()
+    lot = F.pmod(F.xxhash64(*columns, F.monotonically_increasing_id()), F.lit(1 << 30))
+    drawn = df.filter(lot < F.lit((1 << 30) * min(_SAMPLE_ROWS, total) // max(total, 1) + 1)).select(*columns)
+    found = {c: sorted(v for v in values if v is not None and v == v) for c, values in drawn.toPandas().items()}
+    return {c: sorted({values[len(values) * i // most] for i in range(1, most)} - {values[0]}) if values else [] for c, values in found.items()}
+
+
+def cluster_interleaved(df: DataFrame, columns: Sequence[str], spread_by: Sequence[str] = ()) -> DataFrame:
+    """Range-partition and sort by the interleaved ranges of the columns, so a filter on any one of them skips files.
+
+    A row's ranges are numbered, and their bits put in turn, the highest first: rows that are near in that number are
+    near in every column. ``cluster`` serves filters on its first column best; here each column gets its share.
+    """
+    kinds, starts = dict(df.dtypes), range_starts(df, columns)
+    numbers = {
+        f"_range_{i}": sum((F.when(F.col(c) >= F.lit(v).cast(kinds[c]), 1).otherwise(0) for v in starts[c]), F.lit(0))
+        for i, c in enumerate(columns)
+    }
+    bits = [len(starts[c]).bit_length() for c in columns]
+    key = F.lit(0)
+    for depth in range(max(bits, default=0)):
+        for number, width in zip(numbers, bits):
+            if depth < width:
+                key = key * 2 + F.shiftright(F.col(number), width - 1 - depth).bitwiseAND(F.lit(1))
+    laid = df.withColumns(numbers).withColumn("_ranges", key).drop(*numbers)
+    return laid.repartitionByRange("_ranges", *spread_by).sortWithinPartitions("_ranges", *columns).drop("_ranges")
+
+
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> DataFrame:
+    """Store a table in buckets of a key: joins and aggregates on the key of tables with equal buckets shuffle neither.
+
+    Returns the stored table. Rows without a key share a bucket, and so do those of one key: for keys that hold a large
+    share of a table ``operators.joins.left_join`` is the one to take. The catalog entry that the writer makes is
+    dropped again, the files stay at ``path``.
+    """
+    spark = df.sparkSession
+    name = f"bucketed_{uuid.uuid4().hex}"
+    shuffled = df.repartition(buckets, key)  # so that each bucket is one file
+    shuffled.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return stored
+
+
 @dataclass(frozen=True)
 class LayerStore:
     """Tables of the layered model as versioned parquet folders ``<root>/<layer>/<model>``."""

@@ -70,6 +70,8 @@ class Snapshot:
     seq: int
     partition_by: str | None
     parts: list[Part]
+    #: For each version how many partitions it wrote; those of them that are not among the parts are out of date.
+    written: Mapping[str, int]
 
     @property
     def n_rows(self) -> int:
@@ -128,7 +130,10 @@ def current(spark: SparkSession, path: str) -> Snapshot | None:
         parts[row.part] = Part(
             row.version, row.part, row.n_rows, row.low_key, row.high_key, row.newest, row.failures or {}, row.source
         )
-    return Snapshot(path, max(winner), rows[-1].partition_by, [p for p in parts.values() if p.n_rows])
+    written: dict[str, int] = {}
+    for row in rows:
+        written[row.version] = written.get(row.version, 0) + (row.n_rows > 0)
+    return Snapshot(path, max(winner), rows[-1].partition_by, [p for p in parts.values() if p.n_rows], written)
 
 
 def _winners(rows: Iterable) -> dict[int, str]:
@@ -166,17 +171,17 @@ def read(
         reader = reader.schema(schemas.struct(types | {"version": "string"}))
     versions = sorted({p.version for p in parts})
     rows = reader.option("basePath", path).parquet(*[f"{path}/version={v}" for v in versions])
-    live = _live(rows, parts, snapshot.partition_by)
+    live = _live(rows, parts, snapshot)
     return rows.filter(live).select(*(types or [c for c in rows.columns if c != "version"]))
 
 
-def _live(rows: DataFrame, parts: Sequence[Part], partition_by: str | None) -> Column:
+def _live(rows: DataFrame, parts: Sequence[Part], snapshot: Snapshot) -> Column:
     """The partitions of each version that count, as a condition on partition columns alone."""
-    tests = []
+    tests, partition_by = [], snapshot.partition_by
     for version in sorted({p.version for p in parts}):
         own = F.col("version") == version
         values = [p.part for p in parts if p.version == version]
-        if partition_by is not None:
+        if partition_by is not None and len(values) < snapshot.written[version]:
             kind = rows.schema[partition_by].dataType
             named = F.col(partition_by).isin(*[F.lit(v).cast(kind) for v in values if v is not None])
             own &= (named | F.col(partition_by).isNull()) if None in values else named

@@ -224,3 +224,18 @@ def test_suite_counts_every_check(spark):
         ("x", "accepted_range"): 1,
         ("k", "relationships"): 2,
     }
+
+
+def test_suites_check_shares_of_null_and_freshness_in_their_scan(spark):
+    rows = spark.range(100).select(
+        F.when(F.col("id") > 0, F.col("id")).alias("a"), F.when(F.col("id") > 1, F.col("id")).alias("b"),
+        F.lit("2024-01-01 00:30:00").cast("timestamp_ntz").alias("t"),
+    )
+    declared = [
+        checks.not_null("a"), checks.not_null_share("a"), checks.not_null_share("b"), checks.fresh("t", 2), checks.fresh("t", 1)
+    ]
+    suite = checks.run_suite(rows, "m", declared, now="2024-01-01 02:00:00")
+    # A share of exactly 1 % passes; the age counts hour boundaries.
+    assert [r["failures"] for r in suite.collect()] == [1, 0, 1, 0, 1]
+    empty = checks.run_suite(rows.limit(0), "m", declared, now="2024-01-01 02:00:00")
+    assert [r["failures"] for r in empty.collect()] == [0, 0, 0, 1, 1]

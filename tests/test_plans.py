@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from stratum import schemas
@@ -11,6 +12,7 @@ from stratum.plans import gold
 from stratum.plans.check_catalog import CATALOG
 from stratum.registry import spark_queries
 from stratum.sources import scratch
+from stratum.sources.layers import cluster_interleaved
 from tests.conftest import SF_DIR
 from tests.data import customer, customers
 
@@ -113,3 +115,36 @@ def test_scratch_without_a_shared_folder():
     for where in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             scratch.scratch_root(session(where))
+
+
+def test_bucketed_tables_are_joined_without_a_shuffle(spark):
+    assert "Exchange" not in plan_of(queries()["join_bucketed_left"](spark, SF_DIR))
+
+
+def test_a_start_found_by_a_query_prunes_months_at_run_time(spark):
+    setting = "spark.sql.maxMetadataStringLength"
+    spark.conf.set(setting, "2000")
+    try:
+        plan = plan_of(queries()["filter_start_subquery"](spark, SF_DIR))
+    finally:
+        spark.conf.unset(setting)
+    pruned = [f for f in re.findall(r"PartitionFilters: \[(.*?)\], Pushed", plan) if "order_month" in f]
+    assert pruned and all(re.search(r"order_month#\d+ >= trunc\(Subquery", f) for f in pruned)
+
+
+def test_interleaved_files_are_skipped_by_either_column(spark):
+    names = ("order_date", "region")
+    rows = spark.range(20_000).select(
+        F.expr("date_add(date'2024-01-01', cast(id % 31 as int))").alias("order_date"),
+        F.element_at(F.array(*map(F.lit, ["East", "North", "South", "West"])), (F.col("id") % 4 + 1).cast("int")).alias("region"),
+        F.col("id").cast("string").alias("order_id"),
+    )
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"  # would join these few rows again
+    spark.conf.set(setting, "false")
+    try:
+        laid = cluster_interleaved(rows, names, ["order_id"]).withColumn("part", F.spark_partition_id())
+        bounds = laid.groupBy("part").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in names for f in (F.min, F.max)]).collect()
+    finally:
+        spark.conf.unset(setting)
+    assert len(bounds) == 8 and sum(r["min_region"] <= "East" for r in bounds) <= 4
+    assert sum(str(r["min_order_date"]) <= "2024-01-03" for r in bounds) <= 4
