@@ -17,9 +17,13 @@ from stratum.llm.text import distinct
 _STEPS, _FLOOR = 254, -7.0
 
 
-def floor_below(*shares: np.ndarray) -> float:
-    """The logarithm of half the least of the probabilities given, none of them 0; -7 if that is less."""
-    return min(_FLOOR, float(np.log10(min(p.min(initial=1.0) for p in shares) / 2)))
+def floor_of(largest: int) -> float:
+    """A logarithm below all probabilities of a model whose most frequent word occurs so often, -7 at most.
+
+    The least are a bigram that occurs once (half a share of its middle word) and what a context leaves to one more
+    continuation (a share of twice its occurrences).
+    """
+    return min(_FLOOR, float(np.log10(0.25 / max(largest, 1))))
 
 
 def quantised(p: np.ndarray, floor: float = _FLOOR) -> np.ndarray:
@@ -159,9 +163,11 @@ class Trie:
         self.floor = floor
 
     @classmethod
-    def build(cls, bigrams: np.ndarray, shares: np.ndarray, trigrams: np.ndarray, counts: np.ndarray) -> Trie:
+    def build(
+        cls, bigrams: np.ndarray, shares: np.ndarray, trigrams: np.ndarray, counts: np.ndarray, floor: float
+    ) -> Trie:
         """bigrams: sorted (middle, third), shares: their probabilities; trigrams: sorted (middle, first, third), their
-        counts. A trigram's probability is smoothed after Witten and Bell: a context leaves as many shares as it has
+        counts; no logarithm of a probability is below the floor. A trigram's probability is smoothed after Witten and Bell: a context leaves as many shares as it has
         different continuations."""
         middles = distinct(np.concatenate([bigrams[:, 0], trigrams[:, 0]]))
         of_bigram, of_trigram = np.searchsorted(middles, bigrams[:, 0]), np.searchsorted(middles, trigrams[:, 0])
@@ -181,7 +187,6 @@ class Trie:
         kinds = np.bincount(context, minlength=len(contexts))
         left = kinds / np.maximum(total + kinds, 1)
         of_thirds = counts / (total + kinds)[context] if len(counts) else np.zeros(0)
-        floor = floor_below(shares, left, of_thirds)
         codes = np.zeros(len(keys), np.uint8)
         codes[at_bigram] = quantised(shares, floor)
         followers = Level.of(keys // step, keys % step, len(middles), codes)

@@ -13,7 +13,7 @@ row an occurrence:
 The model: unigrams are (c + 1) / (N + V + 1), which leaves a share for unknown words; bigrams interpolate evenly with
 unigrams, p2 = c(w2 w3) / 2 c(w2) + p1 / 2; trigrams with bigrams after Witten and Bell. Probabilities of seen bigrams
 and trigrams and the shares of contexts are quantised to a byte, in 254 even steps of the logarithm down to 10^-7, or to
-below the smallest that a shard's trie holds. Every text begins after two start marks and ends with
+below the smallest that counts as large as the corpus's can give, for all shards alike. Every text begins after two start marks and ends with
 an end mark, which counts as a token.
 
 Two different words of one hash would count as one (with a billion words, a chance of about 3 %). Null texts count as
@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.elias_fano import Trie, levels
+from stratum.llm.elias_fano import Trie, floor_of, levels
 from stratum.llm.text import SPACES, chunks, encode_words, starts, table
 from stratum.sources import files
 from stratum.sources.scratch import materialize, new_folder
@@ -123,12 +123,12 @@ def _count_words(group: pa.Table, n_shards: int) -> pa.Table:
     number = np.where(total > 0, FIRST_WORD + rank * n_shards + shard, UNKNOWN)
     edges = starts(np.array([len(p) for p in parts]))
     rows = [
-        (block, shard, _packed(number[back[a:b]].astype(np.uint32)), _packed(total[back[a:b]].astype(np.uint64)), 0, 0)
+        (block, shard, _packed(number[back[a:b]].astype(np.uint32)), _packed(total[back[a:b]].astype(np.uint64)), 0, 0, 0)
         for block, a, b in zip(blocks, edges, edges[1:])
     ]
-    rows.append((-1, shard, b"", b"", int((total > 0).sum()), int(total.sum())))
-    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
-    names = ["block", "shard", "numbers", "totals", "distinct", "tokens"]
+    rows.append((-1, shard, b"", b"", int((total > 0).sum()), int(total.sum()), int(total.max(initial=0))))
+    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+    names = ["block", "shard", "numbers", "totals", "distinct", "tokens", "largest"]
     return pa.table([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
 
@@ -142,6 +142,7 @@ class Plan:
     tokens: int  # N
     distinct: int  # V
     training_docs: int
+    floor: float  # the logarithm below all probabilities of the tries
 
     def unigram(self, count: np.ndarray) -> np.ndarray:
         return (count + 1.0) / (self.tokens + self.distinct + 1.0)
@@ -277,24 +278,24 @@ def _summed(keys: list[np.ndarray], counts: np.ndarray) -> tuple[np.ndarray, np.
     return np.stack([k[begin] for k in sorted_], axis=1), np.add.reduceat(counts[order], begin)
 
 
-def build_trie(parts: dict[str, np.ndarray]) -> Trie:
-    """The trie of the n-grams that occur in training among those sent to a shard."""
+def build_trie(parts: dict[str, np.ndarray], floor: float) -> Trie:
+    """The trie of the n-grams that occur in training among those sent to a shard; all shards share the floor."""
     b, t = parts["b_count"] > 0, parts["t_count"] > 0
     bigrams, times = _summed([parts["b_middle"][b], parts["b_third"][b]], parts["b_count"][b])
     run = np.flatnonzero(np.diff(parts["b_middle"], prepend=-1))
     middles, first = np.unique(parts["b_middle"][run], return_index=True)
     total = parts["b_total"][run[first]][np.searchsorted(middles, bigrams[:, 0])] if len(bigrams) else times
     trigrams, counts = _summed([parts[f"t_{x}"][t] for x in ("middle", "first", "third")], parts["t_count"][t])
-    return Trie.build(bigrams, 0.5 * times / np.maximum(total, 1), trigrams, counts)
+    return Trie.build(bigrams, 0.5 * times / np.maximum(total, 1), trigrams, counts, floor)
 
 
-def _answer_shard(group: pa.Table) -> pa.Table:
+def _answer_shard(group: pa.Table, floor: float) -> pa.Table:
     columns = {n: group[n].to_pylist() for n in _PARTS}
     pieces = {
         n: [_unpacked(x, np.uint64 if n == "b_total" else np.uint32).astype(np.int64) for x in columns[n]] for n in _PARTS
     }
     parts = {n: np.concatenate(x) for n, x in pieces.items()}
-    trie = Trie.from_buffer(build_trie(parts).to_bytes())
+    trie = Trie.from_buffer(build_trie(parts, floor).to_bytes())
     bigram = trie.bigram(parts["b_middle"], parts["b_third"])
     share, left = trie.trigram(parts["t_first"], parts["t_middle"], parts["t_third"])
     of_b, of_t = starts(np.array([len(x) for x in pieces["b_third"]])), starts(np.array([len(x) for x in pieces["t_third"]]))
@@ -371,17 +372,21 @@ def score_texts(docs: DataFrame, modulus: int = 7, held_out: int = 2, shard_toke
     )
     counted = materialize(
         asked.groupBy("shard").applyInArrow(
-            count_words, "block long, shard int, numbers binary, totals binary, distinct long, tokens long"
+            count_words, "block long, shard int, numbers binary, totals binary, distinct long, tokens long, largest long"
         ),
         "lm-words",
     )
-    distinct, tokens = counted.filter("block < 0").agg(F.sum("distinct"), F.sum("tokens")).first()
-    plan = Plan(n_shards, max(1, shard_tokens // 2), (tokens or 0) + n_docs, (distinct or 0) + (n_docs > 0), n_docs)
+    totals = F.sum("distinct"), F.sum("tokens"), F.max("largest")
+    distinct, tokens, largest = counted.filter("block < 0").agg(*totals).first()
+    plan = Plan(
+        n_shards, max(1, shard_tokens // 2), (tokens or 0) + n_docs, (distinct or 0) + (n_docs > 0), n_docs,
+        floor_of(max(largest or 0, n_docs)),
+    )
     if n_words < shard_tokens * n_shards // 2:  # a small table: split by what a shard holds
         plan.most = max(1, n_words // n_shards // 2)
 
     number = partial(_number_block, plan=plan)
-    answers = counted.filter("block >= 0").drop("distinct", "tokens")
+    answers = counted.filter("block >= 0").drop("distinct", "tokens", "largest")
     numbered = blocks.drop("counts").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(number, _NUMBERED)
     numbered = materialize(numbered, "lm-numbered")
     files.delete(spark, folder)
@@ -389,8 +394,9 @@ def score_texts(docs: DataFrame, modulus: int = 7, held_out: int = 2, shard_toke
     asked = numbered.mapInArrow(
         partial(_gram_requests, plan=plan), "shard int, block long, " + ", ".join(f"{p} binary" for p in _PARTS)
     )
+    answer = lambda group: _answer_shard(group, plan.floor)
     found = asked.groupBy("shard").applyInArrow(
-        _answer_shard, "block long, shard int, floor double, bigram binary, trigram binary, left binary"
+        answer, "block long, shard int, floor double, bigram binary, trigram binary, left binary"
     )
     score = partial(_score_block, plan=plan)
     return numbered.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(score, _SCORED)
