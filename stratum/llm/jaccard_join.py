@@ -17,11 +17,13 @@ Sets and the links between them:
 Every comparison is an exact count on whole sets of 64-bit shingle hashes. The frequent shingles are broadcast up to a
 fixed number (a higher frequency counts as frequent when there are more, which changes no result). Ids to look up are
 broadcast up to a fixed number and joined by a shuffle beyond it. Comparisons with one document or cluster are dealt
-over as many groups as it takes for a bounded number in each. doc_id is the key of the table.
+over as many groups as it takes for a bounded number in each. doc_id is the key of the table; where it repeats with
+other texts, each such text is a document of its own inside, and the id links them.
 
 Null and empty texts have an empty set, link with nothing and are components of their own; a text of fewer words than
 a shingle is one shingle; a null doc_id links with nothing and has a null component; repeated rows are copies of one
-document; an empty table gives no rows; other columns are not read.
+document, and different texts of one doc_id belong to one component, with the links of each; an empty table gives no
+rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -592,6 +594,32 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
+def _own_ids(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(documents, aliases): where texts share an id, each gets one that no other document has, with its (alias, id).
+
+    An alias is a hash of the id and the text, hashed again for as long as it is an id or another text's alias.
+    """
+    key = F.xxhash64("doc_id", "text")
+    seen = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.min(key).alias("low"), F.max(key).alias("high"))
+    several = materialize(seen.filter("low <> high").select("doc_id"), "jaccard-several")
+    if several.isEmpty():
+        return docs, None
+    texts = docs.select("doc_id", key.alias("key")).join(several, "doc_id").distinct()
+    names = materialize(texts.withColumn("alias", F.xxhash64("doc_id", "key")), "jaccard-aliases")
+    while True:
+        twice = names.groupBy("alias").agg(F.count("*").alias("n")).filter("n > 1").select("alias")
+        taken = docs.select(F.col("doc_id").alias("alias")).join(names, "alias", "left_semi")
+        again = materialize(twice.union(taken).distinct(), "jaccard-taken")
+        if again.isEmpty():
+            break
+        other = names.join(again, "alias", "left_semi").withColumn("alias", F.xxhash64("alias", "doc_id", "key"))
+        kept = names.join(again, "alias", "left_anti")
+        names = materialize(kept.unionByName(other), "jaccard-aliases")
+    renamed = docs.select("doc_id", "text", key.alias("key")).join(names, ["doc_id", "key"], "left")
+    renamed = materialize(renamed.select(F.coalesce("alias", "doc_id").alias("doc_id"), "text"), "jaccard-renamed")
+    return renamed, names.select("alias", F.col("doc_id").alias("id"))
+
+
 def near_duplicates(
     docs: DataFrame, entries_per_bucket: int = 1_000_000, hot_at: int = HOT_AT, most_hot: int = MOST_HOT,
     rounds: int = 1,
@@ -600,6 +628,27 @@ def near_duplicates(
 
     hot_at: prefixes of so many documents make a shingle frequent, as long as there are at most `most_hot` of them.
     """
+    own, aliases = _own_ids(docs.select("doc_id", "text"))
+    found = _near_duplicates(own, entries_per_bucket, hot_at, most_hot, rounds)
+    if aliases is None:
+        return found
+    # Components that hold texts of one id are merged; the smallest id stands for each again.
+    found = found.join(aliases, F.col("doc_id") == F.col("alias"), "left").drop("alias")
+    found = materialize(found, "jaccard-of-aliases")
+    linked = found.filter("id is not null and n_shingles > 0").select("id", F.col("component_id").alias("a"))
+    edges = linked.join(linked.groupBy("id").agg(F.min("a").alias("b")), "id").filter("a <> b").select("a", "b")
+    merged = components(materialize(edges.distinct(), "jaccard-merged"))
+    rows = found.join(merged.withColumnRenamed("node", "component_id"), "component_id", "left").select(
+        F.coalesce("id", "doc_id").alias("doc_id"), "n_shingles",
+        F.coalesce("component", "component_id").alias("component"),
+    )
+    lowest = rows.filter("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    rows = rows.join(lowest, "component", "left")
+    alone = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return rows.select("doc_id", "n_shingles", alone.alias("component_id"))
+
+
+def _near_duplicates(docs: DataFrame, entries_per_bucket: int, hot_at: int, most_hot: int, rounds: int) -> DataFrame:
     summary_schema = "doc_id long, n long, sum_a long, sum_b long, bands array<long>, prefix binary"
     sets = materialize(docs.select("doc_id", "text").mapInArrow(_summaries, summary_schema), "jaccard-sets")
     named = sets.filter("doc_id is not null and n > 0")
@@ -608,7 +657,7 @@ def near_duplicates(
     reps = named.select("doc_id", "n", "sum_a", "sum_b", "bands", "prefix").join(
         equal.drop("times"), ["n", "sum_a", "sum_b"], "left"
     )
-    alone = reps.filter("rep is null or rep = doc_id").dropDuplicates(["doc_id"])
+    alone = reps.filter("rep is null or rep = doc_id").dropDuplicates(["doc_id"])  # equal rows
     alone = materialize(alone.select("doc_id", "n", "bands", "prefix"), "jaccard-alone")
 
     total = alone.agg(F.sum(F.octet_length("prefix") / 8)).first()[0] or 0

@@ -139,7 +139,7 @@ def test_op1_tells_rare_followers_of_very_frequent_words():
     counts = np.where(np.arange(rare) == 0, total - rare + 1, 1)
     parts = {"b_middle": np.full(rare, 5), "b_third": third, "b_count": counts, "b_total": np.full(rare, total)}
     parts |= {"t_middle": np.full(rare, 5), "t_first": np.full(rare, 6), "t_third": third, "t_count": counts}
-    trie = elias_fano.Trie.from_buffer(ngram_lm.build_trie(parts).to_bytes())
+    trie = elias_fano.Trie.from_buffer(ngram_lm.build_trie(parts, elias_fano.floor_of(total)).to_bytes())
     of_code = elias_fano.levels(trie.floor)
     share, left = trie.trigram(parts["t_first"], parts["t_middle"], third)
     step = 10 ** (-trie.floor / 254)
@@ -241,6 +241,18 @@ def plain_components(rows):
     return {d: (len(sets[d]), root(d)) for d in ids}
 
 
+def test_op4_links_the_texts_of_one_id(spark):
+    rng = random.Random(8)
+    a, b, c = (" ".join(rng.choices([f"w{i}" for i in range(300)], k=60)) for _ in range(3))
+    rows = [(5, a), (5, b), (7, a + " x"), (9, b + " y"), (11, c), (3, c + " z"), (5, None), (13, None), (None, a), (11, c)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(frame).collect())
+    assert found == collections.Counter([
+        (5, 56, 5), (5, 56, 5), (7, 57, 5), (9, 57, 5), (11, 56, 3), (11, 56, 3), (3, 57, 3), (5, 0, 5), (13, 0, 13),
+        (None, 56, None),
+    ])
+
+
 @pytest.mark.parametrize("hot_at,most_hot", [(16, 10**6), (3, 40)])
 def test_op4_equals_all_pairs(spark, hot_at, most_hot):
     rng = random.Random(hot_at)
@@ -313,6 +325,35 @@ def test_op7_equals_the_library(spark, given):
         at += n
 
 
+def test_op7_long_words_and_small_slices_equal_the_library(monkeypatch):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    model = piece_bpe.Vocabulary(path)
+    rng = random.Random(11)
+    letters = "etaoinshrdluETAOINabcdefg0123456789日本語中文のé🙂\u200b"
+    texts = ["".join(rng.choices(letters, k=n)) for n in (511, 512, 513, 700, 5000, 40_000)]
+    texts += ["a" * 3000, "ab" * 2000, "the" * 1500, "日" * 900, " ".join(rng.choices(["information", "a" * 600, "xyz"], k=50))]
+    for longest, symbols in ((512, 1 << 17), (2, 50), (1, 1)):
+        monkeypatch.setattr(piece_bpe, "_LONG", longest)
+        monkeypatch.setattr(piece_bpe, "_SLICE_SYMBOLS", symbols)
+        model.words.clear()
+        some = texts if longest == 512 else texts[:4] + texts[-1:]
+        lengths, ids = model.encode(pa.array(some, pa.string()))
+        assert np.split(ids, np.cumsum(lengths)[:-1])[0].tolist() == library.encode(some[0], add_eos=True)
+        at = 0
+        for text, n in zip(some, lengths):
+            assert ids[at : at + n].tolist() == library.encode(text, add_eos=True)
+            at += n
+
+
+def test_op7_encodes_a_megabyte_without_blanks():
+    model = piece_bpe.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    text = "".join(random.Random(12).choices("etaoinshrdlucmfwypvbgkjqxz", k=1 << 20))
+    lengths, ids = model.encode(pa.array([text]))
+    assert model.decode(lengths, ids) == [text]
+    assert not any(len(w) > piece_bpe._LONG for w in model.words)
+
+
 def test_op9_equals_plain_scans(spark, given):
     for r in registry.op9_license_scan(spark, SF_DIR).collect():
         text = given[r.doc_id]

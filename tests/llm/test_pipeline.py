@@ -6,6 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from stratum.llm import line_crf, registry, toxicity
 from tests.conftest import SF_DIR
@@ -51,19 +52,20 @@ def plain_stages(spark, folder, docs):
     def judged(score, bad):
         def kept(rows):
             frame = spark.createDataFrame(rows, "doc_id long, text string")
-            out = {r.doc_id for r in score(frame, labels).collect() if r.predicted == bad}
-            return [r for r in rows if r[0] is None or r[0] not in out]
+            keyed = frame.withColumn("text_key", F.xxhash64("text"))
+            out = {(r.doc_id, r.text_key) for r in score(frame, labels).collect() if r.predicted == bad}
+            return [(r.doc_id, r.text) for r in keyed.collect() if (r.doc_id, r.text_key) not in out]
 
         return kept
 
     def near_duplicates(rows):
-        least = {d: c for d, (_, c) in plain_components([r for r in rows if r[0] is not None]).items()}
-        once = dict.fromkeys(r for r in rows if r[0] is not None and least[r[0]] == r[0])
-        return [*once, *(r for r in rows if r[0] is None)]
+        ranked = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
+        found = plain_components(list(enumerate(t for _, t in ranked)))
+        return [r for i, r in enumerate(ranked) if found[i][1] == i]
 
     def clean(rows):
         counts = [(r, *plain_hits(r[1], items)) for r in rows]
-        return [r for r, n, hit in counts if r[0] is None or not (hit and 20 * hit >= n)]
+        return [r for r, n, hit in counts if not (hit and 20 * hit >= n)]
 
     return [judged(toxicity.score_toxicity, 1), judged(line_crf.score_quality, 0), near_duplicates, clean]
 
@@ -101,7 +103,35 @@ def test_run_on_edge_cases_keeps_columns_and_ids(spark, edge_dir):  # noqa: F811
     out = corpus_pipeline.run(spark, edge_dir)
     found = [r.doc_id for r in out.collect()]
     assert out.columns == ["doc_id", "n_tokens", "ids", "text"]
-    assert set(found) <= {i for i, _ in EDGE} and len(found) == len(set(found))
+    assert set(found) <= {i for i, _ in EDGE}
+
+
+def test_rows_without_or_with_a_shared_id_are_judged_by_their_own_text(spark):
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    scored = toxicity.score_toxicity(docs, labels).filter("predicted = 1").select("doc_id").limit(1)
+    toxic = docs.join(scored, "doc_id").first().text
+    extra = [(None, toxic, None), (0, toxic, "x"), (None, "a quiet walk along the river", None)]
+    more = docs.unionByName(spark.createDataFrame(extra, "doc_id long, text string, lang string"), allowMissingColumns=True)
+    kept = corpus_pipeline.toxicity_stage(spark, more, SF_DIR)
+    found = collections.Counter((r.doc_id, r.text) for r in kept.filter("doc_id is null or doc_id = 0").collect())
+    clean = [r for r in docs.filter("doc_id = 0").collect()]
+    assert found == collections.Counter([(0, clean[0].text), (None, extra[2][1])])
+    assert kept.filter(F.col("text") == toxic).isEmpty()
+
+
+@pytest.mark.parametrize("far", [False, True])
+def test_near_duplicates_without_ids_leave_one(spark, far):
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(None, text), (None, text + " more"), (9, text), (9, "other " * 3 + text), (4, "alone and short"), (None, None), (None, "")]
+    rows += [((1 << 63) - 1, "far beyond the others")] if far else []
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, component_id int")
+    kept = corpus_pipeline.near_duplicate_stage(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    found = collections.Counter((r.doc_id, r.text) for r in kept.collect())
+    nines = [r for r in found if r[0] == 9]
+    others = [(4, "alone and short"), (None, None), (None, ""), *rows[7:]]
+    assert len(nines) == 1 and found == collections.Counter([nines[0], *others])
 
 
 def test_run_on_empty_tables(spark, empty_dir):  # noqa: F811
