@@ -12,6 +12,11 @@ def in_fold(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
+def with_text_key(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, text_key): a row's decision is that of its doc_id and text, whatever else they share."""
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+
+
 def training_labels(labels: DataFrame, column: str, modulus: int, held_out: int) -> DataFrame:
     """(doc_id, label), a row per doc_id; of contradicting labels the larger counts."""
     rows = labels.select("doc_id", F.col(column).cast("int").alias("label"))
@@ -25,23 +30,25 @@ def sample(
 ) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(texts, labels, weights) of about so many labelled rows of each label, chosen by a hash of doc_id.
 
-    Only texts of up to `longest` bytes are drawn, so its size is bounded by the parameters. The weights make up for
-    the shares drawn. Repeated texts count once.
+    Only texts of up to `longest` bytes are drawn, and of a doc_id that repeats one of them, so its size is bounded by
+    the parameters. The weights make up for the shares drawn. Repeated texts count once.
     """
     counts = {r.label: r.n for r in labels.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    scale = 1_000_000
+    scale = 1_000_000  # twice, one inside the other: the least share of the largest class still draws rows
     draw, weight = F.lit(False), {}
     for label, most in rows_per_label.items():
         share = min(1.0, most / max(counts.get(label, 0), 1))
         weight[label] = 1 / share
-        lot = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(label)), F.lit(scale))
-        draw |= (F.col("label") == label) & (lot < F.lit(int(share * scale)))
+        lot = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(label)), F.lit(scale)) * scale
+        lot += F.pmod(F.xxhash64(F.lit("finer"), F.col("doc_id")), F.lit(scale))
+        draw |= (F.col("label") == label) & (lot < F.lit(int(share * scale**2) + 1))
     chosen = labels.filter(draw)
     found = (
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
         .filter(F.octet_length("text") <= longest)
         .join(F.broadcast(chosen), "doc_id")
-        .select("text", "label")
+        .groupBy("doc_id", "label")
+        .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
         .toArrow()
     )
     best = dict(zip(found["text"].to_pylist(), found["label"].to_pylist()))

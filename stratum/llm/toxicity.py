@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.labelled import in_fold, logistic, sample, training_labels
+from stratum.llm.labelled import in_fold, logistic, sample, training_labels, with_text_key
 from stratum.llm.text import PUNCTUATION, chunks, encode_words, table, translated
 from stratum.sources.scratch import materialize
 
@@ -132,12 +132,13 @@ def vote_strengths(column: pa.Array, lexicon: Lexicon) -> tuple[np.ndarray, np.n
 
 
 def _vote_rows(batches: Iterator[pa.RecordBatch], lexicon: Lexicon) -> Iterator[pa.RecordBatch]:
-    for rows in chunks(batches):
+    for rows in chunks(batches, most=1 << 20):
         votes, words = vote_strengths(rows.column("text"), lexicon)
         flat = pa.array(votes.ravel(), pa.int64())
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(votes) + 1) * _VOTERS, pa.int32()), flat)
         yield pa.RecordBatch.from_arrays(
-            [rows.column("doc_id"), lists, pa.array(words, pa.int64())], names=["doc_id", "votes", "n_words"]
+            [rows.column("doc_id"), rows.column("text_key"), lists, pa.array(words, pa.int64())],
+            names=["doc_id", "text_key", "votes", "n_words"],
         )
 
 
@@ -231,12 +232,12 @@ def score_expression(coefficients: np.ndarray, votes: Column, words: Column) ->
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int = 1) -> DataFrame:
-    """(doc_id, held_out, score, predicted, votes) of every row of (doc_id, text); labels: (doc_id, toxic)."""
+    """(doc_id, text_key, held_out, score, predicted, votes) of every row of (doc_id, text); labels: (doc_id, toxic)."""
     known = training_labels(labels, "toxic", modulus, held_out)
     texts, toxic, weight = sample(docs, known, {1: SAMPLE_TOXIC, 0: SAMPLE_CLEAN}, LONGEST_SAMPLED)
     lexicon = induce_lexicon(texts, toxic, weight)
-    votes = docs.select("doc_id", "text").mapInArrow(
-        partial(_vote_rows, lexicon=lexicon), "doc_id long, votes array<long>, n_words long"
+    votes = with_text_key(docs).mapInArrow(
+        partial(_vote_rows, lexicon=lexicon), "doc_id long, text_key long, votes array<long>, n_words long"
     )
     votes = materialize(votes, "toxicity-votes")
     learnt = votes.filter(~in_fold(F.col("doc_id"), modulus, held_out)).select("doc_id", _mask(F.col("votes")).alias("m"))
@@ -254,6 +255,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_ou
     coefficients = logistic(x, y, np.append(weight, 1.0))
     score = score_expression(coefficients, F.col("votes"), F.col("n_words"))
     return votes.select(
-        "doc_id", in_fold(F.col("doc_id"), modulus, held_out).alias("held_out"), score.alias("score"),
+        "doc_id", "text_key", in_fold(F.col("doc_id"), modulus, held_out).alias("held_out"), score.alias("score"),
         F.when(score >= THRESHOLD, 1).otherwise(0).alias("predicted"), "votes",
     )
