@@ -6,7 +6,8 @@ lines of bad documents start as bad, and lines that the field then finds good ar
 field is fitted to a bounded sample of labelled documents. A document's quality is the mean of its lines' forward-
 backward marginals, weighted by their lengths, put on the scale of a probability by a fitted logistic curve.
 
-Scoring steps through all documents of a batch at once, a line at a time. Null and empty texts have one empty line;
+Scoring steps through all documents of a batch at once, a line at a time; long documents are cut into stretches whose
+messages meet, so neither time nor memory grows with anything but the text. Null and empty texts have one empty line;
 repeated rows get equal scores; without labels of both kinds every score is the share of good labels (0.5 without
 any); an empty table gives no rows; lang, source, doc_id and other columns are not read as inputs.
 """
@@ -23,10 +24,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.labelled import in_fold, logistic, sample, training_labels
+from stratum.llm.labelled import in_fold, logistic, sample, training_labels, with_text_key
 from stratum.llm.text import SPACES, chunks, distinct, encode_words, starts, table, translated
 
 SAMPLE_BAD, SAMPLE_GOOD, LONGEST_SAMPLED = 600, 1_000, 32 << 10
+#: Lines whose features are made at a time, and lines that messages run along one by one.
+_SLICE_LINES, SEGMENT = 1 << 15, 1 << 10
+N_FEATURES = 25
 _AS_IS = table(frozenset(), lower=False)
 _BLANKS = table(SPACES, lower=False)
 _KINDS = ["lower", "upper", "digit", "blank", "exclaim", "bar", "stop", "special", "beyond", "follow"]
@@ -49,58 +53,94 @@ def _kind_of_byte() -> np.ndarray:
 _KIND = _kind_of_byte()
 
 
-def line_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(features of each line, characters of each line, lines of each text)"""
-    texts = translated(column, _AS_IS)
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[: len(texts) + 1]
-    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[: offsets[-1]]
-    breaks = np.flatnonzero(data == 0x0A)
-    # A line runs to its line feed; a text that ends in one has an empty last line.
-    begin = np.sort(np.concatenate([offsets[:-1], breaks + 1]), kind="stable")
-    of = np.searchsorted(breaks, offsets)
-    lines = np.diff(of) + 1
-    edges = np.append(begin, offsets[-1])
-    n = len(begin)
-    line = np.repeat(np.arange(n), np.diff(edges))
-    count = np.bincount(line * len(_KINDS) + _KIND[data], minlength=n * len(_KINDS)).reshape(n, -1).astype(np.float64)
-    count[np.searchsorted(begin, breaks, side="right") - 1, _KINDS.index("blank")] -= 1  # line feeds
-    get = dict(zip(_KINDS, count.T))
-    characters = count.sum(1) - get["follow"]
-    size = np.maximum(characters, 1)
-    letters = get["lower"] + get["upper"] + get["beyond"]
-
-    spaced = data.tobytes().translate(_BLANKS)
-    strings = pa.LargeStringArray.from_buffers(n, pa.py_buffer(edges.astype(np.int64).tobytes()), pa.py_buffer(spaced))
-    words, codes, vocabulary = encode_words(strings)
-    owner = np.repeat(np.arange(n), words)
-    beside = np.zeros(n)
-    if len(codes):
-        same = (codes[1:] == codes[:-1]) & (owner[1:] == owner[:-1])
-        beside = np.bincount(owner[1:][same], minlength=n).astype(np.float64)
-    kinds = np.bincount(distinct(owner * (len(vocabulary) + 1) + codes) // (len(vocabulary) + 1), minlength=n)[:n]
-    whole = pc.utf8_trim(strings, " ").dictionary_encode().indices.to_numpy(zero_copy_only=False)
-    text = np.repeat(np.arange(len(lines)), lines)
-    key = text * (n + 1) + whole
+@dataclass
+class Lines:
+    """The lines of a batch of texts: bytes, where each line begins and the last ends, lines of each text, and whether
+    the text holds the line again."""
+
+    data: np.ndarray
+    edges: np.ndarray
+    lines: np.ndarray
+    again: np.ndarray
+
+    @staticmethod
+    def of(column: pa.Array) -> Lines:
+        texts = translated(column, _AS_IS)
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[: len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[: offsets[-1]]
+        breaks = np.flatnonzero(data == 0x0A)
+        # A line runs to its line feed; a text that ends in one has an empty last line.
+        begin = np.sort(np.concatenate([offsets[:-1], breaks + 1]), kind="stable")
+        lines = np.diff(np.searchsorted(breaks, offsets)) + 1
+        edges = np.append(begin, offsets[-1])
+        return Lines(data, edges, lines, _held_again(_strings(data, edges), lines))
+
+    def slices(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(features, characters) of the lines, so many at a time that memory stays bounded."""
+        for a in range(0, len(self.again), _SLICE_LINES):
+            yield self._features(a, min(a + _SLICE_LINES, len(self.again)))
+
+    def _features(self, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+        data, edges = self.data[self.edges[a] : self.edges[b]], self.edges[a : b + 1] - self.edges[a]
+        n, size = b - a, np.diff(edges)
+        line = np.repeat(np.arange(n), size)
+        count = np.bincount(line * len(_KINDS) + _KIND[data], minlength=n * len(_KINDS)).reshape(n, -1).astype(np.float64)
+        filled = np.flatnonzero(size)
+        count[filled[data[edges[filled + 1] - 1] == 0x0A], _KINDS.index("blank")] -= 1  # line feeds
+        get = dict(zip(_KINDS, count.T))
+        characters = count.sum(1) - get["follow"]
+        some_characters = np.maximum(characters, 1)
+        letters = get["lower"] + get["upper"] + get["beyond"]
+
+        words, codes, vocabulary = encode_words(_strings(data, edges))
+        owner = np.repeat(np.arange(n), words)
+        beside = np.zeros(n)
+        if len(codes):
+            same = (codes[1:] == codes[:-1]) & (owner[1:] == owner[:-1])
+            beside = np.bincount(owner[1:][same], minlength=n).astype(np.float64)
+        kinds = distinct(owner * (len(vocabulary) + 1) + codes) // (len(vocabulary) + 1)
+        kinds = np.bincount(kinds, minlength=n)[:n]
+        first = np.zeros(n, np.uint8)
+        first[filled] = data[edges[filled]]
+        share = lambda name: get[name] / some_characters
+        some = np.maximum(words, 1)
+        shares = [
+            get["upper"] / np.maximum(letters, 1), share("digit"), share("exclaim"), share("bar"), share("special"),
+            share("stop"), beside / some, 1 - kinds / some,
+        ]
+        levels = [(0, 0.5), (2, 0.02), (3, 0.02), (4, 0.03), (4, 0.1), (6, 0.1), (6, 0.5), (7, 0.5)]
+        features = [
+            np.log1p(characters) / 5, np.log1p(words) / 3, characters / some / 10, share("beyond"), letters / some_characters,
+            self.again[a:b].astype(float), (first >= 0x41) & (first <= 0x5A), words == 0, words == 1,
+            *shares, *(shares[i] > level for i, level in levels),
+        ]
+        return np.column_stack(features).astype(np.float64), characters
+
+
+def _strings(data: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """The lines as texts in which only blanks part words."""
+    spaced = pa.py_buffer(data.tobytes().translate(_BLANKS))
+    return pa.LargeStringArray.from_buffers(len(edges) - 1, pa.py_buffer(edges.astype(np.int64).tobytes()), spaced)
+
+
+def _held_again(strings: pa.Array, lines: np.ndarray) -> np.ndarray:
+    """Whether a line with words stands more than once in its text, blanks around it aside."""
+    whole = pc.utf8_trim(strings, " ").dictionary_encode()
+    blank = pc.index(whole.dictionary, "").as_py()
+    codes = whole.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    key = np.repeat(np.arange(len(lines)), lines) * (len(whole.dictionary) + 1) + codes
     order = np.argsort(key, kind="stable")
     twin = key[order][1:] == key[order][:-1]
-    again = np.zeros(n, bool)
+    again = np.zeros(len(key), bool)
     again[order[1:][twin]] = again[order[:-1][twin]] = True
-    again &= words > 0
-
-    first = np.where(np.diff(edges) > 0, data[np.minimum(begin, max(len(data) - 1, 0))] if len(data) else 0, 0)
-    share = lambda name: get[name] / size
-    some = np.maximum(words, 1)
-    shares = [
-        get["upper"] / np.maximum(letters, 1), share("digit"), share("exclaim"), share("bar"), share("special"),
-        share("stop"), beside / some, 1 - kinds / some,
-    ]
-    levels = [(0, 0.5), (2, 0.02), (3, 0.02), (4, 0.03), (4, 0.1), (6, 0.1), (6, 0.5), (7, 0.5)]
-    features = [
-        np.log1p(characters) / 5, np.log1p(words) / 3, characters / some / 10, share("beyond"), letters / size,
-        again.astype(float), (first >= 0x41) & (first <= 0x5A), words == 0, words == 1,
-        *shares, *(shares[i] > level for i, level in levels),
-    ]
-    return np.column_stack(features).astype(np.float64), characters, lines
+    return again & (codes != blank)
+
+
+def line_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features of each line, characters of each line, lines of each text)"""
+    held = Lines.of(column)
+    features, characters = zip(*held.slices()) if len(held.again) else ([np.zeros((0, N_FEATURES))], [np.zeros(0)])
+    return np.concatenate(features), np.concatenate(characters), held.lines
 
 
 def with_neighbours(features: np.ndarray, lines: np.ndarray) -> np.ndarray:
@@ -113,38 +153,86 @@ def with_neighbours(features: np.ndarray, lines: np.ndarray) -> np.ndarray:
     return np.column_stack([features, before, after, np.ones(len(features))])
 
 
+def _running(size: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(step, how many of the stretches are longer than that), which come longest first."""
+    for t in range(int(size[0]) if len(size) else 0):
+        yield t, int(np.searchsorted(-size, -t, side="left"))
+
+
+def _sweep(potential: np.ndarray, pair: np.ndarray, begin: np.ndarray, size: np.ndarray, into: np.ndarray) -> np.ndarray:
+    """Messages (log-odds) that run along stretches of lines, all a line at a time; `into`: what enters each."""
+    order = np.argsort(-size, kind="stable")
+    size, begin, message = size[order], begin[order], into[order]
+    out = np.empty(len(potential))
+    for t, n in _running(size):
+        at = begin[:n] + t
+        if t:
+            last = out[at - 1]
+            message = np.logaddexp(pair[0, 1], last + pair[1, 1]) - np.logaddexp(pair[0, 0], last + pair[1, 0])
+        out[at] = potential[at] + message[:n]
+    return out
+
+
+def _through(potential: np.ndarray, pair: np.ndarray, begin: np.ndarray, size: np.ndarray, label: int) -> np.ndarray:
+    """Log weights of the labels at each stretch's last line, of its paths that begin with this label."""
+    order = np.argsort(-size, kind="stable")
+    size, begin = size[order], begin[order]
+    weight = np.full((len(size), 2), -np.inf)
+    for t, n in _running(size):
+        if t:
+            weight[:n] = np.logaddexp(weight[:n, :1] + pair[0], weight[:n, 1:] + pair[1])
+        else:
+            weight[:, label] = 0
+        weight[:n, 1] += potential[begin[:n] + t]
+    out = np.empty_like(weight)
+    out[order] = weight
+    return out
+
+
+def messages(potential: np.ndarray, pair: np.ndarray, lines: np.ndarray) -> np.ndarray:
+    """The forward messages (log-odds) of every line.
+
+    Texts are cut into stretches of a bounded number of lines. What a stretch makes of either label at its first line
+    is a 2 x 2 matrix; the matrices of a text in turn give what enters each of its stretches, which are then swept
+    together. So a text of n lines takes some SEGMENT + n / SEGMENT steps.
+    """
+    parts = np.maximum(-(-lines // SEGMENT), 1)
+    of = np.repeat(np.arange(len(lines)), parts)
+    number = np.arange(len(of)) - starts(parts)[of]
+    begin = starts(lines)[of] + number * SEGMENT
+    size = np.minimum(lines[of] - number * SEGMENT, SEGMENT)
+    into = np.zeros(len(of))
+    if len(of) > len(lines):
+        from_bad, from_good = (_through(potential, pair, begin, size, label) for label in (0, 1))
+        for n in range(1, int(parts.max())):
+            at = np.flatnonzero(number == n)
+            out = np.logaddexp(from_bad[at - 1], into[at - 1][:, None] + from_good[at - 1])
+            entering = np.logaddexp(out[:, :1] + pair[0], out[:, 1:] + pair[1])
+            into[at] = entering[:, 1] - entering[:, 0]
+    return _sweep(potential, pair, begin, size, into)
+
+
 def marginals(potential: np.ndarray, pair: np.ndarray, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(P(good) of each line, expected counts of neighbouring labels) by the forward-backward recursions.
 
-    potential: log-odds of good per line; pair[a, b]: log-potential of label a before label b. All documents take
-    their t-th line together; longer documents come first, so those still running are the first ones.
+    potential: log-odds of good per line; pair[a, b]: log-potential of label a before label b. The backward messages
+    are the forward ones of the lines in reverse order.
     """
-    order = np.argsort(-lines, kind="stable")
-    size, begin = lines[order], starts(lines)[:-1][order]
-    steps = int(size[0]) if len(size) else 0
-    running = np.searchsorted(-size, -np.arange(steps), side="left")  # documents with more than t lines
-    node = np.column_stack([np.zeros(len(potential)), potential])
-    forward, backward = np.zeros_like(node), np.zeros_like(node)
-    for t in range(steps):
-        at = begin[: running[t]] + t
-        forward[at] = node[at]
-        if t:
-            last = forward[at - 1]
-            forward[at] += np.logaddexp(last[:, :1] + pair[0], last[:, 1:] + pair[1])
-        forward[at] -= forward[at].max(1, keepdims=True)
-    for t in range(steps - 2, -1, -1):
-        at = begin[: running[t + 1]] + t
-        following = node[at + 1] + backward[at + 1]
-        backward[at] = np.logaddexp(pair[:, 0] + following[:, :1], pair[:, 1] + following[:, 1:])
-        backward[at] -= backward[at].max(1, keepdims=True)
-    odds = (forward + backward)[:, 1] - (forward + backward)[:, 0]
-    p = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+    forward = messages(potential, pair, lines)
+    backward = messages(potential[::-1], pair.T, lines[::-1])[::-1]  # the line's own potential included
+    p = 1 / (1 + np.exp(-np.clip(forward + backward - potential, -30, 30)))
+    expected = np.zeros((2, 2))
     inner = np.ones(len(potential), bool)
     inner[starts(lines)[1:] - 1] = False
-    at = np.flatnonzero(inner)
-    both = forward[at][:, :, None] + pair + (node[at + 1] + backward[at + 1])[:, None, :]
-    both = np.exp(both - both.max((1, 2), keepdims=True)) if len(at) else both
-    return p, (both / both.sum((1, 2), keepdims=True)).sum(0) if len(at) else np.zeros((2, 2))
+    inner = np.flatnonzero(inner)
+    for a in range(0, len(inner), _SLICE_LINES):
+        at = inner[a : a + _SLICE_LINES]
+        both = np.zeros((len(at), 2, 2)) + pair
+        both[:, 1] += forward[at][:, None]
+        both[:, :, 1] += backward[at + 1][:, None]
+        both = np.exp(both - both.max((1, 2), keepdims=True))
+        expected += (both / both.sum((1, 2), keepdims=True)).sum(0)
+    return p, expected
 
 
 @dataclass
@@ -155,15 +243,29 @@ class Model:
     pair: np.ndarray
     curve: np.ndarray
 
-    def line_scores(self, features: np.ndarray, lines: np.ndarray) -> np.ndarray:
-        x = (with_neighbours(features, lines) - self.mean) / self.scale
-        return marginals(x @ self.weights, self.pair, lines)[0]
-
     def score(self, column: pa.Array) -> np.ndarray:
-        features, characters, lines = line_features(column)
+        held = Lines.of(column)
         if self.weights is None:
-            return np.full(len(lines), self.curve[-1])
-        share = _document_share(self.line_scores(features, lines), characters, lines)
+            return np.full(len(held.lines), self.curve[-1])
+        # The weights of a line's own features, of those of the line before and of the line after, and the constant.
+        weight = self.weights / self.scale
+        own, before, after = weight[:-1].reshape(3, -1)
+        n, at = len(held.again), 0
+        potential, characters = np.full(n + 2, weight[-1] - self.mean @ weight), []
+        edges = starts(held.lines)
+        first, last = np.zeros(n, bool), np.zeros(n, bool)
+        first[edges[:-1]] = last[edges[1:] - 1] = True
+        for features, size in held.slices():  # a place before and one after take what reaches beyond the ends
+            stop = at + len(size)
+            potential[at + 1 : stop + 1] += features @ own
+            potential[at + 2 : stop + 2] += np.where(last[at:stop], 0, features @ before)
+            potential[at:stop] += np.where(first[at:stop], 0, features @ after)
+            characters.append(size)
+            at = stop
+        if not n:
+            return np.zeros(0)
+        potential = potential[1:-1]
+        share = _document_share(marginals(potential, self.pair, held.lines)[0], np.concatenate(characters), held.lines)
         return 1 / (1 + np.exp(-np.clip(_curve_inputs(share) @ self.curve, -30, 30)))
 
 
@@ -215,17 +317,20 @@ def fit(texts: list[str], good: np.ndarray, weight: np.ndarray, rounds: int = 3,
 
 
 def _score_rows(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    for rows in chunks(batches, most=2 << 20):
+    for rows in chunks(batches, most=1 << 20):
         score = pa.array(model.score(rows.column("text")), pa.float64())
-        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), score], names=["doc_id", "score"])
+        kept = [rows.column("doc_id"), rows.column("text_key")]
+        yield pa.RecordBatch.from_arrays([*kept, score], names=["doc_id", "text_key", "score"])
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int = 1) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every row of (doc_id, text); labels: (doc_id, quality)."""
+    """(doc_id, text_key, held_out, score, predicted) of every row of (doc_id, text); labels: (doc_id, quality)."""
     known = training_labels(labels, "quality", modulus, held_out)
     model = fit(*sample(docs, known, {0: SAMPLE_BAD, 1: SAMPLE_GOOD}, LONGEST_SAMPLED))
-    scored = docs.select("doc_id", "text").mapInArrow(partial(_score_rows, model=model), "doc_id long, score double")
+    scored = with_text_key(docs).mapInArrow(
+        partial(_score_rows, model=model), "doc_id long, text_key long, score double"
+    )
     return scored.select(
-        "doc_id", in_fold(F.col("doc_id"), modulus, held_out).alias("held_out"), "score",
+        "doc_id", "text_key", in_fold(F.col("doc_id"), modulus, held_out).alias("held_out"), "score",
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
     )
