@@ -25,10 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratum.llm.labelled import with_text_key
 from stratum.llm.text import PUNCTUATION, chunks, distinct, encode_words, ragged, starts, table
 
 _WORDS = table(PUNCTUATION)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_PAIRS = 1 << 16  # of equal grams, worked on at a time
 _SCAN_SCHEMA = "doc_id long, n_words long, n_hit long, items array<string>, spans array<array<long>>, text_key long"
 
 
@@ -91,52 +93,80 @@ def build_index(items: list[tuple[str, str]], k: int, window: int) -> Index:
     return Index({w: i for i, w in enumerate(words.to_pylist())}, codes, owner, names, grams, k, window)
 
 
-def _matches(index: Index, length: int, grams: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (place in the documents, place in the items) of equal hashes."""
+def _matches(
+    index: Index, length: int, grams: np.ndarray, at: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (place in the documents, place in the items) of equal hashes, a bounded number at a time."""
     known, places = index.grams[length]
-    low, high = np.searchsorted(known, grams, "left"), np.searchsorted(known, grams, "right")
-    return np.repeat(at, high - low), ragged(places, low, high - low)
+    low = np.searchsorted(known, grams, "left")
+    count = np.searchsorted(known, grams, "right") - low
+    hit = np.flatnonzero(count)
+    low, count, at = low[hit], count[hit], at[hit]
+    edge = starts(count)
+    for first in range(0, int(edge[-1]), _PAIRS):
+        last = min(first + _PAIRS, int(edge[-1]))
+        a, b = int(np.searchsorted(edge, first, "right")) - 1, int(np.searchsorted(edge, last, "left"))
+        begin, end = np.maximum(edge[a:b], first), np.minimum(edge[a + 1 : b + 1], last)
+        yield np.repeat(at[a:b], end - begin), ragged(places, low[a:b] + begin - edge[a:b], end - begin)
+
+
+def _distinct(spans: tuple[np.ndarray, ...], n_items: int) -> tuple[np.ndarray, ...]:
+    """Each (begin, end, item) once: repeated words give one span by very many pairs."""
+    begin, end, item = spans
+    if not len(begin):
+        return spans
+    longest = int((end - begin).max()) + 1
+    key = distinct((begin.astype(np.int64) * longest + end - begin) * n_items + item)
+    key, item = np.divmod(key, n_items)
+    begin, length = np.divmod(key, longest)
+    return begin, begin + length, item
+
+
+def _extended(
+    index: Index, tokens: np.ndarray, owner: np.ndarray, here: np.ndarray, there: np.ndarray
+) -> tuple[np.ndarray, ...]:
+    """(begin, end, item) of the pairs of grams that stand in a whole common window."""
+    equal = np.ones(len(here), bool)
+    for j in range(index.k):
+        equal &= tokens[here + j] == index.tokens[there + j]
+    here, there = here[equal], there[equal]
+    reach = []
+    for step, edge in ((-1, 0), (1, index.k - 1)):
+        length, going = np.zeros(len(here), np.int64), np.ones(len(here), bool)
+        for j in range(1, index.window - index.k + 1):
+            a, b = here + edge + step * j, there + edge + step * j
+            inside = (a >= 0) & (a < len(tokens)) & (b >= 0) & (b < len(index.tokens))
+            a, b = np.where(inside, a, 0), np.where(inside, b, 0)
+            going &= inside & (tokens[a] == index.tokens[b])
+            going &= (owner[a] == owner[here]) & (index.owner[b] == index.owner[there])
+            length += going
+        reach.append(length)
+    whole = reach[0] + index.k + reach[1] >= index.window
+    return here[whole] - reach[0][whole], (here + index.k + reach[1])[whole], index.owner[there[whole]]
 
 
 def _spans(index: Index, hashes: np.ndarray, tokens: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(begin, end, item) of every verified hit in the words of a batch."""
-    found = []
+    """(begin, end, item) of every verified hit in the words of a batch, each once."""
+    found, n_items = [], len(index.names)
     at = winnow(hashes, owner, index.k, index.window)
-    here, there = _matches(index, index.k, _gram_hashes(hashes, index.k)[at], at)
-    if len(here):
-        equal = np.ones(len(here), bool)
-        for j in range(index.k):
-            equal &= tokens[here + j] == index.tokens[there + j]
-        here, there = here[equal], there[equal]
-        reach = []
-        for step, edge in ((-1, 0), (1, index.k - 1)):
-            length, going = np.zeros(len(here), np.int64), np.ones(len(here), bool)
-            for j in range(1, index.window - index.k + 1):
-                a, b = here + edge + step * j, there + edge + step * j
-                inside = (a >= 0) & (a < len(tokens)) & (b >= 0) & (b < len(index.tokens))
-                a, b = np.where(inside, a, 0), np.where(inside, b, 0)
-                going &= inside & (tokens[a] == index.tokens[b])
-                going &= (owner[a] == owner[here]) & (index.owner[b] == index.owner[there])
-                length += going
-            reach.append(length)
-        whole = reach[0] + index.k + reach[1] >= index.window
-        found.append((here[whole] - reach[0][whole], (here + index.k + reach[1])[whole], index.owner[there[whole]]))
+    for here, there in _matches(index, index.k, _gram_hashes(hashes, index.k)[at], at):
+        found.append(_distinct(_extended(index, tokens, owner, here, there), n_items))
     for length in (n for n in index.grams if n < 0):
         n = -length
         grams = _gram_hashes(hashes, n)
-        here, there = _matches(index, length, grams, np.arange(len(grams)))
-        equal = owner[here] == owner[here + n - 1] if len(here) else np.zeros(0, bool)
-        for j in range(n if len(here) else 0):
-            equal &= tokens[here + j] == index.tokens[there + j]
-        found.append((here[equal], here[equal] + n, index.owner[there[equal]]))
+        for here, there in _matches(index, length, grams, np.arange(len(grams))):
+            equal = owner[here] == owner[here + n - 1]
+            for j in range(n):
+                equal &= tokens[here + j] == index.tokens[there + j]
+            found.append(_distinct((here[equal], here[equal] + n, index.owner[there[equal]]), n_items))
     if not found:
         return (np.zeros(0, np.int64),) * 3
-    return tuple(np.concatenate(x) for x in zip(*found))
+    return _distinct(tuple(np.concatenate(x) for x in zip(*found)), n_items)
 
 
 def _scan(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     index: Index = shared.value
-    for rows in chunks(batches):
+    for rows in chunks(batches, most=1 << 20):
         counts, codes, words = encode_words(rows.column("text"), _WORDS)
         owner, edges = np.repeat(np.arange(len(counts)), counts), starts(counts)
         hashes = _hashes(words)[codes] if len(words) else np.zeros(0, np.uint64)
@@ -181,7 +211,7 @@ def _covered(spans):
 def find_contamination(
     docs: DataFrame, benchmark: DataFrame, window: int = 13, k: int = 8, slice_chars: int = 32 << 20
 ) -> DataFrame:
-    """(doc_id, n_words, n_hit, items, spans) of every row of (doc_id, text), against (item_id, text)."""
+    """(doc_id, text_key, n_words, n_hit, items, spans) of every row of (doc_id, text), against (item_id, text)."""
     spark = docs.sparkSession
     items = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"),
@@ -189,7 +219,7 @@ def find_contamination(
     )
     size = items.agg(F.sum(F.length("text") + 1)).first()[0] or 0
     n_slices = max(1, -(-size // slice_chars))
-    documents = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    documents = with_text_key(docs)
     scans = []
     for i in range(n_slices):
         of_slice = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_slices)) == i)
@@ -197,7 +227,7 @@ def find_contamination(
         scan = partial(_scan, shared=spark.sparkContext.broadcast(index))
         scans.append(documents.mapInArrow(scan, _SCAN_SCHEMA))
     if n_slices == 1:
-        return scans[0].drop("text_key")
+        return scans[0]
     found = reduce(DataFrame.unionAll, scans).filter("n_hit > 0")
     merged = found.groupBy("doc_id", "text_key").agg(
         F.array_sort(F.flatten(F.collect_set("items"))).alias("items"),
@@ -207,7 +237,7 @@ def find_contamination(
     same = F.expr("a.doc_id <=> b.doc_id and a.text_key <=> b.text_key")
     spans = F.coalesce("b.spans", F.array().cast("array<array<long>>"))
     return every.join(merged.alias("b"), same, "left").select(
-        "a.doc_id", "n_words", _covered(spans).alias("n_hit"),
+        "a.doc_id", "a.text_key", "n_words", _covered(spans).alias("n_hit"),
         F.array_distinct(F.coalesce("b.items", F.array().cast("array<string>"))).alias("items"), spans.alias("spans"),
     )
 

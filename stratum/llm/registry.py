@@ -61,7 +61,8 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_crf.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    scored = line_crf.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
