@@ -87,7 +87,7 @@ def upsert(
     """Merge a batch into the versioned table at ``path``; returns the number of rows in the batch.
 
     A key repeated within the batch is refused (``raise``), or its newest row is taken (``latest``). A batch row
-    that is older than the table's row of its key, by ``order``, does not replace it.
+    that is older than the table's row of its key, by ``order``, does not replace it. The first batch makes the table.
 
     Only files that can hold a key of the batch are opened: those of partitions whose keys, as the log has them,
     lie around the batch's, and for a batch of few keys those whose bloom filter knows one. The partitions that hold
@@ -107,10 +107,13 @@ def upsert(
         )
         batch = materialize(watched, "merge-batch")
         rows, low, high = (measured.get[x] for x in ("n", "low", "high"))
-        if not rows:
+        base = versions.current(spark, path)
+        if not rows and base is not None:
             return 0
         refuse_duplicates(batch, key)
-        base = versions.current(spark, path)
+        if base is None:
+            full_load(batch, path, types, key, partition_by, cluster_by, None, order, row_checks)
+            return rows
         few = rows <= MOST_BROADCAST_KEYS
         keys = batch.select(key)
         opened = base.may_hold(low, high)

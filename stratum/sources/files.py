@@ -21,19 +21,6 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(target)] if fs.exists(target) else []
 
 
-def make(spark: SparkSession, path: str) -> None:
-    target, fs = _path(spark, path)
-    fs.mkdirs(target)
-
-
 def delete(spark: SparkSession, path: str) -> None:
     target, fs = _path(spark, path)
     fs.delete(target, True)
-
-
-def rename(spark: SparkSession, source: str, target: str) -> None:
-    old, fs = _path(spark, source)
-    new, _ = _path(spark, target)
-    fs.mkdirs(new.getParent())
-    if not fs.rename(old, new):
-        raise OSError(f"cannot rename {source} to {target}")

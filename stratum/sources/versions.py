@@ -261,7 +261,10 @@ def _measures(df: DataFrame, layout: Layout) -> list[Column]:
 
 
 def expire(spark: SparkSession, path: str) -> int:
-    """Delete the folders that the current table doesn't read; returns their number. Not while others still read them."""
+    """Delete the folders that the current table doesn't read; returns their number.
+
+    Not while others read an earlier version, or are writing one that nothing points to yet.
+    """
     snapshot = current(spark, path)
     live = {f"version={p.version}" for p in snapshot.parts} if snapshot else set()
     dead = [f for f in files.children(spark, path) if f.startswith("version=") and f not in live]

@@ -48,8 +48,6 @@ def merge_landed_orders(
         with dropped_after(rows.sparkSession):
             batch = silver.int_orders_enriched(bronze.stg_orders(rows), customers, config.now)
             checked = checks.row_checks(checks_for(SILVER))
-            if not store.exists("silver", SILVER):
-                upsert.full_load(batch.limit(0), path, *layout, row_checks=checked)
             upsert.upsert(
                 rows.sparkSession, batch, path, *layout, on_duplicate=config.on_duplicate, row_checks=checked
             )

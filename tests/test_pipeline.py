@@ -342,6 +342,17 @@ def test_few_keys_are_tried_on_the_bloom_filters_of_the_files(spark, folder):
     assert rows_out_of_scan(["key-400"]) > 0
 
 
+def test_the_first_batch_makes_the_table(spark, folder):
+    types = {"k": "string", "g": "string", "_loaded_at": "timestamp_ntz"}
+    path, rest = f"{folder}/t", (types, "k", "g", ["g"])
+    batch = spark.createDataFrame([("A", "x", dt.datetime(2024, 1, 1))], schemas.struct(types))
+    assert upsert.upsert(spark, batch.limit(0), path, *rest) == 0
+    assert versions.current(spark, path).n_rows == 0
+    for _ in range(2):
+        assert upsert.upsert(spark, batch, path, *rest) == 1
+        assert [(r.k, r.g) for r in versions.read(spark, path, types).collect()] == [("A", "x")]
+
+
 def test_the_mark_is_read_from_the_log(spark, store):
     load(spark, store, order("A", _loaded_at=loaded(11)), order("B", order_date="2023-05-05", _loaded_at=loaded(12)))
     assert store.snapshot("silver", SILVER).newest == dt.datetime(2024, 1, 12, 6)
