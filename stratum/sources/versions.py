@@ -119,8 +119,10 @@ def _read_log(spark: SparkSession, path: str) -> list:
 def current(spark: SparkSession, path: str) -> Snapshot | None:
     """The table as its last commit left it, or None when there is none. The log has a row per commit and partition."""
     rows = _read_log(spark, path)
-    if not rows:
-        return None
+    return _snapshot(path, rows) if rows else None
+
+
+def _snapshot(path: str, rows: list) -> Snapshot:
     winner = _winners(rows)
     rows = sorted((r for r in rows if winner[r.seq] == r.version), key=lambda r: r.seq)
     parts: dict[str | None, Part] = {}
@@ -236,9 +238,10 @@ def commit(
     if not rows:  # a partitioned table without any row
         rows = [(seq, version, replaces is None, layout.partition_by, None, 0, None, None, None, {}, None)]
     _log_entry(spark, rows).write.mode("append").parquet(f"{path}/_log")
-    if _winners(_read_log(spark, path))[seq] != version:
+    rows = _read_log(spark, path)
+    if _winners(rows)[seq] != version:
         raise ConcurrentCommit(f"another writer has committed to {path}")
-    return current(spark, path)
+    return _snapshot(path, rows)
 
 
 def _log_entry(spark: SparkSession, rows: list[tuple]) -> DataFrame:
