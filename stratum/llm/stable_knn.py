@@ -8,8 +8,8 @@ until the chi-square test holds: a point beyond would be among the k best with a
 
 A coarse kd-tree, fitted to a bounded sample, cuts the projected space into cells for the tasks; every vector is put
 into its cell, and cells of many rows are dealt over several tasks. A query first searches its own cell, which bounds
-its k-th distance, then the other cells that the test does not rule out by their boxes. Queries go in blocks of a
-bounded size. Vectors that are null, zero, or hold null or non-finite components take no part. Vectors of unequal
+its k-th distance, then the other cells that the test does not rule out by their boxes. The visits of a cell go in blocks
+of a bounded size, and its points to these blocks and no others. Vectors that are null, zero, or hold null or non-finite components take no part. Vectors of unequal
 length have no inner product: each length is searched by itself, among its own vectors. A repeated row is a candidate
 of its own but one query; a vec_id with several vectors is a query for each of them, and only the query's own vec_id is
 left out; equal products go to the smaller vec_id; an empty table gives no rows; other columns are not read.
@@ -61,25 +61,52 @@ class Projection:
         return vectors @ self.directions[:-1]
 
 
-def kd_boxes(points: np.ndarray, most: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Leaves of a kd-tree, each (places of its points, lower corner, upper corner) of its part of the space."""
+@dataclass
+class KdTree:
+    """The planes of a kd-tree: which axis is cut where, and what lies to each side, a node or (as ~leaf) a leaf."""
+
+    axis: np.ndarray
+    cut: np.ndarray
+    sides: np.ndarray
+
+    def leaf_of(self, points: np.ndarray) -> np.ndarray:
+        """The leaf in whose part of the space each point lies, a level of the tree at a time."""
+        at = np.zeros(len(points), np.int64) if len(self.axis) else np.full(len(points), ~0)
+        going = np.flatnonzero(at >= 0)
+        while len(going):
+            node = at[going]
+            above = points[going, self.axis[node]] >= self.cut[node]
+            at[going] = self.sides[node, above.astype(np.int64)]
+            going = going[at[going] >= 0]
+        return ~at
+
+
+def kd_tree(points: np.ndarray, most: int) -> tuple[list[tuple[np.ndarray, np.ndarray, np.ndarray]], KdTree]:
+    """The leaves, each (places of its points, lower corner, upper corner) of its part of the space, and the planes."""
     m = points.shape[1]
-    open_ = [(np.arange(len(points)), np.full(m, -np.inf), np.full(m, np.inf))]
-    leaves = []
+    open_ = [(np.arange(len(points)), np.full(m, -np.inf), np.full(m, np.inf), -1, 0)]
+    leaves, axes, cuts, sides = [], [], [], []
     while open_:
-        at, low, high = open_.pop()
+        at, low, high, parent, side = open_.pop()
         own = points[at]
         spread = own.max(0) - own.min(0) if len(at) else np.zeros(m)
         axis = int(spread.argmax())
         cut = float(np.median(own[:, axis])) if len(at) > most else 0.0
         left = own[:, axis] < cut if len(at) > most else None
-        if left is None or not left.any() or left.all():  # small, or points that no plane parts
+        small = left is None or not left.any() or left.all()  # or points that no plane parts
+        if parent >= 0:
+            sides[parent][side] = ~len(leaves) if small else len(axes)
+        if small:
             leaves.append((at, low, high))
             continue
+        number = len(axes)
+        axes.append(axis)
+        cuts.append(cut)
+        sides.append([0, 0])
         below, above = high.copy(), low.copy()
         below[axis] = above[axis] = cut
-        open_ += [(at[~left], above, high), (at[left], low, below)]
-    return leaves
+        open_ += [(at[~left], above, high, number, 1), (at[left], low, below, number, 0)]
+    return leaves, KdTree(np.array(axes, np.int64), np.array(cuts), np.array(sides, np.int64).reshape(-1, 2))
 
 
 def _vectors(column: pa.Array) -> np.ndarray:
@@ -96,15 +123,12 @@ def _box_distance(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.n
     return out
 
 
-def _assign(batches: Iterator[pa.RecordBatch], projection: Projection, low, high) -> Iterator[pa.RecordBatch]:
+def _assign(batches: Iterator[pa.RecordBatch], projection: Projection, tree: KdTree) -> Iterator[pa.RecordBatch]:
     """Adds the cell of each vector: the one box that holds its projection."""
     for batch in batches:
         for at in range(0, batch.num_rows, 4096):
             rows = batch.slice(at, 4096)
-            p = projection.points(_vectors(rows.column("vector")))
-            cell = np.zeros(len(p), np.int64)
-            for number in range(len(low)):
-                cell[((p >= low[number]) & (p < high[number])).all(1)] = number
+            cell = tree.leaf_of(projection.points(_vectors(rows.column("vector"))))
             yield pa.RecordBatch.from_arrays(
                 [rows.column("vec_id"), rows.column("vector"), pa.array(cell)], names=["vec_id", "vector", "cell"]
             )
@@ -120,7 +144,7 @@ def search(
     """
     projected = projection.points(vectors)
     asked = projection.queries(queries)
-    leaves = [at for at, _, _ in kd_boxes(projected, leaf_rows)]
+    leaves = [at for at, _, _ in kd_tree(projected, leaf_rows)[0]]
     low = np.array([projected[at].min(0) for at in leaves])
     high = np.array([projected[at].max(0) for at in leaves])
     away = _box_distance(asked, low, high)
@@ -213,26 +237,31 @@ def _nearest(
     lot = F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(1_000_000))
     drawn = rows.filter(lot < int(share * 1_000_000) + 1).select("vector").toArrow().combine_chunks()
     fitted = projection.points(_vectors(drawn["vector"].chunk(0))) if drawn.num_rows else np.zeros((1, m))
-    boxes = kd_boxes(fitted, max(1, int(len(fitted) * cell_rows / n)))
+    boxes, tree = kd_tree(fitted, max(1, int(len(fitted) * cell_rows / n)))
     low, high = np.array([b[1] for b in boxes]), np.array([b[2] for b in boxes])
 
-    assign = partial(_assign, projection=projection, low=low, high=high)
+    assign = partial(_assign, projection=projection, tree=tree)
     points = materialize(rows.mapInArrow(assign, "vec_id long, vector array<double>, cell long"), "knn-points")
     sizes = points.groupBy("cell").agg(F.count("*").alias("rows"), F.count_if(F.col("vec_id") % every == 0).alias("q"))
     held = {r.cell: (r.rows, r.q) for r in sizes.collect()}  # a row per cell; the sample bounds their number
     parts = [max(1, -(-held.get(c, (0, 0))[0] // cell_rows)) for c in range(len(boxes))]
-    blocks = max(1, -(-sum(q for _, q in held.values()) // query_rows))
     n_parts = F.get(F.split(F.lit(",".join(map(str, parts))), ","), F.col("cell").cast("int")).cast("int")
     points = points.withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit(1)), n_parts).cast("int"))
-    all_blocks = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-    dealt = points.select("cell", "part", all_blocks, "vec_id", "vector")
-    block = F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(blocks)).cast("int")
     queries = points.filter(F.col("vec_id") % every == 0).select(
         F.col("vec_id").alias("query_id"), "vector", F.col("cell").alias("home"),
-        F.col("part").alias("home_part"), block.alias("block"), F.xxhash64("vector").alias("twin"),
+        F.col("part").alias("home_part"), F.xxhash64("vector").alias("twin"),
     ).dropDuplicates(["query_id", "twin"])
 
     def look(asked: DataFrame) -> DataFrame:
+        """Searches the part of a cell that each row of `asked` names. Only visited parts are sent, each once for every
+        `query_rows` of its visits."""
+        asked = materialize(asked, "knn-visits")
+        visits = asked.groupBy("cell", "part").agg(F.ceil(F.count("*") / query_rows).cast("int").alias("blocks"))
+        visits = materialize(visits, "knn-visited")
+        block = F.pmod(F.xxhash64("query_id", "twin", F.lit(2)), F.col("blocks")).cast("int")
+        asked = asked.join(visits, ["cell", "part"]).withColumn("block", block).drop("blocks")
+        copies = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+        dealt = points.join(visits, ["cell", "part"]).select("cell", "part", copies, "vec_id", "vector")
         keys = ["cell", "part", "block"]
         work = partial(_search_group, projection=projection, k=k, limit=limit)
         return dealt.groupBy(keys).cogroup(asked.groupBy(keys)).applyInArrow(work, _FOUND)
@@ -248,7 +277,7 @@ def _nearest(
     spread = spread.withColumn("kth", F.coalesce("kth", F.lit(float("-inf"))))
     route = partial(_route, projection=projection, low=low, high=high, parts=parts, limit=limit)
     visits = spread.mapInArrow(
-        route, "query_id long, twin long, vector array<double>, kth double, block int, cell long, part int"
+        route, "query_id long, twin long, vector array<double>, kth double, cell long, part int"
     )
     found = best(first.unionByName(look(visits)))
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
@@ -277,7 +306,7 @@ def _route(
             for a in range(0, len(query), 8192):
                 taken = rows.take(pa.array(query[a : a + 8192]))
                 yield pa.RecordBatch.from_arrays(
-                    [*(taken.column(c) for c in ("query_id", "twin", "vector", "kth", "block")),
+                    [*(taken.column(c) for c in ("query_id", "twin", "vector", "kth")),
                      pa.array(cell[a : a + 8192], pa.int64()), pa.array(part[a : a + 8192], pa.int32())],
-                    names=["query_id", "twin", "vector", "kth", "block", "cell", "part"],
+                    names=["query_id", "twin", "vector", "kth", "cell", "part"],
                 )

@@ -188,6 +188,33 @@ def test_op3_recall(spark):
     assert hits >= 0.95 * 20 * len(found)
 
 
+def test_op3_tree_finds_the_box_of_every_point():
+    rng = np.random.default_rng(4)
+    for n, most in ((1, 5), (300, 7), (300, 1000)):
+        fitted = rng.integers(-4, 5, (n, 3)).astype(float)
+        boxes, tree = stable_knn.kd_tree(fitted, most)
+        points = np.concatenate([fitted, rng.standard_normal((200, 3)) * 5])
+        leaf = tree.leaf_of(points)
+        for point, number in zip(points, leaf):
+            inside = [i for i, (_, low, high) in enumerate(boxes) if ((point >= low) & (point < high)).all()]
+            assert inside == [number]
+        assert sorted(np.concatenate([at for at, _, _ in boxes])) == list(range(n))
+
+
+def test_op3_blocks_of_visits_change_no_result(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.standard_normal(8).tolist()) for i in range(600)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+    def found(**sizes):
+        return sorted(map(tuple, stable_knn.nearest(frame, **sizes).collect()))
+
+    whole = found(cell_rows=100)
+    assert len(whole) == 30 * 20 and found(cell_rows=100, query_rows=2) == whole
+    cells = found(cell_rows=5, query_rows=1)
+    assert len({r[:1] + r[2:3] for r in cells} & {r[:1] + r[2:3] for r in whole}) >= 0.95 * 600
+
+
 def plain_nearest(rows, k=20):
     """For each query row its k best rows of the same length."""
     out = collections.Counter()
