@@ -4,8 +4,9 @@ A record's hash picks one of thousands of slots, for good. Which shard a slot be
 slot; the first version deals the slots out in turn, and rebalancing writes a new version that moves or swaps as few
 slots as bring the shards' bytes together. Only slots that change hands move any data.
 
-What reaches the driver is a row per slot (their number is a parameter). Places within a shard are numbered by slot:
-each slot counts its own rows and adds what the shard's earlier slots hold, so no task sees a whole shard.
+What reaches the driver is a row per slot (their number is a parameter). Places within a shard are numbered by slot and,
+within it, by the tasks that read its rows: each piece of a slot counts its own rows and adds what the pieces before it
+hold, so no task sees a whole shard, or a whole slot that very many equal rows share.
 
 Null texts have no bytes and crc32 0; a null doc_id hashes like any value; records are told apart by doc_id and text,
 so only wholly repeated rows are sure to share a slot, and each of them is kept; an empty table gives no rows and an
@@ -22,14 +23,18 @@ from pyspark.sql import functions as F
 from stratum.sources.scratch import materialize, new_folder
 
 N_SLOTS = 4096
+#: A slot's rows are numbered in so many pieces, by the task that read them, so one slot may hold any share of them.
+PIECES = 64
 
 
 def records(docs: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
-    """(doc_id, size, text_crc32, virtual_slot): all that sharding reads of (doc_id, text)."""
+    """(doc_id, size, text_crc32, virtual_slot, piece): all that sharding reads of (doc_id, text)."""
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
     slot = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(n_slots)).cast("int")
-    return docs.select("doc_id", size.alias("size"), crc.alias("text_crc32")).withColumn("virtual_slot", slot)
+    piece = F.pmod(F.shiftright(F.monotonically_increasing_id(), 33), F.lit(PIECES)).cast("int")
+    rows = docs.select("doc_id", size.alias("size"), crc.alias("text_crc32"), piece.alias("piece"))
+    return rows.withColumn("virtual_slot", slot)
 
 
 def slot_loads(rows: DataFrame) -> DataFrame:
@@ -118,17 +123,18 @@ def load_map(spark: SparkSession, folder: str, version: int) -> DataFrame:
     return stored.filter(F.col("version") == version).drop("version")
 
 
-def place(rows: DataFrame, slot_map: DataFrame, loads: DataFrame) -> DataFrame:
-    """Each record with its shard and its place there, from 0 without gaps. Map and loads have a row a slot."""
-    earlier = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1)
+def place(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
+    """Each record with its shard and its place there, from 0 without gaps. `rows` are stored; the map has a row a slot."""
+    own = Window.partitionBy("virtual_slot", "piece").orderBy("doc_id", "text_crc32", "size")
+    earlier = Window.partitionBy("shard").orderBy("virtual_slot", "piece").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before")
-    slots = loads.join(F.broadcast(slot_map), "virtual_slot").select("virtual_slot", "shard", before)
-    own = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size")
+    pieces = rows.groupBy("virtual_slot", "piece").agg(F.count("*").alias("rows"))  # N_SLOTS x PIECES at most
+    pieces = pieces.join(F.broadcast(slot_map), "virtual_slot").select("virtual_slot", "piece", "shard", before)
     return (
         rows.withColumn("row", F.row_number().over(own))
-        .join(F.broadcast(slots), "virtual_slot")
+        .join(F.broadcast(pieces), ["virtual_slot", "piece"])
         .withColumn("slot", F.col("before") + F.col("row") - 1)
-        .drop("before", "row")
+        .drop("before", "row", "piece")
     )
 
 
@@ -144,7 +150,7 @@ def shard_by_bytes(
     shard_of = first_map(n_slots, n_shards)
     save_map(spark, folder, 1, shard_of)
     save_map(spark, folder, 2, rebalanced(shard_of, load, n_shards))
-    return place(rows, load_map(spark, folder, 2), loads)
+    return place(rows, load_map(spark, folder, 2))
 
 
 def write_shards(docs: DataFrame, slot_map: DataFrame, path: str, n_slots: int = N_SLOTS) -> None:
