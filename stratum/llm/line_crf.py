@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm.labelled import in_fold, logistic, sample, training_labels, with_text_key
-from stratum.llm.text import SPACES, chunks, distinct, encode_words, starts, table, translated
+from stratum.llm.text import SPACES, chunks, distinct, encode_words, give_back, starts, table, translated
 
 SAMPLE_BAD, SAMPLE_GOOD, LONGEST_SAMPLED = 600, 1_000, 32 << 10
 #: Lines whose features are made at a time, and lines that messages run along one by one.
@@ -327,6 +327,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out
     """(doc_id, text_key, held_out, score, predicted) of every row of (doc_id, text); labels: (doc_id, quality)."""
     known = training_labels(labels, "quality", modulus, held_out)
     model = fit(*sample(docs, known, {0: SAMPLE_BAD, 1: SAMPLE_GOOD}, LONGEST_SAMPLED))
+    give_back()  # the driver's, too, is needed by what follows
     scored = with_text_key(docs).mapInArrow(
         partial(_score_rows, model=model), "doc_id long, text_key long, score double"
     )

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm.labelled import in_fold, logistic, sample, training_labels, with_text_key
-from stratum.llm.text import PUNCTUATION, chunks, encode_words, table, translated
+from stratum.llm.text import PUNCTUATION, chunks, encode_words, give_back, table, translated
 from stratum.sources.scratch import materialize
 
 # Insults that always belong to the lexicon.
@@ -236,6 +236,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_ou
     known = training_labels(labels, "toxic", modulus, held_out)
     texts, toxic, weight = sample(docs, known, {1: SAMPLE_TOXIC, 0: SAMPLE_CLEAN}, LONGEST_SAMPLED)
     lexicon = induce_lexicon(texts, toxic, weight)
+    give_back()  # the driver's, too, is needed by what follows
     votes = with_text_key(docs).mapInArrow(
         partial(_vote_rows, lexicon=lexicon), "doc_id long, text_key long, votes array<long>, n_words long"
     )
@@ -253,6 +254,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_ou
     x = _inputs(strengths, words)
     y = model.posterior(strengths) if model else np.zeros(len(x))
     coefficients = logistic(x, y, np.append(weight, 1.0))
+    del texts, strengths, words, x, y
+    give_back()
     score = score_expression(coefficients, F.col("votes"), F.col("n_words"))
     return votes.select(
         "doc_id", "text_key", in_fold(F.col("doc_id"), modulus, held_out).alias("held_out"), score.alias("score"),
