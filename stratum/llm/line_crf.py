@@ -14,6 +14,7 @@ any); an empty table gives no rows; lang, source, doc_id and other columns are n
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -327,6 +328,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out
     """(doc_id, text_key, held_out, score, predicted) of every row of (doc_id, text); labels: (doc_id, quality)."""
     known = training_labels(labels, "quality", modulus, held_out)
     model = fit(*sample(docs, known, {0: SAMPLE_BAD, 1: SAMPLE_GOOD}, LONGEST_SAMPLED))
+    gc.collect()
     give_back()  # the driver's, too, is needed by what follows
     scored = with_text_key(docs).mapInArrow(
         partial(_score_rows, model=model), "doc_id long, text_key long, score double"

@@ -8,7 +8,6 @@ words of a batch become Python strings.
 from __future__ import annotations
 
 import ctypes
-import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -54,7 +53,6 @@ def chunks(
 
 
 def give_back() -> None:
-    gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
     if trim is not None:

@@ -15,6 +15,7 @@ as inputs.
 
 from __future__ import annotations
 
+import gc
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -255,6 +256,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_ou
     y = model.posterior(strengths) if model else np.zeros(len(x))
     coefficients = logistic(x, y, np.append(weight, 1.0))
     del texts, strengths, words, x, y
+    gc.collect()
     give_back()
     score = score_expression(coefficients, F.col("votes"), F.col("n_words"))
     return votes.select(
