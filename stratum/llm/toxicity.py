@@ -5,8 +5,9 @@ given insults and of terms that cover labelled toxic texts of a bounded sample a
 greedy cover. How often each combination of votes occurs is counted over all texts outside the held-out fold.
 A generative label model explains these counts: each voter fires with one rate in toxic and another in clean texts
 (its accuracy), and voters that agree beyond that within a class are one joint voter (their correlation). Labels, where
-there are any, hold the classes in place. A linear classifier of the votes' strengths is then trained on the model's
-posterior labels, and scores every text.
+there are any, hold the classes in place, and those of texts that vote alike count beside what the rates say: a class may
+have kinds of texts on which different voters fire, and to one kind the silence of the others' voters says nothing. A
+linear classifier of the votes' strengths is then trained on the model's posterior labels, and scores every text.
 
 Null and empty texts have no votes and get the classifier's score for that; repeated rows get equal scores; without
 labels only the given insults vote; an empty table gives no rows; lang, source, doc_id and other columns are not read
@@ -39,6 +40,7 @@ STEMS = (4, 5, 6)  # lengths in characters
 LEXICON_VOTERS = 14
 PATTERNS = 2  # shouting in capitals, exclaiming
 THRESHOLD = 0.7
+RATES_WORTH = 1.0  # so many labelled texts of one combination of votes count as much as the rates of the voters
 SAMPLE_TOXIC, SAMPLE_CLEAN, LONGEST_SAMPLED = 2_000, 4_000, 32 << 10
 _WORDS = table(PUNCTUATION)
 _AS_IS = table(frozenset(), lower=False)
@@ -155,6 +157,7 @@ class LabelModel:
         """labels: 0, 1, or -1 for none; n: how many texts vote so."""
         self.bits = (masks[:, None] >> np.arange(_VOTERS)) & 1
         self.labels, self.n = labels, n.astype(np.float64)
+        self.labelled = np.stack([np.bincount(masks, self.n * (labels == y), 1 << _VOTERS) for y in (0, 1)])
         known = self.n[labels >= 0].sum()
         rate = (self.n * (labels == 1)).sum() / known if known else 0.05
         self.prior = min(max(rate, 1e-4), 0.5)
@@ -213,7 +216,10 @@ class LabelModel:
         return list({id(g): g for g in groups.values()}.values())
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        return self._posterior((votes > 0).astype(np.int64))
+        """P(toxic) by the rates, corrected by the labels of texts with the same votes."""
+        bits = (votes > 0).astype(np.int64)
+        clean, toxic = self.labelled[:, bits @ (1 << np.arange(_VOTERS))]
+        return (RATES_WORTH * self._posterior(bits) + toxic) / (RATES_WORTH + clean + toxic)
 
 
 def _inputs(votes: np.ndarray, words: np.ndarray) -> np.ndarray:

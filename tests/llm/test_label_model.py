@@ -58,3 +58,41 @@ def test_label_model_equals_plain_expectation_maximisation():
     plain = plain_posteriors(texts, labels, model.groups, [of[m, y] for m, y in zip(masks, labels)], None)
     found = dict(zip(rows, model._posterior(model.bits)))
     assert np.allclose([found[m, y] for m, y in zip(masks, labels)], plain)
+
+
+def kinds(rng, n, voters):
+    """Vote masks of texts of one kind: some of its voters fire, at least one."""
+    votes = [[rng.random() < 0.6 for _ in voters] for _ in range(n)]
+    return [sum(1 << j for j, v in zip(voters, vote) if v) or 1 << voters[0] for vote in votes]
+
+
+def test_a_kind_of_toxic_texts_on_which_few_voters_fire_is_toxic():
+    rng = random.Random(5)
+    toxic = kinds(rng, 200, [0, 1]) + kinds(rng, 300, list(range(4, 12)))
+    texts = [(m, rng.choice([-1, -1, 1])) for m in toxic] + [(0, rng.choice([-1, -1, 0])) for _ in range(8_000)]
+    rows = sorted(set(texts))
+    model = toxicity.LabelModel(*(np.array(x) for x in zip(*((m, y, texts.count((m, y))) for m, y in rows))))
+    votes = np.array([[m >> j & 1 for j in range(N)] for m in (1, 2, 3, 0, 1 << 12)])
+    found = model.posterior(votes)
+    assert (found[:3] > 0.9).all() and found[3] < 0.01
+    assert found[4] == model._posterior(votes)[4]  # nothing is labelled that votes so
+
+
+def test_weak_toxic_texts_are_predicted(spark):
+    rng = random.Random(6)
+    calm = [f"word{i}" for i in range(300)]
+    abroad, loud = ["brakk", "zwurm"], ["gnarl", "vextor", "plimth", "quaspe", "drovik", "hulmet", "jorbin", "skelda"]
+
+    def text(insults):
+        words = rng.choices(calm, k=40) + insults
+        rng.shuffle(words)
+        return " ".join(words)
+
+    kind = [rng.choices(["abroad", "loud", ""], [3, 4, 60])[0] for _ in range(4_000)]
+    some = {"abroad": lambda: [rng.choice(abroad)], "loud": lambda: [w for w in loud if rng.random() < 0.6] or loud[:1], "": list}
+    docs = spark.createDataFrame([(i, text(some[k]())) for i, k in enumerate(kind)], "doc_id long, text string")
+    marks = [(i, int(bool(k))) for i, k in enumerate(kind) if i % 5 < 2]
+    rows = toxicity.score_toxicity(docs, spark.createDataFrame(marks, "doc_id long, toxic int")).collect()
+    for wanted, predicted in (("abroad", 1), ("loud", 1), ("", 0)):
+        of = [r.predicted for r in rows if r.held_out and kind[r.doc_id] == wanted]
+        assert len(of) > 30 and sum(p == predicted for p in of) >= 0.97 * len(of), wanted
