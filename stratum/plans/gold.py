@@ -29,6 +29,11 @@ SEGMENT_COLUMNS = (
     "avg_days_to_ship",
     "on_time_delivery_pct",
 )
+#: What both marts read of silver.
+SILVER_COLUMNS = (
+    "order_id", "customer_id", "order_date", "quantity", "region", "channel", "gross_revenue", "net_revenue",
+    "discount_amount", "days_to_ship", "shipped_on_time", "customer_segment", "order_month", "order_year",
+)
 CUSTOMER_360_CLUSTER_BY = ("customer_segment", "country")
 TILES = 5
 RFM_SCORES = ("recency_score", "frequency_score", "monetary_score")

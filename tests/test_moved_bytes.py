@@ -1,10 +1,11 @@
 """What moves between tasks and to disk: only what the step needs."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from stratum import schemas
-from stratum.operators import joins, upsert
-from stratum.plans import silver
+from stratum.operators import checks, joins, upsert
+from stratum.plans import gold, silver
 from stratum.registry import spark_queries
 from stratum.sources import files, layers, versions
 from stratum.sources.scratch import materialize, new_folder
@@ -85,3 +86,24 @@ def test_a_digest_tells_rows_apart(spark):
 def test_orders_do_not_move_to_the_files_they_came_from(spark):
     plan = plan_of(spark_queries.json_roundtrip(spark, SF_DIR))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_ids_are_proven_unique_by_their_hashes(spark, monkeypatch):
+    ids = lambda *values: spark.createDataFrame([(v,) for v in values], "k string")
+    assert checks.proven_unique(ids("a", "b", None, None), "k") and checks.proven_unique(ids(), "k")
+    assert not checks.proven_unique(ids("a", "b", "a"), "k")
+    counted, plain = [], checks.duplicate_keys
+    monkeypatch.setattr(checks, "duplicate_keys", lambda df, column: counted.append(column) or plain(df, column))
+    assert checks.proven_unique(ids("a", "b"), "k") and counted == ["_hash"]
+    monkeypatch.setattr(checks.F, "xxhash64", lambda column: F.length(column))  # values of one hash
+    assert checks.proven_unique(ids("a", "b"), "k") and not checks.proven_unique(ids("a", "a"), "k")
+
+
+@pytest.mark.parametrize("name,silvers", [("check_row_count_growth", 1)])
+def test_marts_of_unique_orders_take_plain_counts_of_one_silver(spark, monkeypatch, name, silvers):
+    built, counts = [], []
+    enriched, measures = silver.int_orders_enriched, gold._order_measures
+    monkeypatch.setattr(silver, "int_orders_enriched", lambda *a, **b: built.append(1) or enriched(*a, **b))
+    monkeypatch.setattr(gold, "_order_measures", lambda unique: counts.append(unique) or measures(unique))
+    spark_queries.queries()[name](spark, SF_DIR).collect()
+    assert len(built) == silvers and counts and all(counts)
