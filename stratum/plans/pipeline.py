@@ -8,7 +8,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,10 +85,10 @@ def run_pipeline(
         sources = {"raw_orders": raw_orders, "raw_customers": raw_customers}
         _gate(run, config, sources | {"stg_orders": orders, "stg_customers": customers})
     if "silver" in config.layers:
-        run.merged_rows = build_silver(spark, orders, customers, store, config)
+        run.merged_rows = build_silver(spark, orders, customers, store, config, _proven(run, *_KEYS_OF_SILVER))
         _gate(run, config, {SILVER: _silver(store)}, parents={"stg_customers": customers}, store=store, layer="silver")
     if "gold" in config.layers:
-        tables = build_gold(_silver(store), customers, store, config, order_ids_unique=_order_ids_proven(run))
+        tables = build_gold(_silver(store), customers, store, config, order_ids_unique=_proven(run, _UNIQUE_IDS))
         _gate(run, config, tables, store=store, layer="gold")
         _check_row_counts(spark, tables, store, config, run)
     return run
@@ -100,8 +100,12 @@ def build_silver(
     customers: DataFrame,
     store: LayerStore,
     config: PipelineConfig | None = None,
+    keys_proven: bool = False,
 ) -> int | None:
-    """Merge the new orders into silver; returns their number, or None after a full build."""
+    """Merge the new orders into silver; returns their number, or None after a full build.
+
+    A full build of orders whose keys are known to stand once needs no check of its own for repeated ones.
+    """
     config = config or PipelineConfig()
     path = store.path("silver", SILVER)
     layout = (SILVER_TYPES, silver.KEY, config.partition_by, silver.CLUSTER_BY)
@@ -113,11 +117,18 @@ def build_silver(
         new_orders = upsert.newer_than(orders, mark, lookback_days=config.lookback_days) if mark else orders.limit(0)
     written = {"on_duplicate": config.on_duplicate, "row_checks": checks.row_checks(checks_for(SILVER))}
     with dropped_after(spark):
-        batch = silver.int_orders_enriched(new_orders if present else orders, customers, processed_at=config.now)
-        if not present:
-            upsert.full_load(batch, path, *layout, **written)
+        enriched = partial(silver.int_orders_enriched, customers=customers, processed_at=config.now)
+        if present:
+            return upsert.upsert(spark, enriched(new_orders), path, *layout, **written)
+        if config.on_duplicate != "raise":
+            upsert.full_load(enriched(orders), path, *layout, **written)
             return None
-        return upsert.upsert(spark, batch, path, *layout, **written)
+        if not keys_proven:
+            upsert.refuse_duplicates(enriched(orders), silver.KEY)
+        ranges = upsert.leading(config.partition_by, silver.CLUSTER_BY)
+        written |= {"on_duplicate": None, "ranged": True}
+        upsert.full_load(enriched(orders, ranged_by=ranges), path, *layout, **written)
+        return None
 
 
 def build_gold(
@@ -154,10 +165,18 @@ def build_gold(
         }
 
 
-def _order_ids_proven(run: PipelineRun) -> bool:
-    """Whether this run has checked silver's order ids and found none repeated."""
-    found = [c for c in run.checks if (c["model"], c["column_name"], c["check_type"]) == (SILVER, "order_id", "unique")]
-    return bool(found) and not any(c["failures"] for c in found)
+#: What shows that silver's order ids are unique, by model, column and check.
+_UNIQUE_IDS = (SILVER, "order_id", "unique")
+#: What shows that no order id, nor NULL, will stand twice in a silver made from bronze: each order meets one customer.
+_KEYS_OF_SILVER = (
+    ("stg_orders", "order_id", "unique"), ("stg_orders", "order_id", "not_null"), ("stg_customers", "customer_id", "unique"),
+)
+
+
+def _proven(run: PipelineRun, *wanted: tuple[str, str, str]) -> bool:
+    """Whether this run has made all those checks and none of them found a failure."""
+    failures = {(c["model"], c["column_name"], c["check_type"]): c["failures"] for c in run.checks}
+    return all(failures.get(check) == 0 for check in wanted)
 
 
 def _silver(store: LayerStore) -> DataFrame:

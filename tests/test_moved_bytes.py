@@ -1,11 +1,14 @@
 """What moves between tasks and to disk: only what the step needs."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
 from stratum import schemas
 from stratum.operators import checks, joins, upsert
 from stratum.plans import gold, silver
+from stratum.plans.pipeline import PipelineConfig, build_silver, run_pipeline
 from stratum.registry import spark_queries
 from stratum.sources import files, layers, versions
 from stratum.sources.scratch import materialize, new_folder
@@ -107,3 +110,45 @@ def test_marts_of_unique_orders_take_plain_counts_of_one_silver(spark, monkeypat
     monkeypatch.setattr(gold, "_order_measures", lambda unique: counts.append(unique) or measures(unique))
     spark_queries.queries()[name](spark, SF_DIR).collect()
     assert len(built) == silvers and counts and all(counts)
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_rows_dealt_out_by_ranges_move_given_columns_only(spark, broadcast):
+    rows = [order(f"A{i}", order_date=dt.date(2023, 1 + i % 3, 5), customer_id=f"C{i % 2}") for i in range(12)]
+    given, people = orders(spark, *rows), customers(spark, customer())
+    plain = silver.int_orders_enriched(given, people, "2024-01-01 00:00:00")
+    ranged = silver.int_orders_enriched(given, people, "2024-01-01 00:00:00", broadcast, ["order_month", "region"])
+    assert ranged.columns == plain.columns and sorted(ranged.collect(), key=str) == sorted(plain.collect(), key=str)
+    plan = ranged._jdf.queryExecution().optimizedPlan().toString()
+    moved = plan[plan.index("RepartitionByExpression") :]
+    assert "net_revenue" not in moved and ("customer_name" in moved.split("LogicalRDD")[0]) != broadcast
+
+
+def test_a_first_build_deals_out_narrow_rows_and_sorts_them(spark, folder):
+    rows = [order(f"A{i:02}", order_date=dt.date(2023, 1 + i % 3, 28 - i), region=("East", "West")[i % 2]) for i in range(20)]
+    store = layers.LayerStore(spark, folder)
+    build_silver(spark, orders(spark, *rows), customers(spark, customer()), store, PipelineConfig(now="2024-01-01 00:00:00"))
+    stored = store.read("silver", "int_orders_enriched", schemas.SILVER_TYPES)
+    assert {r.order_id for r in stored.collect()} == {f"A{i:02}" for i in range(20)}
+    named = stored.select(F.input_file_name().alias("file"), "order_date", "region").collect()
+    for file in {r.file for r in named}:
+        own = [(r.order_date, r.region) for r in named if r.file == file]
+        assert own == sorted(own)
+
+
+def test_a_first_build_counts_keys_unless_bronze_has_shown_them_unique(spark, folder, monkeypatch):
+    refused, refuse = [], upsert.refuse_duplicates
+    monkeypatch.setattr(upsert, "refuse_duplicates", lambda df, key: refused.append(key) or refuse(df, key))
+    people = customers(spark, customer())
+    config = PipelineConfig(now="2024-01-01 00:00:00", check_freshness=False, layers=("bronze", "silver"))
+    for number, (rows, counted) in enumerate([([order("A"), order("B")], 0), ([order("A"), order("A")], 1)]):
+        store = layers.LayerStore(spark, f"{folder}/{number}")
+        warned = PipelineConfig(**config.__dict__ | {"warn_only": [(m, "unique_order_id") for m in ("raw_orders", "stg_orders")]})
+        if counted:
+            with pytest.raises(upsert.DuplicateKeys):
+                run_pipeline(spark, orders(spark, *rows), people, store, warned)
+        else:
+            run_pipeline(spark, orders(spark, *rows), people, store, warned)
+        assert len(refused) == counted
+    with pytest.raises(upsert.DuplicateKeys):
+        build_silver(spark, orders(spark, order("A"), order("A")), people, layers.LayerStore(spark, f"{folder}/x"), config)
