@@ -102,7 +102,7 @@ def test_ids_are_proven_unique_by_their_hashes(spark, monkeypatch):
     assert checks.proven_unique(ids("a", "b"), "k") and not checks.proven_unique(ids("a", "a"), "k")
 
 
-@pytest.mark.parametrize("name,silvers", [("check_row_count_growth", 1)])
+@pytest.mark.parametrize("name,silvers", [("check_row_count_growth", 1), ("dq_suite_gold", 1)])
 def test_marts_of_unique_orders_take_plain_counts_of_one_silver(spark, monkeypatch, name, silvers):
     built, counts = [], []
     enriched, measures = silver.int_orders_enriched, gold._order_measures
