@@ -7,7 +7,8 @@ A generative label model explains these counts: each voter fires with one rate i
 (its accuracy), and voters that agree beyond that within a class are one joint voter (their correlation). Labels, where
 there are any, hold the classes in place, and those of texts that vote alike count beside what the rates say: a class may
 have kinds of texts on which different voters fire, and to one kind the silence of the others' voters says nothing. A
-linear classifier of the votes' strengths is then trained on the model's posterior labels, and scores every text.
+linear classifier of the votes' strengths is then trained on the model's posterior labels, and scores every text. A
+label whose doc_id stands for several texts isn't counted with any of them.
 
 Null and empty texts have no votes and get the classifier's score for that; repeated rows get equal scores; without
 labels only the given insults vote; an empty table gives no rows; lang, source, doc_id and other columns are not read
@@ -238,6 +239,12 @@ def score_expression(coefficients: np.ndarray, votes: Column, words: Column) ->
     return 1 / (1 + F.exp(-odds))
 
 
+def _of_several_texts(rows: DataFrame) -> DataFrame:
+    """The ids that different texts share: a label of such an id doesn't tell which of them it is of."""
+    keys = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.min("text_key").alias("low"), F.max("text_key").alias("high"))
+    return keys.filter("low <> high").select("doc_id")
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int = 1) -> DataFrame:
     """(doc_id, text_key, held_out, score, predicted, votes) of every row of (doc_id, text); labels: (doc_id, toxic)."""
     known = training_labels(labels, "toxic", modulus, held_out)
@@ -248,9 +255,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_ou
         partial(_vote_rows, lexicon=lexicon), "doc_id long, text_key long, votes array<long>, n_words long"
     )
     votes = materialize(votes, "toxicity-votes")
-    learnt = votes.filter(~in_fold(F.col("doc_id"), modulus, held_out)).select("doc_id", _mask(F.col("votes")).alias("m"))
+    learnt = votes.filter(~in_fold(F.col("doc_id"), modulus, held_out)).select(
+        "doc_id", "text_key", _mask(F.col("votes")).alias("m")
+    )
     tally = (
-        learnt.join(known, "doc_id", "left")
+        learnt.drop("text_key")
+        .join(known.join(_of_several_texts(learnt), "doc_id", "left_anti"), "doc_id", "left")
         .groupBy("m", F.coalesce("label", F.lit(-1)).alias("label"))
         .agg(F.count("*").alias("n"))
         .toArrow()  # at most three rows for each combination of the voters
