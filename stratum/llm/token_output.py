@@ -13,7 +13,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import partial
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +36,19 @@ _AS_IS = table(frozenset([0x20, 0x0A]), lower=False)
 _CUT = r"([a-z])([!-&(-/:-@\[-`{-~])"
 #: Letters that are lower case, composed, and letters to the tokenizer's pattern.
 _PLAIN = frozenset("abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ")
-_CACHE_WORDS = 1_000_000
+_CACHE_WORDS = 300_000
+_NEW_WORDS = 1 << 15
 _CHUNK = 4 << 20
 _BLOCK_IDS = 1 << 18
 _encoders: dict[str, _WordEncoder] = {}
 
 
 class _WordEncoder:
-    """Ids of distinct words in one pool; a worker keeps the words it has met, up to a bound."""
+    """Ids of distinct words in one pool; a worker keeps the words it has met, up to a bound and one piece's words.
+
+    Beyond it, words of a single piece of text go, and of the others at most half the bound stays: most distinct words
+    are rare, and only the frequent ones spare work.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -53,12 +58,21 @@ class _WordEncoder:
         self.model = self.tokenizer.model
         spelled = ByteLevel(add_prefix_space=False, use_regex=False)
         self.spelling = str.maketrans({c: spelled.pre_tokenize_str(c)[0][0] for c in _PLAIN})
-        self.clear()
-
-    def clear(self) -> None:
         self.known: dict[str, int] = {}
         self.pool = np.zeros(0, np.uint32)
         self.sizes = np.zeros(0, np.int64)
+        self.begin = np.zeros(0, np.int64)
+        self.met = np.zeros(0, np.int32)  # in how many pieces
+
+    def _forget_rare(self) -> None:
+        kept = np.flatnonzero(self.met > 1)
+        most = np.argsort(-self.met[kept], kind="stable")[: _CACHE_WORDS // 2]
+        kept = kept[np.sort(most)]
+        words = list(self.known)  # in the order of their numbers
+        self.known = {words[i]: number for number, i in enumerate(kept.tolist())}
+        self.pool = ragged(self.pool, self.begin[kept], self.sizes[kept])
+        self.sizes, self.met = self.sizes[kept], self.met[kept] // 2
+        self.begin = starts(self.sizes)[:-1]
 
     def _encode(self, words: list[str]) -> list[list[int]]:
         """A word of plain letters goes to the tokenizer's model at once: nothing before it would change or cut it."""
@@ -73,20 +87,24 @@ class _WordEncoder:
     def __call__(self, words: list[str]) -> np.ndarray:
         """The number of each word; begin, sizes and pool have its ids."""
         if len(self.known) > _CACHE_WORDS:
-            self.clear()
+            self._forget_rare()
         known = self.known
-        numbers = list(map(known.get, words))
-        missing = [i for i, number in enumerate(numbers) if number is None]
-        if missing:
-            new = [words[i] for i in missing]
-            ids = self._encode(new)
-            for i, number in zip(missing, range(len(known), len(known) + len(new))):
-                known[words[i]] = numbers[i] = number
-            self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, ids), np.int64, len(ids))])
-            flat = np.fromiter(chain.from_iterable(ids), np.uint32)
-            self.pool = np.concatenate([self.pool, flat])
+        numbers = np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            numbers[missing] = np.arange(len(known), len(known) + len(missing))
+            sizes, pool = [self.sizes], [self.pool]
+            for at in range(0, len(missing), _NEW_WORDS):  # the lists of a few words at a time
+                new = [words[i] for i in missing[at : at + _NEW_WORDS].tolist()]
+                ids = self._encode(new)
+                known.update(zip(new, range(len(known), len(known) + len(new))))
+                sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+                pool.append(np.fromiter(chain.from_iterable(ids), np.uint32))
+            self.sizes, self.pool = np.concatenate(sizes), np.concatenate(pool)
             self.begin = starts(self.sizes)[:-1]
-        return np.array(numbers, np.int64)
+            self.met = np.concatenate([self.met, np.zeros(len(missing), np.int32)])
+        self.met[numbers] += 1
+        return numbers
 
 
 def _token_ids(column: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
