@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum import functions as fx
+from stratum.sources.scratch import shuffles_dropped
 
 # Default thresholds of the freshness and completeness checks.
 NOT_NULL_SHARE = 0.99
@@ -100,7 +101,8 @@ def proven_unique(df: DataFrame, column: str) -> bool:
     Hashes are counted, which move in few bytes; values of one hash that may differ are counted themselves.
     """
     hashed = df.filter(F.col(column).isNotNull()).select(F.xxhash64(column).alias("_hash"))
-    return duplicate_keys(hashed, "_hash").isEmpty() or duplicate_keys(df, column).isEmpty()
+    with shuffles_dropped(df.sparkSession):
+        return duplicate_keys(hashed, "_hash").isEmpty() or duplicate_keys(df, column).isEmpty()
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, column: str) -> DataFrame:

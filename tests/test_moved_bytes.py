@@ -1,6 +1,7 @@
 """What moves between tasks and to disk: only what the step needs."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,9 +9,9 @@ from pyspark.sql import functions as F
 from stratum import schemas
 from stratum.operators import checks, joins, upsert
 from stratum.plans import gold, silver
-from stratum.plans.pipeline import PipelineConfig, build_silver, run_pipeline
+from stratum.plans.pipeline import PipelineConfig, build_gold, build_silver, run_pipeline
 from stratum.registry import spark_queries
-from stratum.sources import files, layers, versions
+from stratum.sources import files, layers, scratch, tpch, versions
 from stratum.sources.scratch import materialize, new_folder
 from tests.conftest import SF_DIR
 from tests.data import customer, customers, order, orders
@@ -152,3 +153,42 @@ def test_a_first_build_counts_keys_unless_bronze_has_shown_them_unique(spark, fo
         assert len(refused) == counted
     with pytest.raises(upsert.DuplicateKeys):
         build_silver(spark, orders(spark, order("A"), order("A")), people, layers.LayerStore(spark, f"{folder}/x"), config)
+
+
+def _shuffle_files(spark) -> int:
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return blocks.getAllFiles().mkString("\n").count("shuffle_")
+
+
+def test_what_a_write_has_shuffled_leaves_the_disk(spark, folder):
+    grouped = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().repartition(5, "k")
+    before = _shuffle_files(spark)
+    for _ in range(20):
+        stored = materialize(grouped, "grouped")
+        layers.replace_table(grouped, f"{folder}/t")
+    until = time.time() + 20  # files are removed in the background
+    while _shuffle_files(spark) > before + 10 and time.time() < until:
+        time.sleep(0.2)
+    assert _shuffle_files(spark) <= before + 10
+    assert stored.count() == 7 and grouped.count() == 7 and len(grouped.collect()) == 7
+
+
+def test_shuffles_are_dropped_within_the_block_only(spark):
+    name = scratch._CLEANUP
+    was = spark.conf.get(name, None)
+    with pytest.raises(ValueError), scratch.shuffles_dropped(spark):
+        assert spark.conf.get(name) == "true"
+        raise ValueError
+    assert spark.conf.get(name, None) == was
+
+
+def test_lines_meet_their_parts_before_the_columns_of_their_orders(spark):
+    plan = tpch.raw_orders(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("= o_orderkey") < plan.index("= p_partkey")
+
+
+def test_joined_rows_are_stored_between_the_two_shuffles(spark):
+    given, people = orders(spark, order("A"), order("B", customer_id="none")), customers(spark, customer())
+    ranged = silver.int_orders_enriched(given, people, "2024-01-01 00:00:00", False, ["order_month"])
+    assert all("/joined-orders-" in f for f in ranged.inputFiles()) and "Join" not in plan_of(ranged)
+    assert {(r.order_id, r.customer_name) for r in ranged.collect()} == {("A", "Name C1"), ("B", None)}

@@ -2,7 +2,9 @@
 
 import pytest
 
+from stratum.operators import upsert
 from stratum.plans import gold, partials
+from stratum.plans import silver as silver_plan
 from stratum.plans.pipeline import SILVER, PipelineConfig, build_gold, build_silver
 from stratum.schemas import SILVER_TYPES
 from stratum.sources.layers import LayerStore
@@ -82,3 +84,15 @@ def test_the_run_can_keep_gold_up(spark, store):
         plain = LayerStore(spark, f"{store.root}/plain")
         fresh = build_gold(store.read("silver", SILVER, SILVER_TYPES), people, plain, PipelineConfig(now=NOW, as_of=AS_OF))
         assert {k: rows_of(v) for k, v in kept.items()} == {k: rows_of(v) for k, v in fresh.items()}
+
+
+@pytest.mark.parametrize("ids,plain", [("AB", True), ("AA", False)])
+def test_months_of_unique_orders_take_plain_counts(spark, store, monkeypatch, ids, plain):
+    rows = silver_plan.int_orders_enriched(orders(spark, *[order(i) for i in ids]), customers(spark, *PEOPLE), NOW)
+    upsert.full_load(rows, store.path("silver", SILVER), SILVER_TYPES, "order_id", "order_month", ["order_date"])
+    counts, measures = [], gold._order_measures
+    monkeypatch.setattr(gold, "_order_measures", lambda unique: counts.append(unique) or measures(unique))
+    partials.refresh(store, SILVER)
+    assert counts == [plain]
+    found = partials.mart_revenue_by_segment(store, "2023-01-01").collect()
+    assert [r.order_count for r in found] == [len(set(ids))]
