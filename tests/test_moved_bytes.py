@@ -192,3 +192,16 @@ def test_joined_rows_are_stored_between_the_two_shuffles(spark):
     ranged = silver.int_orders_enriched(given, people, "2024-01-01 00:00:00", False, ["order_month"])
     assert all("/joined-orders-" in f for f in ranged.inputFiles()) and "Join" not in plan_of(ranged)
     assert {(r.order_id, r.customer_name) for r in ranged.collect()} == {("A", "Name C1"), ("B", None)}
+
+
+@pytest.mark.parametrize("ids,plain", [("AB", True), ("AA", False)])
+def test_gold_that_is_built_alone_shows_order_ids_unique_itself(spark, folder, monkeypatch, ids, plain):
+    counts, measures = [], gold._order_measures
+    given, people = orders(spark, *[order(i) for i in ids]), customers(spark, customer())
+    stored = materialize(silver.int_orders_enriched(given, people, "2024-01-01 00:00:00"), "silver")
+    monkeypatch.setattr(gold, "_order_measures", lambda unique: counts.append(unique) or measures(unique))
+    config = PipelineConfig(now="2024-01-01 00:00:00", as_of="2024-02-01")
+    tables = build_gold(stored, people, layers.LayerStore(spark, folder), config)
+    assert counts == [plain, plain]
+    assert [r.order_count for r in tables["mart_revenue_by_segment"].collect()] == [len(set(ids))]
+    assert [r.lifetime_order_count for r in tables["mart_customer_360"].collect()] == [len(set(ids))]
