@@ -205,3 +205,11 @@ def test_gold_that_is_built_alone_shows_order_ids_unique_itself(spark, folder, m
     assert counts == [plain, plain]
     assert [r.order_count for r in tables["mart_revenue_by_segment"].collect()] == [len(set(ids))]
     assert [r.lifetime_order_count for r in tables["mart_customer_360"].collect()] == [len(set(ids))]
+
+
+def test_interleaved_rows_move_with_their_given_columns_only(spark, monkeypatch):
+    moved, interleave = [], spark_queries.cluster_interleaved
+    monkeypatch.setattr(spark_queries, "cluster_interleaved", lambda df, *rest: moved.append(df.columns) or interleave(df, *rest))
+    rows = spark_queries.clustered_interleaved(spark, SF_DIR)
+    assert set(moved[0]) == {*silver._GIVEN, "_loaded_at"}
+    assert rows.columns == silver.clean_orders(spark_queries.orders(spark, SF_DIR)).columns
