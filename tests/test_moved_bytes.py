@@ -213,3 +213,13 @@ def test_interleaved_rows_move_with_their_given_columns_only(spark, monkeypatch)
     rows = spark_queries.clustered_interleaved(spark, SF_DIR)
     assert set(moved[0]) == {*silver._GIVEN, "_loaded_at"}
     assert rows.columns == silver.clean_orders(spark_queries.orders(spark, SF_DIR)).columns
+
+
+@pytest.mark.parametrize("name", ["clustered_interleaved", "filter_start_subquery", "full_vs_incremental_equiv", "layered_run_summary"])
+def test_tables_that_the_result_does_not_read_are_gone(spark, name):
+    app = f"{scratch.scratch_root(spark)}/stratum/{spark.sparkContext.applicationId}"
+    before = set(files.children(spark, app)) if files.exists(spark, app) else set()
+    rows = spark_queries.queries()[name](spark, SF_DIR)
+    left = set(files.children(spark, app)) - before
+    assert not [f for f in left if f.startswith(("raw-orders-", "to-interleave-", "joined-orders-"))]
+    assert rows.count()
